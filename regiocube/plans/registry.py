@@ -15,6 +15,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from regiocube.operators import benchmark as bm
+from regiocube.operators import synthesis as sy
+from regiocube.operators import trend as tr
 from regiocube.plans.cubes import cubes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,9 +49,116 @@ def geo_benchmark_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bm.geo_benchmark_joined(c.clean(), {"unit": "MIO_EUR", "cat": "TOTAL"}, ["unit"])
 
 
+TOTAL_EUR_HAB = {"unit": "EUR_HAB", "cat": "TOTAL"}
+TOTAL_MIO_EUR = {"unit": "MIO_EUR", "cat": "TOTAL"}
+TOTAL_NR = {"unit": "NR", "cat": "TOTAL"}
+
+
+def trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRT-3: per-region trend of amount per order (abs 1 dp, CAGR 2 dp)."""
+    c = cubes(spark, sf_dir)
+    return tr.trend(c.clean(), TOTAL_EUR_HAB, round_abs=1, round_cagr=2)
+
+
+def trend_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRT-3a: trend per region and category."""
+    c = cubes(spark, sf_dir)
+    return tr.trend(c.clean(), {"unit": "NR"}, keys=("geo", "cat"),
+                    carry=("geo_label_en", "nuts_level", "country", "cat_label_en"))
+
+
+def trend_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRT-3a: trend per region and calendar month (deseasonalised)."""
+    c = cubes(spark, sf_dir)
+    return tr.trend(c.monthly(), TOTAL_NR, keys=("geo", "month"),
+                    carry=("geo_label_en", "nuts_level", "country", "month_label_en"), round_abs=1)
+
+
+def trend_guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRT-3b: CAGR additionally requires a non-negative last value."""
+    c = cubes(spark, sf_dir)
+    return tr.trend(c.clean(), TOTAL_MIO_EUR, guard_last_nonneg=True)
+
+
+def synthesis_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1: country-row pivot of three units, ranked by amount per order."""
+    c = cubes(spark, sf_dir)
+    return sy.country_synthesis(
+        c.clean(), {"amount_per_order": TOTAL_EUR_HAB, "lines": TOTAL_NR, "amount": TOTAL_MIO_EUR},
+        ref_group=c.ref)
+
+
+def synthesis_pivot_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 with a breakdown dim: one ranking per category."""
+    c = cubes(spark, sf_dir)
+    return sy.country_synthesis(c.clean(), {"lines_share_pct": {"unit": "PC"}}, dims=["cat"],
+                                ref_group=c.ref)
+
+
+def synthesis_rollup_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2: country total = SUM over NUTS2 regions, rounded to units."""
+    c = cubes(spark, sf_dir)
+    return sy.country_rollup(c.clean(), TOTAL_NR, "lines", level="NUTS2", agg="sum",
+                             round_metric=0, ref_group=c.ref)
+
+
+def synthesis_rollup_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2: country value = unweighted AVG over NUTS2 regions, 1 dp."""
+    c = cubes(spark, sf_dir)
+    return sy.country_rollup(c.clean(), TOTAL_EUR_HAB, "amount_per_order", level="NUTS2",
+                             agg="avg", round_metric=1, ref_group=c.ref)
+
+
+def synthesis_direct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: direct country rows rounded before rank and distance."""
+    c = cubes(spark, sf_dir)
+    return sy.country_direct(c.clean(), TOTAL_MIO_EUR, "amount", round_metric=0, ref_group=c.ref)
+
+
+def synthesis_covered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4: NUTS3 roll-up gated by full regional coverage."""
+    c = cubes(spark, sf_dir)
+    return sy.country_rollup_covered(c.clean(), TOTAL_NR, "lines", level="NUTS3", ref_group=c.ref)
+
+
+def synthesis_reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5: two pivoted metrics, two ranks, NUTS3 reconciliation column."""
+    c = cubes(spark, sf_dir)
+    return sy.country_synthesis_reconciled(
+        c.clean(), {"amount_per_order": TOTAL_EUR_HAB, "amount": TOTAL_MIO_EUR},
+        {"amount_per_order": "rank_procapite_eu", "amount": "rank_totale_eu"},
+        TOTAL_MIO_EUR, "amount_nuts3_sum", ref_group=c.ref)
+
+
+def synthesis_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6: country values vs. the published aggregate (pp distance, rank)."""
+    c = cubes(spark, sf_dir)
+    return sy.country_vs_published(c.clean(), {"unit": "EUR_HAB"}, ["cat"], "amount_per_order",
+                                   ref_group=c.ref)
+
+
+def synthesis_ungated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7: rank of every country, no reference-group gate."""
+    c = cubes(spark, sf_dir)
+    return sy.country_ranking(c.clean(), TOTAL_MIO_EUR, "amount")
+
+
 QUERIES: dict[str, Query] = {
     "geo_benchmark": geo_benchmark,
     "geo_benchmark_country": geo_benchmark_country,
     "geo_benchmark_published": geo_benchmark_published,
     "geo_benchmark_joined": geo_benchmark_joined,
+    "trend": trend,
+    "trend_by_category": trend_by_category,
+    "trend_by_month": trend_by_month,
+    "trend_guarded": trend_guarded,
+    "synthesis_pivot": synthesis_pivot,
+    "synthesis_pivot_by_category": synthesis_pivot_by_category,
+    "synthesis_rollup_sum": synthesis_rollup_sum,
+    "synthesis_rollup_avg": synthesis_rollup_avg,
+    "synthesis_direct": synthesis_direct,
+    "synthesis_covered": synthesis_covered,
+    "synthesis_reconciled": synthesis_reconciled,
+    "synthesis_published": synthesis_published,
+    "synthesis_ungated": synthesis_ungated,
 }
