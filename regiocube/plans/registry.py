@@ -14,7 +14,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
 from regiocube.operators import benchmark as bm
+from regiocube.operators import position as po
+from regiocube.operators import shares as sh
 from regiocube.operators import synthesis as sy
 from regiocube.operators import trend as tr
 from regiocube.plans.cubes import cubes
@@ -143,6 +147,168 @@ def synthesis_ungated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sy.country_ranking(c.clean(), TOTAL_MIO_EUR, "amount")
 
 
+def position_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRT-4: focus country rank/share vs. the published aggregate row."""
+    c = cubes(spark, sf_dir)
+    return po.position_share(c.clean(), TOTAL_NR, c.focus, "published", ref_group=c.ref)
+
+
+def position_computed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRT-4: share of the SUM over reference-group countries."""
+    c = cubes(spark, sf_dir)
+    return po.position_share(c.clean(), TOTAL_MIO_EUR, c.focus, "computed", ref_group=c.ref)
+
+
+def position_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRT-4: published total where present, else the computed sum."""
+    c = cubes(spark, sf_dir)
+    return po.position_share(c.clean(), TOTAL_NR, c.focus, "fallback", measure="domande",
+                             ref_group=c.ref)
+
+
+def recognition_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRT-4 fallback + MRT-8a: adds POS/(POS+NEG) rates, focus and group."""
+    c = cubes(spark, sf_dir)
+    return po.position_share(
+        c.clean(), TOTAL_NR, c.focus, "fallback", measure="decisioni", ref_group=c.ref,
+        rate={"dim": "cat", "pos": "A", "neg": "R", "slice": {"unit": "NR"}})
+
+
+def recognition_rate_by(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRT-8b: TOTAL/POS/NEG and the rate per region-year."""
+    c = cubes(spark, sf_dir)
+    return po.rate_by(c.clean(), {"unit": "NR"},
+                      ["year", "geo", "geo_label_en", "nuts_level", "country"],
+                      "cat", "TOTAL", "A", "R")
+
+
+def composition_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRT-5: category shares of the published total, focus vs aggregate."""
+    c = cubes(spark, sf_dir)
+    return po.composition_gap(c.clean(), {"unit": "NR"}, "cat", ["A", "N", "R"], "TOTAL",
+                              focus=c.focus)
+
+
+MODES = {"accepted": "A", "not_returned": "N", "returned": "R"}
+
+
+def mode_gap_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRT-7 (three modes): focus share vs aggregate share per mode."""
+    c = cubes(spark, sf_dir)
+    return po.mode_gap(c.clean(), {"unit": "PC"}, "cat", MODES, focus=c.focus)
+
+
+def mode_gap_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRT-7 (two modes, inner on the focus side)."""
+    c = cubes(spark, sf_dir)
+    return po.mode_gap(c.clean(), {"unit": "PC"}, "cat", {"accepted": "A", "returned": "R"},
+                       focus=c.focus)
+
+
+def share_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRT-6: mode shares, their sum and the residual."""
+    c = cubes(spark, sf_dir)
+    return sh.share_pivot(c.clean(), {"unit": "PC"}, "cat",
+                          {"A": "quota_a_pct", "N": "quota_n_pct", "R": "quota_r_pct"})
+
+
+def share_pivot_residual(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRT-6 (two modes, residual only)."""
+    c = cubes(spark, sf_dir)
+    return sh.share_pivot(c.clean(), {"unit": "PC"}, "cat", {"A": "quota_a_pct", "R": "quota_r_pct"},
+                          with_sum=False)
+
+
+def flagged_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRT-9: line counts with the non-additive TOTAL flagged."""
+    c = cubes(spark, sf_dir)
+    return sh.flagged_slice(c.clean(), {"unit": "NR"}, "cat", ["TOTAL"], "lines")
+
+
+def citizenship_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRT-10: counts by supplier nation, real countries only."""
+    c = cubes(spark, sf_dir)
+    return sh.citizenship_slice(c.citizen(), {"unit": "NR"}, "persone")
+
+
+def complement_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRT-11: total vs own-nation suppliers, complement and its share."""
+    c = cubes(spark, sf_dir)
+    return sh.complement_share(c.citizen(), {"unit": "NR"}, "citizen", "TOTAL", "NAT")
+
+
+def item_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRT-12: categories -> columns per (year, country, unit) + derived."""
+    c = cubes(spark, sf_dir)
+    return sh.item_pivot(
+        c.clean(), "cat",
+        {"TOTAL": "total", "A": "accepted", "N": "not_returned", "R": "returned"},
+        {"net_of_returns": [(1, "TOTAL"), (-1, "A"), (1, "R")]},
+        units=["NR", "MIO_EUR"])
+
+
+def quarterly_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRT-13: country quarterly series of selected categories."""
+    c = cubes(spark, sf_dir)
+    q = c.quarterly()
+    return sh.extract(q, F.col("country").isNotNull() & F.col("cat").isin("TOTAL", "A", "R")
+                      & (F.col("unit") == "NR"),
+                      ["year", "quarter", "country", "geo", "geo_label_en", "nuts_level",
+                       "cat", "cat_label_en", "unit", "value"])
+
+
+def quarterly_focus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRT-13: the focus country's quarterly total, value renamed."""
+    c = cubes(spark, sf_dir)
+    q = c.quarterly()
+    return sh.extract(q, (F.col("geo") == c.focus) & (F.col("cat") == "TOTAL"),
+                      ["year", "quarter", "value"], {"value": "lines"})
+
+
+def quarterly_peers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRT-13: focus, aggregate and a peer set side by side."""
+    c = cubes(spark, sf_dir)
+    q = c.quarterly()
+    peers = [c.focus, "EU27_2020", *c.ref[1:], "01", "02"]
+    return sh.extract(q, F.col("geo").isin(peers) & (F.col("cat") == "TOTAL"),
+                      ["year", "quarter", "geo", "geo_label_en", "value"], {"value": "lines"})
+
+
+def unit_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRT-14: two units of the focus country's NUTS1/NUTS2 regions side by side."""
+    c = cubes(spark, sf_dir)
+    where = F.col("geo").startswith(c.focus) & F.col("nuts_level").isin("NUTS1", "NUTS2")
+    return sh.unit_join(c.clean(), "MIO_EUR", "NR", ["year", "geo", "cat"], where,
+                        names=("amount", "lines"))
+
+
+def unit_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRT-14: plain one-unit extract."""
+    c = cubes(spark, sf_dir)
+    return sh.extract(c.clean(), (F.col("unit") == "MIO_EUR") & F.col("value").isNotNull(),
+                      ["year", "geo", "geo_label_en", "nuts_level", "country", "cat", "cat_label_en",
+                       "value"], {"value": "amount"})
+
+
+def stock_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRT-15: counts without the heterogeneous total, as BIGINT."""
+    c = cubes(spark, sf_dir)
+    from regiocube.functions.numeric import to_bigint
+    return sh.extract(c.clean(), (F.col("unit") == "NR") & F.col("cat").isNotNull()
+                      & (F.col("cat") != "TOTAL") & F.col("value").isNotNull(),
+                      ["year", "geo", "geo_label_en", "nuts_level", "country", "cat", "cat_label_en",
+                       to_bigint("value").alias("lines")])
+
+
+def stock_per_unit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRT-15: a ratio taken as published (share of category A)."""
+    c = cubes(spark, sf_dir)
+    return sh.extract(c.clean(), (F.col("unit") == "PC") & (F.col("cat") == "A")
+                      & F.col("value").isNotNull(),
+                      ["year", "geo", "geo_label_en", "nuts_level", "country", "value"],
+                      {"value": "share_a_pct"})
+
+
 QUERIES: dict[str, Query] = {
     "geo_benchmark": geo_benchmark,
     "geo_benchmark_country": geo_benchmark_country,
@@ -161,4 +327,25 @@ QUERIES: dict[str, Query] = {
     "synthesis_reconciled": synthesis_reconciled,
     "synthesis_published": synthesis_published,
     "synthesis_ungated": synthesis_ungated,
+    "position_published": position_published,
+    "position_computed": position_computed,
+    "position_fallback": position_fallback,
+    "recognition_rate": recognition_rate,
+    "recognition_rate_by": recognition_rate_by,
+    "composition_gap": composition_gap,
+    "mode_gap_left": mode_gap_left,
+    "mode_gap_inner": mode_gap_inner,
+    "share_pivot": share_pivot,
+    "share_pivot_residual": share_pivot_residual,
+    "flagged_slice": flagged_slice,
+    "citizenship_slice": citizenship_slice,
+    "complement_share": complement_share,
+    "item_pivot": item_pivot,
+    "quarterly_extract": quarterly_extract,
+    "quarterly_focus": quarterly_focus,
+    "quarterly_peers": quarterly_peers,
+    "unit_join": unit_join,
+    "unit_extract": unit_extract,
+    "stock_extract": stock_extract,
+    "stock_per_unit": stock_per_unit,
 }
