@@ -17,6 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiocube.operators import benchmark as bm
+from regiocube.operators import enrich as en
+from regiocube.operators import quality as dq
+from regiocube.sources.sdmx import melt_wide as _melt
 from regiocube.operators import position as po
 from regiocube.operators import shares as sh
 from regiocube.operators import synthesis as sy
@@ -309,6 +312,144 @@ def stock_per_unit(spark: SparkSession, sf_dir: str) -> DataFrame:
                       {"value": "share_a_pct"})
 
 
+# ------------------------------------------------------ enrichment / ingest
+def enrich_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ENR-1/2/3: the whole clean table (labels, hierarchy, country, flags)."""
+    return cubes(spark, sf_dir).clean()
+
+
+def derive_country(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ENR-3: country derived only for geographies with a level."""
+    c = cubes(spark, sf_dir)
+    return c.clean().select("geo", "nuts_level", "country").distinct()
+
+
+def split_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ENR-4: ``YYYY-Qn`` -> year INT + quarter."""
+    c = cubes(spark, sf_dir)
+    return en.with_period_split(c.quarterly_raw(), "year").select(
+        "geo", "cat", "year", "quarter", "value")
+
+
+def map_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ENR-6c: month number -> month name (inline label map)."""
+    c = cubes(spark, sf_dir)
+    return c.monthly().select("geo", "cat", "year", "month", "month_label_en", "value")
+
+
+def build_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ENR-7: geo hierarchy from labels + LEVEL/IS_STANDARD_CODE annotations."""
+    return cubes(spark, sf_dir).geo()
+
+
+def wide_frame(obs: DataFrame) -> DataFrame:
+    """The annual observations laid out as a wide SDMX table: key column
+    ``freq,unit,cat,geo\\TIME_PERIOD``, one text column per year (trailing
+    space in the header), cells ``value flag`` or ``:``."""
+    whole = F.col("value") == F.floor(F.col("value"))
+    num = F.when(whole, F.col("value").cast("long").cast("string")).otherwise(F.col("value").cast("string"))
+    text = F.concat(F.coalesce(num, F.lit(":")), F.lit(" "), F.coalesce(F.col("flag"), F.lit("")))
+    key = F.concat_ws(",", "freq", "unit", "cat", "geo").alias("__key")
+    wide = obs.groupBy(key).pivot("year").agg(F.max(text))
+    years = [c for c in wide.columns if c != "__key"]
+    return wide.select(F.col("__key").alias("freq,unit,cat,geo\\TIME_PERIOD"),
+                       *[F.coalesce(F.col(y), F.lit(": ")).alias(f"{y} ") for y in years])
+
+
+def melt_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-1: wide SDMX layout -> long observations (value, flag, ':' -> NULL)."""
+    c = cubes(spark, sf_dir)
+    return _melt(wide_frame(c.obs()))
+
+
+# ---------------------------------------------------------- data quality
+def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-2 on the clean table."""
+    return dq.check_not_null(cubes(spark, sf_dir).clean(), ["geo", "year", "value", "country"])
+
+
+def dq_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-4: (freq, unit, cat, geo, year) is the clean table's key."""
+    return dq.check_key(cubes(spark, sf_dir).clean(), ["freq", "unit", "cat", "geo", "year"])
+
+
+def dq_min_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-3 on the benchmark mart."""
+    return dq.check_min_rows(geo_benchmark(spark, sf_dir), 1000)
+
+
+def dq_slice_gating(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-6: benchmark columns NULL outside the reference slice."""
+    return dq.check_slice_gating(geo_benchmark(spark, sf_dir), BENCH_SLICE)
+
+
+def dq_rank_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-7: rank 1 is the national maximum."""
+    return dq.check_rank_top(geo_benchmark(spark, sf_dir), BENCH_SLICE,
+                             ["year", "country", "nuts_level", "unit", "cat"])
+
+
+def dq_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-8: reference-group slice rows are complete."""
+    c = cubes(spark, sf_dir)
+    return dq.check_complete(geo_benchmark(spark, sf_dir), BENCH_SLICE, c.ref)
+
+
+def dq_non_ref_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-9: no percentile outside the reference group."""
+    c = cubes(spark, sf_dir)
+    return dq.check_non_ref_null(geo_benchmark(spark, sf_dir), c.ref)
+
+
+def dq_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-10 on the trend mart."""
+    return dq.check_trend(trend(spark, sf_dir))
+
+
+def dq_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-11: country amount vs. roll-up of NUTS3 amounts (tolerance 1)."""
+    c = cubes(spark, sf_dir)
+    return dq.reconcile(synthesis_reconciled(spark, sf_dir), "amount", c.clean(), TOTAL_MIO_EUR, "NUTS3")
+
+
+def dq_additive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-12: category line counts add up to the total."""
+    c = cubes(spark, sf_dir)
+    return dq.check_additive(c.clean().filter(F.col("unit") == "NR"), "cat", ["A", "N", "R"], "TOTAL",
+                             ["year", "geo"])
+
+
+def dq_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-13: is_total agrees with cat = 'TOTAL'."""
+    return dq.check_flag(flagged_slice(spark, sf_dir), "is_total", F.col("cat") == "TOTAL")
+
+
+def dq_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-14: no orphan codes in the clean table."""
+    return dq.check_labels(cubes(spark, sf_dir).clean(), ["freq", "unit", "cat", "geo"])
+
+
+def dq_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-15: NUTS3 series with data per year and the year-on-year change."""
+    c = cubes(spark, sf_dir)
+    rows = c.clean().filter((F.col("nuts_level") == "NUTS3") & (F.col("unit") == "NR")
+                            & (F.col("cat") == "TOTAL"))
+    return dq.coverage_by_year(rows, ["geo"])
+
+
+def dq_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-16: country series moving more than 15 % year on year."""
+    c = cubes(spark, sf_dir)
+    rows = c.clean().filter((F.col("nuts_level") == "country") & (F.col("unit") == "EUR_HAB")
+                            & (F.col("cat") == "TOTAL"))
+    return dq.series_breaks(rows, ["geo"], 0.15)
+
+
+def dq_constant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-17: the clean table holds a single frequency."""
+    return dq.check_constant(cubes(spark, sf_dir).clean(), "freq")
+
+
 QUERIES: dict[str, Query] = {
     "geo_benchmark": geo_benchmark,
     "geo_benchmark_country": geo_benchmark_country,
@@ -348,4 +489,25 @@ QUERIES: dict[str, Query] = {
     "unit_extract": unit_extract,
     "stock_extract": stock_extract,
     "stock_per_unit": stock_per_unit,
+    "enrich_labels": enrich_labels,
+    "derive_country": derive_country,
+    "split_period": split_period,
+    "map_labels": map_labels,
+    "build_geo": build_geo,
+    "melt_wide": melt_wide,
+    "dq_not_null": dq_not_null,
+    "dq_key": dq_key,
+    "dq_min_rows": dq_min_rows,
+    "dq_slice_gating": dq_slice_gating,
+    "dq_rank_top": dq_rank_top,
+    "dq_complete": dq_complete,
+    "dq_non_ref_null": dq_non_ref_null,
+    "dq_trend": dq_trend,
+    "dq_reconcile": dq_reconcile,
+    "dq_additive": dq_additive,
+    "dq_flag": dq_flag,
+    "dq_labels": dq_labels,
+    "dq_coverage": dq_coverage,
+    "dq_breaks": dq_breaks,
+    "dq_constant": dq_constant,
 }
