@@ -35,10 +35,16 @@ class Cubes:
             self._memo[key] = fn()
         return self._memo[key]
 
+    def cells(self) -> DataFrame:
+        """Finest monthly cells: the one output of the fact join."""
+        return self._get("cells", lambda: persisted(
+            self.spark, "month_cells", lambda: sc.month_cells(self.spark, self.sf_dir),
+            self._inputs(*_FACT_TABLES)))
+
     def obs(self) -> DataFrame:
         """Raw annual observations (freq, unit, cat, geo, year, value, flag)."""
         return self._get("obs", lambda: persisted(
-            self.spark, "annual_obs", lambda: sc.annual_obs(self.spark, self.sf_dir, self.ref),
+            self.spark, "annual_obs", lambda: sc.annual_obs(self.cells(), self.ref),
             self._inputs(*_FACT_TABLES)))
 
     def geo(self) -> DataFrame:
@@ -55,12 +61,12 @@ class Cubes:
     def monthly(self) -> DataFrame:
         return self._get("monthly", lambda: persisted(
             self.spark, "clean_monthly", lambda: sc.clean_monthly(
-                self.spark, sc.monthly_obs(self.spark, self.sf_dir, self.ref), self.geo()),
+                self.spark, sc.monthly_obs(self.cells(), self.ref), self.geo()),
             self._inputs(*_FACT_TABLES)))
 
     def quarterly_raw(self) -> DataFrame:
         return self._get("quarterly_raw", lambda: persisted(
-            self.spark, "quarterly_obs", lambda: sc.quarterly_obs(self.spark, self.sf_dir, self.ref),
+            self.spark, "quarterly_obs", lambda: sc.quarterly_obs(self.cells(), self.ref),
             self._inputs(*_FACT_TABLES)))
 
     def quarterly(self) -> DataFrame:

@@ -129,12 +129,20 @@ def _cell_aggs() -> list[Column]:
     return aggs
 
 
-def annual_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Finest cells (cc, seg, prio, status, year) with additive measures."""
+def month_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Finest cells (cc, seg, prio, status, year, month) with additive
+    measures: the only output of the fact join. Its size is bounded by the
+    classification (nations x segments x priorities x statuses x months),
+    so every cube below is derived from it without touching the facts again.
+    """
     of = order_facts(spark, sf_dir)
     cu = _customers(spark, sf_dir)
     j = of.join(cu, of.o_custkey == cu.c_custkey)
-    return j.groupBy("cc", "seg", "prio", "status", "year").agg(*_cell_aggs())
+    return j.groupBy("cc", "seg", "prio", "status", "year", "month").agg(*_cell_aggs())
+
+
+def _resum(cells: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
+    return cells.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
 
 
 def _rollup(cells: DataFrame, levels: list[list[str]], keys: list[str],
@@ -173,9 +181,9 @@ def _suppressed(value: Column, lines: Column, year: Column) -> tuple[Column, Col
     return v, flag
 
 
-def annual_obs(spark: SparkSession, sf_dir: str, ref: tuple[str, ...]) -> DataFrame:
+def annual_obs(mcells: DataFrame, ref: tuple[str, ...]) -> DataFrame:
     """Raw annual observations: freq, unit, cat, geo, year, value, flag."""
-    cells = annual_cells(spark, sf_dir)
+    cells = _resum(mcells, ["cc", "seg", "prio", "status", "year"], MEASURES)
     lv = _rollup(cells, [["cc"], ["cc", "seg"], ["cc", "seg", "prio"], ["cc", "seg", "prio", "status"]],
                  [], MEASURES, ref, PUBLISHED_UNTIL)
     items = []
@@ -198,13 +206,10 @@ def annual_obs(spark: SparkSession, sf_dir: str, ref: tuple[str, ...]) -> DataFr
                        F.col("year").cast("int").alias("year"), value.alias("value"), flag.alias("flag"))
 
 
-def monthly_obs(spark: SparkSession, sf_dir: str, ref: tuple[str, ...]) -> DataFrame:
+def monthly_obs(mcells: DataFrame, ref: tuple[str, ...]) -> DataFrame:
     """Raw monthly line counts by category, country and NUTS1."""
-    of = order_facts(spark, sf_dir)
-    cu = _customers(spark, sf_dir)
     meas = ["n_T"] + [f"n_{c}" for c in CATS]
-    cells = (of.join(cu, of.o_custkey == cu.c_custkey)
-               .groupBy("cc", "seg", "year", "month").agg(*[F.sum(m).alias(m) for m in meas]))
+    cells = _resum(mcells, ["cc", "seg", "year", "month"], meas)
     lv = _rollup(cells, [["cc"], ["cc", "seg"]], ["month"], meas, ref, None)
     items = [F.struct(F.lit(cat).alias("cat"), F.col("n_T" if cat == TOTAL else f"n_{cat}").alias("lines"))
              for cat in (TOTAL, *CATS)]
@@ -216,13 +221,11 @@ def monthly_obs(spark: SparkSession, sf_dir: str, ref: tuple[str, ...]) -> DataF
                        value.alias("value"), flag.alias("flag"))
 
 
-def quarterly_obs(spark: SparkSession, sf_dir: str, ref: tuple[str, ...]) -> DataFrame:
+def quarterly_obs(mcells: DataFrame, ref: tuple[str, ...]) -> DataFrame:
     """Raw quarterly line counts by category, with a ``YYYY-Qn`` period."""
-    of = order_facts(spark, sf_dir).withColumn("quarter", F.ceil(F.col("month") / F.lit(3)))
-    cu = _customers(spark, sf_dir)
     meas = ["n_T"] + [f"n_{c}" for c in CATS]
-    cells = (of.join(cu, of.o_custkey == cu.c_custkey)
-               .groupBy("cc", "year", "quarter").agg(*[F.sum(m).alias(m) for m in meas]))
+    cells = _resum(mcells.withColumn("quarter", F.ceil(F.col("month") / F.lit(3))),
+                   ["cc", "year", "quarter"], meas)
     lv = _rollup(cells, [["cc"]], ["quarter"], meas, ref, 10_000)
     items = [F.struct(F.lit(cat).alias("cat"), F.col("n_T" if cat == TOTAL else f"n_{cat}").alias("lines"))
              for cat in (TOTAL, *CATS)]
