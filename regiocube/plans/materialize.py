@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from regiocube.session import scratch_root
 
 # Bump when the cube encoding changes, so stale tables are never reused.
-TABLE_VERSION = "cube-v4"
+TABLE_VERSION = "cube-v5"
 
 
 def _fs(spark: SparkSession, path: str):
