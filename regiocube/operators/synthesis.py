@@ -49,6 +49,8 @@ def country_synthesis(
     rank_by: str | None = None,
     rank_col: str = RANK_COL,
     round_dist: int = 1,
+    with_label: bool = False,
+    emit_is_eu: bool = False,
 ) -> DataFrame:
     """S1: pivot country rows into one metric column per slice
     (``MAX(CASE WHEN slice THEN value END)`` by year, country[, dims]).
@@ -62,14 +64,16 @@ def country_synthesis(
     rank_by = rank_by or names[0]
     dcols = _dims_with_labels(clean, dims)
     base = clean.filter((F.col("nuts_level") == F.lit("country")) & F.col("value").isNotNull())
-    cv = base.groupBy("year", *dcols, F.col("geo").alias("country")).agg(
+    label = [F.col("geo_label_en").alias("country_label_en")] if with_label else []
+    cv = base.groupBy("year", *dcols, F.col("geo").alias("country"), *label).agg(
         *[F.max(F.when(slice_predicate(s), F.col("value"))).alias(n) for n, s in metrics.items()])
     cv = cv.withColumn("__is_ref", is_member("country", ref_group))
     part = ["year", *dims]
     return cv.select(
-        "year", "country", *dcols, *names,
+        "year", "country", *(["country_label_en"] if with_label else []), *dcols, *names,
         _ranked(cv, rank_by, part, "__is_ref", rank_col),
         _distance(rank_by, part, "__is_ref", round_dist).alias(DIST_COL),
+        *([F.col("__is_ref").alias("is_eu")] if emit_is_eu else []),
     )
 
 

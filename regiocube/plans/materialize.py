@@ -53,7 +53,10 @@ def persisted(spark: SparkSession, name: str, build: Callable[[], DataFrame],
     root = scratch_root(spark)
     if root is None:
         return build()
-    path = f"{root.rstrip('/')}/regiocube-tables/{name}-{fingerprint(spark, inputs, name)}"
+    # A run token (set by bench.py) forces a rebuild instead of reusing a
+    # complete copy left by an earlier run over the same inputs.
+    token = spark.conf.get("regiocube.run_token", "")
+    path = f"{root.rstrip('/')}/regiocube-tables/{name}-{fingerprint(spark, inputs, name + token)}"
     if not path_exists(spark, f"{path}/_SUCCESS"):
         writer = build().write.mode("overwrite")
         if partition_by:
