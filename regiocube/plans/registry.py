@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiocube.operators import benchmark as bm
+from regiocube.operators import consumer as cq
 from regiocube.operators import enrich as en
 from regiocube.operators import quality as dq
 from regiocube.sources.sdmx import melt_wide as _melt
@@ -450,6 +451,43 @@ def dq_constant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dq.check_constant(cubes(spark, sf_dir).clean(), "freq")
 
 
+# ------------------------------------------------------- consumer queries
+def top_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """QRY-1: per year, the 10 NUTS3 regions of the focus country with the
+    highest amount per order (ties broken by code)."""
+    c = cubes(spark, sf_dir)
+    rows = c.clean().filter(F.col("geo").startswith(c.focus) & (F.col("nuts_level") == "NUTS3")
+                            & (F.col("unit") == "EUR_HAB") & (F.col("cat") == "TOTAL")
+                            & F.col("value").isNotNull()).select("year", "geo", "geo_label_en", "value")
+    return cq.top_k(rows, ["year"], [F.col("value").desc(), F.col("geo").asc()], 10)
+
+
+def rows_by_level(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """QRY-3: clean rows per NUTS level."""
+    return cq.count_by(cubes(spark, sf_dir).clean(), "nuts_level")
+
+
+def category_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """QRY-4: mean share of category A vs R per year and level, and the gap."""
+    c = cubes(spark, sf_dir)
+    rows = c.clean().filter((F.col("unit") == "PC") & F.col("country").isNotNull())
+    return cq.group_gap(rows, ["year", "nuts_level"], "cat", "A", "R")
+
+
+def growth_vs_decline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """QRY-4: growing vs declining regions per level (trend mart)."""
+    return cq.sign_counts(trend(spark, sf_dir), ["nuts_level"], "delta_pct")
+
+
+def cross_mart_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """QRY-5: two synthesis marts joined on (year, country): lines of
+    category A vs lines of category R."""
+    c = cubes(spark, sf_dir)
+    a = sy.country_direct(c.clean(), {"unit": "NR", "cat": "A"}, "lines_a", ref_group=c.ref)
+    b = sy.country_direct(c.clean(), {"unit": "NR", "cat": "R"}, "lines_r", ref_group=c.ref)
+    return cq.compare_marts(a, b, ["year", "country"], "lines_a", "lines_r")
+
+
 QUERIES: dict[str, Query] = {
     "geo_benchmark": geo_benchmark,
     "geo_benchmark_country": geo_benchmark_country,
@@ -510,4 +548,9 @@ QUERIES: dict[str, Query] = {
     "dq_coverage": dq_coverage,
     "dq_breaks": dq_breaks,
     "dq_constant": dq_constant,
+    "top_regions": top_regions,
+    "rows_by_level": rows_by_level,
+    "category_gap": category_gap,
+    "growth_vs_decline": growth_vs_decline,
+    "cross_mart_compare": cross_mart_compare,
 }
