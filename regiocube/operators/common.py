@@ -8,15 +8,33 @@ from pyspark.sql import functions as F
 # Codelists and geo hierarchies hold a few thousand codes at most; anything
 # above this is not a dimension table and must not be broadcast.
 DIMENSION_ROW_BOUND = 200_000
+# Plan-statistics bound (bytes) under which no counting job is needed.
+DIMENSION_BYTE_BOUND = 8 * 1024 * 1024
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DIMENSION_ROW_BOUND) -> DataFrame:
-    """Broadcast-hint ``df`` only after proving it has at most ``max_rows`` rows.
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate of ``df`` (the figure Spark itself uses
+    for auto-broadcast): exact for local relations, file size for scans,
+    an upper bound through filters/projections. None if unavailable."""
+    try:
+        stats = df._jdf.queryExecution().optimizedPlan().stats()
+        return int(str(stats.sizeInBytes()))
+    except Exception:  # noqa: BLE001 - statistics are best effort
+        return None
 
-    The proof is a ``limit(max_rows + 1).count()`` on the (small) dimension
-    side. Above the bound the hint is dropped and Spark plans a shuffle join
-    (AQE may still convert it at run time from measured sizes).
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DIMENSION_ROW_BOUND,
+                      max_bytes: int = DIMENSION_BYTE_BOUND) -> DataFrame:
+    """Broadcast-hint ``df`` only when its size is proven small.
+
+    First the plan statistics (no job); when they are missing or large, a
+    ``limit(max_rows + 1).count()`` on the dimension side. Above the bound the
+    hint is dropped and Spark plans a shuffle join (AQE may still convert it
+    at run time from measured sizes).
     """
+    size = estimated_bytes(df)
+    if size is not None and size <= max_bytes:
+        return F.broadcast(df)
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 

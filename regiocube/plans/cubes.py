@@ -42,10 +42,9 @@ class Cubes:
             self._inputs(*_FACT_TABLES)))
 
     def obs(self) -> DataFrame:
-        """Raw annual observations (freq, unit, cat, geo, year, value, flag)."""
-        return self._get("obs", lambda: persisted(
-            self.spark, "annual_obs", lambda: sc.annual_obs(self.cells(), self.ref),
-            self._inputs(*_FACT_TABLES)))
+        """Raw annual observations (freq, unit, cat, geo, year, value, flag):
+        a cheap roll-up of the persisted cells, not persisted itself."""
+        return self._get("obs", lambda: sc.annual_obs(self.cells(), self.ref))
 
     def geo(self) -> DataFrame:
         return self._get("geo", lambda: persisted(
@@ -65,9 +64,7 @@ class Cubes:
             self._inputs(*_FACT_TABLES)))
 
     def quarterly_raw(self) -> DataFrame:
-        return self._get("quarterly_raw", lambda: persisted(
-            self.spark, "quarterly_obs", lambda: sc.quarterly_obs(self.cells(), self.ref),
-            self._inputs(*_FACT_TABLES)))
+        return self._get("quarterly_raw", lambda: sc.quarterly_obs(self.cells(), self.ref))
 
     def quarterly(self) -> DataFrame:
         return self._get("quarterly", lambda: persisted(
