@@ -61,6 +61,7 @@ def geo_benchmark(
     round_pct: int = 4,
     round_dist: int = 1,
     slice_first: bool = True,
+    carry_dims: Sequence[str] = (),
 ) -> DataFrame:
     """MRT-1 / MRT-1a.
 
@@ -77,13 +78,16 @@ def geo_benchmark(
       reference mean with an absolute denominator.
 
     P = year (+ nuts_level unless ``level_in_partition=False``) + ``dims``.
-    ``dims`` must contain every slice dimension.
+    ``dims`` must contain every slice dimension. ``carry_dims`` are grain
+    dims passed through without entering the partition (one published mart
+    keys on a dim it does not partition by; correct while that dim has a
+    single value per partition).
     """
     missing = [d for d in slice_ if d not in dims]
     if missing:
         raise ValueError(f"slice dims {missing} must be partition dims")
     P = ["year"] + (["nuts_level"] if level_in_partition else []) + list(dims)
-    carry = _geo_cols(clean) + _dim_cols(clean, dims) + ["value"]
+    carry = _geo_cols(clean) + _dim_cols(clean, [*dims, *carry_dims]) + ["value"]
     tail = [c for c in ("flag", "flag_desc_en") if c in clean.columns]
     base = analysable(clean).select(*carry, *tail,
                                     is_member("country", ref_group).alias("__is_ref"))

@@ -184,12 +184,13 @@ def _synthesis(variant: str, metric: str, extra: Mapping, slice_: Mapping) -> Ma
 def _standard(row) -> DatasetSpec:
     (slug, flow, dims, cl_dims, slice_, bdims, rmedia, synth, trend_p, bkey, bmin) = row
     tkeys, rabs, rcagr = trend_p
+    carry = [k for k in _csv(bkey) if k not in ("year", "geo") and k not in _csv(bdims)]
     bench = partial(bm.geo_benchmark, slice_=slice_, dims=_csv(bdims), round_media=rmedia,
-                    level_in_partition=(slug != "ltc-beds"))
+                    level_in_partition=(slug != "ltc-beds"), carry_dims=carry)
     tkey_list = _csv(tkeys)
-    carry = ("geo_label_en", "nuts_level", "country") + tuple(
+    trend_carry = ("geo_label_en", "nuts_level", "country") + tuple(
         f"{k}_label_en" for k in tkey_list if k != "geo")
-    trend = partial(tr.trend, slice_=slice_, keys=tuple(tkey_list), carry=carry, round_abs=rabs,
+    trend = partial(tr.trend, slice_=slice_, keys=tuple(tkey_list), carry=trend_carry, round_abs=rabs,
                     round_cagr=rcagr, guard_last_nonneg=(slug == "road-freight-nuts3"))
     raw_dims = _csv(dims)
     month = "month" in bdims
