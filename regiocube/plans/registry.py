@@ -97,9 +97,10 @@ def synthesis_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def synthesis_pivot_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S1 with a breakdown dim: one ranking per category."""
+    """S1 with a breakdown dim: one ranking per category (line counts:
+    integer-valued, so the group mean is exact in any summation order)."""
     c = cubes(spark, sf_dir)
-    return sy.country_synthesis(c.clean(), {"lines_share_pct": {"unit": "PC"}}, dims=["cat"],
+    return sy.country_synthesis(c.clean(), {"lines": {"unit": "NR"}}, dims=["cat"],
                                 ref_group=c.ref)
 
 
@@ -468,9 +469,11 @@ def rows_by_level(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def category_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """QRY-4: mean share of category A vs R per year and level, and the gap."""
+    """QRY-4: mean line count of category A vs R per year and level, and the
+    gap. (Counts are integer-valued: the means are exact in any summation
+    order, which a mean of 1-decimal shares is not across engines.)"""
     c = cubes(spark, sf_dir)
-    rows = c.clean().filter((F.col("unit") == "PC") & F.col("country").isNotNull())
+    rows = c.clean().filter((F.col("unit") == "NR") & F.col("country").isNotNull())
     return cq.group_gap(rows, ["year", "nuts_level"], "cat", "A", "R")
 
 
