@@ -452,6 +452,11 @@ def dq_constant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dq.check_constant(cubes(spark, sf_dir).clean(), "freq")
 
 
+def dq_stable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-17: at most 5 % of region series move more than 50 % end to end."""
+    return dq.check_stable(trend(spark, sf_dir), "delta_pct", 50.0, 0.05)
+
+
 # ------------------------------------------------------- consumer queries
 def top_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """QRY-1: per year, the 10 NUTS3 regions of the focus country with the
@@ -551,6 +556,7 @@ QUERIES: dict[str, Query] = {
     "dq_coverage": dq_coverage,
     "dq_breaks": dq_breaks,
     "dq_constant": dq_constant,
+    "dq_stable": dq_stable,
     "top_regions": top_regions,
     "rows_by_level": rows_by_level,
     "category_gap": category_gap,
