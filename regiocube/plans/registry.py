@@ -20,6 +20,7 @@ from regiocube.operators import benchmark as bm
 from regiocube.operators import consumer as cq
 from regiocube.operators import enrich as en
 from regiocube.operators import quality as dq
+from regiocube.sources.sdmx import filter_slice as _filter_slice
 from regiocube.sources.sdmx import melt_wide as _melt
 from regiocube.operators import position as po
 from regiocube.operators import shares as sh
@@ -364,6 +365,18 @@ def melt_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _melt(wide_frame(c.obs()))
 
 
+def source_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-2: keep only the totals slice right after the melt."""
+    c = cubes(spark, sf_dir)
+    return _filter_slice(_melt(wide_frame(c.obs())), {"unit": "NR", "cat": "TOTAL"})
+
+
+def drop_incomplete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ENR-8: melted observations without a value are rejected."""
+    c = cubes(spark, sf_dir)
+    return en.drop_incomplete(_melt(wide_frame(c.obs())))
+
+
 # ---------------------------------------------------------- data quality
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DQ-2 on the clean table."""
@@ -541,6 +554,8 @@ QUERIES: dict[str, Query] = {
     "map_labels": map_labels,
     "build_geo": build_geo,
     "melt_wide": melt_wide,
+    "source_filter": source_filter,
+    "drop_incomplete": drop_incomplete,
     "dq_not_null": dq_not_null,
     "dq_key": dq_key,
     "dq_min_rows": dq_min_rows,
