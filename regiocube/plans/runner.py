@@ -100,3 +100,19 @@ def run_all(spark: SparkSession, specs: Mapping[str, DatasetSpec], raws: Mapping
 def rows_by_level(clean: DataFrame) -> DataFrame:
     """QRY-3: row count by NUTS level."""
     return clean.groupBy("nuts_level").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def register_views(spark: SparkSession, out_root: str, slug: str, vintage: str | int) -> list[str]:
+    """QRY-1: expose a dataflow's written clean table and marts as temp views
+    (``<slug>_clean``, ``<slug>_<mart>`` with '-' -> '_') for ad-hoc SQL."""
+    from regiocube.plans.catalog import CATALOG
+
+    base = f"{out_root.rstrip('/')}/{slug}/{vintage}"
+    tag = slug.replace("-", "_")
+    names = [f"{tag}_clean"]
+    spark.read.parquet(f"{base}/clean.parquet").createOrReplaceTempView(names[0])
+    for m in CATALOG[slug].marts:
+        name = f"{tag}_{m.name}"
+        spark.read.parquet(f"{base}/{m.name}.parquet").createOrReplaceTempView(name)
+        names.append(name)
+    return names

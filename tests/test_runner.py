@@ -84,3 +84,37 @@ def test_every_catalogue_mart_runs(golden_clean):
             except Exception as e:  # noqa: BLE001
                 failures.append(f"{slug}/{mart.name}: {type(e).__name__}: {str(e)[:200]}")
     assert not failures, "\n".join(failures)
+
+
+def test_cli_and_views(spark, tmpdir_fresh):
+    from regiocube.plans.cli import main
+    from regiocube.plans.runner import register_views
+
+    tsv = os.path.join(tmpdir_fresh, "in.tsv")
+    with open(tsv, "w") as fh:
+        fh.write("freq,unit,geo\\TIME_PERIOD\t2020 \t2023 \n")
+        for key, a, b in [("A,PC,ITC1", "10 ", "12.5 "), ("A,PC,ITC2", "20 ", "20 "),
+                          ("A,PC,DE11", "30 ", "33 p"), ("A,PC,IT", "15 ", ": ")]:
+            fh.write(f"{key}\t{a}\t{b}\n")
+    cl = os.path.join(tmpdir_fresh, "codelists")
+    os.makedirs(cl)
+    with open(os.path.join(cl, "unit.csv"), "w") as fh:
+        fh.write("code,label_en\nPC,Percentage\n")
+    with open(os.path.join(cl, "flag.csv"), "w") as fh:
+        fh.write("flag,description_en\np,provisional\n")
+    geo = os.path.join(tmpdir_fresh, "geo.csv")
+    with open(geo, "w") as fh:
+        fh.write("code,label_en,nuts_level,parent_code\n" + "\n".join(
+            ",".join(r) for r in GOLDEN_GEO) + "\n")
+    out = os.path.join(tmpdir_fresh, "out")
+    rc = main(["--out", out, "--vintage", "2026", "--geo", geo, "--codelists", cl, "--no-fail",
+               f"poverty-risk-nuts2={tsv}"])
+    assert rc == 0
+    names = register_views(spark, out, "poverty-risk-nuts2", 2026)
+    assert "poverty_risk_nuts2_mart_trend" in names
+    top = spark.sql("SELECT geo, value FROM poverty_risk_nuts2_clean WHERE geo LIKE 'IT%' AND year = 2020 "
+                    "ORDER BY value DESC LIMIT 1").collect()
+    assert top[0].geo == "ITC2"
+    flags = {r.geo: r.flag_desc_en for r in spark.sql(
+        "SELECT geo, flag_desc_en FROM poverty_risk_nuts2_clean WHERE year = 2023").collect()}
+    assert flags["DE11"] == "provisional"
