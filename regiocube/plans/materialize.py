@@ -10,6 +10,8 @@ and the plan is returned as is.
 from __future__ import annotations
 
 import hashlib
+import threading
+import warnings
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +21,14 @@ from regiocube.session import scratch_root
 # Bump when the cube encoding changes, so stale tables are never reused.
 TABLE_VERSION = "cube-v5"
 
+_LOCKS: dict[str, threading.Lock] = {}
+_LOCKS_GUARD = threading.Lock()
+
+
+def _lock_for(path: str) -> threading.Lock:
+    with _LOCKS_GUARD:
+        return _LOCKS.setdefault(path, threading.Lock())
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark._jvm
@@ -57,9 +67,15 @@ def persisted(spark: SparkSession, name: str, build: Callable[[], DataFrame],
     # complete copy left by an earlier run over the same inputs.
     token = spark.conf.get("regiocube.run_token", "")
     path = f"{root.rstrip('/')}/regiocube-tables/{name}-{fingerprint(spark, inputs, name + token)}"
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        writer = build().write.mode("overwrite")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(path)
+    # One writer per table and process; a second caller waits and reuses it.
+    with _lock_for(path):
+        if not path_exists(spark, f"{path}/_SUCCESS"):
+            try:
+                writer = build().write.mode("overwrite")
+                if partition_by:
+                    writer = writer.partitionBy(*partition_by)
+                writer.parquet(path)
+            except Exception as exc:  # noqa: BLE001 - unwritable scratch: stay lazy
+                warnings.warn(f"could not persist {name} under {root}: {exc}; using the lazy plan")
+                return build()
     return spark.read.parquet(path)
