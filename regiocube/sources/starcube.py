@@ -252,10 +252,14 @@ def citizen_obs(spark: SparkSession, sf_dir: str, ref: tuple[str, ...]) -> DataF
     su = read_table(spark, sf_dir, "supplier").select(
         "s_suppkey", nation_code(F.col("s_nationkey")).alias("sn"))
     od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    ls = li.join(su, li.l_suppkey == su.s_suppkey)
-    per_cust = (ls.join(od, ls.l_orderkey == od.o_orderkey)
-                  .groupBy("o_custkey", F.year("o_orderdate").alias("year"), "sn")
+    # One line-level shuffle (the orders join); lines are then counted per
+    # (customer, year, supplier) with map-side combine before the supplier
+    # nation is attached to the reduced rows.
+    lo = li.join(od, li.l_orderkey == od.o_orderkey)
+    per_supp = (lo.groupBy("o_custkey", F.year("o_orderdate").alias("year"), "l_suppkey")
                   .agg(F.count(F.lit(1)).alias("n")))
+    per_cust = (per_supp.join(su, per_supp.l_suppkey == su.s_suppkey)
+                        .groupBy("o_custkey", "year", "sn").agg(F.sum("n").alias("n")))
     cu = _customers(spark, sf_dir)
     cells = (per_cust.join(cu, per_cust.o_custkey == cu.c_custkey)
                      .groupBy("cc", "seg", "year", "sn").agg(F.sum("n").alias("n")))
