@@ -71,11 +71,16 @@ def run_dataset(
     clean_path = f"{out_root.rstrip('/')}/{spec.slug}/{vintage}/clean.parquet"
     write_clean(clean, clean_path)
     clean = spark.read.parquet(clean_path)
+    key = [d for d in spec.dims if d != "geo"] + ["geo", "year", *spec.extra_time]
     reports = [
         dq.check_columns(spark, clean, CLEAN_REQUIRED, f"{spec.slug}/clean"),
         dq.check_not_null(clean, list(spec.not_null)),
         dq.check_min_rows(clean, spec.min_rows),
+        dq.check_key(clean, key),
     ]
+    # Duplicate observations make endpoint lookups ambiguous (the published
+    # engine raises); stop before any mart is built.
+    dq.run_gates([reports[-1]], fail_on_error)
     for mart in spec.marts:
         path = write_mart(mart.build(clean), out_root, spec.slug, vintage, mart.name,
                           list(mart.order_by) or None)

@@ -118,3 +118,16 @@ def test_cli_and_views(spark, tmpdir_fresh):
     flags = {r.geo: r.flag_desc_en for r in spark.sql(
         "SELECT geo, flag_desc_en FROM poverty_risk_nuts2_clean WHERE year = 2023").collect()}
     assert flags["DE11"] == "provisional"
+
+
+def test_duplicate_observations_stop_before_marts(spark, tmpdir_fresh):
+    import pytest
+
+    from regiocube.operators.quality import GateFailure
+
+    rows = [("A", "PC", "IT", 2020, 1.0, None), ("A", "PC", "IT", 2020, 2.0, None)]
+    raw = spark.createDataFrame(rows, "freq string, unit string, geo string, year int, value double, flag string")
+    geo = spark.createDataFrame(GOLDEN_GEO, "code string, label_en string, nuts_level string, parent_code string")
+    with pytest.raises(GateFailure):
+        run_dataset(spark, CATALOG["poverty-risk-nuts2"], raw, geo, {}, os.path.join(tmpdir_fresh, "o"), 1)
+    assert not os.path.exists(os.path.join(tmpdir_fresh, "o", "poverty-risk-nuts2", "1", "mart_trend.parquet"))
