@@ -27,6 +27,7 @@ from regiocube.operators import shares as sh
 from regiocube.operators import synthesis as sy
 from regiocube.operators import trend as tr
 from regiocube.plans.cubes import cubes
+from regiocube.session import scratch_root
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -105,6 +106,16 @@ def synthesis_pivot_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 ref_group=c.ref)
 
 
+def synthesis_pivot_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1, multi-metric flavour: country label, ``is_eu``, ranked by the
+    second metric."""
+    c = cubes(spark, sf_dir)
+    return sy.country_synthesis(
+        c.clean(), {"lines": TOTAL_NR, "amount_per_order": TOTAL_EUR_HAB, "amount": TOTAL_MIO_EUR},
+        ref_group=c.ref, rank_by="amount_per_order", rank_col="rank_eu", with_label=True,
+        emit_is_eu=True)
+
+
 def synthesis_rollup_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S2: country total = SUM over NUTS2 regions, rounded to units."""
     c = cubes(spark, sf_dir)
@@ -377,6 +388,33 @@ def drop_incomplete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return en.drop_incomplete(_melt(wide_frame(c.obs())))
 
 
+def landing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Structured Streaming landing: the raw annual observations land as
+    parquet in a fresh folder under the session's checkpoint dir and an
+    ``availableNow`` stream enriches them into the clean table (stream-static
+    joins with the bounded dimensions, exactly-once per landed file)."""
+    import uuid
+
+    from regiocube.constants import FLAG_LABELS, FREQ_LABELS
+    from regiocube.sources import starcube as sc
+    from regiocube.streaming.landing import clean_stream
+
+    c = cubes(spark, sf_dir)
+    root = scratch_root(spark)
+    if root is None:  # no shared folder to land into: the batch equivalent
+        return c.clean()
+    run = f"{root.rstrip('/')}/regiocube-streams/{uuid.uuid4().hex}"
+    c.obs().write.parquet(f"{run}/landing/batch-0")
+    q = clean_stream(
+        spark, f"{run}/landing/*", ["freq", "unit", "cat", "geo"], c.geo(), f"{run}/clean",
+        name=f"landing_{uuid.uuid4().hex[:8]}",
+        codelists={"freq": sc.codelist(spark, FREQ_LABELS), "unit": sc.codelist(spark, sc.UNIT_LABELS),
+                   "cat": sc.codelist(spark, sc.CAT_LABELS)},
+        flags=sc.codelist(spark, FLAG_LABELS), checkpoint_dir=f"{run}/checkpoint")
+    q.awaitTermination()
+    return spark.read.parquet(f"{run}/clean")
+
+
 # ---------------------------------------------------------- data quality
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DQ-2 on the clean table."""
@@ -520,6 +558,7 @@ QUERIES: dict[str, Query] = {
     "trend_guarded": trend_guarded,
     "synthesis_pivot": synthesis_pivot,
     "synthesis_pivot_by_category": synthesis_pivot_by_category,
+    "synthesis_pivot_labelled": synthesis_pivot_labelled,
     "synthesis_rollup_sum": synthesis_rollup_sum,
     "synthesis_rollup_avg": synthesis_rollup_avg,
     "synthesis_direct": synthesis_direct,
@@ -556,6 +595,7 @@ QUERIES: dict[str, Query] = {
     "melt_wide": melt_wide,
     "source_filter": source_filter,
     "drop_incomplete": drop_incomplete,
+    "landing_stream": landing_stream,
     "dq_not_null": dq_not_null,
     "dq_key": dq_key,
     "dq_min_rows": dq_min_rows,
