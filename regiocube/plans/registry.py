@@ -415,6 +415,98 @@ def landing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{run}/clean")
 
 
+# ---------------------------------------------------------- sources / sinks
+def _scratch_run(spark: SparkSession, kind: str) -> str | None:
+    """A fresh folder under the session's shared scratch folder (or None)."""
+    import uuid
+
+    root = scratch_root(spark)
+    return None if root is None else f"{root.rstrip('/')}/regiocube-io/{kind}-{uuid.uuid4().hex}"
+
+
+def sdmx_tsv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-1 from a real file: the wide layout is written as tab-separated
+    text (one header line per part file) and read back by ``read_sdmx_tsv``."""
+    from regiocube.sources.sdmx import read_sdmx_tsv
+
+    c = cubes(spark, sf_dir)
+    run = _scratch_run(spark, "sdmx")
+    if run is None:
+        return _melt(wide_frame(c.obs()))
+    (wide_frame(c.obs()).write.option("sep", "\t").option("header", "true")
+     .option("quoteAll", "false").option("escape", "\u0000").csv(run))
+    return read_sdmx_tsv(spark, run)
+
+
+def clean_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-1 + SRC-7: the clean table written partitioned by year, read back."""
+    from regiocube.sources.sinks import write_clean
+
+    c = cubes(spark, sf_dir)
+    run = _scratch_run(spark, "clean")
+    if run is None:
+        return c.clean()
+    write_clean(c.clean(), run)
+    return spark.read.parquet(run)
+
+
+def geo_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-3 + SRC-4: the hierarchy as one CSV and back (blank -> NULL)."""
+    from regiocube.sources.readers import read_geo
+    from regiocube.sources.sinks import write_geo
+
+    c = cubes(spark, sf_dir)
+    run = _scratch_run(spark, "geo")
+    if run is None:
+        return c.geo().select("code", "label_en", F.nullif("nuts_level", F.lit("")).alias("nuts_level"),
+                              F.nullif("parent_code", F.lit("")).alias("parent_code"))
+    write_geo(c.geo(), run)
+    return read_geo(spark, run)
+
+
+def latest_vintage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-6: two landed vintages (an older, shorter one and the current
+    one); only the newest folder is read."""
+    from regiocube.sources.readers import read_latest
+
+    c = cubes(spark, sf_dir)
+    run = _scratch_run(spark, "vintages")
+    if run is None:
+        return c.obs()
+    c.obs().filter(F.col("year") <= 1999).write.parquet(f"{run}/2025")
+    c.obs().write.parquet(f"{run}/2026")
+    return read_latest(spark, run)
+
+
+def typed_csv_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-9: observations landed as CSV text in another column order, read
+    with the declared types bound by column name."""
+    from regiocube.sources.readers import read_obs
+
+    c = cubes(spark, sf_dir)
+    run = _scratch_run(spark, "typed")
+    schema = "freq string, unit string, cat string, geo string, year int, value double, flag string"
+    if run is None:
+        return c.obs()
+    c.obs().select("value", "geo", "flag", "year", "cat", "unit", "freq").write.option(
+        "header", "true").csv(run)
+    return read_obs(spark, run, schema, fmt="csv")
+
+
+def mart_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-2 + SNK-4: the benchmark mart published in its row order and read
+    back from ``<root>/<slug>/<vintage>/<mart>.parquet``."""
+    from regiocube.sources.sinks import write_mart
+
+    run = _scratch_run(spark, "marts")
+    bench = geo_benchmark(spark, sf_dir)
+    if run is None:
+        return bench
+    path = write_mart(bench, run, "star-cube", 2026, "mart_geo_benchmark",
+                      sort_keys=[F.col("year").desc(), "nuts_level", "country", "geo", "unit", "cat"])
+    return spark.read.parquet(path)
+
+
 # ---------------------------------------------------------- data quality
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DQ-2 on the clean table."""
@@ -596,6 +688,12 @@ QUERIES: dict[str, Query] = {
     "source_filter": source_filter,
     "drop_incomplete": drop_incomplete,
     "landing_stream": landing_stream,
+    "sdmx_tsv_roundtrip": sdmx_tsv_roundtrip,
+    "clean_parquet_roundtrip": clean_parquet_roundtrip,
+    "geo_csv_roundtrip": geo_csv_roundtrip,
+    "latest_vintage": latest_vintage,
+    "typed_csv_read": typed_csv_read,
+    "mart_publish": mart_publish,
     "dq_not_null": dq_not_null,
     "dq_key": dq_key,
     "dq_min_rows": dq_min_rows,
