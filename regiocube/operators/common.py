@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Codelists and geo hierarchies hold a few thousand codes at most; anything
@@ -23,20 +25,38 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def is_bounded(df: DataFrame, max_rows: int = DIMENSION_ROW_BOUND,
+               max_bytes: int = DIMENSION_BYTE_BOUND) -> bool:
+    """Whether ``df`` is proven small: first from the plan statistics (no
+    job); when they are missing or large, from ``limit(max_rows + 1).count()``."""
+    size = estimated_bytes(df)
+    if size is not None and size <= max_bytes:
+        return True
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DIMENSION_ROW_BOUND,
                       max_bytes: int = DIMENSION_BYTE_BOUND) -> DataFrame:
     """Broadcast-hint ``df`` only when its size is proven small.
 
-    First the plan statistics (no job); when they are missing or large, a
-    ``limit(max_rows + 1).count()`` on the dimension side. Above the bound the
-    hint is dropped and Spark plans a shuffle join (AQE may still convert it
-    at run time from measured sizes).
+    Above the bound the hint is dropped and Spark plans a shuffle join (AQE
+    may still convert it at run time from measured sizes).
     """
-    size = estimated_bytes(df)
-    if size is not None and size <= max_bytes:
-        return F.broadcast(df)
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if is_bounded(df, max_rows, max_bytes) else df
+
+
+def literal_frame(spark: SparkSession, rows: Sequence[Sequence], names: Sequence[str],
+                  types: Sequence[str] | None = None) -> DataFrame:
+    """A small table of fixed values (codelists, label maps) as one literal
+    array. Unlike ``createDataFrame`` over a Python list (an RDD scan of
+    unknown size), the optimizer knows its exact size, so broadcasting it
+    needs no counting job."""
+    types = list(types or ["string"] * len(names))
+    structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, n, t in zip(r, names, types)])
+               for r in rows]
+    row_type = ", ".join(f"{n}: {t}" for n, t in zip(names, types))
+    arr = F.array(*structs) if structs else F.array().cast(f"array<struct<{row_type}>>")
+    return spark.range(1).select(F.inline(arr))
 
 
 def left_lookup(df: DataFrame, dim: DataFrame, on_left: str, key: str,

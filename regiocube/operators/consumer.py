@@ -23,6 +23,14 @@ def top_k(df: DataFrame, partition: Sequence[str], order: Sequence[Column], k: i
     return df.withColumn(rank_col, F.row_number().over(w).cast("long")).filter(F.col(rank_col) <= k)
 
 
+def preview(df: DataFrame, order: Sequence[str | Column], n: int = 10) -> DataFrame:
+    """QRY-2: the first ``n`` rows in a total order (``orderBy`` + ``limit``
+    plans a TakeOrderedAndProject: each task keeps its own top ``n``, the
+    driver merges ``n`` rows per task; no global sort). The limit is the
+    feature here."""
+    return df.orderBy(*order).limit(n)
+
+
 def count_by(df: DataFrame, col: str, out: str = "n_rows") -> DataFrame:
     """QRY-3: row count per value of ``col``."""
     return df.groupBy(col).agg(F.count(F.lit(1)).alias(out))

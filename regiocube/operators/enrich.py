@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from regiocube.constants import LEVEL_NAMES, OBSOLETE_CODE
 from regiocube.functions.codes import derive_country, map_labels, parent_code, split_period
 from regiocube.functions.numeric import nan_to_null
-from regiocube.operators.common import bounded_broadcast
+from regiocube.operators.common import bounded_broadcast, is_bounded
 
 
 # ---------------------------------------------------------------- ENR-1
@@ -58,6 +58,10 @@ def enrich_geo(obs: DataFrame, geo: DataFrame, with_parent: bool = True,
     ``country`` = first two characters of ``geo`` only for rows whose level is
     set; aggregates get NULL.
     """
+    # Prove the bound on the hierarchy itself: the parent lookup is unique on
+    # code (the hierarchy's key), so it adds no rows; the optimizer's estimate
+    # of the self-join (a product of both sides) would force a counting job.
+    small = is_bounded(geo)
     if with_parent:
         g = geo_with_parent(geo).select(
             F.col("code").alias("__geo_code"),
@@ -72,7 +76,8 @@ def enrich_geo(obs: DataFrame, geo: DataFrame, with_parent: bool = True,
             F.col("label_en").alias("geo_label_en"),
             F.col("nuts_level"),
         )
-    g = bounded_broadcast(g)
+    if small:
+        g = F.broadcast(g)
     out = obs.join(g, obs[geo_col] == g["__geo_code"], "left").drop("__geo_code")
     return out.withColumn("country", derive_country(F.col(geo_col), F.col("nuts_level")))
 

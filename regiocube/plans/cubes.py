@@ -43,8 +43,13 @@ class Cubes:
 
     def obs(self) -> DataFrame:
         """Raw annual observations (freq, unit, cat, geo, year, value, flag):
-        a cheap roll-up of the persisted cells, not persisted itself."""
-        return self._get("obs", lambda: sc.annual_obs(self.cells(), self.ref))
+        the landed raw layer. A roll-up of the persisted cells, bounded by
+        the classification; written once because the geo hierarchy, the
+        clean table and every ingest query read it, and re-planning the
+        grouping-sets + explode for each of them costs more than the write."""
+        return self._get("obs", lambda: persisted(
+            self.spark, "raw_annual", lambda: sc.annual_obs(self.cells(), self.ref),
+            self._inputs(*_FACT_TABLES)))
 
     def geo(self) -> DataFrame:
         return self._get("geo", lambda: persisted(

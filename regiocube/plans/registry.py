@@ -493,6 +493,23 @@ def typed_csv_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_obs(spark, run, schema, fmt="csv")
 
 
+def codelist_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-3: the citizenship codelist (country labels of the hierarchy plus
+    the aggregate codes) lands as parquet under the irregular header
+    ``(code, description_en)``; ``read_codelist`` normalises it and the
+    raw citizenship cube is labelled from it (ENR-1)."""
+    from regiocube.sources import starcube as sc
+    from regiocube.sources.readers import read_codelist
+
+    c = cubes(spark, sf_dir)
+    run = _scratch_run(spark, "codelist")
+    cl = sc.citizen_codelist(spark, c.geo())
+    if run is not None:
+        cl.select("code", F.col("label_en").alias("description_en")).write.parquet(run)
+        cl = read_codelist(spark, run)
+    return en.enrich_labels(c.citizen().drop("citizen_label_en"), {"citizen": cl})
+
+
 def mart_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-2 + SNK-4: the benchmark mart published in its row order and read
     back from ``<root>/<slug>/<vintage>/<mart>.parquet``."""
@@ -601,6 +618,12 @@ def dq_stable(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------- consumer queries
+def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """QRY-2: the first ten rows of the clean table in key order."""
+    c = cubes(spark, sf_dir)
+    return cq.preview(c.clean(), ["freq", "unit", "cat", "geo", "year"], 10)
+
+
 def top_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """QRY-1: per year, the 10 NUTS3 regions of the focus country with the
     highest amount per order (ties broken by code)."""
@@ -693,6 +716,7 @@ QUERIES: dict[str, Query] = {
     "geo_csv_roundtrip": geo_csv_roundtrip,
     "latest_vintage": latest_vintage,
     "typed_csv_read": typed_csv_read,
+    "codelist_scan": codelist_scan,
     "mart_publish": mart_publish,
     "dq_not_null": dq_not_null,
     "dq_key": dq_key,
@@ -710,6 +734,7 @@ QUERIES: dict[str, Query] = {
     "dq_breaks": dq_breaks,
     "dq_constant": dq_constant,
     "dq_stable": dq_stable,
+    "preview": preview,
     "top_regions": top_regions,
     "rows_by_level": rows_by_level,
     "category_gap": category_gap,

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from regiocube.constants import EU27_AGGREGATE, FLAG_LABELS, FREQ_LABELS
 from regiocube.functions.numeric import round_half_away
-from regiocube.operators.common import bounded_broadcast
+from regiocube.operators.common import bounded_broadcast, literal_frame
 from regiocube.operators.enrich import build_geo, clean_observations, with_period_split
 
 # --- FIXED VALUES: encoding of the test tables as a statistical cube ---
@@ -284,7 +284,7 @@ def citizen_obs(spark: SparkSession, sf_dir: str, ref: tuple[str, ...]) -> DataF
 # ------------------------------------------------------------ dimensions
 def codelist(spark: SparkSession, mapping: dict) -> DataFrame:
     """A (code, label_en) codelist from fixed values."""
-    return spark.createDataFrame([(k, v) for k, v in mapping.items()], "code string, label_en string")
+    return literal_frame(spark, list(mapping.items()), ["code", "label_en"])
 
 
 def geo_inputs(spark: SparkSession, sf_dir: str, codes: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -66,3 +66,23 @@ def test_citizenship_rule(spark):
     df = spark.createDataFrame([("IT",), ("EU",), ("EA",), ("TOTAL",), ("NAT",), (None,)], "c string")
     got = [r[0] for r in df.filter(is_country_citizen("c")).collect()]
     assert got == ["IT"]
+
+
+def test_literal_frame_is_proven_small_without_a_job(spark):
+    from regiocube.operators.common import DIMENSION_BYTE_BOUND, estimated_bytes, is_bounded, literal_frame
+
+    cl = literal_frame(spark, [("NR", "Number"), ("PC", "Percentage")], ["code", "label_en"])
+    assert sorted(tuple(r) for r in cl.collect()) == [("NR", "Number"), ("PC", "Percentage")]
+    # Exact plan statistics, so the bound needs no counting job (an RDD-backed
+    # createDataFrame reports an unknown, maximal size).
+    size = estimated_bytes(cl)
+    assert size is not None and size <= DIMENSION_BYTE_BOUND
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("bound-check", "bound-check")
+    try:
+        assert is_bounded(cl)
+        assert list(tracker.getJobIdsForGroup("bound-check")) == []
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    empty = literal_frame(spark, [], ["code", "label_en"])
+    assert empty.count() == 0 and empty.columns == ["code", "label_en"]
