@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from regiocube.plans.materialize import persisted
 from regiocube.sources import starcube as sc
 
-_FACT_TABLES = ("lineitem", "orders", "customer", "nation", "region")
+_FACT_TABLES = ("lineitem", "orders", "customer", "supplier", "nation", "region")
 
 
 @dataclass
@@ -35,11 +35,16 @@ class Cubes:
             self._memo[key] = fn()
         return self._memo[key]
 
+    def facts(self) -> DataFrame:
+        """The one output of the fact pass: order cells and supplier cells,
+        written once, partitioned by ``kind``."""
+        return self._get("facts", lambda: persisted(
+            self.spark, "fact_cells", lambda: sc.fact_cells(self.spark, self.sf_dir),
+            self._inputs(*_FACT_TABLES), partition_by=["kind"]))
+
     def cells(self) -> DataFrame:
-        """Finest monthly cells: the one output of the fact join."""
-        return self._get("cells", lambda: persisted(
-            self.spark, "month_cells", lambda: sc.month_cells(self.spark, self.sf_dir),
-            self._inputs(*_FACT_TABLES)))
+        """Finest monthly cells of the orders (partition ``kind=order``)."""
+        return self._get("cells", lambda: sc.month_cells(self.facts()))
 
     def obs(self) -> DataFrame:
         """Raw annual observations (freq, unit, cat, geo, year, value, flag):
@@ -80,8 +85,8 @@ class Cubes:
     def citizen(self) -> DataFrame:
         return self._get("citizen", lambda: persisted(
             self.spark, "clean_citizen", lambda: sc.clean_citizen(
-                self.spark, sc.citizen_obs(self.spark, self.sf_dir, self.ref), self.geo()),
-            self._inputs(*_FACT_TABLES, "supplier")))
+                self.spark, sc.citizen_obs(sc.supplier_cells(self.facts()), self.ref), self.geo()),
+            self._inputs(*_FACT_TABLES)))
 
 
 _SESSIONS: dict = {}

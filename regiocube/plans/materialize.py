@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from regiocube.session import scratch_root
 
 # Bump when the cube encoding changes, so stale tables are never reused.
-TABLE_VERSION = "cube-v6"
+TABLE_VERSION = "cube-v7"
 
 _LOCKS: dict[str, threading.Lock] = {}
 _LOCKS_GUARD = threading.Lock()

@@ -17,6 +17,11 @@ _LOCAL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The fact join is followed by an aggregation on the join key, so a plain
+    # skew split would break the required partitioning and AQE would skip it.
+    # Forced, AQE splits a hot order key and adds an exchange only when it
+    # measures skew at run time; unskewed plans are unchanged.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",

@@ -23,10 +23,12 @@ they are encoded as regional statistics:
 All measures are integer-valued doubles, so every engine sums them exactly.
 
 Cost model: the only work that grows with the data is the lineitem x orders
-join and the aggregation to order level (grouping right after the join on
-the join key reuses the join's partitioning), then one shuffle join with
-customer. Everything after that is over at most
-|nations| x |segments| x |priorities| x |statuses| x |years| cells.
+join and the aggregation to (order, supplier) level (grouping right after
+the join on the join key reuses the join's partitioning). Both fact cubes
+(order cells and supplier-nation cells) branch from that aggregate in one
+action, so lineitem is scanned and shuffled once. The branches then meet
+customer and supplier on pre-aggregated rows. Everything after that is over
+at most |nations| x |segments| x |priorities| x |statuses| x |months| cells.
 """
 
 from __future__ import annotations
@@ -90,15 +92,25 @@ def _amount() -> Column:
     return F.floor(F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount"))).cast("long")
 
 
-def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order: time/priority/status and per-category line counts
-    and amounts.
+# Line measures summed at (order, supplier) grain and carried by both cubes.
+LINE_MEASURES = ["n_T", "a_T"] + [f"{m}_{c}" for c in CATS for m in ("n", "a")]
+NO_SUPPLIER = -1
 
-    The aggregation keys start with the join key, so on a sort-merge join the
-    grouping needs no second exchange.
+
+def order_supplier_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines joined to their order and summed per (order, supplier): the one
+    line-level shuffle of the whole build.
+
+    The grouping keys start with the join key, so on a sort-merge join the
+    aggregation needs no second exchange. The supplier key is made
+    non-nullable (a missing one becomes ``NO_SUPPLIER``, which matches no
+    supplier): otherwise the supplier join of the citizenship branch would
+    push an inferred ``IS NOT NULL`` into its lineitem scan, the two branches
+    would no longer share the lineitem exchange, and lines without a supplier
+    would drop out of the order cube.
     """
     li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_returnflag", _amount().alias("amt"))
+        "l_orderkey", "l_suppkey", "l_returnflag", _amount().alias("amt"))
     od = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
     lo = li.join(od, li.l_orderkey == od.o_orderkey)
@@ -106,12 +118,14 @@ def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     for c in CATS:
         hit = F.col("l_returnflag") == F.lit(c)
         aggs += [F.count_if(hit).alias(f"n_{c}"), F.sum(F.when(hit, F.col("amt"))).alias(f"a_{c}")]
+    supp = F.coalesce(F.col("l_suppkey"), F.lit(NO_SUPPLIER).cast("long"))
     return lo.groupBy(
         F.col("o_orderkey"), F.col("o_custkey"),
         F.year("o_orderdate").alias("year"),
         F.month("o_orderdate").alias("month"),
         F.substring("o_orderpriority", 1, 1).alias("prio"),
         F.col("o_orderstatus").alias("status"),
+        supp.alias("supp"),
     ).agg(*aggs)
 
 
@@ -129,21 +143,59 @@ def _cell_aggs() -> list[Column]:
     return aggs
 
 
-def month_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Finest cells (cc, seg, prio, status, year, month) with additive
-    measures: the only output of the fact join. Its size is bounded by the
-    classification (nations x segments x priorities x statuses x months),
-    so every cube below is derived from it without touching the facts again.
+def _sums(measures: list[str]) -> list[Column]:
+    return [F.sum(m).alias(m) for m in measures]
+
+
+def fact_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both fact cubes from ONE pass over the lines, as one table with a
+    ``kind`` column (persist it partitioned by ``kind``):
+
+    * ``order``: finest cells (cc, seg, prio, status, year, month) with the
+      additive order/line measures (``MEASURES``);
+    * ``supplier``: line measures by (cc, seg, year, sn), ``sn`` the supplier
+      nation (``LINE_MEASURES``).
+
+    Both branches read the same (order, supplier) aggregate, so in one action
+    Spark reuses the lineitem, orders and customer exchanges (the plan shows
+    ``ReusedExchange``): lineitem is scanned and shuffled once. Both outputs
+    are bounded by the classification (nations x segments x ... x months).
     """
-    of = order_facts(spark, sf_dir)
-    # Pre-aggregate per customer before the customer shuffle: a customer
-    # holding a large share of all orders collapses map-side to at most
-    # |months| x |priorities| x |statuses| rows, so the join below is never
-    # skewed by a hot customer.
-    per_cust = of.groupBy("o_custkey", "prio", "status", "year", "month").agg(*_cell_aggs())
+    os_ = order_supplier_facts(spark, sf_dir)
     cu = _customers(spark, sf_dir)
-    j = per_cust.join(cu, per_cust.o_custkey == cu.c_custkey)
-    return _resum(j, ["cc", "seg", "prio", "status", "year", "month"], MEASURES)
+    # Order branch: per order (same partitioning as the join, no exchange),
+    # then per customer before the customer shuffle: a customer holding a
+    # large share of all orders collapses map-side to at most |months| x
+    # |priorities| x |statuses| rows, so the customer join is never skewed.
+    per_order = os_.groupBy("o_orderkey", "o_custkey", "year", "month", "prio", "status").agg(
+        *_sums(LINE_MEASURES))
+    per_cust = per_order.groupBy("o_custkey", "prio", "status", "year", "month").agg(*_cell_aggs())
+    orders = _resum(per_cust.join(cu, per_cust.o_custkey == cu.c_custkey),
+                    ["cc", "seg", "prio", "status", "year", "month"], MEASURES)
+    # Supplier branch: lines per (customer, year, supplier) with map-side
+    # combine, the supplier nation attached to the reduced rows, reduced
+    # again per (customer, year, nation) before the customer join.
+    su = read_table(spark, sf_dir, "supplier").select(
+        "s_suppkey", nation_code(F.col("s_nationkey")).alias("sn"))
+    per_supp = os_.groupBy("o_custkey", "year", "supp").agg(*_sums(LINE_MEASURES))
+    per_nat = (per_supp.join(su, per_supp.supp == su.s_suppkey)
+                       .groupBy("o_custkey", "year", "sn").agg(*_sums(LINE_MEASURES)))
+    suppliers = _resum(per_nat.join(cu, per_nat.o_custkey == cu.c_custkey),
+                       ["cc", "seg", "year", "sn"], LINE_MEASURES)
+    return (orders.withColumn("kind", F.lit("order"))
+                  .unionByName(suppliers.withColumn("kind", F.lit("supplier")), allowMissingColumns=True))
+
+
+def month_cells(facts: DataFrame) -> DataFrame:
+    """The ``order`` cube of ``fact_cells`` (partition-pruned on ``kind``)."""
+    return facts.filter(F.col("kind") == "order").select(
+        "cc", "seg", "prio", "status", "year", "month", *MEASURES)
+
+
+def supplier_cells(facts: DataFrame) -> DataFrame:
+    """The ``supplier`` cube of ``fact_cells``: (cc, seg, year, sn, n)."""
+    return facts.filter(F.col("kind") == "supplier").select(
+        "cc", "seg", "year", "sn", F.col("n_T").alias("n"))
 
 
 def _resum(cells: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
@@ -242,27 +294,14 @@ def quarterly_obs(mcells: DataFrame, ref: tuple[str, ...]) -> DataFrame:
                        period.alias("year"), value.alias("value"), flag.alias("flag"))
 
 
-def citizen_obs(spark: SparkSession, sf_dir: str, ref: tuple[str, ...]) -> DataFrame:
+def citizen_obs(scells: DataFrame, ref: tuple[str, ...]) -> DataFrame:
     """Raw line counts by supplier nation ("citizenship") of each line.
 
     ``citizen`` is the supplier nation code, plus TOTAL, NAT (supplier of the
     customer's own nation) and EU (supplier inside the reference group).
+    ``scells`` are the supplier cells of ``fact_cells`` (cc, seg, year, sn, n).
     """
-    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
-    su = read_table(spark, sf_dir, "supplier").select(
-        "s_suppkey", nation_code(F.col("s_nationkey")).alias("sn"))
-    od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    # One line-level shuffle (the orders join); lines are then counted per
-    # (customer, year, supplier) with map-side combine before the supplier
-    # nation is attached to the reduced rows.
-    lo = li.join(od, li.l_orderkey == od.o_orderkey)
-    per_supp = (lo.groupBy("o_custkey", F.year("o_orderdate").alias("year"), "l_suppkey")
-                  .agg(F.count(F.lit(1)).alias("n")))
-    per_cust = (per_supp.join(su, per_supp.l_suppkey == su.s_suppkey)
-                        .groupBy("o_custkey", "year", "sn").agg(F.sum("n").alias("n")))
-    cu = _customers(spark, sf_dir)
-    cells = (per_cust.join(cu, per_cust.o_custkey == cu.c_custkey)
-                     .groupBy("cc", "seg", "year", "sn").agg(F.sum("n").alias("n")))
+    cells = scells
     by_nation = _rollup(cells, [["cc"], ["cc", "seg"]], ["sn"], ["n"], ref, None)
     totals = cells.select(
         "cc", "seg", "year", "n",

@@ -103,3 +103,24 @@ def test_clean_scan_prunes_columns(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(unit), EqualTo(unit,NR)]" in plan
     assert "ReadSchema: struct<unit:string,geo:string,value:double>" in plan
+
+
+def test_fact_pass_shuffles_lineitem_once(spark):
+    """Both fact cubes branch from one (order, supplier) aggregate: with
+    shuffle joins (as at scale), lineitem is scanned once and its exchange,
+    like the orders and customer exchanges, is reused by the second branch."""
+    from regiocube.sources import starcube as sc
+
+    keys = ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in keys}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = sc.fact_cells(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert plan.count("FileScan parquet [l_orderkey") == 1
+    reused = [ln for ln in plan.splitlines() if "ReusedExchange" in ln]
+    assert any("hashpartitioning(l_orderkey" in ln for ln in reused)
+    assert any("hashpartitioning(o_orderkey" in ln for ln in reused)
