@@ -42,8 +42,9 @@ def build_session(
     """Create (or reuse) a session with AQE on and the UI off.
 
     ``checkpoint_dir`` is applied only when the session has none yet; when
-    both are missing a fresh ``mktemp -d`` style folder is used, which is
-    only acceptable for local runs (tests, bench).
+    both are missing, a local master (tests, bench) gets a fresh
+    ``mktemp -d`` style folder and a cluster master gets none (nothing is
+    persisted; a machine-local folder is never used on a cluster).
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -57,9 +58,14 @@ def build_session(
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     if scratch_root(spark) is None:
-        path = checkpoint_dir or tempfile.mkdtemp(prefix="regiocube-ckpt-")
-        spark.sparkContext.setCheckpointDir(path)
-        spark.conf.set("regiocube.scratch", path)
+        path = checkpoint_dir
+        if path is None and spark.sparkContext.master.startswith("local"):
+            path = tempfile.mkdtemp(prefix="regiocube-ckpt-")
+        # On a cluster without a shared folder nothing is persisted: the
+        # marts run on the lazy plans instead of a machine-local folder.
+        if path is not None:
+            spark.sparkContext.setCheckpointDir(path)
+            spark.conf.set("regiocube.scratch", path)
     return spark
 
 
