@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiocube.plans.materialize import persisted
+from regiocube.plans.materialize import persisted, persisted_path
 from regiocube.sources import starcube as sc
 
 _FACT_TABLES = ("lineitem", "orders", "customer", "supplier", "nation", "region")
@@ -56,6 +56,14 @@ class Cubes:
             self.spark, "raw_annual", lambda: sc.annual_obs(self.cells(), self.ref),
             self._inputs(*_FACT_TABLES)))
 
+    def landed_tsv(self) -> str | None:
+        """Folder of the raw layer landed as a wide SDMX TSV (the format the
+        ingest reads), written once; None without a scratch folder."""
+        from regiocube.sources.sdmx import wide_layout, write_sdmx_tsv
+        return self._get("landed_tsv", lambda: persisted_path(
+            self.spark, "raw_wide_tsv", lambda: wide_layout(self.obs()),
+            self._inputs(*_FACT_TABLES), write_sdmx_tsv))
+
     def geo(self) -> DataFrame:
         return self._get("geo", lambda: persisted(
             self.spark, "geo", lambda: sc.geo_table(

@@ -53,16 +53,15 @@ def fingerprint(spark: SparkSession, inputs: Sequence[str], extra: str = "") ->
     return h.hexdigest()[:16]
 
 
-def persisted(spark: SparkSession, name: str, build: Callable[[], DataFrame],
-              inputs: Sequence[str], partition_by: Sequence[str] = ()) -> DataFrame:
-    """Return ``build()`` written to (and read back from) the scratch folder.
-
-    Reuses an existing complete copy (``_SUCCESS`` present) for the same
-    inputs. Without a scratch folder the lazy plan is returned.
+def persisted_path(spark: SparkSession, name: str, build: Callable[[], DataFrame],
+                   inputs: Sequence[str], write: Callable[[DataFrame, str], None]) -> str | None:
+    """Write ``build()`` once with ``write(df, path)`` under the scratch
+    folder and return the path; reuses a complete copy (``_SUCCESS``
+    present) for the same inputs. None without a (writable) scratch folder.
     """
     root = scratch_root(spark)
     if root is None:
-        return build()
+        return None
     # A run token (set by bench.py) forces a rebuild instead of reusing a
     # complete copy left by an earlier run over the same inputs.
     token = spark.conf.get("regiocube.run_token", "")
@@ -71,11 +70,22 @@ def persisted(spark: SparkSession, name: str, build: Callable[[], DataFrame],
     with _lock_for(path):
         if not path_exists(spark, f"{path}/_SUCCESS"):
             try:
-                writer = build().write.mode("overwrite")
-                if partition_by:
-                    writer = writer.partitionBy(*partition_by)
-                writer.parquet(path)
+                write(build(), path)
             except Exception as exc:  # noqa: BLE001 - unwritable scratch: stay lazy
                 warnings.warn(f"could not persist {name} under {root}: {exc}; using the lazy plan")
-                return build()
-    return spark.read.parquet(path)
+                return None
+    return path
+
+
+def persisted(spark: SparkSession, name: str, build: Callable[[], DataFrame],
+              inputs: Sequence[str], partition_by: Sequence[str] = ()) -> DataFrame:
+    """Return ``build()`` written to (and read back from) the scratch folder
+    as parquet. Without a scratch folder the lazy plan is returned."""
+    def write(df: DataFrame, path: str) -> None:
+        writer = df.write.mode("overwrite")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(path)
+
+    path = persisted_path(spark, name, build, inputs, write)
+    return build() if path is None else spark.read.parquet(path)

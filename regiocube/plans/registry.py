@@ -22,6 +22,8 @@ from regiocube.operators import enrich as en
 from regiocube.operators import quality as dq
 from regiocube.sources.sdmx import filter_slice as _filter_slice
 from regiocube.sources.sdmx import melt_wide as _melt
+from regiocube.sources.sdmx import read_sdmx_tsv as _read_tsv
+from regiocube.sources.sdmx import wide_layout as _wide_layout
 from regiocube.operators import position as po
 from regiocube.operators import shares as sh
 from regiocube.operators import synthesis as sy
@@ -356,36 +358,34 @@ def build_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cubes(spark, sf_dir).geo()
 
 
-def wide_frame(obs: DataFrame) -> DataFrame:
-    """The annual observations laid out as a wide SDMX table: key column
-    ``freq,unit,cat,geo\\TIME_PERIOD``, one text column per year (trailing
-    space in the header), cells ``value flag`` or ``:``."""
-    whole = F.col("value") == F.floor(F.col("value"))
-    num = F.when(whole, F.col("value").cast("long").cast("string")).otherwise(F.col("value").cast("string"))
-    text = F.concat(F.coalesce(num, F.lit(":")), F.lit(" "), F.coalesce(F.col("flag"), F.lit("")))
-    key = F.concat_ws(",", "freq", "unit", "cat", "geo").alias("__key")
-    wide = obs.groupBy(key).pivot("year").agg(F.max(text))
-    years = [c for c in wide.columns if c != "__key"]
-    return wide.select(F.col("__key").alias("freq,unit,cat,geo\\TIME_PERIOD"),
-                       *[F.coalesce(F.col(y), F.lit(": ")).alias(f"{y} ") for y in years])
+wide_frame = _wide_layout
+
+
+def _landed_obs(spark: SparkSession, sf_dir: str, source_filter=None) -> DataFrame:
+    """The raw layer as ingest sees it: the wide SDMX TSV landed once per
+    build and read back by ``read_sdmx_tsv`` (SRC-1); without a scratch
+    folder, the same melt over the in-memory wide layout."""
+    c = cubes(spark, sf_dir)
+    path = c.landed_tsv()
+    if path is None:
+        obs = _melt(wide_frame(c.obs()))
+        return _filter_slice(obs, source_filter) if source_filter else obs
+    return _read_tsv(spark, path, source_filter=source_filter)
 
 
 def melt_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-1: wide SDMX layout -> long observations (value, flag, ':' -> NULL)."""
-    c = cubes(spark, sf_dir)
-    return _melt(wide_frame(c.obs()))
+    return _landed_obs(spark, sf_dir)
 
 
 def source_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-2: keep only the totals slice right after the melt."""
-    c = cubes(spark, sf_dir)
-    return _filter_slice(_melt(wide_frame(c.obs())), {"unit": "NR", "cat": "TOTAL"})
+    return _landed_obs(spark, sf_dir, {"unit": "NR", "cat": "TOTAL"})
 
 
 def drop_incomplete(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ENR-8: melted observations without a value are rejected."""
-    c = cubes(spark, sf_dir)
-    return en.drop_incomplete(_melt(wide_frame(c.obs())))
+    return en.drop_incomplete(_landed_obs(spark, sf_dir))
 
 
 def landing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -427,14 +427,13 @@ def _scratch_run(spark: SparkSession, kind: str) -> str | None:
 def sdmx_tsv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-1 from a real file: the wide layout is written as tab-separated
     text (one header line per part file) and read back by ``read_sdmx_tsv``."""
-    from regiocube.sources.sdmx import read_sdmx_tsv
+    from regiocube.sources.sdmx import read_sdmx_tsv, write_sdmx_tsv
 
     c = cubes(spark, sf_dir)
     run = _scratch_run(spark, "sdmx")
     if run is None:
         return _melt(wide_frame(c.obs()))
-    (wide_frame(c.obs()).write.option("sep", "\t").option("header", "true")
-     .option("quoteAll", "false").option("escape", "\u0000").csv(run))
+    write_sdmx_tsv(wide_frame(c.obs()), run)
     return read_sdmx_tsv(spark, run)
 
 

@@ -106,6 +106,28 @@ def read_sdmx_tsv(spark: SparkSession, path: str, source_filter: Mapping[str, ob
     return obs
 
 
+def wide_layout(obs: DataFrame) -> DataFrame:
+    """Long annual observations laid out as a wide SDMX table (the inverse of
+    the melt): key column ``freq,unit,cat,geo\\TIME_PERIOD``, one text column
+    per year (trailing space in the header), cells ``value flag`` or ``:``.
+    The year columns come from the data (one distinct job)."""
+    whole = F.col("value") == F.floor(F.col("value"))
+    num = F.when(whole, F.col("value").cast("long").cast("string")).otherwise(F.col("value").cast("string"))
+    text = F.concat(F.coalesce(num, F.lit(":")), F.lit(" "), F.coalesce(F.col("flag"), F.lit("")))
+    key = F.concat_ws(",", "freq", "unit", "cat", "geo").alias("__key")
+    wide = obs.groupBy(key).pivot("year").agg(F.max(text))
+    years = [c for c in wide.columns if c != "__key"]
+    return wide.select(F.col("__key").alias("freq,unit,cat,geo\\TIME_PERIOD"),
+                       *[F.coalesce(F.col(y), F.lit(": ")).alias(f"{y} ") for y in years])
+
+
+def write_sdmx_tsv(wide: DataFrame, path: str) -> None:
+    """Land a wide layout as tab-separated text, one header line per part
+    file (``read_sdmx_tsv`` reads the folder back)."""
+    (wide.write.mode("overwrite").option("sep", "\t").option("header", "true")
+     .option("quoteAll", "false").option("escape", "\u0000").csv(path))
+
+
 def filter_slice(obs: DataFrame, keep: Mapping[str, object]) -> DataFrame:
     """SRC-2: keep only the given dim values before landing."""
     return obs.filter(slice_predicate(keep))
