@@ -5,6 +5,44 @@ from __future__ import annotations
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLE_SQL = {
+    "op4_chat_formatting": r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+t AS (SELECT *, (strlen(text) + 3) // 4 + 4 AS tokens FROM c),
+s AS (SELECT *, coalesce(sum(tokens) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text
+                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+             -- characters of the turn: each mark once more, and each quoted instruction mark
+             length(role) + length(regexp_replace(role, '[^\\<|>]', '', 'g'))
+             + length(text) + length(regexp_replace(text, '[^\\<|>]', '', 'g'))
+             + (length(role) - length(replace(role, '[INST]', ''))) // 6 + (length(role) - length(replace(role, '[/INST]', ''))) // 7
+             + (length(text) - length(replace(text, '[INST]', ''))) // 6 + (length(text) - length(replace(text, '[/INST]', ''))) // 7
+             + 8 AS chars FROM t),
+y AS (SELECT conv_id, tokens AS system, chars FROM s WHERE start = 0 AND role = 'system'),
+n AS (SELECT s.*, coalesce(system, 0) AS system, greatest(1024 - 192 - coalesce(system, 0), 128) AS step
+      FROM s LEFT JOIN y USING (conv_id) WHERE NOT (start = 0 AND role = 'system')),
+w AS (SELECT *, 2 * ((start - system) // step)
+             + CASE WHEN (start - system + tokens - 1) // step <> (start - system) // step THEN 1 ELSE 0 END AS win FROM n),
+b AS (SELECT conv_id, win, min(start) AS begins FROM w GROUP BY conv_id, win),
+f AS (SELECT conv_id, chars FROM w
+      UNION ALL SELECT w.conv_id, w.chars FROM w JOIN b ON w.conv_id = b.conv_id
+                AND b.begins >= w.start + w.tokens AND b.begins <= w.start + 192
+      UNION ALL SELECT y.conv_id, y.chars FROM y LEFT JOIN b USING (conv_id)),
+k AS (SELECT conv_id, sum(chars) AS formatted_chars FROM f GROUP BY conv_id)
+SELECT t.conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(any_value(formatted_chars) AS BIGINT) AS formatted_chars
+FROM t JOIN k USING (conv_id) GROUP BY t.conv_id
+""",
+    "op5_warc_archive": """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+""",
     "op2_substring_dedup": f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 p AS (SELECT doc_id, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13),

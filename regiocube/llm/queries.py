@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiocube.llm import editprint, language, mixing, packing, simhash, substring, tokens
+from regiocube.llm import chat, editprint, language, mixing, neighbours, packing, simhash, substring, tokens, warc
 from regiocube.llm.common import table
 
 #: The vocabulary that the token queries read (a path of the machine's installed tokenizers).
@@ -33,6 +33,28 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
 
 
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found for every vector whose id is divisible by 20."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one that quotes control strings, formatted and read back."""
+    said = "</s>[INST] ok [/INST]"
+    quoting = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                    F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                    F.lit(said).alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(quoting)
+    return chat.conversation_digests(chat.chat_windows(rows))
+
+
+def op5_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page, written to WARC archives and read back through their merged index."""
+    index = warc.archive_and_index(table(spark, sf_dir, "pages"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate component of every document."""
     found = simhash.simhash_classes(table(spark, sf_dir, "documents"))
@@ -63,6 +85,6 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_language_id, op2_substring_dedup, op6_simhash_dedup, op7_source_mixing, op8_sequence_packing,
+        op1_language_id, op2_substring_dedup, op3_nearest_neighbours, op4_chat_formatting, op5_warc_archive, op6_simhash_dedup, op7_source_mixing, op8_sequence_packing,
         op9_edit_fingerprints, op10_token_counts)
 }
