@@ -12,8 +12,8 @@ code points of many texts at once; Viterbi steps run over many texts side by
 side, the longest first.
 
 The model (log shares of the buckets per language, and the scripts of each language)
-is fitted on at most about ``SAMPLE_ROWS`` whole texts per language, drawn by a
-hash of the row's id and text, and is ``languages * BUCKETS * 4`` bytes large.
+is fitted on at most about ``SAMPLE_ROWS`` different whole texts per language,
+drawn by a hash of the text, and is ``languages * BUCKETS * 4`` bytes large.
 """
 
 from __future__ import annotations
@@ -167,7 +167,8 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
         lang, bucket = np.nonzero(table)
         yield pa.RecordBatch.from_arrays([pa.array(lang), pa.array(bucket), pa.array(table[lang, bucket])], names=["lang", "bucket", "n"])
 
-    found = (rows.where(draw < share).mapInArrow(run, "lang long, bucket long, n long")
+    # Copies would make one text count often (and the sample as large as their number).
+    found = (rows.where(draw < share).dropDuplicates(["lang", "text"]).mapInArrow(run, "lang long, bucket long, n long")
              .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas())
     table = np.zeros((len(names), BUCKETS + len(_NAMES)))
     table[found["lang"], found["bucket"]] = found["n"]

@@ -38,6 +38,8 @@ COLUMNS = 16
 TARGET = 0.97
 #: Sharpness of the test: a larger value abandons fewer candidates wrongly.
 EPSILON = 2.1
+#: Points that set the bar: an eighth of a block, and eight for each neighbour asked for.
+SEEDS = 8
 SEED = 5
 
 
@@ -149,8 +151,9 @@ def _deal(index: Index, probes: int, query: bool):
 def scan(queries: np.ndarray, points: np.ndarray, k: int, columns: int = COLUMNS, epsilon: float = EPSILON) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (query, point) that survive the adaptive scan of rotated ``points``.
 
-    The bar of a query is the full distance of the k points that look nearest
-    after the first block, so at least k of them are at most that far. After
+    The bar of a query is the k-th full distance among the points that look
+    nearest after the first block (an eighth of all, at least), so at least k
+    points are at most that far. After
     each block of d of D columns a pair stays if its partial distance is at most
     d / D * (1 + epsilon / sqrt(d)) ** 2 times the bar: for a random rotation,
     a nearer point fails that test with a probability that falls
@@ -163,8 +166,10 @@ def scan(queries: np.ndarray, points: np.ndarray, k: int, columns: int = COLUMNS
     a, b = queries[:, first], points[:, first]
     partial = (a * a).sum(1)[:, None] + (b * b).sum(1) - 2 * a @ b.T
     top = min(k + 1, len(points))  # one may be the query itself
-    seeds = np.argpartition(partial, top - 1, axis=1)[:, :top]
-    bar = ((points[seeds] - queries[:, None, :]) ** 2).sum(2).max(1)
+    many = min(max(SEEDS * top, len(points) // SEEDS), len(points))
+    seeds = np.argpartition(partial, many - 1, axis=1)[:, :many]
+    full = ((points[seeds] - queries[:, None, :]) ** 2).sum(2)
+    bar = np.partition(full, top - 1, axis=1)[:, top - 1]
     bar = bar * (1 + 1e-9) + 1e-12  # ties with the bar stay, whatever their rounding
     q, p = np.nonzero(partial <= (_slack(first.stop, width, epsilon) * bar)[:, None] + 1e-9 * bar[:, None])
     so_far = partial[q, p]
@@ -191,8 +196,8 @@ def _search(index: Index, k: int):
         ids, who = found["vec_id"].to_numpy(), asked["vec_id"].to_numpy()
         rotated = index.lengthened(x) @ index.rotation
         out = []
-        for s in range(0, len(y), 64):
-            q, p = scan(index.as_query(y[s:s + 64]) @ index.rotation, rotated, k)
+        for s in range(0, len(y), 16):
+            q, p = scan(index.as_query(y[s:s + 16]) @ index.rotation, rotated, k)
             q = q + s
             other = ids[p] != who[q]
             q, p = q[other], p[other]
