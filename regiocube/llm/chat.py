@@ -52,13 +52,18 @@ def turn_tokens(text: Column) -> Column:
 
 
 def _placed_turns(rows: DataFrame) -> DataFrame:
-    """Turns with ``start``, the tokens before them in their conversation: blocks are summed, then turns in a block."""
+    """Turns with ``start``, the tokens before them in their conversation, and ``system``, the tokens of
+    its system turn: blocks are summed, then turns in a block."""
     order = [F.col("turn").asc_nulls_first(), "role", "text"]
+    of_system = F.when(F.col("role") == SYSTEM_ROLE, F.col("tokens")).otherwise(0)
     rows = rows.withColumn("tokens", turn_tokens(F.col("text"))).withColumn(
         "block", F.coalesce(F.floor(F.col("turn") / BLOCK_TURNS), F.lit(-(1 << 62))))
     before = Window.partitionBy("key").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    base = (rows.groupBy("key", "block").agg(F.sum("tokens").alias("held"))
-            .select("key", "block", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("base")))
+    blocks = Window.partitionBy("key").orderBy("block")
+    base = (rows.groupBy("key", "block").agg(
+        F.sum("tokens").alias("held"), F.min_by(of_system, F.struct("turn", "role", "text")).alias("first"))
+        .select("key", "block", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("base"),
+                F.first("first").over(blocks).alias("system")))
     inside = Window.partitionBy("key", "block").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return rows.join(base, ["key", "block"]).withColumn(
         "start", F.col("base") + F.coalesce(F.sum("tokens").over(inside), F.lit(0))).drop("block", "base")
@@ -84,14 +89,13 @@ def chat_windows(conversations: DataFrame, budget: int = BUDGET, history: int =
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     turns = stored(_placed_turns(rows), "turns")
     is_system = (F.col("start") == 0) & (F.col("role") == SYSTEM_ROLE)
-    systems = turns.where(is_system).select("key", F.col("tokens").alias("system"))
     step = F.greatest(F.lit(budget - history) - F.col("system"), F.lit(max(1, budget // 8)))
     begin = F.col("start") - F.col("system")
     cell = F.floor(begin / F.col("step"))
     across = F.floor((begin + F.col("tokens") - 1) / F.col("step")) != cell
-    spans = (turns.where(~is_system).join(systems, "key", "left").withColumn("system", F.coalesce("system", F.lit(0)))
-             .withColumn("step", step).withColumn("window", (cell * 2 + across.cast("int")).cast("long")))
-    new = spans.select("key", "conv_id", "window", "start", "tokens", "role", "text", F.lit(_NEW).alias("kind"))
+    spans = (turns.where(~is_system).withColumn("step", step)
+             .withColumn("window", (cell * 2 + across.cast("int")).cast("long")))
+    new = spans.select("key", "conv_id", "window", "start", "system", "tokens", "role", "text", F.lit(_NEW).alias("kind"))
     # Where each window's span begins, by bins of token positions. A turn is
     # repeated where a span begins at most ``history`` tokens after the turn's start.
     begins = spans.groupBy("key", "window").agg(F.min("start").alias("begins"))
@@ -102,28 +106,29 @@ def chat_windows(conversations: DataFrame, budget: int = BUDGET, history: int =
     fits = reach.where(F.col("tokens") <= history).drop("window")
     repeated = (fits.join(binned, ["key", "bin"])
                 .where((F.col("begins") >= F.col("start") + F.col("tokens")) & (F.col("begins") <= F.col("start") + history))
-                .select("key", "conv_id", "window", "start", "tokens", "role", "text", F.lit(_REPEATED).alias("kind")))
+                .select("key", "conv_id", "window", "start", "system", "tokens", "role", "text", F.lit(_REPEATED).alias("kind")))
     kept = (turns.where(is_system).join(begins, "key", "left")
-            .select("key", "conv_id", F.coalesce("window", F.lit(0)).alias("window"), "start", "tokens", "role", "text",
+            .select("key", "conv_id", F.coalesce("window", F.lit(0)).alias("window"), "start", "system", "tokens", "role", "text",
                     F.lit(_SYSTEM).alias("kind")))
     head = F.concat(F.lit("<|"), escaped(F.col("role")), F.lit("|>"))
     body = escaped(F.col("text"))
     pieces = new.union(repeated).union(kept).select(
         "key", "conv_id", "window", "tokens", "kind", "start", F.concat(head, body, F.lit("</s>")).alias("piece"),
         F.char_length(head).alias("head"), F.char_length(body).alias("body"),
-        ((F.col("kind") == _NEW) & (F.col("role") == TARGET_ROLE)).alias("target"))
+        ((F.col("kind") == _NEW) & (F.col("role") == TARGET_ROLE)).alias("target"),
+        # The conversation's first window is the one whose span begins at its first token.
+        F.when(F.col("kind") == _NEW, F.col("start") > F.col("system")).alias("later"))
     # A window holds at most about budget / TURN_TOKENS turns.
     held = pieces.groupBy("key", "conv_id", "window").agg(
         F.sort_array(F.collect_list(F.struct("start", "piece", "head", "body", "target", "kind"))).alias("turns"),
-        F.sum("tokens").alias("n_tokens"))
-    first = F.min("window").over(Window.partitionBy("key"))
+        F.sum("tokens").alias("n_tokens"), F.coalesce(F.min("later"), F.lit(False)).alias("later"))
     lengths = F.transform("turns", lambda t: F.char_length(t["piece"]))
     offset = lambda i: F.aggregate(F.slice(lengths, F.lit(1), i), F.lit(0), lambda a, x: a + x)
     extents = F.transform("turns", lambda t, i: F.struct((offset(i) + t["head"]).cast("long").alias("start"),
                                                          t["body"].cast("long").alias("length"), t["target"].alias("target")))
     # The system turn is new in the conversation's first window.
-    repeats = F.size(F.filter("turns", lambda t: (t["kind"] == _REPEATED) | ((t["kind"] == _SYSTEM) & (F.col("window") > F.col("first")))))
-    return held.withColumn("first", first).select(
+    repeats = F.size(F.filter("turns", lambda t: (t["kind"] == _REPEATED) | ((t["kind"] == _SYSTEM) & F.col("later"))))
+    return held.select(
         "conv_id", "window", F.array_join(F.transform("turns", lambda t: t["piece"]), "").alias("formatted"),
         F.transform(F.filter(extents, lambda e: e["target"]),
                     lambda e: F.struct(e["start"].alias("start"), e["length"].alias("length"))).alias("targets"),

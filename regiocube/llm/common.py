@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import StructType
+
 from regiocube.session import scratch_root
 
 #: A word, for every operator that counts words: a maximal run of bytes other
@@ -15,6 +20,36 @@ from regiocube.session import scratch_root
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
+#: Bytes of a batch that a Python worker gets at once (Spark's default is 64 MB).
+BATCH_BYTES = 8 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def map_arrow(df: DataFrame, function: Callable, schema: StructType | str) -> DataFrame:
+    """``df.mapInArrow`` with batches of bounded bytes: long texts come few at a time.
+
+    The bound is a setting of the session, read when the plan runs; it is only ever lowered.
+    """
+    spark = df.sparkSession
+    size = spark.conf.get(_BATCH_CONF, "64m").lower().rstrip("b")
+    unit = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(size[-1:], 1)
+    if not 0 < int(size.rstrip("kmg")) * unit <= BATCH_BYTES:
+        spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
+    return df.mapInArrow(function, schema)
+
+
+def text_slices(column: pa.Array, most: int) -> Iterator[tuple[int, list[str]]]:
+    """(position, texts): consecutive texts of about ``most`` bytes, null as empty."""
+    start = held = 0
+    for i, n in enumerate(pc.fill_null(pc.binary_length(column), 0).to_pylist()):
+        if i > start and held + n > most:
+            yield start, [t or "" for t in column.slice(start, i - start).to_pylist()]
+            start, held = i, 0
+        held += n
+    if start < len(column):
+        yield start, [t or "" for t in column.slice(start).to_pylist()]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

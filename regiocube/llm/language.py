@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from regiocube.llm.tokens import slices
+from regiocube.llm.common import map_arrow, text_slices
 
 BUCKETS = 1 << 15
 SAMPLE_ROWS = 5_000
@@ -40,8 +40,8 @@ MOST_EVIDENCE = 8.0
 #: A language uses a script that makes up this share of its training letters.
 SCRIPT_SHARE = 0.01
 UNKNOWN = "und"
-#: Characters handled at once.
-_SLICE = 1 << 21
+#: Bytes of text handled at once; each takes about a hundred bytes of memory meanwhile.
+_SLICE = 1 << 20
 
 # First code point and name of the ranges told apart.
 SCRIPTS = (
@@ -156,11 +156,11 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros((len(names), BUCKETS + len(_NAMES)), np.int64)
         for b in batches:
-            texts, langs = b.column(0).to_pylist(), np.array([names[x] for x in b.column(1).to_pylist()], np.int64)
-            for i, j in slices(texts, _SLICE):
-                words = words_of(texts[i:j])
+            langs = np.array([names[x] for x in b.column(1).to_pylist()], np.int64)
+            for i, texts in text_slices(b.column(0), _SLICE):
+                words = words_of(texts)
                 letters = words.stop - words.start
-                of_word = langs[i:j][words.text]
+                of_word = langs[i:][words.text]
                 np.add.at(table, (np.repeat(of_word, letters), words.features), 1)
                 np.add.at(table, (of_word, words.whole), 1)
                 np.add.at(table, (of_word, BUCKETS + words.script.astype(np.int64)), letters)
@@ -168,7 +168,8 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
         yield pa.RecordBatch.from_arrays([pa.array(lang), pa.array(bucket), pa.array(table[lang, bucket])], names=["lang", "bucket", "n"])
 
     # Copies would make one text count often (and the sample as large as their number).
-    found = (rows.where(draw < share).dropDuplicates(["lang", "text"]).mapInArrow(run, "lang long, bucket long, n long")
+    drawn = rows.where(draw < share).dropDuplicates(["lang", "text"])
+    found = (map_arrow(drawn, run, "lang long, bucket long, n long")
              .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas())
     table = np.zeros((len(names), BUCKETS + len(_NAMES)))
     table[found["lang"], found["bucket"]] = found["n"]
@@ -243,20 +244,26 @@ def identify(docs: DataFrame, model: Model, switch: float = SWITCH, keep: Sequen
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [t or "" for t in b.column(1).to_pylist()]
             names, shares, spans = [], [], []
-            for i, j in slices(texts, _SLICE):
-                for into, some in zip((names, shares, spans), _label(shared.value, texts[i:j], switch)):
+            for _, texts in text_slices(b.column(1), _SLICE):
+                for into, some in zip((names, shares, spans), _label(shared.value, texts, switch)):
                     into += some
             kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("lang", pa.string())]))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(names, pa.string()), pa.array(shares, pa.float64()),
-                                              pa.array(spans, kind)], names=["row", "lang_pred", "score", "spans"])
-
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("row"),
-                       F.col("text").cast("string").alias("text"))
+            carried = [b.column(1)] if with_text else []
+            yield pa.RecordBatch.from_arrays([b.column(0), *carried, pa.array(names, pa.string()), pa.array(shares, pa.float64()),
+                                              pa.array(spans, kind)], names=schema.names)
+
+    # The text goes to the workers once, beside the other columns.
+    keep = list(keep or docs.columns)
+    with_text = "text" in keep
+    other = [F.col(f"`{c}`") for c in keep if c != "text"] or [F.lit(None).cast("int").alias("none")]
+    rows = docs.select(F.struct(*other).alias("row"), F.col("text").cast("string").alias("text"))
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType()), T.StructField("lang", T.StringType())])
-    return rows.mapInArrow(run, T.StructType([rows.schema["row"], T.StructField("lang_pred", T.StringType()),
-                                              T.StructField("score", T.DoubleType()), T.StructField("spans", T.ArrayType(span))]))
+    schema = T.StructType([rows.schema["row"], *([rows.schema["text"]] if with_text else []),
+                           T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
+                           T.StructField("spans", T.ArrayType(span))])
+    whole = F.struct(*[F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in keep]).alias("row")
+    return map_arrow(rows, run, schema).select(whole, "lang_pred", "score", "spans")
 
 
 def held_out(doc_id: Column) -> Column:

@@ -92,20 +92,20 @@ def allocate(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_copies: int
     odds = (u / (1 - u)) / F.sqrt(F.greatest(F.col("size"), F.lit(1)).cast("double"))
     mean = F.sqrt(F.greatest(F.col("source_size") / F.col("source_rows"), F.lit(1.0)))
     drawn = (rows.join(targets, F.col("source").eqNullSafe(F.col("of")))
+             .withColumn("key", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")))
              .withColumn("certain", F.floor(ratio))
              .withColumn("rest", F.col("target") - F.col("certain") * F.col("source_size"))
              .withColumn("odds", odds)
              .withColumn("buckets", F.ceil(F.col("source_rows") / BUCKET_ROWS))
              .withColumn("bucket", F.floor(F.col("odds") * mean / (1 + F.col("odds") * mean) * F.col("buckets"))))
-    narrow = drawn.select("source", "bucket", "size")
-    held = narrow.groupBy("source", "bucket").agg(F.sum("size").alias("held"))
-    earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    base = held.select(F.col("source").alias("of2"), F.col("bucket").alias("bucket2"),
-                       F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("base"))
-    inside = (Window.partitionBy("source", "bucket").orderBy("odds", F.col("doc_id").asc_nulls_last(), "size")
+    held = drawn.groupBy("key", "bucket").agg(F.sum("size").alias("held"))
+    earlier = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    base = held.select("key", "bucket", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("base"))
+    # The join and the window share their keys: the rows move once.
+    inside = (Window.partitionBy("key", "bucket").orderBy("odds", F.col("doc_id").asc_nulls_last(), "size")
               .rowsBetween(Window.unboundedPreceding, -1))
     ahead = F.col("base") + F.coalesce(F.sum("size").over(inside), F.lit(0))
-    return (drawn.join(base, F.col("source").eqNullSafe(F.col("of2")) & (F.col("bucket") == F.col("bucket2")))
+    return (drawn.join(base, ["key", "bucket"])
             .withColumn("ahead", ahead)
             .withColumn("extra", ((F.col("ahead") * 2 + F.col("size") <= F.col("rest") * 2) & (F.col("rest") > 0)).cast("long"))
             .select("row", "doc_id", "source", "size", "source_size", "target",

@@ -25,8 +25,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from regiocube.llm.common import stored
-from regiocube.llm.tokens import Encoder, slices
+from regiocube.llm.common import map_arrow, stored, text_slices
+from regiocube.llm.tokens import SLICE_BYTES, Encoder
 
 MAX_TOKENS = 2048
 END_ID = 1
@@ -43,11 +43,10 @@ def pieces(docs: DataFrame, vocabulary: str, max_tokens: int = MAX_TOKENS, end_i
         end = end_id.to_bytes(4, "little")
         schema = pa.schema([(c.split()[0], pa.int64()) for c in _PIECES.split(", ")])
         for b in batches:
-            texts = [t or "" for t in b.column(1).to_pylist()]
             keys = b.column(0).to_pylist()
-            for i, j in slices(texts):
+            for i, texts in text_slices(b.column(1), SLICE_BYTES):
                 rows: list[tuple] = []
-                for doc, ids in zip(keys[i:j], encoder.ids(texts[i:j])):
+                for doc, ids in zip(keys[i:], encoder.ids(texts)):
                     ids += end
                     total = len(ids) // 4
                     for start in range(0, total, max_tokens):
@@ -58,7 +57,7 @@ def pieces(docs: DataFrame, vocabulary: str, max_tokens: int = MAX_TOKENS, end_i
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], schema=schema)
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return own.mapInArrow(run, _PIECES)
+    return map_arrow(own, run, _PIECES)
 
 
 def shortest_pack_first(histogram: dict[int, int], max_tokens: int = MAX_TOKENS) -> list[tuple[tuple[int, ...], int]]:

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from regiocube.llm.common import fresh, stored
+from regiocube.llm.common import fresh, map_arrow, stored
 from regiocube.llm.components import components
 
 SHINGLE = 4
@@ -73,7 +73,7 @@ def with_fingerprint(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(prints.view(np.int64))], names=[id_col, "simhash"])
 
     own = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias(text_col))
-    return own.mapInArrow(run, f"`{id_col}` long, simhash long")
+    return map_arrow(own, run, f"`{id_col}` long, simhash long")
 
 
 def _unary(x: Column) -> Column:

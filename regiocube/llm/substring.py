@@ -34,8 +34,8 @@ from regiocube.llm.common import WORD_PATTERN, parts
 
 WINDOW = 13
 #: Bytes of text in a batch, and windows in a bucket: the memory of one task.
-BATCH_BYTES = 8 << 20
-BUCKET_WINDOWS = 2_000_000
+BATCH_BYTES = 4 << 20
+BUCKET_WINDOWS = 1_000_000
 #: Points of the doc_id distribution that balance the batches (no effect on results).
 KNOTS = 128
 #: Bytes hashed in one piece; a longer text is hashed piece by piece.
@@ -181,7 +181,7 @@ def _intervals(covered: np.ndarray) -> list[dict[str, int]]:
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
 
-def _cut(window: int, digest: bool):
+def _cut(window: int, digest: bool, with_text: bool):
     """A batch and its repeated hashes -> its documents without the repeated words."""
     def run(docs: pa.Table, sent: pa.Table) -> pa.Table:
         ids, texts, docs = _sorted_docs(docs)
@@ -208,7 +208,8 @@ def _cut(window: int, digest: bool):
             gone.append(n - len(words))
             kept.append(b" ".join(words))
         texts_out = [hashlib.sha256(k).hexdigest() if digest else k.decode("utf-8", "surrogatepass") for k in kept]
-        return pa.table({"row": docs["row"], "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(gone, pa.int64()),
+        carried = {"text": docs["text"]} if with_text else {}
+        return pa.table({"row": docs["row"], **carried, "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(gone, pa.int64()),
                          "kept": pa.array(texts_out, pa.string()), "removed": pa.array(removed, _SPANS)})
     return run
 
@@ -247,7 +248,10 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, keep: Sequence[str]
     - null doc_id: neither smaller nor larger than any; whole text kept;
     - empty table: empty result; clashing column names stay inside ``row``.
     """
-    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"),
+    # The text moves once, beside the other columns.
+    with_text = "text" in keep
+    other = [F.col(f"`{c}`") for c in keep if c != "text"] or [F.lit(None).cast("int").alias("none")]
+    own = docs.select(F.struct(*other).alias("row"),
                       F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     known = own.where("doc_id is not null")
     size = known.agg(F.sum(F.octet_length("text").cast("long")).alias("n")).first()["n"] or 0
@@ -258,11 +262,12 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, keep: Sequence[str]
     sent = batches.applyInArrow(_send(window, buckets), "bucket long, batch long, hashes binary")
     back = sent.groupBy("bucket").applyInArrow(_compare, "batch long, hashes binary")
     spans = "array<struct<start: long, stop: long>>"
-    result = T.StructType([own.schema["row"], *T._parse_datatype_string(
+    result = T.StructType([own.schema["row"], *([own.schema["text"]] if with_text else []), *T._parse_datatype_string(
         f"n_words long, n_removed long, kept string, removed {spans}").fields])
-    done = batches.cogroup(back.groupBy("batch")).applyInArrow(_cut(window, digest), result)
+    done = batches.cogroup(back.groupBy("batch")).applyInArrow(_cut(window, digest, with_text), result)
     words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(f"({WORD_PATTERN})"), F.lit(1))
     kept = F.array_join(words, " ")
     whole = own.where("doc_id is null").select(
-        "row", F.size(words).cast("long"), F.lit(0).cast("long"), F.sha2(kept, 256) if digest else kept, F.array().cast(spans))
-    return done.union(whole)
+        "row", *(["text"] if with_text else []), F.size(words).cast("long"), F.lit(0).cast("long"), F.sha2(kept, 256) if digest else kept, F.array().cast(spans))
+    back = F.struct(*[F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in keep]).alias("row")
+    return done.union(whole).select(back, "n_words", "n_removed", "kept", "removed")

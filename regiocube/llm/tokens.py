@@ -30,10 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from regiocube.llm.common import map_arrow, text_slices
+
 #: Bytes of text that one call of the tokenizer gets (one longer text gets a call of its own).
 CALL_BYTES = 1 << 20
+#: Bytes of text that are split into pre-tokens at once.
+SLICE_BYTES = 2 << 20
 #: Entries of each of the memo's two generations, and the longest key kept.
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 150_000
 MEMO_CHARS = 48
 
 # The pattern of the word vocabulary, and the same over plain characters.
@@ -172,18 +176,6 @@ class Encoder:
         return [len(x) // 4 for x in self.ids(texts)]
 
 
-def slices(texts: Sequence[str], most: int = 4 * CALL_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of consecutive texts of about ``most`` characters: what is held at once."""
-    start = held = 0
-    for i, t in enumerate(texts):
-        if i > start and held + len(t) > most:
-            yield start, i
-            start, held = i, 0
-        held += len(t)
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def token_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, n_bytes, n_tokens) of every row's whole text.
 
@@ -195,14 +187,13 @@ def token_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(vocabulary)
         for b in batches:
-            texts = [t or "" for t in b.column(2).to_pylist()]
             counts: list[int] = []
-            for i, j in slices(texts):
-                counts += encoder.counts(texts[i:j])
+            for _, texts in text_slices(b.column(2), SLICE_BYTES):
+                counts += encoder.counts(texts)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(counts, pa.int64())],
                                              names=[id_col, "n_bytes", "n_tokens"])
 
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     own = docs.select(F.col(id_col).cast("long").alias(id_col), F.octet_length(text).cast("long").alias("n_bytes"),
                       text.alias(text_col))
-    return own.mapInArrow(run, f"`{id_col}` long, n_bytes long, n_tokens long")
+    return map_arrow(own, run, f"`{id_col}` long, n_bytes long, n_tokens long")
