@@ -25,11 +25,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiocube.llm.common import parts, scratch_path, stored
+from regiocube.llm.common import map_arrow, parts, scratch_path, stored
 
 LEAST_BYTES = 100
 #: Records in one archive file at most, and captures in one range of the merge, about.
-FILE_RECORDS = 4096
+FILE_RECORDS = 1024
 RANGE_CAPTURES = 100_000
 #: Pages carry no time of capture: page n counts as fetched n seconds after this (2024-01-01 UTC).
 FIRST_CAPTURE = 1704067200
@@ -60,13 +60,17 @@ def records(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
     payload = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         payload.alias("payload"), F.sha2(payload, 256).alias("digest"), F.octet_length(payload).alias("n"))
-    firsts = (rows.where(F.col("n") >= least_bytes).groupBy("digest")
-              .agg(F.min("page_id").alias("first"), F.count("*").alias("many")).where("many > 1")
-              .select(F.col("digest").alias("of"), "first"))
-    # Rows of a payload that few or very many pages share: the left side of
-    # this join can be split, its right side has one row per payload.
-    rows = rows.join(firsts, F.col("digest") == F.col("of"), "left")
-    revisit = F.col("first").isNotNull() & (F.col("page_id").isNull() | (F.col("page_id") != F.col("first")))
+    # Which pages revisit which is decided on narrow rows and stored, so its
+    # size is known: the payloads meet it by a broadcast if it is small, and
+    # are shuffled by page if it is not. No key of that join is shared by many rows.
+    narrow = rows.select("page_id", "digest", "n").where(F.col("n") >= least_bytes)
+    firsts = (narrow.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("many"))
+              .where("many > 1 and first is not null").select("digest", "first"))
+    again = (narrow.join(firsts, "digest").where(F.col("page_id").isNull() | (F.col("page_id") != F.col("first")))
+             .select(F.col("page_id").alias("of_page"), F.col("digest").alias("of"), "first").distinct())
+    rows = rows.join(stored(again, "revisits"), (F.col("digest") == F.col("of"))
+                     & F.col("page_id").eqNullSafe(F.col("of_page")) & (F.col("n") >= least_bytes), "left")
+    revisit = F.col("first").isNotNull()
     at = F.timestamp_seconds(F.lit(FIRST_CAPTURE) + F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(1_000_000_000)))
     date = F.date_format(F.to_utc_timestamp(at, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     url = F.regexp_replace(F.coalesce("url", F.lit("about:blank")), r"[\x00-\x20\x7f]", "%20")
@@ -159,7 +163,7 @@ def runs(spark: SparkSession, path: str) -> DataFrame:
                         [pa.array(c, f.type) for c, f in zip(zip(*found[k:k + 10_000]), _FIELDS)], schema=_FIELDS)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    return files.select("path", "content").mapInArrow(read, _CAPTURE)
+    return map_arrow(files.select("path", "content"), read, _CAPTURE)
 
 
 class LoserTree:
@@ -233,7 +237,7 @@ def merged_index(captures: DataFrame, range_captures: int = RANGE_CAPTURES) -> D
 
     out = pa.schema([*_FIELDS, pa.field("range", pa.int64()), pa.field("position", pa.int64())])
     dealt = captures.repartitionByRange(n, F.col("url_key"), F.col("captured"), F.col("page_id"))
-    return dealt.mapInArrow(merge, _CAPTURE + ", range long, position long")
+    return map_arrow(dealt, merge, _CAPTURE + ", range long, position long")
 
 
 def archive_and_index(pages: DataFrame, path: str | None = None, least_bytes: int = LEAST_BYTES) -> DataFrame:
