@@ -4,42 +4,48 @@ Vectors are lengthened by one coordinate so that the largest inner product is
 the smallest distance, assigned to the lists of a coarse k-means, and rotated at
 random. A query probes its nearest lists. Within a list the scan goes through
 blocks of columns: after each block a hypothesis test compares the partial
-distance, scaled to all columns, with the distance of the ``k``-th best so far;
-candidates that are significantly farther are abandoned. Survivors get their
-exact inner product, in double precision over the original vectors.
-
-The centres (and how many lists a query probes) are fitted on at most
-``SAMPLE_ROWS`` vectors drawn by a hash of their id; every vector is indexed. A
-list is dealt in blocks of bounded size against blocks of the queries that
+distance, scaled to all columns, with the query's bar; candidates that are
+significantly farther are abandoned. Survivors get their exact inner product,
+in double precision over the original vectors.
+
+The centres, how many lists a query probes, and the bar of each query (the
+distance of its ``k``-th nearest in the sample, so at least ``k`` vectors are as
+near) come from at most ``SAMPLE_ROWS`` vectors drawn by a hash of their id; every
+vector is indexed. The bar stands at ``BAR`` times ``k``, so that the probed lists hold
+``k`` within it although they miss some; a query that still finds fewer than ``k`` is
+searched again in all lists without a bar. A list is dealt in blocks of bounded size against blocks of the queries that
 probe it, so a list with very many vectors, or one that very many queries
 probe, is the work of many tasks.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from regiocube.llm.common import parts, stored
+from regiocube.llm.common import map_arrow, stored
 
 SAMPLE_ROWS = 20_000
 #: Vectors per list, about (lists are at most MOST_LISTS), and per block of a list.
-LIST_ROWS = 512
+LIST_ROWS = 1024
 MOST_LISTS = 4096
 BLOCK_ROWS = 4096
 #: Queries in a block, and columns in a block of the scan.
 BLOCK_QUERIES = 512
-COLUMNS = 16
+COLUMNS = 32
 #: Share of the true neighbours that the probed lists must hold, on the sample.
 TARGET = 0.97
 #: Sharpness of the test: a larger value abandons fewer candidates wrongly.
 EPSILON = 2.1
-#: Points that set the bar: an eighth of a block, and eight for each neighbour asked for.
-SEEDS = 8
+#: The bar is the distance of the (BAR * k)-th nearest sampled vector.
+BAR = 3
+#: Share of pairs still alive below which the scan goes on pair by pair.
+SPARSE = 0.2
 SEED = 5
 
 
@@ -51,6 +57,8 @@ class Index:
     rotation: np.ndarray
     centres: np.ndarray
     probes: int
+    sample_ids: np.ndarray
+    sample: np.ndarray  # lengthened
 
     def lengthened(self, x: np.ndarray) -> np.ndarray:
         rest = np.sqrt(np.maximum(self.longest ** 2 - np.einsum("ij,ij->i", x, x), 0))
@@ -61,6 +69,17 @@ class Index:
         norms = np.linalg.norm(x, axis=1, keepdims=True)
         return np.hstack([x * (self.longest / np.where(norms > 0, norms, 1)), np.zeros((len(x), 1))])
 
+    def bars(self, ids: np.ndarray, y: np.ndarray, k: int) -> np.ndarray:
+        """The k-th smallest squared distance from each query to a sampled vector of another id."""
+        out = np.full(len(y), np.inf)
+        norms = (self.sample ** 2).sum(1)
+        for i in range(0, len(y) if len(norms) > k else 0, 64):
+            part = y[i:i + 64]
+            far = (part ** 2).sum(1)[:, None] + norms - 2 * part @ self.sample.T
+            far[ids[i:i + 64, None] == self.sample_ids] = np.inf
+            out[i:i + 64] = np.partition(far, k - 1, axis=1)[:, k - 1]
+        return out
+
     def nearest_lists(self, y: np.ndarray, n: int) -> np.ndarray:
         far = (self.centres ** 2).sum(1) - 2 * y @ self.centres.T
         return np.argsort(far, axis=1, kind="stable")[:, :n]
@@ -105,14 +124,16 @@ def fit(rows: DataFrame, k: int, sample_rows: int = SAMPLE_ROWS, target: float =
     share = min(1.0, 0.9 * sample_rows / known["n"])
     draw = F.pmod(F.xxhash64("vec_id", F.lit(SEED)), F.lit(1 << 30)) < int(share * (1 << 30))
     # Equal vectors add nothing to a clustering, and would hide how far the others lie.
-    drawn = np.array([r["v"] for r in rows.where(draw).select("v").limit(sample_rows).collect()])
-    if not len(drawn):
-        drawn = np.array([rows.select("v").first()["v"]])
+    some = rows.select("vec_id", "v").where(draw).limit(sample_rows).toArrow()
+    if not some.num_rows:
+        some = rows.select("vec_id", "v").limit(1).toArrow()
+    drawn = _matrix(some["v"])
     rng = np.random.default_rng(SEED)
     d = drawn.shape[1] + 1
     rotation = np.linalg.qr(rng.standard_normal((d, d)))[0]
-    index = Index(float(known["m"]), rotation, np.zeros((1, d)), 1)
-    points = np.unique(index.lengthened(drawn), axis=0)
+    index = Index(float(known["m"]), rotation, np.zeros((1, d)), 1, some["vec_id"].to_numpy(), drawn)
+    index.sample = index.lengthened(drawn)
+    points = np.unique(index.sample, axis=0)
     index.centres = _centres(points, max(1, min(MOST_LISTS, known["n"] // LIST_ROWS, len(points) // 4)), rng)
     index.probes = _probes(index, points, k, share, target)
     return index
@@ -134,50 +155,69 @@ def _probes(index: Index, points: np.ndarray, k: int, share: float, target: floa
     return int(min(lists, np.quantile(needed, target, method="higher") + 1))
 
 
-def _deal(index: Index, probes: int, query: bool):
-    """Batches of (vec_id, v) with the nearest ``probes`` lists of each."""
+def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """A column of equally long vectors without nulls as a matrix."""
+    flat = pc.list_flatten(column).to_numpy()
+    return np.asarray(flat, np.float64).reshape(len(column), -1) if len(column) else np.zeros((0, 0))
+
+
+def _deal(index: Index):
+    """Batches of (vec_id, v) with the list of each."""
     def run(batches):
         for b in batches:
-            x = np.array(b.column(1).to_pylist(), np.float64).reshape(b.num_rows, -1)
-            y = index.as_query(x) if query else index.lengthened(x)
-            lists = index.nearest_lists(y, probes) if b.num_rows else np.zeros((0, probes), np.int64)
-            again = np.repeat(np.arange(b.num_rows), lists.shape[1])
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array(again)), b.column(1).take(pa.array(again)), pa.array(lists.ravel().astype(np.int64))],
-                names=["vec_id", "v", "list"])
+            if b.num_rows:
+                lists = index.nearest_lists(index.lengthened(_matrix(b.column(1))), 1)[:, 0]
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lists.astype(np.int64))], names=["vec_id", "v", "list"])
     return run
 
 
-def scan(queries: np.ndarray, points: np.ndarray, k: int, columns: int = COLUMNS, epsilon: float = EPSILON) -> tuple[np.ndarray, np.ndarray]:
+def _probe(index: Index, probes: int, k: int | None):
+    """Batches of queries (vec_id, v) with the bar (infinite without ``k``) and, in a row each, the lists that they probe."""
+    def run(batches):
+        for b in batches:
+            if b.num_rows:
+                y = index.as_query(_matrix(b.column(1)))
+                lists = index.nearest_lists(y, probes)
+                again = pa.array(np.repeat(np.arange(b.num_rows), lists.shape[1]))
+                bars = pa.array(np.full(len(y), np.inf) if k is None else index.bars(b.column(0).to_numpy(), y, BAR * k))
+                yield pa.RecordBatch.from_arrays([b.column(0).take(again), b.column(1).take(again), bars.take(again),
+                                                  pa.array(lists.ravel().astype(np.int64))], names=["vec_id", "v", "bar", "list"])
+    return run
+
+
+def scan(queries: np.ndarray, points: np.ndarray, bar: np.ndarray, columns: int = COLUMNS,
+         epsilon: float = EPSILON) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (query, point) that survive the adaptive scan of rotated ``points``.
 
-    The bar of a query is the k-th full distance among the points that look
-    nearest after the first block (an eighth of all, at least), so at least k
-    points are at most that far. After
-    each block of d of D columns a pair stays if its partial distance is at most
-    d / D * (1 + epsilon / sqrt(d)) ** 2 times the bar: for a random rotation,
-    a nearer point fails that test with a probability that falls
-    exponentially with epsilon squared. After the last block the test is exact.
+    After each block of d of D columns a pair stays if its partial distance is at
+    most d / D * (1 + epsilon / sqrt(d)) ** 2 times the query's bar: for a random
+    rotation, a point within the bar fails that test with a probability that
+    falls exponentially with epsilon squared. After the last block the test is
+    exact. While many pairs are alive a block is one matrix product; once
+    few are left, the scan goes on with those alone.
     """
-    width = points.shape[1]
+    none = np.zeros(0, np.int64)
     if not len(points) or not len(queries):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    first = slice(0, min(columns, width))
-    a, b = queries[:, first], points[:, first]
-    partial = (a * a).sum(1)[:, None] + (b * b).sum(1) - 2 * a @ b.T
-    top = min(k + 1, len(points))  # one may be the query itself
-    many = min(max(SEEDS * top, len(points) // SEEDS), len(points))
-    seeds = np.argpartition(partial, many - 1, axis=1)[:, :many]
-    full = ((points[seeds] - queries[:, None, :]) ** 2).sum(2)
-    bar = np.partition(full, top - 1, axis=1)[:, top - 1]
-    bar = bar * (1 + 1e-9) + 1e-12  # ties with the bar stay, whatever their rounding
-    q, p = np.nonzero(partial <= (_slack(first.stop, width, epsilon) * bar)[:, None] + 1e-9 * bar[:, None])
-    so_far = partial[q, p]
-    for start in range(first.stop, width, columns):
+        return none, none
+    width = points.shape[1]
+    q = p = None
+    so_far = np.zeros((len(queries), len(points)))
+    for start in range(0, width, columns):
         part = slice(start, min(start + columns, width))
-        so_far = so_far + ((points[p, part] - queries[q, part]) ** 2).sum(1)
-        stays = so_far <= _slack(part.stop, width, epsilon) * bar[q] + 1e-9 * bar[q]
-        q, p, so_far = q[stays], p[stays], so_far[stays]
+        most = _slack(part.stop, width, epsilon) * bar + 1e-9 * np.where(np.isfinite(bar), bar, 0) + 1e-12
+        if q is None:
+            a, b = queries[:, part], points[:, part]
+            so_far += (a * a).sum(1)[:, None] + (b * b).sum(1) - 2 * a @ b.T
+            stays = so_far <= most[:, None]
+            if part.stop == width or stays.mean() < SPARSE:
+                q, p = np.nonzero(stays)
+                so_far = so_far[q, p]
+            else:
+                so_far[~stays] = np.inf
+        else:
+            so_far = so_far + ((points[p, part] - queries[q, part]) ** 2).sum(1)
+            stays = so_far <= most[q]
+            q, p, so_far = q[stays], p[stays], so_far[stays]
     return q, p
 
 
@@ -191,13 +231,12 @@ def _search(index: Index, k: int):
         empty = pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         if not found.num_rows or not asked.num_rows:
             return empty
-        x = np.array(found["v"].to_pylist(), np.float64)
-        y = np.array(asked["v"].to_pylist(), np.float64)
-        ids, who = found["vec_id"].to_numpy(), asked["vec_id"].to_numpy()
-        rotated = index.lengthened(x) @ index.rotation
+        x, y = _matrix(found["v"]), _matrix(asked["v"])
+        ids, who, bar = found["vec_id"].to_numpy(), asked["vec_id"].to_numpy(), asked["bar"].to_numpy()
+        rotated, rotated_queries = index.lengthened(x) @ index.rotation, index.as_query(y) @ index.rotation
         out = []
         for s in range(0, len(y), 16):
-            q, p = scan(index.as_query(y[s:s + 16]) @ index.rotation, rotated, k)
+            q, p = scan(rotated_queries[s:s + 16], rotated, bar[s:s + 16])
             q = q + s
             other = ids[p] != who[q]
             q, p = q[other], p[other]
@@ -218,7 +257,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_i
     ``queries`` are rows like those of ``vectors``; a query is never its own neighbour (by id).
 
     - vectors that take no part, as candidates or queries: see ``usable``;
-    - fewer candidates than k: all that the probed lists hold (all lists if one fits all);
+    - fewer candidates than k: all of them;
     - equal scores: smaller id first; equal vectors have equal scores;
     - rows that repeat an id: candidates each, hence possibly found twice;
     - empty table: empty result; other columns are not looked at.
@@ -229,13 +268,24 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_i
     index = fit(rows, k, sample_rows, target)
     if index is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    total = rows.count()
-    # A query with fewer than k candidates in its lists would return too few.
-    probes = index.probes if total > 8 * k * len(index.centres) // max(1, index.probes) else len(index.centres)
     kind = "vec_id long, v array<double>, list long"
-    listed = stored(rows.select("vec_id", "v").mapInArrow(_deal(index, 1, False), kind), "lists")
-    probing = stored(asked.select("vec_id", "v").where(F.size("v") == index.rotation.shape[0] - 1)
-                     .mapInArrow(_deal(index, probes, True), kind), "probes")
+    probed = kind.replace("list", "bar double, list")
+    listed = stored(map_arrow(rows.select("vec_id", "v"), _deal(index), kind), "lists")
+    fitting = asked.select("vec_id", "v").where(F.size("v") == index.rotation.shape[0] - 1)
+    probing = stored(map_arrow(fitting, _probe(index, index.probes, k), probed), "probes")
+    found = stored(_best(index, listed, probing, k), "found")
+    enough = found.groupBy("query_id").agg(F.count("*").alias("n")).where(F.col("n") >= min(k, rows.count() - 1))
+    short = stored(fitting.join(enough, F.col("vec_id") == F.col("query_id"), "left_anti"), "short")
+    if short.isEmpty():
+        return found
+    again = stored(map_arrow(short, _probe(index, len(index.centres), None), probed), "probes-again")
+    whole = found.join(short.select(F.col("vec_id").alias("query_id")).distinct(), "query_id", "left_anti")
+    return whole.select(found.columns).union(_best(index, listed, again, k))
+
+
+def _best(index: Index, listed: DataFrame, probing: DataFrame, k: int) -> DataFrame:
+    """(query_id, rank, vec_id, score): each query's k best in the lists that it probes, within its bar."""
+    index = replace(index, sample=np.zeros((0, 0)), sample_ids=np.zeros(0))  # the scan needs the bars alone
     sizes = (listed.groupBy("list").agg(F.count("*").alias("n"))
              .join(probing.groupBy("list").agg(F.count("*").alias("m")), "list")
              .select("list", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"),
@@ -247,7 +297,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_i
     left = listed.join(sizes, "list").withColumn("block", one("blocks")).withColumn("query_block", every("query_blocks"))
     right = probing.join(sizes, "list").withColumn("query_block", one("query_blocks")).withColumn("block", every("blocks"))
     keys = ["list", "block", "query_block"]
-    found = (left.select("vec_id", "v", *keys).groupBy(*keys).cogroup(right.select("vec_id", "v", *keys).groupBy(*keys))
+    found = (left.select("vec_id", "v", *keys).groupBy(*keys).cogroup(right.select("vec_id", "v", "bar", *keys).groupBy(*keys))
              .applyInArrow(_search(index, k), "query_id long, vec_id long, score double"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
