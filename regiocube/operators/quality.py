@@ -191,6 +191,35 @@ def check_stable(df: DataFrame, delta_col: str, limit: float, max_share: float)
                     .otherwise(F.lit(0)).cast("long").alias("n_bad"))
 
 
+def check_tables(spark: SparkSession, present: Sequence[str], required: Sequence[str], subject: str) -> DataFrame:
+    """DQ-5: the required tables have been written."""
+    missing = [t for t in required if t not in present]
+    return spark.createDataFrame([("required_tables", subject, len(required), len(missing))],
+                                 "check_name string, subject string, n_checked long, n_bad long")
+
+
+def table_gates(df: DataFrame, required: Sequence[str], not_null: Sequence[str], min_rows: int,
+                subject: str) -> DataFrame:
+    """DQ-1 + DQ-2 + DQ-3 in one aggregation over the table. A required
+    column that is missing counts as bad; a column of ``not_null`` that is
+    missing is NULL in every row."""
+    present = [c for c in not_null if c in df.columns]
+    agg = df.agg(F.count(F.lit(1)).alias("__n"),
+                 *[F.count_if(F.col(c).isNull()).alias(f"__null_{i}") for i, c in enumerate(present)])
+    missing = len([c for c in required if c not in df.columns])
+
+    def row(check: str, about: str, checked: Column, bad: Column) -> Column:
+        return F.struct(F.lit(check).alias("check_name"), F.lit(about).alias("subject"),
+                        checked.cast("long").alias("n_checked"), bad.cast("long").alias("n_bad"))
+
+    rows = [row("required_columns", subject, F.lit(len(required)), F.lit(missing)),
+            row("min_rows", str(min_rows), F.col("__n"), (F.col("__n") < min_rows).cast("int"))]
+    for c in not_null:
+        bad = F.col(f"__null_{present.index(c)}") if c in present else F.col("__n")
+        rows.append(row("not_null", c, F.col("__n"), bad))
+    return agg.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
 class GateFailure(RuntimeError):
     pass
 

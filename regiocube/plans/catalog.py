@@ -142,7 +142,7 @@ _LABEL_MAPS = {
     "pop-nuts3": {"sex": (SEX_LABELS, "code"), "age": ({}, "code")},
     "employment-sex-age-nuts2": {"sex": (SEX_LABELS, "code"), "age": ({}, "code")},
     "demo-r-fagec3-nuts3": {"age": ({}, "code")},
-    "early-school-leavers-nuts2": {"sex": (SEX_LABELS, None)},
+    "early-school-leavers-nuts2": {"sex": (SEX_LABELS, None), "age": ({"Y18-24": "From 18 to 24 years"}, None)},
     "tertiary-education-nuts2": {"isced11": ({"ED5-8": "Tertiary education (levels 5-8)"}, None),
                                  "age": ({"Y25-64": "From 25 to 64 years"}, None),
                                  "sex": (SEX_LABELS, None)},
@@ -178,7 +178,43 @@ def _synthesis(variant: str, metric: str, extra: Mapping, slice_: Mapping) -> Ma
                         rank_by="posti_letto_per_100k", rank_col="rank_eu", with_label=True, emit_is_eu=True)
     else:
         raise ValueError(variant)
-    return MartSpec("mart_sintesi", build, key, 30, ("year", "country"))
+    rank = {"ltc": "rank_eu", "covered": "rank_eu"}.get(variant, "rank_procapite_eu")
+    order = ("-year", *dims, rank) + (("country",) if variant == "covered" else ())
+    required = (metric, rank, *dims, *_SYNTHESIS_MORE.get(variant, ()))
+    return MartSpec("mart_sintesi", build, key, 100 if "iccs" in dims else 30, order, required)
+
+
+# --- FIXED VALUES: published order, gates and required columns -------------
+#: Benchmark marts that are not ordered by (year DESC, nuts_level, country, geo, dims).
+_BENCHMARK_ORDER = {
+    "crime-nuts3": ("-year", "iccs", "nuts_level", "country", "geo", "unit"),
+    "emp-nuts3": ("-year", "nuts_level", "country", "geo", "unit", "nace_r2"),
+    "heating-degree-days-monthly-nuts3": ("-year", "month", "nuts_level", "country", "geo", "unit", "indic_nrg"),
+    "ltc-beds": ("-year", "country", "unit"),
+    "road-freight-nuts3": ("-year", "nuts_level", "country", "geo", "nst07"),
+}
+#: Trend marts that are not ordered by (country, nuts_level, geo).
+_TREND_ORDER = {
+    "crime-nuts3": ("country", "iccs", "nuts_level", "geo"),
+    "heating-degree-days-monthly-nuts3": ("country", "month", "nuts_level", "geo"),
+    "ltc-beds": ("country", "geo"),
+}
+_TREND_MIN_ROWS = {"crime-nuts3": 1000, "gdp-nuts3": 1000, "ltc-beds": 30}
+_SYNTHESIS_MORE = {"reconciled": ("gdp_totale_mio",), "covered": ("copertura_pct",)}
+_TREND_REQUIRED = ("geo", "geo_label_en", "first_year", "last_year", "cagr_pct")
+#: Dims whose label the clean table need not carry.
+_UNLABELLED = {
+    "emp-nuts3": ("wstatus",),
+    "migr-eirtn": ("freq", "unit"),
+    "migr-pop1ctz": ("freq", "unit"),
+    "migr-resfirst": ("freq", "unit"),
+    "migr-resvalid": ("freq", "unit"),
+    "tran-hv-frmod": ("freq", "unit"),
+    "tran-hv-psmod": ("freq", "unit"),
+    "tran-r-net": ("freq", "unit"),
+    "tran-r-vehst": ("freq", "unit"),
+    "jvs-nace2": ("freq",),
+}
 
 
 def _standard(row) -> DatasetSpec:
@@ -194,16 +230,25 @@ def _standard(row) -> DatasetSpec:
                     round_cagr=rcagr, guard_last_nonneg=(slug == "road-freight-nuts3"))
     raw_dims = _csv(dims)
     month = "month" in bdims
+    # Dims outside the partition (carried for the grain) order last.
+    order = _BENCHMARK_ORDER.get(slug, ("-year", "nuts_level", "country", "geo", *_csv(bdims), *carry))
+    required = ("year", "geo", "geo_label_en", "country", *(("unit",) if "unit" in raw_dims else ()), "value",
+                *(d for d in ("iccs", "nst07") if d in raw_dims))
     return DatasetSpec(
         slug=slug, dataflow=flow,
-        dims=tuple(raw_dims + (["month"] if month else [])),
+        dims=tuple(raw_dims),
         codelist_dims=tuple(_csv(cl_dims)),
         label_maps=_LABEL_MAPS.get(slug, {}),
         period="month" if month else "year",
+        not_null=("geo", "year", "month") if month else ("geo", "year"),
+        unlabelled=_UNLABELLED.get(slug, ()),
         marts=(
-            MartSpec("mart_geo_benchmark", bench, tuple(_csv(bkey)), bmin, ("year", "nuts_level", "geo")),
+            MartSpec("mart_geo_benchmark", bench, tuple(_csv(bkey)), bmin, order, required),
             _synthesis(*synth, slice_=slice_),
-            MartSpec("mart_trend", trend, tuple(tkey_list), 100, ("country", "nuts_level", "geo")),
+            MartSpec("mart_trend", trend, tuple(tkey_list), _TREND_MIN_ROWS.get(slug, 100),
+                     _TREND_ORDER.get(slug, ("country", "nuts_level", "geo")),
+                     _TREND_REQUIRED + tuple(k for k in tkey_list if k != "geo"),
+                     slice_=slice_, slice_key=(*tkey_list, "year")),
         ),
     )
 
@@ -219,23 +264,30 @@ _REASONS = ["FAM", "EDUC", "EMP", "OTH"]
 
 def _spec(slug, flow, dims, cl_dims, marts, **kw) -> DatasetSpec:
     return DatasetSpec(slug=slug, dataflow=flow, dims=tuple(_csv(dims)), codelist_dims=tuple(_csv(cl_dims)),
-                       marts=tuple(marts), **kw)
+                       unlabelled=_UNLABELLED.get(slug, ()), marts=tuple(marts), **kw)
+
+
+_RATE_COLUMNS = ("tasso_riconoscimento_it_pct", "tasso_riconoscimento_ue27_pct")
+_GAP_COLUMNS = ("quota_it_pct", "quota_ue27_pct", "delta_pp")
 
 
 def _position(slice_, measure, strategy, rate=None):
     return MartSpec("mart_benchmark_it", partial(po.position_share, slice_=slice_, focus="IT",
                                                  eu_total=strategy, measure=measure, rate=rate),
-                    ("year",), 15, ("year",))
+                    ("year",), 15, ("year",), (f"{measure}_it", "posizione_it", "n_paesi", f"{measure}_ue27",
+                                               "quota_it_su_ue27_pct", *_RATE_COLUMNS * (rate is not None)))
 
 
 def _citizens(name, slice_, measure, min_rows):
     return MartSpec(name, partial(sh.citizenship_slice, slice_=slice_, measure=measure),
-                    ("year", "geo", "citizen"), min_rows, ("year", "geo"))
+                    ("year", "geo", "citizen"), min_rows, ("year", "geo", f"-{measure}"),
+                    ("country", "citizen", measure) if "mart_popolazione" not in name else ("citizen", measure))
 
 
 def _flagged(name, slice_, cat, totals, measure, flag_col, min_rows):
     return MartSpec(name, partial(sh.flagged_slice, slice_=slice_, cat=cat, totals=totals, measure=measure,
-                                  flag_col=flag_col), ("year", "geo", cat), min_rows, ("year", "geo", cat))
+                                  flag_col=flag_col), ("year", "geo", cat), min_rows, ("year", "geo", cat),
+                    ("country", flag_col, measure))
 
 
 def _jvs_extract(where, cols, rename=None):
@@ -247,10 +299,12 @@ CATALOG.update({
         "gfcf-nuts2", "NAMA_10R_2GFCF", "freq,sector,currency,nace_r2,geo", "nace_r2", [
             MartSpec("mart_geo_benchmark", partial(
                 bm.geo_benchmark_joined, fixed={"sector": "S1", "currency": "MIO_EUR", "nace_r2": "TOTAL"},
-                carry_dims=["nace_r2", "currency"]), ("year", "geo"), 1000, ("year", "geo")),
+                carry_dims=["nace_r2", "currency"]), ("year", "geo"), 1000, ("year", "geo"),
+                ("geo_label_en", "country", "value", "media_eu_value")),
             MartSpec("mart_sintesi", partial(
                 sy.country_ranking, fixed={"sector": "S1", "currency": "MIO_EUR", "nace_r2": "TOTAL"},
-                metric="gfcf_totale_mio"), ("year", "country"), 30, ("year", "country")),
+                metric="gfcf_totale_mio"), ("year", "country"), 30, ("year", "country"),
+                ("gfcf_totale_mio", "rank_totale_eu")),
         ]),
     "internet-access-nace-nuts2": _spec(
         "internet-access-nace-nuts2", "ISOC_R_CI_IN_EN2", "freq,size_emp,indic_is,unit,nace_r2,geo",
@@ -258,11 +312,12 @@ CATALOG.update({
             MartSpec("mart_geo_benchmark", partial(
                 bm.geo_benchmark_published,
                 fixed={"nace_r2": "C10-S951_X_K", "size_emp": "GE10", "unit": "PC_ENT"}, dims=["indic_is"]),
-                ("year", "geo", "indic_is"), 500, ("year", "geo", "indic_is")),
+                ("year", "geo", "indic_is"), 500, ("year", "geo", "indic_is"),
+                ("geo_label_en", "country", "value", "valore_eu27", "media_eu_value")),
             MartSpec("mart_sintesi", partial(
                 sy.country_vs_published, fixed={"nace_r2": "C10-S951_X_K", "size_emp": "GE10", "unit": "PC_ENT"},
                 dims=["indic_is"], metric="quota_imprese_pct"), ("year", "country", "indic_is"), 100,
-                ("year", "indic_is", "country")),
+                ("year", "indic_is", "country"), ("is_eu", "quota_imprese_pct", "valore_eu27", "rank_eu")),
         ]),
     "jvs-nace2": _spec(
         "jvs-nace2", "JVS_Q_NACE2", "freq,s_adj,nace_r2,sizeclas,indic_em,geo", "", [
@@ -271,20 +326,20 @@ CATALOG.update({
                 ["year", "quarter", "geo", "geo_label_en", "nuts_level", "country", "nace_r2", "indic_em",
                  "sizeclas", "s_adj", "value"]),
                 ("year", "quarter", "geo", "nace_r2", "s_adj", "sizeclas", "indic_em"), 500,
-                ("geo", "year", "quarter", "nace_r2", "indic_em")),
+                ("geo", "year", "quarter", "nace_r2", "indic_em"), ("value",)),
             MartSpec("mart_italia", _jvs_extract(
                 lambda: (F.col("geo") == "IT") & F.col("nace_r2").isin("B-N", "_T") & (F.col("s_adj") == "NSA")
                 & (F.col("indic_em") == "JVR") & (F.col("sizeclas") == "TOTAL"),
                 ["year", "quarter", "value"], {"value": "vacancy_rate_pct"}), ("year", "quarter"), 30,
-                ("year", "quarter")),
+                ("year", "quarter"), ("vacancy_rate_pct",)),
             MartSpec("mart_confronto", _jvs_extract(
                 lambda: F.col("geo").isin("IT", "EU27_2020", "DE", "FR", "ES", "NL", "BE", "AT", "PL", "SE",
                                           "DK", "FI")
                 & F.col("nace_r2").isin("B-N", "_T") & (F.col("s_adj") == "NSA")
                 & (F.col("indic_em") == "JVR") & (F.col("sizeclas") == "TOTAL"),
                 ["year", "quarter", "geo", "geo_label_en", "value"], {"value": "vacancy_rate_pct"}),
-                ("year", "quarter", "geo"), 100, ("geo", "year", "quarter")),
-        ], period="quarter", with_parent=False, drop_incomplete=True, min_rows=1000),
+                ("year", "quarter", "geo"), 100, ("geo", "year", "quarter"), ("vacancy_rate_pct",)),
+        ], period="quarter", with_parent=False, drop_incomplete=True, min_rows=1000, flag_described=False),
     "migr-acq": _spec(
         "migr-acq", "MIGR_ACQ", "freq,citizen,agedef,age,unit,sex,geo", "citizen,agedef,age,sex", [
             _position({**_MIGR_NR, "citizen": "TOTAL"}, "valore", "published"),
@@ -311,7 +366,8 @@ CATALOG.update({
                 clean, _ASY,
                 ["year", "geo", "geo_label_en", "nuts_level", "country", "citizen", "citizen_label_en"],
                 "decision", "TOTAL", "POS", "NEG", row_filter=is_country_citizen("citizen")),
-                ("year", "geo", "citizen"), 1000, ("year", "geo")),
+                ("year", "geo", "citizen"), 1000, ("year", "geo", "-decisioni"),
+                ("country", "decisioni", "accolte", "dinieghi", "tasso_riconoscimento_pct")),
         ], source_filter={"age": "TOTAL", "sex": "T"}, not_null=("geo", "year", "citizen", "decision"),
         min_rows=5000),
     "migr-eirtn": _spec(
@@ -339,20 +395,21 @@ CATALOG.update({
                       1000),
             MartSpec("mart_popolazione_straniera", partial(
                 sh.complement_share, slice_={"unit": "NR", "sex": "T", "age": "TOTAL"}, cat="citizen",
-                total="TOTAL", part="NAT"), ("year", "geo"), 200, ("year", "geo")),
+                total="TOTAL", part="NAT"), ("year", "geo"), 200, ("year", "geo"),
+                ("country", "popolazione_totale", "nazionali", "stranieri", "quota_stranieri_pct")),
         ], source_filter={"age": "TOTAL", "sex": "T"}, not_null=("geo", "year", "citizen"), min_rows=100000),
     "migr-resfirst": _spec(
         "migr-resfirst", "MIGR_RESFIRST", "freq,reason,citizen,duration,unit,geo", "reason,duration,citizen", [
             MartSpec("mart_benchmark_it", partial(po.composition_gap, slice_=_RES, cat="reason",
                                                   categories=_REASONS, total="TOTAL", focus="IT"),
-                     ("year", "reason"), 40, ("year", "reason")),
+                     ("year", "reason"), 40, ("year", "reason"), _GAP_COLUMNS),
             _flagged("mart_permessi_primi", _RES, "reason", ["TOTAL"], "permessi", "is_total", 200),
         ], not_null=("geo", "year", "citizen", "reason"), min_rows=5000),
     "migr-resvalid": _spec(
         "migr-resvalid", "MIGR_RESVALID", "freq,duration,reason,unit,citizen,geo", "duration,reason,citizen", [
             MartSpec("mart_benchmark_it", partial(po.composition_gap, slice_=_RES, cat="reason",
                                                   categories=_REASONS, total="TOTAL", focus="IT"),
-                     ("year", "reason"), 40, ("year", "reason")),
+                     ("year", "reason"), 40, ("year", "reason"), _GAP_COLUMNS),
             _flagged("mart_permessi_validi", _RES, "reason", ["TOTAL"], "permessi_validi", "is_total", 200),
         ], not_null=("geo", "year", "citizen", "reason"), min_rows=5000),
     "nama10-gdp": _spec(
@@ -364,7 +421,7 @@ CATALOG.update({
                        "P6": "export", "P7": "import", "P6X7": "saldo_commerciale", "YA0": "errore_omissione"},
                 derived={"domanda_interna": [(1, "B1GQ"), (-1, "P6"), (1, "P7")]},
                 units=["CP_MEUR", "CLV_PCH_PRE", "PC_GDP"], level=None),
-                ("year", "country", "unit"), 1000, ("year", "country", "unit")),
+                ("year", "country", "unit"), 1000, ("year", "country", "unit"), ("pil", "export", "import")),
         ], min_rows=1000),
     "namq10-gdp": _spec(
         "namq10-gdp", "NAMQ_10_GDP", "freq,unit,s_adj,na_item,geo", "na_item", [
@@ -373,39 +430,43 @@ CATALOG.update({
                 & F.col("na_item").isin("B1GQ", "P3", "P5g", "P6", "P7") & (F.col("unit") == "CLV_PCH_PRE"),
                 ["year", "quarter", "country", "geo", "geo_label_en", "nuts_level", "na_item", "na_item_label_en",
                  "unit", "value"]),
-                ("year", "quarter", "country", "geo", "na_item"), 5000, ("country", "geo", "year", "quarter")),
+                ("year", "quarter", "country", "geo", "na_item"), 5000, ("country", "geo", "year", "quarter", "na_item"),
+                ("value",)),
         ], period="quarter", min_rows=10000),
     "tran-hv-frmod": _spec(
         "tran-hv-frmod", "TRAN_HV_FRMOD", "freq,unit,tra_mode,geo", "tra_mode", [
             MartSpec("mart_benchmark_it", partial(po.mode_gap, slice_={"unit": "PC"}, mode_col="tra_mode",
                                                   modes={"strada": "ROAD", "ferrovia": "RAIL"}, focus="IT"),
-                     ("year", "modo"), 40, ("year", "modo")),
+                     ("year", "modo"), 40, ("year", "modo"), _GAP_COLUMNS),
             MartSpec("mart_modal_split_merci", partial(
                 sh.share_pivot, slice_={"unit": "PC"}, mode_col="tra_mode",
                 modes={"ROAD": "quota_strada_pct", "RAIL": "quota_ferrovia_pct", "IWW": "quota_vie_navigabili_pct"},
-                with_sum=False, level=None), ("year", "country"), 200, ("year", "country")),
+                with_sum=False, level=None), ("year", "country"), 200, ("year", "country"),
+                ("quota_strada_pct", "quota_ferrovia_pct")),
         ], min_rows=300),
     "tran-hv-psmod": _spec(
         "tran-hv-psmod", "TRAN_HV_PSMOD", "freq,unit,vehicle,geo", "vehicle", [
             MartSpec("mart_benchmark_it", partial(
                 po.mode_gap, slice_={"unit": "PC"}, mode_col="vehicle",
                 modes={"auto": "CAR", "bus": "BUS_TOT", "treno": "TRN"}, focus="IT"),
-                ("year", "modo"), 60, ("year", "modo")),
+                ("year", "modo"), 60, ("year", "modo"), _GAP_COLUMNS),
             MartSpec("mart_modal_split", partial(
                 sh.share_pivot, slice_={"unit": "PC"}, mode_col="vehicle",
                 modes={"CAR": "quota_auto_pct", "BUS_TOT": "quota_bus_pct", "TRN": "quota_treno_pct"},
-                level=None), ("year", "country"), 300, ("year", "country")),
+                level=None), ("year", "country"), 300, ("year", "country"),
+                ("quota_auto_pct", "quota_bus_pct", "quota_treno_pct")),
         ], min_rows=500),
     "tran-r-net": _spec(
         "tran-r-net", "TRAN_R_NET", "freq,tra_infr,unit,geo", "tra_infr", [
             MartSpec("mart_rete", lambda clean: sh.extract(
                 clean, (F.col("unit") == "KM") & F.col("value").isNotNull(),
                 ["year", "geo", "geo_label_en", "nuts_level", "country", "tra_infr", "tra_infr_label_en", "value"],
-                {"value": "km"}), ("year", "geo", "tra_infr"), 1000, ("year", "geo", "tra_infr")),
+                {"value": "km"}), ("year", "geo", "tra_infr"), 1000, ("year", "geo", "tra_infr"),
+                ("country", "nuts_level", "km")),
             MartSpec("mart_rete_it_regioni", lambda clean: sh.unit_join(
                 clean, "KM", "KM_TKM2", ["year", "geo", "tra_infr"],
                 F.col("geo").startswith("IT") & F.col("nuts_level").isin("NUTS1", "NUTS2")),
-                ("year", "geo", "tra_infr"), 50, ("year", "geo", "tra_infr")),
+                ("year", "geo", "tra_infr"), 50, ("year", "geo", "tra_infr"), ("km",)),
         ], min_rows=2000),
     "tran-r-vehst": _spec(
         "tran-r-vehst", "TRAN_R_VEHST", "freq,vehicle,unit,geo", "vehicle", [
@@ -414,11 +475,11 @@ CATALOG.update({
                 & F.col("value").isNotNull(),
                 ["year", "geo", "geo_label_en", "nuts_level", "country", "vehicle", "vehicle_label_en",
                  F.rint("value").cast("long").alias("veicoli")]),
-                ("year", "geo", "vehicle"), 1000, ("year", "geo", "vehicle")),
+                ("year", "geo", "vehicle"), 1000, ("year", "geo", "vehicle"), ("country", "nuts_level", "veicoli")),
             MartSpec("mart_auto_per_1000", lambda clean: sh.extract(
                 clean, (F.col("unit") == "P_THAB") & (F.col("vehicle") == "CAR") & F.col("value").isNotNull(),
                 ["year", "geo", "geo_label_en", "nuts_level", "country", "value"], {"value": "auto_per_1000"}),
-                ("year", "geo"), 300, ("year", "geo")),
+                ("year", "geo"), 300, ("year", "geo"), ("country", "nuts_level", "auto_per_1000")),
         ], min_rows=2000),
 })
 

@@ -19,13 +19,13 @@ from regiocube.operators.enrich import (
     drop_incomplete,
     with_period_split,
 )
+from regiocube.functions.codes import slice_predicate
 from regiocube.plans.spec import DatasetSpec
+from regiocube.sources.files import data_files, first_line
+from regiocube.sources.readers import latest_path, list_vintages, read_obs
 from regiocube.sources.sdmx import filter_slice, read_sdmx_tsv
 from regiocube.sources.sinks import write_clean, write_mart
 
-CLEAN_REQUIRED = ("geo", "year", "geo_label_en", "nuts_level", "country", "value", "flag")
-
-
 def prepare_raw(spec: DatasetSpec, raw: DataFrame) -> DataFrame:
     """Source filter, casts, period split and optional row rejection."""
     obs = filter_slice(raw, spec.source_filter) if spec.source_filter else raw
@@ -51,6 +51,24 @@ def build_clean(spec: DatasetSpec, raw: DataFrame, geo: DataFrame,
     )
 
 
+def land(spark: SparkSession, spec: DatasetSpec, raw: DataFrame | str) -> DataFrame:
+    """The raw observations of a dataset: a long DataFrame as it is; a path by
+    what it holds. A wide SDMX TSV (or folder of them) is melted; landed
+    parquet or ``.csv`` is read with the declared types, bound by name (SRC-9);
+    of a folder of vintages only the newest counts (SRC-6)."""
+    if isinstance(raw, DataFrame):
+        return raw
+    if list_vintages(spark, raw) and not data_files(spark, raw):
+        raw = latest_path(spark, raw)
+    files = data_files(spark, raw)
+    kinds = {f.rsplit(".", 1)[-1] for f in files}
+    if kinds == {"parquet"}:
+        return read_obs(spark, raw, spec.raw_schema)
+    if files and kinds == {"csv"} and "\t" not in (first_line(spark, files[0]) or ""):
+        return read_obs(spark, raw, spec.raw_schema, fmt="csv")
+    return read_sdmx_tsv(spark, raw, spec.source_filter or None)
+
+
 def run_dataset(
     spark: SparkSession,
     spec: DatasetSpec,
@@ -63,42 +81,59 @@ def run_dataset(
 ) -> list[dict]:
     """Clean + every mart of ``spec``; returns the gate report rows.
 
-    ``raw`` is a long observation DataFrame or the path of a wide SDMX TSV.
+    ``raw`` is a long observation DataFrame or the path of landed data (see
+    ``land``). The clean table's columns and keys are checked before any mart
+    is built (also the key of each mart's slice: duplicate observations would
+    make endpoint lookups ambiguous), whatever ``fail_on_error`` says; the other
+    gates are reported, and raise at the end with it.
     """
-    if isinstance(raw, str):
-        raw = read_sdmx_tsv(spark, raw, spec.source_filter or None)
-    clean = build_clean(spec, raw, geo, codelists)
-    clean_path = f"{out_root.rstrip('/')}/{spec.slug}/{vintage}/clean.parquet"
-    write_clean(clean, clean_path)
-    clean = spark.read.parquet(clean_path)
+    base = f"{out_root.rstrip('/')}/{spec.slug}/{vintage}"
+    write_clean(build_clean(spec, land(spark, spec, raw), geo, codelists), f"{base}/clean.parquet")
+    clean = spark.read.parquet(f"{base}/clean.parquet")
     key = [d for d in spec.dims if d != "geo"] + ["geo", "year", *spec.extra_time]
-    reports = [
-        dq.check_columns(spark, clean, CLEAN_REQUIRED, f"{spec.slug}/clean"),
-        dq.check_not_null(clean, list(spec.not_null)),
-        dq.check_min_rows(clean, spec.min_rows),
-        dq.check_key(clean, key),
-    ]
-    # Duplicate observations make endpoint lookups ambiguous (the published
-    # engine raises); stop before any mart is built.
-    dq.run_gates([reports[-1]], fail_on_error)
+    gates = dq.run_gates([dq.table_gates(clean, spec.required_columns, spec.not_null, spec.min_rows,
+                                         f"{spec.slug}/clean")], False)
+    rows = [r for r in gates if r["check_name"] == "required_columns"]
+    if not any(r["n_bad"] for r in rows):
+        rows += dq.run_gates([dq.check_key(clean, key), *(
+            dq.check_key(clean.filter(slice_predicate(m.slice_) & F.col("value").isNotNull()), m.slice_key)
+            for m in spec.marts if m.slice_key and set(m.slice_key) != set(key))], False)
+    stop = [r for r in rows if r["n_bad"]]
+    rows += [r for r in gates if r["check_name"] != "required_columns"]
+    if stop:
+        raise dq.GateFailure(f"{spec.slug}: {len(stop)} gate(s) failed before the marts: {stop}")
+    reports, written = [], []
     for mart in spec.marts:
         path = write_mart(mart.build(clean), out_root, spec.slug, vintage, mart.name,
                           list(mart.order_by) or None)
+        written.append(mart.name)
         m = spark.read.parquet(path)
-        reports += [dq.check_key(m, list(mart.key)), dq.check_min_rows(m, mart.min_rows)]
-    rows = dq.run_gates(reports, fail_on_error)
+        reports += [dq.check_key(m, list(mart.key)),
+                    dq.table_gates(m, (*mart.key, *mart.required), (), mart.min_rows, f"{spec.slug}/{mart.name}")]
+    reports.append(dq.check_tables(spark, written, spec.required_tables, spec.slug))
+    rows += dq.run_gates(reports, False)
+    bad = [r for r in rows if r["n_bad"]]
+    if bad and fail_on_error:
+        raise dq.GateFailure(f"{spec.slug}: {len(bad)} gate(s) failed: {bad}")
     return [dict(r, dataset=spec.slug) for r in rows]
 
 
 def run_all(spark: SparkSession, specs: Mapping[str, DatasetSpec], raws: Mapping[str, DataFrame | str],
             geo: DataFrame, codelists: Mapping[str, DataFrame], out_root: str, vintage: str | int,
-            fail_on_error: bool = False) -> list[dict]:
-    """Every dataset in turn within one session (each run is itself a set of
-    distributed jobs); returns all gate rows."""
+            fail_on_error: bool = True) -> list[dict]:
+    """QRY-6: every dataset in turn within one session (each run is itself a
+    set of distributed jobs); returns all gate rows. A dataset that fails
+    gets a row ``dataset_run`` with the error and the batch goes on."""
     out: list[dict] = []
     for slug, spec in specs.items():
-        if slug in raws:
+        if slug not in raws:
+            continue
+        try:
             out += run_dataset(spark, spec, raws[slug], geo, codelists, out_root, vintage, fail_on_error)
+            out.append({"check_name": "dataset_run", "subject": slug, "n_checked": 1, "n_bad": 0, "dataset": slug})
+        except Exception as e:  # noqa: BLE001 - reported per dataset; the batch must go on
+            out.append({"check_name": "dataset_run", "subject": f"{slug}: {type(e).__name__}: {e}", "n_checked": 1,
+                        "n_bad": 1, "dataset": slug})
     return out
 
 
