@@ -56,9 +56,9 @@ class Cubes:
             self.spark, "raw_annual", lambda: sc.annual_obs(self.cells(), self.ref),
             self._inputs(*_FACT_TABLES)))
 
-    def landed_tsv(self) -> str | None:
+    def landed_tsv(self) -> str:
         """Folder of the raw layer landed as a wide SDMX TSV (the format the
-        ingest reads), written once; None without a scratch folder."""
+        ingest reads), written once."""
         from regiocube.sources.sdmx import wide_layout, write_sdmx_tsv
         return self._get("landed_tsv", lambda: persisted_path(
             self.spark, "raw_wide_tsv", lambda: wide_layout(self.obs()),

@@ -3,23 +3,30 @@
 The clean layer is written once and every mart reads it back (the stages
 meet only through files, as in the published workflow). This also cuts the
 lineage, so a lost executor re-reads parquet instead of replaying the big
-fact join. Without a configured ``spark.checkpoint.dir`` nothing is written
-and the plan is returned as is.
+fact join.
+
+A table is known by its name, its input files (listed recursively, with sizes
+and times) and the code that builds it, so neither a changed file nor a
+changed function reuses an older copy. It is written under a path of its own
+and published by a rename: a reader sees a whole table or none, and two
+applications that build the same one do not disturb each other.
 """
 
 from __future__ import annotations
 
 import hashlib
+import pathlib
 import threading
-import warnings
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from regiocube.session import scratch_root
 
-# Bump when the cube encoding changes, so stale tables are never reused.
-TABLE_VERSION = "cube-v7"
+#: Modules whose text decides what an intermediate table holds.
+_CODE = ("constants.py", "functions", "operators/common.py", "operators/enrich.py", "sources", "plans/cubes.py",
+         "plans/materialize.py")
 
 _LOCKS: dict[str, threading.Lock] = {}
 _LOCKS_GUARD = threading.Lock()
@@ -31,8 +38,7 @@ def _lock_for(path: str) -> threading.Lock:
 
 
 def _fs(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
@@ -41,51 +47,69 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def code_version(root: pathlib.Path | None = None) -> str:
+    """Hash of the source text of the modules that build intermediate tables."""
+    root = root or pathlib.Path(__file__).resolve().parent.parent
+    h = hashlib.sha256()
+    for name in _CODE:
+        top = root / name
+        for f in sorted(top.rglob("*.py")) if top.is_dir() else [top]:
+            h.update(f.relative_to(root).as_posix().encode())
+            h.update(f.read_bytes())
+    return h.hexdigest()
+
+
 def fingerprint(spark: SparkSession, inputs: Sequence[str], extra: str = "") -> str:
-    """Hash of input paths with their sizes and modification times."""
-    h = hashlib.sha1((TABLE_VERSION + extra).encode())
+    """Hash of the code version and of all files below the input paths, with sizes and times."""
+    h = hashlib.sha256((code_version() + extra).encode())
     for path in inputs:
         p, fs = _fs(spark, path)
         h.update(path.encode())
         if fs.exists(p):
-            for st in fs.listStatus(p):
-                h.update(f"{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}".encode())
+            files = fs.listFiles(p, True)
+            found = []
+            while files.hasNext():
+                st = files.next()
+                found.append(f"{st.getPath()}:{st.getLen()}:{st.getModificationTime()}")
+            h.update("\n".join(sorted(found)).encode())
     return h.hexdigest()[:16]
 
 
 def persisted_path(spark: SparkSession, name: str, build: Callable[[], DataFrame],
-                   inputs: Sequence[str], write: Callable[[DataFrame, str], None]) -> str | None:
+                   inputs: Sequence[str], write: Callable[[DataFrame, str], None]) -> str:
     """Write ``build()`` once with ``write(df, path)`` under the scratch
-    folder and return the path; reuses a complete copy (``_SUCCESS``
-    present) for the same inputs. None without a (writable) scratch folder.
+    folder and return the path; reuses a published copy for the same code and
+    inputs. A build that fails raises; without a scratch folder this raises.
     """
     root = scratch_root(spark)
     if root is None:
-        return None
+        raise RuntimeError("no shared scratch folder: set spark.checkpoint.dir")
     # A run token (set by bench.py) forces a rebuild instead of reusing a
     # complete copy left by an earlier run over the same inputs.
     token = spark.conf.get("regiocube.run_token", "")
-    path = f"{root.rstrip('/')}/regiocube-tables/{name}-{fingerprint(spark, inputs, name + token)}"
+    base = f"{root.rstrip('/')}/regiocube-tables"
+    path = f"{base}/{name}-{fingerprint(spark, inputs, name + token)}"
     # One writer per table and process; a second caller waits and reuses it.
     with _lock_for(path):
-        if not path_exists(spark, f"{path}/_SUCCESS"):
-            try:
-                write(build(), path)
-            except Exception as exc:  # noqa: BLE001 - unwritable scratch: stay lazy
-                warnings.warn(f"could not persist {name} under {root}: {exc}; using the lazy plan")
-                return None
+        if not path_exists(spark, path):
+            work = f"{base}/_work-{name}-{uuid.uuid4().hex}"
+            write(build(), work)
+            source, fs = _fs(spark, work)
+            # Another application may have published meanwhile: its copy holds the same rows.
+            if path_exists(spark, path) or not fs.rename(source, _fs(spark, path)[0]):
+                if not path_exists(spark, path):
+                    raise RuntimeError(f"could not publish {work} as {path}")
+                fs.delete(source, True)
     return path
 
 
 def persisted(spark: SparkSession, name: str, build: Callable[[], DataFrame],
               inputs: Sequence[str], partition_by: Sequence[str] = ()) -> DataFrame:
-    """Return ``build()`` written to (and read back from) the scratch folder
-    as parquet. Without a scratch folder the lazy plan is returned."""
+    """Return ``build()`` written to (and read back from) the scratch folder as parquet."""
     def write(df: DataFrame, path: str) -> None:
-        writer = df.write.mode("overwrite")
+        writer = df.write
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
 
-    path = persisted_path(spark, name, build, inputs, write)
-    return build() if path is None else spark.read.parquet(path)
+    return spark.read.parquet(persisted_path(spark, name, build, inputs, write))

@@ -43,8 +43,8 @@ def build_session(
 
     ``checkpoint_dir`` is applied only when the session has none yet; when
     both are missing, a local master (tests, bench) gets a fresh
-    ``mktemp -d`` style folder and a cluster master gets none (nothing is
-    persisted; a machine-local folder is never used on a cluster).
+    ``mktemp -d`` style folder and a cluster master gets none (a machine-local
+    folder is never used on a cluster; what needs one raises).
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -61,8 +61,6 @@ def build_session(
         path = checkpoint_dir
         if path is None and spark.sparkContext.master.startswith("local"):
             path = tempfile.mkdtemp(prefix="regiocube-ckpt-")
-        # On a cluster without a shared folder nothing is persisted: the
-        # marts run on the lazy plans instead of a machine-local folder.
         if path is not None:
             spark.sparkContext.setCheckpointDir(path)
             spark.conf.set("regiocube.scratch", path)
@@ -73,17 +71,22 @@ def scratch_root(spark: SparkSession) -> str | None:
     """The shared folder for intermediate tables, or None when unset.
 
     Read from the session: ``spark.checkpoint.dir`` (cluster config) first,
-    then a checkpoint directory set on the context at run time.
+    then a checkpoint directory set on the context at run time. A ``file:``
+    path is refused on a cluster master (its executors do not share it);
+    masters that run on this machine (``local``, ``local-cluster``) may use one.
     """
     conf = spark.sparkContext.getConf()
-    root = conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root
-    local = spark.conf.get("regiocube.scratch", None)
-    if local:
-        return local
+    root = conf.get("spark.checkpoint.dir", None) or spark.conf.get("regiocube.scratch", None)
     ckpt = spark.sparkContext.getCheckpointDir()
-    if ckpt:
+    if not root and ckpt:
         # setCheckpointDir appends a per-application uuid folder; share its parent.
-        return os.path.dirname(ckpt.rstrip("/"))
-    return None
+        root = os.path.dirname(ckpt.rstrip("/"))
+    if root:
+        check_shared(root, spark.sparkContext.master)
+    return root or None
+
+
+def check_shared(root: str, master: str) -> None:
+    """Raise for a machine-local scratch folder on a cluster master."""
+    if root.startswith("file:") and not master.startswith("local"):
+        raise ValueError(f"spark.checkpoint.dir {root} is local to one machine; name a shared folder")
