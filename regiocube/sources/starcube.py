@@ -24,16 +24,16 @@ All measures are integer-valued doubles, so every engine sums them exactly.
 
 Cost model: the only work that grows with the data is the lineitem x orders
 join and the aggregation to (order, supplier) level (grouping right after
-the join on the join key reuses the join's partitioning). Both fact cubes
-(order cells and supplier-nation cells) branch from that aggregate in one
-action, so lineitem is scanned and shuffled once. The branches then meet
-customer and supplier on pre-aggregated rows. Everything after that is over
-at most |nations| x |segments| x |priorities| x |statuses| x |months| cells.
+the join on the join key reuses the join's partitioning). One aggregation by
+grouping sets reduces that to both fact cubes (order cells and
+supplier-nation cells), in one linear plan: lineitem is scanned, shuffled and
+joined once. Supplier and customer meet pre-aggregated rows. Everything after
+that is over at most |nations| x |segments| x |priorities| x |statuses| x |months| cells.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from regiocube.constants import EU27_AGGREGATE, FLAG_LABELS, FREQ_LABELS
@@ -72,13 +72,15 @@ def nation_code(col: Column) -> Column:
 def reference_group(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
     """Country codes of the reference group: the nations of REFERENCE_REGION.
 
-    Collects at most |nation| rows (a fixed 25-row dimension, bounded by the
-    ``limit``), to turn membership into a literal IN list.
+    Collects the nations of one region, to turn membership into a literal IN
+    list; more than ``MOST_NATIONS`` (no classification of countries) raises.
     """
     n = read_table(spark, sf_dir, "nation")
     r = read_table(spark, sf_dir, "region").filter(F.col("r_name") == REFERENCE_REGION)
     rows = (n.join(r, n.n_regionkey == r.r_regionkey)
-             .select(nation_code(F.col("n_nationkey")).alias("c")).limit(1000).collect())
+             .select(nation_code(F.col("n_nationkey")).alias("c")).limit(MOST_NATIONS + 1).collect())
+    if len(rows) > MOST_NATIONS:
+        raise ValueError(f"the reference group has more than {MOST_NATIONS} nations")
     return tuple(sorted(x.c for x in rows))
 
 
@@ -95,20 +97,24 @@ def _amount() -> Column:
 # Line measures summed at (order, supplier) grain and carried by both cubes.
 LINE_MEASURES = ["n_T", "a_T"] + [f"{m}_{c}" for c in CATS for m in ("n", "a")]
 NO_SUPPLIER = -1
+NO_NATION = "ZZ"
+MOST_NATIONS = 1000
+NO_PART = "_"
 
 
 def order_supplier_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines joined to their order and summed per (order, supplier): the one
-    line-level shuffle of the whole build.
-
-    The grouping keys start with the join key, so on a sort-merge join the
-    aggregation needs no second exchange. The supplier key is made
-    non-nullable (a missing one becomes ``NO_SUPPLIER``, which matches no
-    supplier): otherwise the supplier join of the citizenship branch would
-    push an inferred ``IS NOT NULL`` into its lineitem scan, the two branches
-    would no longer share the lineitem exchange, and lines without a supplier
-    would drop out of the order cube.
+    line-level shuffle of the whole build. ``o_T`` (and ``o_<cat>``) mark one
+    row of each order (that has lines of the category), so their sums count
+    orders.
+
+    The grouping keys start with the join key and the order windows are
+    partitioned by it, so on a sort-merge join neither needs an exchange.
     """
+    # A hot order key: the steps after the join need its partitioning, so AQE
+    # splits a skewed partition only where that is forced (it then adds an
+    # exchange; unskewed plans stay as they are).
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_returnflag", _amount().alias("amt"))
     od = read_table(spark, sf_dir, "orders").select(
@@ -118,15 +124,18 @@ def order_supplier_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     for c in CATS:
         hit = F.col("l_returnflag") == F.lit(c)
         aggs += [F.count_if(hit).alias(f"n_{c}"), F.sum(F.when(hit, F.col("amt"))).alias(f"a_{c}")]
-    supp = F.coalesce(F.col("l_suppkey"), F.lit(NO_SUPPLIER).cast("long"))
-    return lo.groupBy(
+    facts = lo.groupBy(
         F.col("o_orderkey"), F.col("o_custkey"),
         F.year("o_orderdate").alias("year"),
         F.month("o_orderdate").alias("month"),
         F.substring("o_orderpriority", 1, 1).alias("prio"),
         F.col("o_orderstatus").alias("status"),
-        supp.alias("supp"),
+        F.coalesce(F.col("l_suppkey"), F.lit(NO_SUPPLIER).cast("long")).alias("supp"),
     ).agg(*aggs)
+    order = Window.partitionBy("o_orderkey")
+    marked = facts.withColumn("__first", F.row_number().over(order.orderBy("supp")) == 1)
+    has = [(F.col("__first") & (F.max(f"n_{c}").over(order) > 0)).cast("long").alias(f"o_{c}") for c in CATS]
+    return marked.select("*", F.col("__first").cast("long").alias("o_T"), *has).drop("__first")
 
 
 def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,14 +144,6 @@ def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.substring("c_mktsegment", 1, 1).alias("seg"))
 
 
-def _cell_aggs() -> list[Column]:
-    aggs = [F.count(F.lit(1)).alias("o_T"), F.sum("n_T").alias("n_T"), F.sum("a_T").alias("a_T")]
-    for c in CATS:
-        aggs += [F.count_if(F.col(f"n_{c}") > 0).alias(f"o_{c}"),
-                 F.sum(f"n_{c}").alias(f"n_{c}"), F.sum(f"a_{c}").alias(f"a_{c}")]
-    return aggs
-
-
 def _sums(measures: list[str]) -> list[Column]:
     return [F.sum(m).alias(m) for m in measures]
 
@@ -154,36 +155,34 @@ def fact_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     * ``order``: finest cells (cc, seg, prio, status, year, month) with the
       additive order/line measures (``MEASURES``);
     * ``supplier``: line measures by (cc, seg, year, sn), ``sn`` the supplier
-      nation (``LINE_MEASURES``).
-
-    Both branches read the same (order, supplier) aggregate, so in one action
-    Spark reuses the lineitem, orders and customer exchanges (the plan shows
-    ``ReusedExchange``): lineitem is scanned and shuffled once. Both outputs
-    are bounded by the classification (nations x segments x ... x months).
+      nation (``NO_NATION`` for lines without a known supplier).
+
+    Nothing branches, so nothing is computed twice: one aggregation by
+    grouping sets reduces the (order, supplier) rows to both grains per
+    customer (map-side combined, so a customer or supplier with a large share
+    of all orders collapses before any shuffle), the supplier nation and
+    then the customer are joined to the reduced rows. Both outputs are
+    bounded by the classification (nations x segments x ... x months).
     """
-    os_ = order_supplier_facts(spark, sf_dir)
-    cu = _customers(spark, sf_dir)
-    # Order branch: per order (same partitioning as the join, no exchange),
-    # then per customer before the customer shuffle: a customer holding a
-    # large share of all orders collapses map-side to at most |months| x
-    # |priorities| x |statuses| rows, so the customer join is never skewed.
-    per_order = os_.groupBy("o_orderkey", "o_custkey", "year", "month", "prio", "status").agg(
-        *_sums(LINE_MEASURES))
-    per_cust = per_order.groupBy("o_custkey", "prio", "status", "year", "month").agg(*_cell_aggs())
-    orders = _resum(per_cust.join(cu, per_cust.o_custkey == cu.c_custkey),
-                    ["cc", "seg", "prio", "status", "year", "month"], MEASURES)
-    # Supplier branch: lines per (customer, year, supplier) with map-side
-    # combine, the supplier nation attached to the reduced rows, reduced
-    # again per (customer, year, nation) before the customer join.
+    facts = order_supplier_facts(spark, sf_dir)
+    grains = ["o_custkey", "prio", "status", "year", "month", "supp"]
+    both = facts.groupingSets([["o_custkey", "prio", "status", "year", "month"], ["o_custkey", "year", "supp"]],
+                              *grains).agg(*_sums(MEASURES), F.grouping("supp").alias("__orders"))
+    # Order rows have no supplier: keys of their own, that match none, spread them evenly.
+    spread = F.lit(NO_SUPPLIER - 1) - F.pmod(F.xxhash64("o_custkey"), F.lit(1_000_000))
+    key = F.when(F.col("__orders") == 1, spread).otherwise(F.col("supp"))
     su = read_table(spark, sf_dir, "supplier").select(
-        "s_suppkey", nation_code(F.col("s_nationkey")).alias("sn"))
-    per_supp = os_.groupBy("o_custkey", "year", "supp").agg(*_sums(LINE_MEASURES))
-    per_nat = (per_supp.join(su, per_supp.supp == su.s_suppkey)
-                       .groupBy("o_custkey", "year", "sn").agg(*_sums(LINE_MEASURES)))
-    suppliers = _resum(per_nat.join(cu, per_nat.o_custkey == cu.c_custkey),
-                       ["cc", "seg", "year", "sn"], LINE_MEASURES)
-    return (orders.withColumn("kind", F.lit("order"))
-                  .unionByName(suppliers.withColumn("kind", F.lit("supplier")), allowMissingColumns=True))
+        "s_suppkey", nation_code(F.col("s_nationkey")).alias("__sn"))
+    keyed = both.withColumn("__key", key)
+    named = keyed.join(su, keyed["__key"] == su.s_suppkey, "left")
+    sn = F.when(F.col("__orders") == 0, F.coalesce("__sn", F.lit(NO_NATION)))
+    cells = ["prio", "status", "year", "month", "sn"]
+    kind = F.when(F.col("__orders") == 1, F.lit("order")).otherwise(F.lit("supplier"))
+    per_customer = (named.withColumn("sn", sn).withColumn("kind", kind)
+                         .groupBy("kind", "o_custkey", *cells).agg(*_sums(MEASURES)))
+    cu = _customers(spark, sf_dir)
+    out = per_customer.join(cu, per_customer.o_custkey == cu.c_custkey)
+    return _resum(out, ["kind", "cc", "seg", *cells], MEASURES)
 
 
 def month_cells(facts: DataFrame) -> DataFrame:
@@ -209,9 +208,11 @@ def _rollup(cells: DataFrame, levels: list[list[str]], keys: list[str],
     aggregate), so the fact pipeline below is evaluated once.
 
     ``keys`` are carried in every set. Rolled-up parts are NULL in their
-    grouping set and ``concat_ws`` skips them.
+    grouping set and ``concat_ws`` skips them; a part that is NULL in the data
+    gets the code ``NO_PART``, so its cell does not pass for its parent.
     """
     parts = list(dict.fromkeys(x for lv in levels for x in lv))
+    cells = cells.withColumns({p: F.coalesce(F.col(p), F.lit(NO_PART)) for p in parts})
     sums = [F.sum(m).alias(m) for m in measures]
     sets = [["year", *keys, *lv] for lv in levels]
     cols = ["year", *keys, *parts]
