@@ -38,7 +38,7 @@ def read_codelist(spark: SparkSession, path: str, fmt: str | None = None) -> Dat
 def read_geo(spark: SparkSession, path: str) -> DataFrame:
     """SRC-4/5: the geo hierarchy CSV with an explicit schema (empty fields
     -> NULL)."""
-    return spark.read.option("header", "true").schema(GEO_SCHEMA).csv(path)
+    return spark.read.option("header", "true").option("escape", '"').schema(GEO_SCHEMA).csv(path)
 
 
 def read_obs(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet"
@@ -54,6 +54,18 @@ def read_obs(spark: SparkSession, path: str, schema: T.StructType | str, fmt: st
     return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in st.fields])
 
 
+def read_codelists(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Every ``<dim>.csv`` or ``<dim>.parquet`` of a folder, by dim; ``flags`` is read as ``flag``."""
+    out = {}
+    p = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    for st in fs.listStatus(p):
+        name, _, kind = st.getPath().getName().rpartition(".")
+        if name and kind in ("csv", "parquet"):
+            out["flag" if name == "flags" else name] = read_codelist(spark, st.getPath().toString(), kind)
+    return out
+
+
 def list_vintages(spark: SparkSession, root: str) -> list[str]:
     """Sub-folder names of ``root`` (vintages), via the Hadoop file system."""
     jvm = spark._jvm
@@ -64,15 +76,20 @@ def list_vintages(spark: SparkSession, root: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
 
 
-def read_latest(spark: SparkSession, root: str, fmt: str = "parquet",
-                options: Mapping[str, str] | None = None) -> DataFrame:
-    """SRC-6 (``mode: latest``): read only the newest landed vintage folder
-    under ``root`` (folder names sort chronologically). Listing is metadata
-    only; no data of older vintages is scanned."""
+def latest_path(spark: SparkSession, root: str) -> str:
+    """SRC-6 (``mode: latest``): the newest landed vintage folder under
+    ``root`` (folder names sort chronologically)."""
     vintages = [v for v in list_vintages(spark, root) if not v.startswith(("_", "."))]
     if not vintages:
         raise FileNotFoundError(f"no vintage under {root}")
+    return f"{root.rstrip('/')}/{vintages[-1]}"
+
+
+def read_latest(spark: SparkSession, root: str, fmt: str = "parquet",
+                options: Mapping[str, str] | None = None) -> DataFrame:
+    """SRC-6: read only the newest landed vintage under ``root``. Listing is
+    metadata only; no data of older vintages is scanned."""
     reader = spark.read
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
-    return reader.format(fmt).load(f"{root.rstrip('/')}/{vintages[-1]}")
+    return reader.format(fmt).load(latest_path(spark, root))

@@ -9,8 +9,8 @@ The header row names the comma-joined key dims, a backslash, the time
 dimension, then one column per period (with a trailing space). Cells hold
 the value and optional flag letters; ``:`` marks a missing value.
 
-The CSV source reads the header once (schema) and every data row as
-strings; the melt is ``DataFrame.unpivot`` (an Expand: narrow, no shuffle),
+The header line of each file is read on its own; files with the same header
+are read together, every data row as strings; the melt is ``DataFrame.unpivot`` (an Expand: narrow, no shuffle),
 so ingest scales with the number of input splits. Uncompressed TSV is
 splittable; gzip files are one task each.
 """
@@ -26,10 +26,13 @@ from pyspark.sql import functions as F
 from regiocube.constants import MISSING_CELL
 from regiocube.functions.codes import slice_predicate
 from regiocube.functions.numeric import nan_to_null
+from regiocube.sources.files import data_files, first_line
 
 _QUARTER = re.compile(r"^\d{4}-Q[1-4]$")
 _MONTH = re.compile(r"^\d{4}-(0[1-9]|1[0-2])$")
 _YEAR = re.compile(r"^\d{4}$")
+#: Observation flags are runs of these letters after the value.
+_FLAG_LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
 def parse_header(first_col: str) -> tuple[list[str], str]:
@@ -70,10 +73,11 @@ def melt_wide(wide: DataFrame) -> DataFrame:
     long = renamed.unpivot("__key", periods, "__period", "__cell")
     parts = F.split(F.col("__key"), ",")
     cell = F.trim(F.col("__cell"))
-    # value token, then optional lowercase flag letters ("12.5 b", "12b", ": c").
-    pattern = r"^(\S*?)\s*([a-z]+)?$"
-    token = F.regexp_extract(cell, pattern, 1)
-    flag = F.regexp_extract(cell, pattern, 2)
+    # value token, then optional lowercase flag letters ("12.5 b", "12b", ": c"):
+    # the letters are trimmed off once, what is left and what went are the two.
+    bare = F.rtrim(cell, F.lit(_FLAG_LETTERS))
+    token = F.rtrim(bare)
+    flag = F.substring(cell, F.length(bare) + 1, F.length(cell))
     value = F.when(token == F.lit(MISSING_CELL), F.lit(None).cast("double")).otherwise(
         nan_to_null(token.try_cast("double")))
     cols = [F.trim(parts.getItem(i)).alias(d) for i, d in enumerate(dims)]
@@ -95,12 +99,26 @@ def melt_wide(wide: DataFrame) -> DataFrame:
 
 def read_sdmx_tsv(spark: SparkSession, path: str, source_filter: Mapping[str, object] | None = None
                   ) -> DataFrame:
-    """Read one wide SDMX TSV (or a folder of same-header TSVs) as long
-    observations; ``source_filter`` keeps only the given dim values
-    (SRC-2), applied right after the melt so nothing else is carried."""
-    wide = (spark.read.option("sep", "\t").option("header", "true")
-            .option("inferSchema", "false").option("mode", "PERMISSIVE").csv(path))
-    obs = melt_wide(wide)
+    """Read one wide SDMX TSV, or a folder of them, as long observations.
+
+    Files of a folder may cover different periods: each distinct header is
+    read with its own columns and the observations are united by name (a
+    column that a file lacks is NULL). ``source_filter`` keeps only the given
+    dim values (SRC-2), applied right after the melt so nothing else is
+    carried."""
+    by_header: dict[str, list[str]] = {}
+    for file in data_files(spark, path):
+        header = first_line(spark, file)
+        if header:
+            by_header.setdefault(header, []).append(file)
+    if not by_header:
+        raise FileNotFoundError(f"no SDMX TSV with a header under {path}")
+    obs = None
+    for header in sorted(by_header):
+        wide = (spark.read.option("sep", "\t").option("header", "true").option("inferSchema", "false")
+                .option("mode", "PERMISSIVE").csv(by_header[header]))
+        part = melt_wide(wide)
+        obs = part if obs is None else obs.unionByName(part, allowMissingColumns=True)
     if source_filter:
         obs = obs.filter(slice_predicate(source_filter))
     return obs
@@ -121,10 +139,10 @@ def wide_layout(obs: DataFrame) -> DataFrame:
                        *[F.coalesce(F.col(y), F.lit(": ")).alias(f"{y} ") for y in years])
 
 
-def write_sdmx_tsv(wide: DataFrame, path: str) -> None:
+def write_sdmx_tsv(wide: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Land a wide layout as tab-separated text, one header line per part
-    file (``read_sdmx_tsv`` reads the folder back)."""
-    (wide.write.mode("overwrite").option("sep", "\t").option("header", "true")
+    file (``read_sdmx_tsv`` reads the folder back; ``append`` adds files)."""
+    (wide.write.mode(mode).option("sep", "\t").option("header", "true")
      .option("quoteAll", "false").option("escape", "\u0000").csv(path))
 
 
