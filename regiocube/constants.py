@@ -41,7 +41,6 @@ FLAG_LABELS = {
     "d": "definition differs (see metadata)",
     "e": "estimated",
     "f": "forecast",
-    "i": "value imputed by Eurostat or other receiving agencies",
     "m": "missing value; data cannot exist",
     "n": "not significant",
     "p": "provisional",

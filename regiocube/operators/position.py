@@ -1,17 +1,17 @@
-"""Position and share of a focus country; composition gaps; mode gaps;
-recognition rates (MRT-4, 5, 7, 8).
+"""Standing of a focus country; composition gaps; mode gaps; recognition
+rates (MRT-4, 5, 7, 8).
 
-Windows rank countries within one year (bounded by the number of
-countries); totals over the reference group are partial aggregations to one
-row per year; published-vs-computed totals meet in a FULL OUTER join on
-year, i.e. a join of two year-sized tables.
+Every mart here is conditional aggregation over one scan of the clean table:
+rows are reduced per geography, then per year, and what used to be a window, a
+published-or-computed join or a two-sided join is an aggregate with a filter.
+The lists built per year hold one value per country.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regiocube.constants import EU27, EU27_AGGREGATE
@@ -19,27 +19,8 @@ from regiocube.functions.codes import slice_predicate
 from regiocube.functions.numeric import round_half_away, safe_div, to_bigint
 
 
-def _reference_total(clean: DataFrame, nat: DataFrame, slice_: Mapping[str, object], strategy: str,
-                     ref_group: Sequence[str], aggregate_geo: str) -> DataFrame:
-    """(year, value) of the reference-group total.
-
-    ``published``: the aggregate's own row; ``computed``: SUM over member
-    countries; ``fallback``: published where present, else computed.
-    """
-    pub = clean.filter(slice_predicate(slice_) & (F.col("geo") == F.lit(aggregate_geo)))
-    if strategy == "published":
-        return pub.select("year", F.col("value").alias("__ue"))
-    calc = (nat.filter(F.col("country").isin(list(ref_group)))
-               .groupBy("year").agg(F.sum("value").alias("__calc")))
-    if strategy == "computed":
-        return calc.select("year", F.col("__calc").alias("__ue"))
-    if strategy != "fallback":
-        raise ValueError(strategy)
-    p = pub.filter(F.col("value").isNotNull()).select(F.col("year").alias("__py"),
-                                                      F.col("value").alias("__pub"))
-    j = p.join(calc, p["__py"] == calc["year"], "full_outer")
-    return j.select(F.coalesce("__py", "year").alias("year"),
-                    F.coalesce("__pub", "__calc").alias("__ue"))
+def _pick(condition: Column, value: Column | str = "value") -> Column:
+    return F.max(F.when(condition, F.col(value) if isinstance(value, str) else value))
 
 
 def position_share(
@@ -53,64 +34,61 @@ def position_share(
     aggregate_geo: str = EU27_AGGREGATE,
     rate: Mapping[str, object] | None = None,
 ) -> DataFrame:
-    """MRT-4 (+ MRT-8a with ``rate``).
+    """MRT-4 (+ MRT-8a with ``rate``): one row per year in which the focus
+    country has a value.
 
-    Countries of ``level`` in the slice with a value are ranked per year
-    (descending, ties share a rank) and counted; the focus country's row is
-    kept *after* the window. Its share of the reference-group total (by
-    ``eu_total`` strategy) is ``round(value / NULLIF(total, 0) * 100, 2)``.
+    Its rank is one more than the number of countries of ``level`` with a
+    larger value; its share is ``round(value / NULLIF(total, 0) * 100, 2)`` of
+    the reference-group total: the aggregate's own row (``published``), the
+    sum over the member countries (``computed``), or the first where present,
+    else the second (``fallback``).
 
     ``rate = {"dim": "decision", "pos": "POS", "neg": "NEG", "slice": {...}}``
     adds recognition rates ``pos / (pos + neg) * 100`` for the focus country
     and the reference group (published POS/NEG of the aggregate, else the
-    sum over member countries).
+    sums over the member countries).
     """
-    nat = clean.filter(slice_predicate(slice_) & F.col("country").isNotNull()
-                       & F.col("value").isNotNull() & (F.col("nuts_level") == F.lit(level))
-                       ).select("year", "country", "value")
-    ue = _reference_total(clean, nat, slice_, eu_total, ref_group, aggregate_geo)
-    w = Window.partitionBy("year")
-    ranked = nat.select(
-        "year", "country", "value",
-        F.rank().over(w.orderBy(F.col("value").desc_nulls_last())).cast("long").alias("__pos"),
-        F.count(F.lit(1)).over(w).alias("n_paesi"),
-    )
-    r = ranked.filter(F.col("country") == F.lit(focus))
-    out = r.join(ue, "year", "left")
+    if eu_total not in ("published", "computed", "fallback"):
+        raise ValueError(eu_total)
+    own = slice_predicate(slice_)
+    measures = {"v": own}
+    if rate is not None:
+        of_rate = slice_predicate(rate["slice"])
+        measures["p"] = of_rate & (F.col(rate["dim"]) == F.lit(rate["pos"]))
+        measures["n"] = of_rate & (F.col(rate["dim"]) == F.lit(rate["neg"]))
+    wanted = None
+    for cond in measures.values():
+        wanted = cond if wanted is None else wanted | cond
+    geos = (clean.filter(wanted & F.col("value").isNotNull()).groupBy("year", "geo", "country", "nuts_level")
+                 .agg(*[_pick(cond).alias(name) for name, cond in measures.items()]))
+    peer = F.col("country").isNotNull() & (F.col("nuts_level") == F.lit(level)) & F.col("v").isNotNull()
+    aggs = [F.collect_list(F.when(peer, F.col("v"))).alias("peers"),
+            _pick(peer & (F.col("country") == F.lit(focus)), "v").alias("own"),
+            _pick(F.col("geo") == F.lit(aggregate_geo), "v").alias("published"),
+            F.sum(F.when(peer & F.col("country").isin(list(ref_group)), F.col("v"))).alias("computed")]
+    for m in list(measures)[1:]:
+        aggs += [_pick(F.col("geo") == F.lit(focus), m).alias(f"own_{m}"),
+                 _pick(F.col("geo") == F.lit(aggregate_geo), m).alias(f"published_{m}"),
+                 F.sum(F.when(F.col("geo").isin(list(ref_group)), F.col(m))).alias(f"computed_{m}")]
+    years = geos.groupBy("year").agg(*aggs).filter(F.col("own").isNotNull())
+    total = {"published": F.col("published"), "computed": F.col("computed"),
+             "fallback": F.coalesce("published", "computed")}[eu_total]
     cols = [
         "year",
-        to_bigint("value").alias(f"{measure}_it"),
-        F.col("__pos").alias("posizione_it"),
-        "n_paesi",
-        to_bigint("__ue").alias(f"{measure}_ue27"),
-        round_half_away(safe_div(F.col("value"), F.col("__ue")) * F.lit(100), 2).alias("quota_it_su_ue27_pct"),
+        to_bigint("own").alias(f"{measure}_it"),
+        (F.size(F.filter("peers", lambda v: v > F.col("own"))) + 1).cast("long").alias("posizione_it"),
+        F.size("peers").cast("long").alias("n_paesi"),
+        to_bigint(total).alias(f"{measure}_ue27"),
+        round_half_away(safe_div(F.col("own"), total) * F.lit(100), 2).alias("quota_it_su_ue27_pct"),
     ]
-    if rate is None:
-        return out.select(*cols)
-    dim, pos, neg = rate["dim"], rate["pos"], rate["neg"]
-    merito = (clean.filter(slice_predicate(rate["slice"]) & F.col(dim).isin(pos, neg)
-                           & F.col("value").isNotNull())
-                   .groupBy("year", "geo")
-                   .agg(F.max(F.when(F.col(dim) == F.lit(pos), F.col("value"))).alias("pos"),
-                        F.max(F.when(F.col(dim) == F.lit(neg), F.col("value"))).alias("neg")))
-    mi = merito.filter(F.col("geo") == F.lit(focus)).select(
-        F.col("year").alias("__my"), F.col("pos").alias("__ipos"), F.col("neg").alias("__ineg"))
-    m_pub = merito.filter(F.col("geo") == F.lit(aggregate_geo)).select(
-        F.col("year").alias("__py"), F.col("pos").alias("__ppos"), F.col("neg").alias("__pneg"))
-    m_calc = (merito.filter(F.col("geo").isin(list(ref_group))).groupBy("year")
-                    .agg(F.sum("pos").alias("__cpos"), F.sum("neg").alias("__cneg")))
-    mu = m_pub.join(m_calc, m_pub["__py"] == m_calc["year"], "full_outer").select(
-        F.coalesce("__py", "year").alias("__uy"),
-        F.coalesce("__ppos", "__cpos").alias("__upos"),
-        F.coalesce("__pneg", "__cneg").alias("__uneg"))
-    out = (out.join(mi, out["year"] == mi["__my"], "left")
-              .join(mu, out["year"] == mu["__uy"], "left"))
-
-    def rate_of(p, n):
-        return round_half_away(safe_div(F.col(p), F.col(p) + F.col(n)) * F.lit(100), 2)
-
-    return out.select(*cols, rate_of("__ipos", "__ineg").alias("tasso_riconoscimento_it_pct"),
-                      rate_of("__upos", "__uneg").alias("tasso_riconoscimento_ue27_pct"))
+    if rate is not None:
+        def rate_of(p: Column, n: Column) -> Column:
+            return round_half_away(safe_div(p, p + n) * F.lit(100), 2)
+
+        cols += [rate_of(F.col("own_p"), F.col("own_n")).alias("tasso_riconoscimento_it_pct"),
+                 rate_of(F.coalesce("published_p", "computed_p"), F.coalesce("published_n", "computed_n"))
+                 .alias("tasso_riconoscimento_ue27_pct")]
+    return years.select(*cols)
 
 
 def composition_gap(
@@ -124,26 +102,31 @@ def composition_gap(
 ) -> DataFrame:
     """MRT-5: share of each category in the *published* total row (not the
     sum of categories, which may be incomplete), focus vs reference, and the
-    gap in points. A FULL OUTER join keeps categories published on one side
-    only (with NULLs)."""
+    gap in points. A category published on one side only stays, with NULLs.
+
+    One aggregate per year holds both sides of every category; the rows come
+    from an array of the (fixed) categories."""
     rows = clean.filter(slice_predicate(slice_) & F.col("geo").isin(focus, ref_geo)
-                        & F.col("value").isNotNull())
-    tot = rows.filter(F.col(cat) == F.lit(total)).select(
-        F.col("year").alias("__ty"), F.col("geo").alias("__tg"), F.col("value").alias("__tot"))
-    base = rows.filter(F.col(cat).isin(list(categories))).select("year", "geo", cat, "value")
-    quota = base.join(tot, (base["year"] == tot["__ty"]) & (base["geo"] == tot["__tg"])).select(
-        "year", "geo", cat, (safe_div(F.col("value"), F.col("__tot")) * F.lit(100)).alias("q"))
-    i = quota.filter(F.col("geo") == F.lit(focus)).select(
-        F.col("year").alias("__iy"), F.col(cat).alias("__ic"), F.col("q").alias("__iq"))
-    u = quota.filter(F.col("geo") == F.lit(ref_geo)).select(
-        F.col("year").alias("__uy"), F.col(cat).alias("__uc"), F.col("q").alias("__uq"))
-    j = i.join(u, (i["__iy"] == u["__uy"]) & (i["__ic"] == u["__uc"]), "full_outer")
-    year = F.coalesce("__iy", "__uy")
-    return j.filter(year.isNotNull()).select(
-        year.alias("year"), F.coalesce("__ic", "__uc").alias(cat),
-        round_half_away("__iq", 2).alias("quota_it_pct"),
-        round_half_away("__uq", 2).alias("quota_ue27_pct"),
-        round_half_away(F.col("__iq") - F.col("__uq"), 2).alias("delta_pp"))
+                        & F.col(cat).isin(total, *categories) & F.col("value").isNotNull())
+    sides = {"i": focus, "u": ref_geo}
+    codes = [total, *categories]
+    years = rows.groupBy("year").agg(*[
+        _pick((F.col("geo") == F.lit(geo)) & (F.col(cat) == F.lit(code))).alias(f"{side}{k}")
+        for side, geo in sides.items() for k, code in enumerate(codes)])
+
+    def published(side: str, k: int) -> Column:
+        return F.col(f"{side}{k}").isNotNull() & F.col(f"{side}0").isNotNull()
+
+    def share(side: str, k: int) -> Column:
+        return safe_div(F.col(f"{side}{k}"), F.col(f"{side}0")) * F.lit(100)
+
+    items = F.array(*[F.struct(F.lit(code).alias("code"), (published("i", k) | published("u", k)).alias("any"),
+                               share("i", k).alias("i"), share("u", k).alias("u"))
+                      for k, code in enumerate(codes) if k])
+    return (years.select("year", F.explode(items).alias("x")).filter(F.col("x.any")).select(
+        "year", F.col("x.code").alias(cat), round_half_away("x.i", 2).alias("quota_it_pct"),
+        round_half_away("x.u", 2).alias("quota_ue27_pct"),
+        round_half_away(F.col("x.i") - F.col("x.u"), 2).alias("delta_pp")))
 
 
 def mode_gap(
@@ -154,24 +137,19 @@ def mode_gap(
     focus: str = "IT",
     ref_geo: str = EU27_AGGREGATE,
 ) -> DataFrame:
-    """MRT-7: labelled mode list x focus x reference. ``modes`` maps output
-    label -> code. Rows exist where the focus country has the mode; the
-    reference side is LEFT-joined on (mode, year), so ``delta_pp`` is NULL
-    when it is missing. (The LEFT/LEFT variant with a COALESCE(year) guard
-    and the INNER/LEFT variant return the same rows.)"""
-    codes = list(modes.values())
-    label = None
-    for lab, code in modes.items():
-        cond = F.col(mode_col) == F.lit(code)
-        label = F.when(cond, F.lit(lab)) if label is None else label.when(cond, F.lit(lab))
-    pred = slice_predicate(slice_) & F.col(mode_col).isin(codes)
-    it = clean.filter(pred & (F.col("geo") == F.lit(focus))).select(
-        "year", label.alias("modo"), F.col(mode_col).alias("__m"), F.col("value").alias("quota_it_pct"))
-    ue = clean.filter(pred & (F.col("geo") == F.lit(ref_geo))).select(
-        F.col("year").alias("__uy"), F.col(mode_col).alias("__um"), F.col("value").alias("quota_ue27_pct"))
-    j = it.join(ue, (it["__m"] == ue["__um"]) & (it["year"] == ue["__uy"]), "left")
-    return j.select("year", "modo", "quota_it_pct", "quota_ue27_pct",
-                    round_half_away(F.col("quota_it_pct") - F.col("quota_ue27_pct"), 2).alias("delta_pp"))
+    """MRT-7: focus vs reference per labelled mode (``modes``: output label ->
+    code). Rows exist where the focus country reports the mode; ``delta_pp``
+    is NULL where the reference lacks it."""
+    labels = F.create_map(*[F.lit(x) for lab, code in modes.items() for x in (code, lab)])
+    rows = clean.filter(slice_predicate(slice_) & F.col(mode_col).isin(list(modes.values()))
+                        & F.col("geo").isin(focus, ref_geo))
+    of_focus = F.col("geo") == F.lit(focus)
+    pairs = rows.groupBy("year", mode_col).agg(
+        F.count_if(of_focus).alias("reports"), _pick(of_focus).alias("quota_it_pct"),
+        _pick(F.col("geo") == F.lit(ref_geo)).alias("quota_ue27_pct"))
+    return pairs.filter(F.col("reports") > 0).select(
+        "year", F.element_at(labels, F.col(mode_col)).alias("modo"), "quota_it_pct", "quota_ue27_pct",
+        round_half_away(F.col("quota_it_pct") - F.col("quota_ue27_pct"), 2).alias("delta_pp"))
 
 
 def rate_by(

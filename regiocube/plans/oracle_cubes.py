@@ -24,7 +24,6 @@ cat_cl(code, label_en) AS (VALUES ('TOTAL', 'Total'), ('A', 'Accepted'), ('N', '
     ('R', 'Returned')),
 flag_cl(code, label_en) AS (VALUES ('b', 'break in time series'),
     ('d', 'definition differs (see metadata)'), ('e', 'estimated'), ('f', 'forecast'),
-    ('i', 'value imputed by Eurostat or other receiving agencies'),
     ('m', 'missing value; data cannot exist'), ('n', 'not significant'), ('p', 'provisional'),
     ('u', 'low reliability')),
 month_cl(code, label_en) AS (VALUES (1, 'January'), (2, 'February'), (3, 'March'), (4, 'April'),
@@ -40,7 +39,7 @@ li AS (
            CAST(FLOOR(l_extendedprice * (1 - l_discount)) AS BIGINT) AS amt
     FROM lineitem
 ),
-order_facts AS (
+order_facts AS MATERIALIZED (
     SELECT o.o_orderkey, o.o_custkey,
            CAST(year(o.o_orderdate) AS INTEGER) AS year,
            CAST(month(o.o_orderdate) AS INTEGER) AS month,
@@ -54,12 +53,12 @@ order_facts AS (
     GROUP BY o.o_orderkey, o.o_custkey, year(o.o_orderdate), month(o.o_orderdate),
              substr(o.o_orderpriority, 1, 1), o.o_orderstatus
 ),
-order_cust AS (
+order_cust AS MATERIALIZED (
     SELECT f.*, c.cc, c.seg FROM order_facts f JOIN cust c ON f.o_custkey = c.c_custkey
 )"""
 
 _ANNUAL = """
-a_cells AS (
+a_cells AS MATERIALIZED (
     SELECT cc, seg, prio, status, year,
            COUNT(*) AS o_T, SUM(n_T) AS n_T, SUM(a_T) AS a_T,
            COUNT(*) FILTER (WHERE n_A > 0) AS o_A, SUM(n_A) AS n_A, SUM(a_A) AS a_A,
@@ -95,7 +94,7 @@ a_long AS (
     CROSS JOIN (VALUES ('NR'), ('MIO_EUR'), ('EUR_HAB'), ('PC')) u(unit)
     CROSS JOIN (VALUES ('TOTAL'), ('A'), ('N'), ('R')) k(cat)
 ),
-a_obs AS (
+a_obs AS MATERIALIZED (
     SELECT 'A' AS freq, unit, cat, geo, CAST(year AS INTEGER) AS year,
            CASE WHEN n = 1 THEN NULL
                 WHEN unit = 'NR' THEN CAST(n AS DOUBLE)
@@ -127,7 +126,7 @@ geo_base AS (
     FROM geo_codes g
     LEFT JOIN nation n ON substr(g.code, 1, 2) = lpad(CAST(n.n_nationkey AS VARCHAR), 2, '0')
 ),
-geo AS (
+geo AS MATERIALIZED (
     SELECT code, label_en, nuts_level,
            CASE WHEN nuts_level LIKE 'NUTS%' AND length(code) > 2
                 THEN substr(code, 1, length(code) - 1) ELSE '' END AS parent_code
@@ -135,7 +134,7 @@ geo AS (
 ),"""
 
 _CLEAN_ANNUAL = """
-clean_input AS (
+clean_input AS MATERIALIZED (
     SELECT o.freq, o.unit, o.cat, o.geo, o.year,
            fq.label_en AS freq_label_en, un.label_en AS unit_label_en, ct.label_en AS cat_label_en,
            g.label_en AS geo_label_en, g.nuts_level,
@@ -153,7 +152,7 @@ clean_input AS (
 )"""
 
 _MONTHLY = """
-m_cells AS (
+m_cells AS MATERIALIZED (
     SELECT cc, seg, year, month,
            SUM(n_T) AS n_T, SUM(n_A) AS n_A, SUM(n_N) AS n_N, SUM(n_R) AS n_R
     FROM order_cust
@@ -171,7 +170,7 @@ m_obs AS (
            """ + _CAT_CASE.format(m="n") + """ AS n
     FROM m_levels l CROSS JOIN (VALUES ('TOTAL'), ('A'), ('N'), ('R')) k(cat)
 ),
-monthly_input AS (
+monthly_input AS MATERIALIZED (
     SELECT o.freq, o.unit, o.cat, o.geo, o.year, o.month,
            fq.label_en AS freq_label_en, un.label_en AS unit_label_en, ct.label_en AS cat_label_en,
            mo.label_en AS month_label_en,
@@ -194,7 +193,7 @@ monthly_input AS (
 )"""
 
 _QUARTERLY = """
-q_cells AS (
+q_cells AS MATERIALIZED (
     SELECT cc, year, CAST(ceil(month / 3) AS INTEGER) AS quarter,
            SUM(n_T) AS n_T, SUM(n_A) AS n_A, SUM(n_N) AS n_N, SUM(n_R) AS n_R
     FROM order_cust
@@ -213,7 +212,7 @@ q_raw AS (
            """ + _CAT_CASE.format(m="n") + """ AS n
     FROM q_levels l CROSS JOIN (VALUES ('TOTAL'), ('A'), ('N'), ('R')) k(cat)
 ),
-quarterly_input AS (
+quarterly_input AS MATERIALIZED (
     SELECT o.freq, o.unit, o.cat, o.geo,
            CAST(SPLIT_PART(o.year, '-', 1) AS INTEGER) AS year,
            SPLIT_PART(o.year, '-', 2) AS quarter,
@@ -238,14 +237,14 @@ _CITIZEN = """
 sup AS (
     SELECT s_suppkey, lpad(CAST(s_nationkey AS VARCHAR), 2, '0') AS sn FROM supplier
 ),
-c_per_cust AS (
+c_per_cust AS MATERIALIZED (
     SELECT o.o_custkey, CAST(year(o.o_orderdate) AS INTEGER) AS year, s.sn, COUNT(*) AS n
     FROM lineitem l
     JOIN sup s ON l.l_suppkey = s.s_suppkey
     JOIN orders o ON l.l_orderkey = o.o_orderkey
     GROUP BY o.o_custkey, year(o.o_orderdate), s.sn
 ),
-c_cells AS (
+c_cells AS MATERIALIZED (
     SELECT c.cc, c.seg, p.year, p.sn, SUM(p.n) AS n
     FROM c_per_cust p JOIN cust c ON p.o_custkey = c.c_custkey
     GROUP BY c.cc, c.seg, p.year, p.sn

@@ -20,8 +20,6 @@ from regiocube.operators import benchmark as bm
 from regiocube.operators import consumer as cq
 from regiocube.operators import enrich as en
 from regiocube.operators import quality as dq
-from regiocube.sources.sdmx import filter_slice as _filter_slice
-from regiocube.sources.sdmx import melt_wide as _melt
 from regiocube.sources.sdmx import read_sdmx_tsv as _read_tsv
 from regiocube.sources.sdmx import wide_layout as _wide_layout
 from regiocube.operators import position as po
@@ -363,14 +361,8 @@ wide_frame = _wide_layout
 
 def _landed_obs(spark: SparkSession, sf_dir: str, source_filter=None) -> DataFrame:
     """The raw layer as ingest sees it: the wide SDMX TSV landed once per
-    build and read back by ``read_sdmx_tsv`` (SRC-1); without a scratch
-    folder, the same melt over the in-memory wide layout."""
-    c = cubes(spark, sf_dir)
-    path = c.landed_tsv()
-    if path is None:
-        obs = _melt(wide_frame(c.obs()))
-        return _filter_slice(obs, source_filter) if source_filter else obs
-    return _read_tsv(spark, path, source_filter=source_filter)
+    build and read back by ``read_sdmx_tsv`` (SRC-1)."""
+    return _read_tsv(spark, cubes(spark, sf_dir).landed_tsv(), source_filter=source_filter)
 
 
 def melt_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -400,10 +392,7 @@ def landing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     from regiocube.streaming.landing import clean_stream
 
     c = cubes(spark, sf_dir)
-    root = scratch_root(spark)
-    if root is None:  # no shared folder to land into: the batch equivalent
-        return c.clean()
-    run = f"{root.rstrip('/')}/regiocube-streams/{uuid.uuid4().hex}"
+    run = _scratch_run(spark, "stream")
     c.obs().write.parquet(f"{run}/landing/batch-0")
     q = clean_stream(
         spark, f"{run}/landing/*", ["freq", "unit", "cat", "geo"], c.geo(), f"{run}/clean",
@@ -416,12 +405,25 @@ def landing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------- sources / sinks
-def _scratch_run(spark: SparkSession, kind: str) -> str | None:
-    """A fresh folder under the session's shared scratch folder (or None)."""
+def _scratch_run(spark: SparkSession, kind: str) -> str:
+    """A fresh folder under the session's shared scratch folder, removed when
+    this process ends (its rows are read until then)."""
+    import atexit
     import uuid
 
     root = scratch_root(spark)
-    return None if root is None else f"{root.rstrip('/')}/regiocube-io/{kind}-{uuid.uuid4().hex}"
+    if root is None:
+        raise RuntimeError("no shared scratch folder: set spark.checkpoint.dir")
+    path = f"{root.rstrip('/')}/regiocube-io/{kind}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    if spark.sparkContext._jsc is None:  # the session has ended before
+        return
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def sdmx_tsv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -431,20 +433,149 @@ def sdmx_tsv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     c = cubes(spark, sf_dir)
     run = _scratch_run(spark, "sdmx")
-    if run is None:
-        return _melt(wide_frame(c.obs()))
     write_sdmx_tsv(wide_frame(c.obs()), run)
     return read_sdmx_tsv(spark, run)
 
 
+def sdmx_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-1, a folder of files with different periods: the years up to 1996
+    and those from 1996 on land as wide files of their own and are read
+    together; values bind to their year by name."""
+    from regiocube.sources.sdmx import read_sdmx_tsv, write_sdmx_tsv
+
+    obs, run = cubes(spark, sf_dir).obs(), _scratch_run(spark, "sdmx-folder")
+    for part in (F.col("year") <= 1996, F.col("year") >= 1996):
+        write_sdmx_tsv(wide_frame(obs.filter(part)), run, mode="append")
+    return en.drop_incomplete(read_sdmx_tsv(spark, run))
+
+
+def support_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-5: a support file (the citizenship codes) landed as CSV labels the
+    raw citizenship cube."""
+    from regiocube.sources import starcube as sc
+    from regiocube.sources.readers import read_codelist
+
+    c = cubes(spark, sf_dir)
+    run = _scratch_run(spark, "support")
+    sc.citizen_codelist(spark, c.geo()).write.option("header", "true").option("escape", '"').csv(run)
+    return en.enrich_labels(c.citizen().drop("citizen_label_en"), {"citizen": read_codelist(spark, run, "csv")})
+
+
+def cast_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ENR-5: observations as text, suppressed values as ``NaN`` and the values
+    of one year as junk, cast back (junk and NaN become NULL)."""
+    text = (F.when(F.col("value").isNull(), F.lit("NaN")).when(F.col("year") == 1995, F.lit("n/a"))
+            .otherwise(F.col("value").cast("string")))
+    raw = cubes(spark, sf_dir).obs().select("unit", "cat", "geo", F.col("year").cast("string").alias("year"),
+                                            text.alias("value"))
+    return en.cast_observations(raw)
+
+
+def _mapped(spark: SparkSession, sf_dir: str, mapping: dict, default: str | None) -> DataFrame:
+    rows = cubes(spark, sf_dir).obs().select("unit", "cat", "geo", "year")
+    return en.with_mapped_labels(rows, {"cat": (mapping, default)})
+
+
+def map_labels_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ENR-6a: inline label map; an unknown code is its own label."""
+    return _mapped(spark, sf_dir, {"A": "Accepted", "R": "Returned"}, "code")
+
+
+def map_labels_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ENR-6b: inline label map; an unknown code has no label."""
+    return _mapped(spark, sf_dir, {"A": "Accepted", "R": "Returned"}, None)
+
+
+def map_labels_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ENR-6d: the code itself is the label."""
+    return _mapped(spark, sf_dir, {}, "code")
+
+
+def _codelists(spark: SparkSession) -> dict[str, DataFrame]:
+    from regiocube.constants import FLAG_LABELS, FREQ_LABELS
+    from regiocube.sources import starcube as sc
+
+    return {"freq": sc.codelist(spark, FREQ_LABELS), "unit": sc.codelist(spark, sc.UNIT_LABELS),
+            "cat": sc.codelist(spark, sc.CAT_LABELS), "flag": sc.codelist(spark, FLAG_LABELS)}
+
+
+def clean_monthly_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A monthly dataset run end to end (land, clean, mart, gates); its written clean table."""
+    from regiocube.constants import MONTH_LABELS
+    from regiocube.plans.runner import run_dataset
+    from regiocube.plans.spec import DatasetSpec, MartSpec
+    from regiocube.sources import starcube as sc
+
+    c, run = cubes(spark, sf_dir), _scratch_run(spark, "monthly")
+    spec = DatasetSpec(
+        slug="star-monthly", dataflow="STAR_M", dims=("freq", "unit", "cat", "geo"), codelist_dims=("cat",),
+        label_maps={"month": (MONTH_LABELS, None)}, period="month", not_null=("geo", "year", "month"),
+        marts=(MartSpec("mart_trend", lambda clean: tr.trend(
+            clean, TOTAL_NR, keys=("geo", "month"), carry=("geo_label_en", "nuts_level", "country", "month_label_en")),
+            ("geo", "month"), 1, ("country", "month", "nuts_level", "geo"), ("cagr_pct",), TOTAL_NR,
+            ("geo", "month", "year")),))
+    run_dataset(spark, spec, sc.monthly_obs(c.cells(), c.ref), c.geo(), _codelists(spark), run, 2026)
+    return spark.read.parquet(f"{run}/star-monthly/2026/clean.parquet")
+
+
+def _annual_spec(slug: str):
+    """The annual cube as a dataset with one mart."""
+    from regiocube.plans.spec import DatasetSpec, MartSpec
+
+    return DatasetSpec(
+        slug=slug, dataflow="STAR_A", dims=("freq", "unit", "cat", "geo"), codelist_dims=("cat",),
+        marts=(MartSpec("mart_trend", lambda clean: tr.trend(clean, TOTAL_EUR_HAB), ("geo",), 10,
+                        ("country", "nuts_level", "geo"), ("geo_label_en", "cagr_pct"), TOTAL_EUR_HAB, ("geo", "year")),))
+
+
+GATE_COLUMNS = "check_name string, subject string, n_checked long, n_bad long"
+
+
+def dq_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-1 (with DQ-2/3 in the same pass): the declared columns of the clean
+    table, and one that it does not have."""
+    spec = _annual_spec("star-annual")
+    return dq.table_gates(cubes(spark, sf_dir).clean(), (*spec.required_columns, "absent"), ("geo", "absent"), 1000,
+                          "clean")
+
+
+def dq_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-5: the gate report of a whole dataset run (one row per gate)."""
+    from regiocube.plans.runner import run_dataset
+
+    c, run = cubes(spark, sf_dir), _scratch_run(spark, "gates")
+    rows = run_dataset(spark, _annual_spec("star-annual"), c.obs(), c.geo(), _codelists(spark), run, 2026)
+    return spark.createDataFrame([(r["check_name"], r["subject"], r["n_checked"], r["n_bad"]) for r in rows], GATE_COLUMNS)
+
+
+def batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """QRY-6: a batch of three datasets, one of which lacks a codelist and
+    one of which has each observation twice; the batch goes on. One row per
+    dataset, with the clean rows that its run left."""
+    from regiocube.plans.runner import run_all
+
+    c, run = cubes(spark, sf_dir), _scratch_run(spark, "batch")
+    lists = _codelists(spark)
+    out = run_all(spark, {s: _annual_spec(s) for s in ("whole", "doubled")},
+                  {"whole": c.obs(), "doubled": c.obs().unionByName(c.obs())}, c.geo(), lists, run, 2026)
+    out += run_all(spark, {"unlabelled": _annual_spec("unlabelled")}, {"unlabelled": c.obs()}, c.geo(),
+                   {k: v for k, v in lists.items() if k != "cat"}, run, 2026)
+    ended = spark.createDataFrame([(r["dataset"], r["n_bad"]) for r in out if r["check_name"] == "dataset_run"],
+                                  "dataset string, n_bad long")
+    rows = None
+    for slug in ("whole", "doubled", "unlabelled"):
+        n = (spark.read.parquet(f"{run}/{slug}/2026/clean.parquet").agg(F.count(F.lit(1)).alias("clean_rows"))
+             .withColumn("dataset", F.lit(slug)))
+        rows = n if rows is None else rows.unionByName(n)
+    return ended.join(rows, "dataset").select("dataset", "n_bad", "clean_rows")
+
+
 def clean_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-1 + SRC-7: the clean table written partitioned by year, read back."""
     from regiocube.sources.sinks import write_clean
 
     c = cubes(spark, sf_dir)
     run = _scratch_run(spark, "clean")
-    if run is None:
-        return c.clean()
     write_clean(c.clean(), run)
     return spark.read.parquet(run)
 
@@ -456,9 +587,6 @@ def geo_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     c = cubes(spark, sf_dir)
     run = _scratch_run(spark, "geo")
-    if run is None:
-        return c.geo().select("code", "label_en", F.nullif("nuts_level", F.lit("")).alias("nuts_level"),
-                              F.nullif("parent_code", F.lit("")).alias("parent_code"))
     write_geo(c.geo(), run)
     return read_geo(spark, run)
 
@@ -470,8 +598,6 @@ def latest_vintage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     c = cubes(spark, sf_dir)
     run = _scratch_run(spark, "vintages")
-    if run is None:
-        return c.obs()
     c.obs().filter(F.col("year") <= 1999).write.parquet(f"{run}/2025")
     c.obs().write.parquet(f"{run}/2026")
     return read_latest(spark, run)
@@ -485,8 +611,6 @@ def typed_csv_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = cubes(spark, sf_dir)
     run = _scratch_run(spark, "typed")
     schema = "freq string, unit string, cat string, geo string, year int, value double, flag string"
-    if run is None:
-        return c.obs()
     c.obs().select("value", "geo", "flag", "year", "cat", "unit", "freq").write.option(
         "header", "true").csv(run)
     return read_obs(spark, run, schema, fmt="csv")
@@ -503,9 +627,8 @@ def codelist_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = cubes(spark, sf_dir)
     run = _scratch_run(spark, "codelist")
     cl = sc.citizen_codelist(spark, c.geo())
-    if run is not None:
-        cl.select("code", F.col("label_en").alias("description_en")).write.parquet(run)
-        cl = read_codelist(spark, run)
+    cl.select("code", F.col("label_en").alias("description_en")).write.parquet(run)
+    cl = read_codelist(spark, run)
     return en.enrich_labels(c.citizen().drop("citizen_label_en"), {"citizen": cl})
 
 
@@ -516,10 +639,8 @@ def mart_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     run = _scratch_run(spark, "marts")
     bench = geo_benchmark(spark, sf_dir)
-    if run is None:
-        return bench
     path = write_mart(bench, run, "star-cube", 2026, "mart_geo_benchmark",
-                      sort_keys=[F.col("year").desc(), "nuts_level", "country", "geo", "unit", "cat"])
+                      sort_keys=["-year", "nuts_level", "country", "geo", "unit", "cat"])
     return spark.read.parquet(path)
 
 
@@ -711,6 +832,16 @@ QUERIES: dict[str, Query] = {
     "drop_incomplete": drop_incomplete,
     "landing_stream": landing_stream,
     "sdmx_tsv_roundtrip": sdmx_tsv_roundtrip,
+    "sdmx_folder": sdmx_folder,
+    "support_csv": support_csv,
+    "cast_obs": cast_obs,
+    "map_labels_fallback": map_labels_fallback,
+    "map_labels_null": map_labels_null,
+    "map_labels_code": map_labels_code,
+    "clean_monthly_run": clean_monthly_run,
+    "dq_columns": dq_columns,
+    "dq_gates": dq_gates,
+    "batch_run": batch_run,
     "clean_parquet_roundtrip": clean_parquet_roundtrip,
     "geo_csv_roundtrip": geo_csv_roundtrip,
     "latest_vintage": latest_vintage,
