@@ -101,12 +101,12 @@ def allocate(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_copies: int
     held = drawn.groupBy("key", "bucket").agg(F.sum("size").alias("held"))
     earlier = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     base = held.select("key", "bucket", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("base"))
-    # The join and the window share their keys: the rows move once.
+    # The join follows the window and shares its keys: the rows move once.
     inside = (Window.partitionBy("key", "bucket").orderBy("odds", F.col("doc_id").asc_nulls_last(), "size")
               .rowsBetween(Window.unboundedPreceding, -1))
-    ahead = F.col("base") + F.coalesce(F.sum("size").over(inside), F.lit(0))
-    return (drawn.join(base, ["key", "bucket"])
-            .withColumn("ahead", ahead)
+    return (drawn.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+            .join(base, ["key", "bucket"])
+            .withColumn("ahead", F.col("base") + F.col("inside"))
             .withColumn("extra", ((F.col("ahead") * 2 + F.col("size") <= F.col("rest") * 2) & (F.col("rest") > 0)).cast("long"))
             .select("row", "doc_id", "source", "size", "source_size", "target",
                     (F.col("certain").cast("long") + F.col("extra")).alias("copies")))
