@@ -13,7 +13,8 @@ side, the longest first.
 
 The model (log shares of the buckets per language, and the scripts of each language)
 is fitted on at most about ``SAMPLE_ROWS`` different whole texts per language,
-drawn by a hash of the text, and is ``languages * BUCKETS * 4`` bytes large.
+drawn by a hash of the text, and is ``languages * BUCKETS * 4`` bytes large (at most
+``MOST_LANGUAGES`` languages: 64 MB; more values of lang are an error).
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ from regiocube.llm.common import map_arrow, text_slices
 
 BUCKETS = 1 << 15
 SAMPLE_ROWS = 5_000
+MOST_LANGUAGES = 512
 #: Log-probability that a change of language between two words costs.
 SWITCH = 6.0
 #: A word's evidence for one language against another is at most this large.
@@ -144,7 +146,10 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     draw = F.pmod(F.xxhash64("text", F.lit(11)), F.lit(spread))
     rows = labelled.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where(
         "text is not null and lang is not null")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counts = {r["lang"]: r["n"] for r in
+              rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()}
+    if len(counts) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} values of lang: the model would not fit its bound")
     languages = sorted(counts)
     if not languages:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros((len(_NAMES), 0), bool))
