@@ -35,7 +35,7 @@ from regiocube.llm.common import map_arrow, text_slices
 #: Bytes of text that one call of the tokenizer gets (one longer text gets a call of its own).
 CALL_BYTES = 1 << 20
 #: Bytes of text that are split into pre-tokens at once.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 4 << 20
 #: Entries of each of the memo's two generations, and the longest key kept.
 MEMO_ENTRIES = 150_000
 MEMO_CHARS = 48
