@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pathlib
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -25,12 +27,31 @@ BATCH_BYTES = 8 << 20
 _BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the library's code to the executors, once per application, so that
+    workers can import it wherever the driver was started."""
+    sc = spark.sparkContext
+    root = pathlib.Path(__file__).resolve().parents[1]
+    if sc.applicationId in _SHIPPED or not root.is_dir():
+        return
+    target = pathlib.Path(tempfile.mkdtemp(prefix="regiocube-code-")) / "regiocube.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(target))
+    _SHIPPED.add(sc.applicationId)
+
+
 def map_arrow(df: DataFrame, function: Callable, schema: StructType | str) -> DataFrame:
     """``df.mapInArrow`` with batches of bounded bytes: long texts come few at a time.
 
     The bound is a setting of the session, read when the plan runs; it is only ever lowered.
     """
     spark = df.sparkSession
+    ship(spark)
     size = spark.conf.get(_BATCH_CONF, "64m").lower().rstrip("b")
     unit = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(size[-1:], 1)
     if not 0 < int(size.rstrip("kmg")) * unit <= BATCH_BYTES:

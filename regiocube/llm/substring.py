@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from regiocube.llm.common import WORD_PATTERN, parts
+from regiocube.llm.common import WORD_PATTERN, parts, ship
 
 WINDOW = 13
 #: Bytes of text in a batch, and windows in a bucket: the memory of one task.
@@ -248,6 +248,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, keep: Sequence[str]
     - null doc_id: neither smaller nor larger than any; whole text kept;
     - empty table: empty result; clashing column names stay inside ``row``.
     """
+    ship(docs.sparkSession)
     # The text moves once, beside the other columns.
     with_text = "text" in keep
     other = [F.col(f"`{c}`") for c in keep if c != "text"] or [F.lit(None).cast("int").alias("none")]
