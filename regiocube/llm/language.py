@@ -141,13 +141,16 @@ class Model:
 
 
 def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """A model from (text, lang) rows with neither null; draws by (text, lang) alone."""
+    """A model from (text, lang) rows with neither null; draws by (text, lang) alone.
+
+    A language's share is taken of its different texts, so copies neither thin nor swell its sample.
+    """
     spread = 1 << 30
     draw = F.pmod(F.xxhash64("text", F.lit(11)), F.lit(spread))
     rows = labelled.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where(
         "text is not null and lang is not null")
     counts = {r["lang"]: r["n"] for r in
-              rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()}
+              rows.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text")).alias("n")).limit(MOST_LANGUAGES + 1).collect()}
     if len(counts) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} values of lang: the model would not fit its bound")
     languages = sorted(counts)
@@ -155,7 +158,7 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros((len(_NAMES), 0), bool))
     share = F.lit(0)
     for name, n in counts.items():
-        share = F.when(F.col("lang") == name, F.lit(int(spread * min(1.0, sample_rows / n)))).otherwise(share)
+        share = F.when(F.col("lang") == name, F.lit(int(spread * min(1.0, sample_rows / max(1, n))))).otherwise(share)
     names = {name: k for k, name in enumerate(languages)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

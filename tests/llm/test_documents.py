@@ -43,6 +43,14 @@ def test_language_is_learned_and_held_out_documents_are_named(spark):
     assert both.score.between(0, 1).all()
 
 
+def test_language_sample_is_not_thinned_by_copies(spark, given):
+    rows = [(i, t, l, "s") for i, (t, l) in enumerate(dict.fromkeys((t, l) for _, t, l, _ in given))]
+    copied = rows + [(10_000 + i, "one page, copied often", rows[0][2], "s") for i in range(3000)]
+    once = [*rows, copied[-1]]
+    model, plain = (language.fit(documents(spark, x).select("text", "lang"), sample_rows=400) for x in (copied, once))
+    assert model.languages == plain.languages and (model.logs == plain.logs).all() and (model.scripts == plain.scripts).all()
+
+
 def test_language_spans_of_mixed_text(spark, given):
     by_lang = defaultdict(list)
     for _, text, lang, _ in given:
