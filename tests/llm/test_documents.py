@@ -361,3 +361,23 @@ def test_edit_near_duplicates(spark, odd, none, given):
         classes.setdefault(r["doc_id"], set()).add(r["class_id"])
     assert classes[8] == {1} and classes[None] == {None} and classes[4] == {3} and len(classes) == len({d for d, *_ in DOCS})
     assert editprint.near_duplicates(none).count() == 0
+
+
+def _changed(rng, text, share):
+    chars = list(text)
+    for _ in range(int(len(chars) * share)):
+        at = rng.randrange(len(chars))
+        chars[at:at + 1] = rng.choice(["", "x", chars[at] + "y"])
+    return "".join(chars)
+
+
+def test_pairs_up_to_the_stated_edits_are_found(spark, given):
+    rng = random.Random(8)
+    rows, pairs = [], []
+    for i, t in enumerate(dict.fromkeys(t for _, t, _, _ in given if 60 < len(t) < 16000)):
+        near = _changed(rng, t, 0.02)
+        if near != t and editprint.edit_distance(t, near) <= 0.02 * max(len(t), len(near)):
+            rows += [(2 * i, t, "en", "s"), (2 * i + 1, near, "en", "s")]
+            pairs.append(2 * i)
+    got = {r["doc_id"]: r["class_id"] for r in editprint.near_duplicates(documents(spark, rows)).collect()}
+    assert len(pairs) > 100 and sum(got[i] == got[i + 1] for i in pairs) >= 0.98 * len(pairs)
