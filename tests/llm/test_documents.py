@@ -381,3 +381,20 @@ def test_pairs_up_to_the_stated_edits_are_found(spark, given):
             pairs.append(2 * i)
     got = {r["doc_id"]: r["class_id"] for r in editprint.near_duplicates(documents(spark, rows)).collect()}
     assert len(pairs) > 100 and sum(got[i] == got[i + 1] for i in pairs) >= 0.98 * len(pairs)
+
+
+def test_a_family_is_joined_without_all_its_pairs(spark, given):
+    rng = random.Random(9)
+    base = next(t for _, t, _, _ in given if 900 < len(t) < 2000)
+    texts = list(dict.fromkeys(_changed(rng, base, 0.003) for _ in range(100)))
+    got = editprint.near_duplicates(documents(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])).collect()
+    assert {r["class_id"] for r in got} == {0} and len(got) == len(texts)
+    assert len(texts) - 1 <= sum(r["n_links"] for r in got) / 2 < 4 * len(texts)
+
+
+def test_within_is_the_edit_distance():
+    rng = random.Random(10)
+    for _ in range(500):
+        a = "".join(rng.choices("abcde", k=rng.randint(0, 200)))
+        b, most = _changed(rng, a, rng.random() / 20), rng.randint(0, 6)
+        assert editprint.within(a, b, most) == (editprint.edit_distance(a, b) <= most)
