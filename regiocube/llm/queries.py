@@ -73,8 +73,8 @@ def op8_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Edit fingerprints of every document and its edited text."""
-    return editprint.compare_edited(table(spark, sf_dir, "documents"))
+    """Edit fingerprints of every document and its edited text, and its class of near copies."""
+    return editprint.edit_fingerprints(table(spark, sf_dir, "documents"))
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

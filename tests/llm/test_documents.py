@@ -398,3 +398,9 @@ def test_within_is_the_edit_distance():
         a = "".join(rng.choices("abcde", k=rng.randint(0, 200)))
         b, most = _changed(rng, a, rng.random() / 20), rng.randint(0, 6)
         assert editprint.within(a, b, most) == (editprint.edit_distance(a, b) <= most)
+
+
+def test_edit_query_names_the_classes(spark, given):
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in queries.op9_edit_fingerprints(spark, SF_SMALL).collect()}
+    near = editprint.near_duplicates(spark.read.parquet(f"{SF_SMALL}/documents.parquet")).collect()
+    assert got == {r["doc_id"]: (r["class_id"], r["n_links"]) for r in near} and len(got) == len(given)
