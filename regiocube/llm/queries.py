@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiocube.llm import chat, editprint, language, mixing, neighbours, packing, simhash, substring, tokens, warc
+from regiocube.llm import chat, editprint, language, lexical, mixing, neighbours, packing, secrets, simhash, structure, substring, tokens, warc
 from regiocube.llm.common import table
 
 #: The vocabulary that the token queries read (a path of the machine's installed tokenizers).
@@ -83,8 +83,46 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversations with a fault in a quarter of their turns, drawn by crc32 of ``conv_id:turn`` (null: one space)."""
+    some = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    draw = F.crc32(F.concat(some("conv_id"), F.lit(":"), some("turn")).cast("binary")) % 20
+    rows = conversations.select("conv_id", "turn", some("role").alias("role"), some("text").alias("text"), draw.alias("draw"))
+    text = (F.when(F.col("draw") == 1, "").when(F.col("draw") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text")))
+    role = F.when(F.col("draw") == 4, structure.USER).otherwise(F.col("role"))
+    copies = F.when(F.col("draw") == 3, 2).otherwise(1)
+    return (rows.where("draw <> 0").withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
+            .select("conv_id", "turn", role.alias("role"), text.alias("text")))
+
+
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged and repaired by the cheapest edits."""
+    conversations = table(spark, sf_dir, "conversations")
+    found = structure.conversation_audits(structure.repair(damaged(conversations))).withColumnRenamed("conv_id", "repaired_id")
+    known = conversations.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    whole = known.join(found, F.col("conv_id").eqNullSafe(F.col("repaired_id")), "left")
+    zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return whole.select("conv_id", *zero, F.coalesce("audit", F.lit("")).alias("audit"),
+                        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every text: the base patterns' matches, and windows of high entropy."""
+    found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
+    of_kind = lambda k: F.filter("spans", lambda s: s["kind"] == k)
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
+    base = F.filter("spans", lambda s: s["kind"] != secrets.ENTROPY)
+    return found.select("row.doc_id", *[F.size(of_kind(k)).cast("long").alias(f"n_{k}") for k in secrets.KINDS],
+                        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_language_id, op2_substring_dedup, op3_nearest_neighbours, op4_chat_formatting, op5_warc_archive, op6_simhash_dedup, op7_source_mixing, op8_sequence_packing,
-        op9_edit_fingerprints, op10_token_counts)
+        op9_edit_fingerprints, op10_token_counts, op11_structure_repair, op12_secret_scan, op13_lexical_search)
 }

@@ -13,7 +13,7 @@ from tests.conftest import SF_SMALL
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations"):
+    for t in ("documents", "pages", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     want = con.sql(ORACLE_SQL[name])
     columns = sorted(want.columns)
@@ -25,4 +25,4 @@ def test_query_equals_sql(spark, name):
 
 
 def test_every_operator_has_its_query():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 14)]
