@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from regiocube.constants import EU27
@@ -220,6 +220,62 @@ def table_gates(df: DataFrame, required: Sequence[str], not_null: Sequence[str],
     return agg.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
+class TableMetrics:
+    """DQ-1 to DQ-4 of a table, counted while it is written.
+
+    ``attach`` puts the counts into the plan of the write itself (one scan, no
+    second pass): rows and NULLs as observed metrics, and the key by the place of each
+    row among those of its key. ``rows`` are the gates' report after the write.
+    A column of ``not_null`` that is missing is NULL in every row; a key
+    with a missing column is not checked, the missing column is reported.
+    """
+
+    def __init__(self, subject: str, required: Sequence[str] = (), not_null: Sequence[str] = (), min_rows: int = 0,
+                 key: Sequence[str] = ()):
+        self.subject, self.required, self.not_null, self.min_rows, self.key = subject, required, not_null, min_rows, key
+        self._seen = Observation()
+        self._columns: list[str] = []
+
+    @property
+    def _with_key(self) -> bool:
+        return bool(self.key) and set(self.key) <= set(self._columns)
+
+    def placed(self, df: DataFrame) -> DataFrame:
+        """``df`` with the row's place among the rows of its key (one row per key where the gate holds)."""
+        self._columns = df.columns
+        if not self._with_key:
+            return df
+        return df.withColumn("__copy", F.row_number().over(Window.partitionBy(*self.key).orderBy(self.key[0])))
+
+    def attach(self, df: DataFrame) -> DataFrame:
+        """The plan to write: above any sort, since sampling for a sort runs what is below it twice."""
+        self._columns = self._columns or df.columns
+        present = [c for c in self.not_null if c in self._columns]
+        counts = [F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(c).isNull()).alias(f"null_{i}") for i, c in enumerate(present)]]
+        if self._with_key:
+            counts += [F.count_if(F.col("__copy") == k).alias(name) for k, name in ((1, "keys"), (2, "doubled"))]
+        return df.observe(self._seen, *counts).drop("__copy")
+
+    @property
+    def n_rows(self) -> int:
+        return self._seen.get["n"]
+
+    def rows(self) -> list[dict]:
+        """One row per gate, as ``run_gates`` returns them; only after the write."""
+        seen = self._seen.get
+        present = [c for c in self.not_null if c in self._columns]
+
+        def row(check: str, subject: str, checked: int, bad: int) -> dict:
+            return {"check_name": check, "subject": subject, "n_checked": checked, "n_bad": bad}
+
+        out = [row("required_columns", self.subject, len(self.required), len([c for c in self.required if c not in self._columns])),
+               row("min_rows", str(self.min_rows), seen["n"], int(seen["n"] < self.min_rows))]
+        out += [row("not_null", c, seen["n"], seen[f"null_{present.index(c)}"] if c in present else seen["n"]) for c in self.not_null]
+        if self._with_key:
+            out.append(row("primary_key", ",".join(self.key), seen["keys"], seen["doubled"]))
+        return out
+
+
 class GateFailure(RuntimeError):
     pass
 

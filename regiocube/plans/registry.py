@@ -553,6 +553,7 @@ def batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     one of which has each observation twice; the batch goes on. One row per
     dataset, with the clean rows that its run left."""
     from regiocube.plans.runner import run_all
+    from regiocube.plans.vintage import rejected_folder, vintage_folder
 
     c, run = cubes(spark, sf_dir), _scratch_run(spark, "batch")
     lists = _codelists(spark)
@@ -564,7 +565,8 @@ def batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   "dataset string, n_bad long")
     rows = None
     for slug in ("whole", "doubled", "unlabelled"):
-        n = (spark.read.parquet(f"{run}/{slug}/2026/clean.parquet").agg(F.count(F.lit(1)).alias("clean_rows"))
+        folder = vintage_folder if slug == "whole" else rejected_folder
+        n = (spark.read.parquet(f"{folder(run, slug, 2026)}/clean.parquet").agg(F.count(F.lit(1)).alias("clean_rows"))
              .withColumn("dataset", F.lit(slug)))
         rows = n if rows is None else rows.unionByName(n)
     return ended.join(rows, "dataset").select("dataset", "n_bad", "clean_rows")

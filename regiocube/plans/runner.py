@@ -2,13 +2,16 @@
 
 Each stage is a distributed Spark job; stages meet through the written
 parquet (the clean table is written once and every mart reads it back).
-Only gate reports (a few rows per check) reach the driver.
+Gates are counted while the tables are written; a vintage is published only
+after them. Only gate reports (a few rows per check) reach the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +27,9 @@ from regiocube.plans.spec import DatasetSpec
 from regiocube.sources.files import data_files, first_line
 from regiocube.sources.readers import latest_path, list_vintages, read_obs
 from regiocube.sources.sdmx import filter_slice, read_sdmx_tsv
-from regiocube.sources.sinks import write_clean, write_mart
+from regiocube.sources.sinks import write_clean, write_table
+from regiocube.plans.vintage import StagedVintage, read_manifest, recover, vintage_folder
+
 
 def prepare_raw(spec: DatasetSpec, raw: DataFrame) -> DataFrame:
     """Source filter, casts, period split and optional row rejection."""
@@ -79,62 +84,92 @@ def run_dataset(
     vintage: str | int,
     fail_on_error: bool = True,
 ) -> list[dict]:
-    """Clean + every mart of ``spec``; returns the gate report rows.
+    """Clean + every mart of ``spec``, published as one vintage; returns the gate report rows.
 
     ``raw`` is a long observation DataFrame or the path of landed data (see
-    ``land``). The clean table's columns and keys are checked before any mart
-    is built (also the key of each mart's slice: duplicate observations would
-    make endpoint lookups ambiguous), whatever ``fail_on_error`` says; the other
-    gates are reported, and raise at the end with it.
+    ``land``). All tables are written into a staged folder, and the gates of
+    columns, NULLs, row minima and mart keys are counted in those writes. The
+    clean table's columns and keys are judged before any mart is built (also the
+    key of each mart's slice: duplicate observations would make endpoint lookups
+    ambiguous), whatever ``fail_on_error`` says; the other gates are judged before
+    the vintage is published. A vintage that fails is set aside as rejected and
+    the published one stays (``plans.vintage``); without ``fail_on_error`` the
+    failed gates are reported and the vintage is published.
     """
-    base = f"{out_root.rstrip('/')}/{spec.slug}/{vintage}"
-    write_clean(build_clean(spec, land(spark, spec, raw), geo, codelists), f"{base}/clean.parquet")
-    clean = spark.read.parquet(f"{base}/clean.parquet")
-    key = [d for d in spec.dims if d != "geo"] + ["geo", "year", *spec.extra_time]
-    gates = dq.run_gates([dq.table_gates(clean, spec.required_columns, spec.not_null, spec.min_rows,
-                                         f"{spec.slug}/clean")], False)
+    staged = StagedVintage(spark, out_root, spec.slug, vintage)
+    rows: list[dict] = []
+    try:
+        rows += _staged_clean(spec, build_clean(spec, land(spark, spec, raw), geo, codelists), staged)
+        clean = spark.read.parquet(staged.path("clean"))
+        for mart in spec.marts:
+            counts = dq.TableMetrics(f"{spec.slug}/{mart.name}", (*mart.key, *mart.required), (), mart.min_rows, mart.key)
+            write_table(mart.build(clean), staged.path(mart.name), list(mart.order_by) or None, counts)
+            staged.tables[mart.name] = counts.n_rows
+            rows += counts.rows()
+        rows += dq.run_gates([dq.check_tables(spark, list(staged.tables), spec.required_tables, spec.slug)], False)
+        bad = [r for r in rows if r["n_bad"]]
+        if bad and fail_on_error:
+            raise dq.GateFailure(f"{spec.slug}: {len(bad)} gate(s) failed: {bad}")
+    except dq.GateFailure:
+        staged.reject(rows)
+        raise
+    except BaseException:
+        staged.discard()
+        raise
+    staged.commit(rows)
+    return [dict(r, dataset=spec.slug) for r in rows]
+
+
+def _staged_clean(spec: DatasetSpec, clean: DataFrame, staged: StagedVintage) -> list[dict]:
+    """Write the clean table; its gate rows. Columns or keys that fail raise."""
+    counts = dq.TableMetrics(f"{spec.slug}/clean", spec.required_columns, spec.not_null, spec.min_rows)
+    write_clean(clean, staged.path("clean"), metrics=counts)
+    staged.tables["clean"] = counts.n_rows
+    gates = counts.rows()
     rows = [r for r in gates if r["check_name"] == "required_columns"]
     if not any(r["n_bad"] for r in rows):
-        rows += dq.run_gates([dq.check_key(clean, key), *(
-            dq.check_key(clean.filter(slice_predicate(m.slice_) & F.col("value").isNotNull()), m.slice_key)
+        written = staged.spark.read.parquet(staged.path("clean"))
+        key = [d for d in spec.dims if d != "geo"] + ["geo", "year", *spec.extra_time]
+        rows += dq.run_gates([dq.check_key(written, key), *(
+            dq.check_key(written.filter(slice_predicate(m.slice_) & F.col("value").isNotNull()), m.slice_key)
             for m in spec.marts if m.slice_key and set(m.slice_key) != set(key))], False)
     stop = [r for r in rows if r["n_bad"]]
-    rows += [r for r in gates if r["check_name"] != "required_columns"]
     if stop:
         raise dq.GateFailure(f"{spec.slug}: {len(stop)} gate(s) failed before the marts: {stop}")
-    reports, written = [], []
-    for mart in spec.marts:
-        path = write_mart(mart.build(clean), out_root, spec.slug, vintage, mart.name,
-                          list(mart.order_by) or None)
-        written.append(mart.name)
-        m = spark.read.parquet(path)
-        reports += [dq.check_key(m, list(mart.key)),
-                    dq.table_gates(m, (*mart.key, *mart.required), (), mart.min_rows, f"{spec.slug}/{mart.name}")]
-    reports.append(dq.check_tables(spark, written, spec.required_tables, spec.slug))
-    rows += dq.run_gates(reports, False)
-    bad = [r for r in rows if r["n_bad"]]
-    if bad and fail_on_error:
-        raise dq.GateFailure(f"{spec.slug}: {len(bad)} gate(s) failed: {bad}")
-    return [dict(r, dataset=spec.slug) for r in rows]
+    return rows + [r for r in gates if r["check_name"] != "required_columns"]
+
+
+#: Datasets that a batch runs side by side.
+BATCH_WORKERS = 4
 
 
 def run_all(spark: SparkSession, specs: Mapping[str, DatasetSpec], raws: Mapping[str, DataFrame | str],
             geo: DataFrame, codelists: Mapping[str, DataFrame], out_root: str, vintage: str | int,
-            fail_on_error: bool = True) -> list[dict]:
-    """QRY-6: every dataset in turn within one session (each run is itself a
-    set of distributed jobs); returns all gate rows. A dataset that fails
-    gets a row ``dataset_run`` with the error and the batch goes on."""
-    out: list[dict] = []
-    for slug, spec in specs.items():
-        if slug not in raws:
-            continue
+            fail_on_error: bool = True, workers: int = BATCH_WORKERS) -> list[dict]:
+    """QRY-6: every dataset within one session, at most ``workers`` at a time;
+    returns all gate rows, in the order of ``specs``. A dataset that fails
+    gets a row ``dataset_run`` with the error and the batch goes on.
+
+    The threads only submit jobs: each dataset's jobs go to a scheduler pool of
+    its own, so with ``spark.scheduler.mode`` FAIR a large dataset leaves the
+    others their share of the executors, and the tail of one (a small mart, a
+    gate) fills up with tasks of another."""
+    def one(slug: str) -> list[dict]:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"dataset-{slug}")
         try:
-            out += run_dataset(spark, spec, raws[slug], geo, codelists, out_root, vintage, fail_on_error)
-            out.append({"check_name": "dataset_run", "subject": slug, "n_checked": 1, "n_bad": 0, "dataset": slug})
+            rows = run_dataset(spark, specs[slug], raws[slug], geo, codelists, out_root, vintage, fail_on_error)
+            return [*rows, {"check_name": "dataset_run", "subject": slug, "n_checked": 1, "n_bad": 0, "dataset": slug}]
         except Exception as e:  # noqa: BLE001 - reported per dataset; the batch must go on
-            out.append({"check_name": "dataset_run", "subject": f"{slug}: {type(e).__name__}: {e}", "n_checked": 1,
-                        "n_bad": 1, "dataset": slug})
-    return out
+            return [{"check_name": "dataset_run", "subject": f"{slug}: {type(e).__name__}: {e}", "n_checked": 1,
+                     "n_bad": 1, "dataset": slug}]
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+    slugs = [slug for slug in specs if slug in raws]
+    with ThreadPoolExecutor(max(1, min(workers, len(slugs)))) as pool:
+        # Wrapped one by one: a wrapped function's threads share its local properties.
+        runs = [pool.submit(inheritable_thread_target(spark)(one), slug) for slug in slugs]
+    return [row for r in runs for row in r.result()]
 
 
 def rows_by_level(clean: DataFrame) -> DataFrame:
@@ -143,16 +178,17 @@ def rows_by_level(clean: DataFrame) -> DataFrame:
 
 
 def register_views(spark: SparkSession, out_root: str, slug: str, vintage: str | int) -> list[str]:
-    """QRY-1: expose a dataflow's written clean table and marts as temp views
-    (``<slug>_clean``, ``<slug>_<mart>`` with '-' -> '_') for ad-hoc SQL."""
-    from regiocube.plans.catalog import CATALOG
-
-    base = f"{out_root.rstrip('/')}/{slug}/{vintage}"
-    tag = slug.replace("-", "_")
-    names = [f"{tag}_clean"]
-    spark.read.parquet(f"{base}/clean.parquet").createOrReplaceTempView(names[0])
-    for m in CATALOG[slug].marts:
-        name = f"{tag}_{m.name}"
-        spark.read.parquet(f"{base}/{m.name}.parquet").createOrReplaceTempView(name)
-        names.append(name)
+    """QRY-1: expose a published vintage as temp views for ad-hoc SQL: the clean
+    table as ``<slug>_clean`` and each mart of its manifest as ``<slug>_<mart>``,
+    with '-' -> '_'. The clean table's folders are its years, so a predicate on
+    ``year`` prunes them."""
+    recover(spark, out_root, slug, vintage)
+    folder = vintage_folder(out_root, slug, vintage)
+    manifest = read_manifest(spark, folder)
+    if manifest is None:
+        raise FileNotFoundError(f"no published vintage {vintage} of {slug} under {out_root}")
+    names = []
+    for table in sorted(manifest["tables"], key=lambda t: (t != "clean", t)):
+        names.append(f"{slug}_{table}".replace("-", "_"))
+        spark.read.parquet(f"{folder}/{table}.parquet").createOrReplaceTempView(names[-1])
     return names

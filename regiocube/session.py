@@ -22,6 +22,8 @@ _LOCAL_DEFAULTS = {
     # Forced, AQE splits a hot order key and adds an exchange only when it
     # measures skew at run time; unskewed plans are unchanged.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A batch submits several datasets at once, each to a pool of its own.
+    "spark.scheduler.mode": "FAIR",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
