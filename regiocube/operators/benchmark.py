@@ -29,6 +29,7 @@ from regiocube.constants import EU27, EU27_AGGREGATE
 from regiocube.functions.codes import is_member, slice_predicate
 from regiocube.functions.numeric import pct_distance, round_half_away
 from regiocube.operators.enrich import analysable
+from regiocube.operators.ranks import same, with_ranks
 
 BENCH_COLS = ("media_eu_value", "media_paese_value", "percentile_eu", "rank_nazionale",
               "distanza_media_eu_pct")
@@ -51,6 +52,20 @@ def _dim_cols(df: DataFrame, dims: Sequence[str]) -> list[str]:
     return out
 
 
+def _with_peers(df: DataFrame, partition: Sequence[str]) -> DataFrame:
+    """``df`` with the reference group's mean per partition (``__avg_ref``) and each reference row's
+    percent rank among it (``__share``), without a window over a partition."""
+    means = df.groupBy(*[F.col(c).alias(f"__p_{c}") for c in partition]).agg(
+        F.avg(F.when(F.col("__is_ref"), F.col("value"))).alias("__avg_ref"))
+    out = with_ranks(df, partition, "value", "__low", "__n_ref", where=F.col("__is_ref"))
+    out = out.join(means, same(out, means, partition, "__p_"), "left").drop(*[f"__p_{c}" for c in partition])
+    return out.withColumn("__share", _percent_rank("__low", "__n_ref"))
+
+
+def _percent_rank(rank: str, n: str) -> Column:
+    return F.when(F.col(n) > 1, (F.col(rank) - 1).cast("double") / (F.col(n) - 1)).when(F.col(n) == 1, F.lit(0.0))
+
+
 def geo_benchmark(
     clean: DataFrame,
     slice_: Mapping[str, object],
@@ -62,6 +77,7 @@ def geo_benchmark(
     round_dist: int = 1,
     slice_first: bool = True,
     carry_dims: Sequence[str] = (),
+    bounded: bool = True,
 ) -> DataFrame:
     """MRT-1 / MRT-1a.
 
@@ -81,7 +97,9 @@ def geo_benchmark(
     ``dims`` must contain every slice dimension. ``carry_dims`` are grain
     dims passed through without entering the partition (one published mart
     keys on a dim it does not partition by; correct while that dim has a
-    single value per partition).
+    single value per partition). With ``bounded=False`` nothing is taken for
+    bounded: means are aggregations, ranks come from value ranges
+    (``operators.ranks``), and no partition has to fit one task.
     """
     missing = [d for d in slice_ if d not in dims]
     if missing:
@@ -114,9 +132,23 @@ def geo_benchmark(
         )
         return out
 
-    if not slice_first:
+    def ranged(df: DataFrame) -> DataFrame:
+        national = df.groupBy(*[F.col(c).alias(f"__c_{c}") for c in (*P, "country")]).agg(F.avg("value").alias("__avg_country"))
+        out = with_ranks(_with_peers(df, P), [*P, "country"], "value", "__rank", descending=True)
+        out = out.join(national, same(out, national, [*P, "country"], "__c_"), "left")
+        return out.select(
+            *carry, round_half_away("__avg_ref", round_media).alias("media_eu_value"),
+            round_half_away("__avg_country", round_media).alias("media_paese_value"),
+            F.when(F.col("__is_ref"), round_half_away("__share", round_pct)).alias("percentile_eu"),
+            F.col("__rank").alias("rank_nazionale"), pct_distance("value", "__avg_ref", round_dist).alias("distanza_media_eu_pct"),
+            *tail)
+
+    if not bounded:
+        in_rows = ranged(base.filter(in_slice))
+    elif not slice_first:
         return bench(base, in_slice)
-    in_rows = bench(base.filter(in_slice), None)
+    else:
+        in_rows = bench(base.filter(in_slice), None)
     out_rows = base.filter(~in_slice).select(
         *carry, *[F.lit(None).cast(_TYPES[c]).alias(c) for c in BENCH_COLS], *tail)
     return in_rows.unionByName(out_rows)
@@ -131,11 +163,12 @@ def geo_benchmark_published(
     round_media: int = 2,
     round_pct: int = 4,
     round_dist: int = 2,
+    bounded: bool = True,
 ) -> DataFrame:
     """MRT-1b: base pre-filtered to ``fixed``; adds the published aggregate's
     value (``valore_eu27``, LEFT JOIN on year + dims) and the point distance
     ``distanza_eu27_pp``; no national rank; the percent distance divides by
-    the raw (signed) reference mean.
+    the raw (signed) reference mean. ``bounded`` as in ``geo_benchmark``.
     """
     fixed_pred = slice_predicate(fixed)
     P = ["year", "nuts_level", *dims]
@@ -155,14 +188,21 @@ def geo_benchmark_published(
     w_p = Window.partitionBy(*P)
     w_c = Window.partitionBy(*P[:1], "country", *P[1:])
     w_ref = Window.partitionBy(*P, "__is_ref").orderBy(F.col("value").asc_nulls_last())
-    out = joined.withColumn("__avg_ref", F.avg(F.when(F.col("__is_ref"), F.col("value"))).over(w_p))
+    if bounded:
+        out = joined.withColumn("__avg_ref", F.avg(F.when(F.col("__is_ref"), F.col("value"))).over(w_p))
+        national, share = F.avg("value").over(w_c), F.percent_rank().over(w_ref)
+    else:
+        of_country = ["year", "country", *P[1:]]
+        means = joined.groupBy(*[F.col(c).alias(f"__c_{c}") for c in of_country]).agg(F.avg("value").alias("__avg_country"))
+        out = _with_peers(joined, P)
+        out = out.join(means, same(out, means, of_country, "__c_"), "left")
+        national, share = F.col("__avg_country"), F.col("__share")
     return out.select(
         *[c if c != "__is_ref" else F.col("__is_ref").alias("is_eu") for c in cols],
         "valore_eu27",
         round_half_away("__avg_ref", round_media).alias("media_eu_value"),
-        round_half_away(F.avg("value").over(w_c), round_media).alias("media_paese_value"),
-        F.when(F.col("__is_ref"), round_half_away(F.percent_rank().over(w_ref), round_pct))
-        .alias("percentile_eu"),
+        round_half_away(national, round_media).alias("media_paese_value"),
+        F.when(F.col("__is_ref"), round_half_away(share, round_pct)).alias("percentile_eu"),
         round_half_away(F.col("value") - F.col("valore_eu27"), 2).alias("distanza_eu27_pp"),
         pct_distance("value", "__avg_ref", round_dist, abs_denominator=False)
         .alias("distanza_media_eu_pct"),
@@ -174,6 +214,7 @@ def geo_benchmark_joined(
     fixed: Mapping[str, object],
     carry_dims: Sequence[str] = (),
     round_dist: int = 2,
+    bounded: bool = True,
 ) -> DataFrame:
     """MRT-1c (aggregate-then-join flavour).
 
@@ -182,7 +223,8 @@ def geo_benchmark_joined(
     ``media_paese_value`` is the country mean by year and
     ``rank_nazionale`` ranks countries by that mean (descending, NULLs last).
     Means come from partial aggregation + join (no row-level shuffle into few
-    partitions); the percentile window is bounded by the geo count per level.
+    partitions); the percentile window is bounded by the geo count per level
+    (``bounded`` as in ``geo_benchmark``).
     """
     fixed_pred = slice_predicate(fixed)
     base_cols = (["year", "geo", "geo_label_en", "nuts_level", "country",
@@ -195,7 +237,12 @@ def geo_benchmark_joined(
         Window.partitionBy("year").orderBy(F.col("media_paese_value").desc_nulls_last())).cast("long"))
     pr = F.percent_rank().over(
         Window.partitionBy("year", "nuts_level").orderBy(F.col("value").asc_nulls_last()))
-    out = (base.withColumn("percentile_eu", pr)
+    if bounded:
+        placed = base.withColumn("percentile_eu", pr)
+    else:
+        placed = with_ranks(base, ["year", "nuts_level"], "value", "__low", "__n").withColumn(
+            "percentile_eu", _percent_rank("__low", "__n"))
+    out = (placed
                .join(bm, ["year", "nuts_level"], "left")
                .join(ca, ["year", "country"], "left"))
     m = F.col("media_eu_value")

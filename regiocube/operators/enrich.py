@@ -118,12 +118,17 @@ def build_geo(labels: DataFrame, annotations: DataFrame) -> DataFrame:
     types LEVEL and IS_STANDARD_CODE. Obsolete codes stay with a blank level
     and parent; LEVEL 0/1/2/3 -> country/NUTS1/NUTS2/NUTS3; the parent (code
     minus its last character) is set only for NUTS levels; an unknown LEVEL
-    gives a blank level.
+    gives a blank level. Of several annotations of one type the first listed counts: by
+    ``position`` if the table has that column, else as read.
     Output: (code, label_en, nuts_level, parent_code).
     """
-    ann = (annotations.groupBy("code")
-           .agg(F.min(F.when(F.col("type") == "LEVEL", F.col("title"))).alias("__level"),
-                F.min(F.when(F.col("type") == "IS_STANDARD_CODE", F.col("title"))).alias("__std")))
+    listed = F.col("position") if "position" in annotations.columns else F.monotonically_increasing_id()
+    placed = annotations.withColumn("__at", listed)
+
+    def first(kind: str) -> Column:
+        return F.min_by("title", F.when(F.col("type") == kind, F.col("__at")))
+
+    ann = placed.groupBy("code").agg(first("LEVEL").alias("__level"), first("IS_STANDARD_CODE").alias("__std"))
     joined = labels.join(ann, "code", "left")
     obsolete = F.coalesce(F.col("__std") == F.lit(OBSOLETE_CODE), F.lit(False))
     level = F.coalesce(map_labels("__level", LEVEL_NAMES, None), F.lit(""))

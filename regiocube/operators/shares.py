@@ -161,15 +161,13 @@ def unit_join(
     carry: Sequence[str] = ("geo_label_en", "nuts_level"),
     names: Sequence[str] = ("km", "per_1000_km2"),
 ) -> DataFrame:
-    """MRT-14: the ``unit_a`` rows LEFT-joined with the ``unit_b`` value of
-    the same (year, geo, ...) key; rows without an ``unit_a`` value dropped."""
-    a = clean.filter(where & (F.col("unit") == F.lit(unit_a))).select(
-        *keys, *carry, F.col("value").alias(names[0]))
-    b = clean.filter(where & (F.col("unit") == F.lit(unit_b))).select(
-        *[F.col(k).alias(f"__{k}") for k in keys], F.col("value").alias(names[1]))
-    cond = None
-    for k in keys:
-        c = a[k] == b[f"__{k}"]
-        cond = c if cond is None else cond & c
-    j = a.join(b, cond, "left").drop(*[f"__{k}" for k in keys])
-    return j.filter(F.col(names[0]).isNotNull())
+    """MRT-14: the ``unit_a`` value of each (year, geo, ...) key with the ``unit_b`` value
+    beside it (NULL where there is none); keys without an ``unit_a`` value are dropped.
+    One scan and one aggregation: both units of a key meet in one group (``carry`` depends
+    on the key; a unit has one row per key, see ``quality.check_key``)."""
+    def of(unit: str) -> Column:
+        return F.max(F.when(F.col("unit") == F.lit(unit), F.col("value")))
+
+    pairs = clean.filter(where & F.col("unit").isin(unit_a, unit_b)).groupBy(*keys, *carry).agg(
+        of(unit_a).alias(names[0]), of(unit_b).alias(names[1]))
+    return pairs.filter(F.col(names[0]).isNotNull())

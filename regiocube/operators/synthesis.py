@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from regiocube.constants import EU27, EU27_AGGREGATE
 from regiocube.functions.codes import is_member, slice_predicate
 from regiocube.functions.numeric import pct_distance, round_half_away, safe_div
+from regiocube.operators.ranks import with_ranks
 
 RANK_COL = "rank_procapite_eu"
 DIST_COL = "distanza_media_eu_pct"
@@ -221,9 +222,12 @@ def country_vs_published(
 
 
 def country_ranking(clean: DataFrame, fixed: Mapping[str, object], metric: str,
-                    rank_col: str = "rank_totale_eu") -> DataFrame:
-    """S7: rank of every country row (no group gate, NULL values kept)."""
+                    rank_col: str = "rank_totale_eu", bounded: bool = True) -> DataFrame:
+    """S7: rank of every country row (no group gate, NULL values kept). With
+    ``bounded=False`` no year has to fit one task (``operators.ranks``)."""
     c = clean.filter((F.col("nuts_level") == F.lit("country")) & slice_predicate(fixed)).select(
         "year", "country", F.col("value").alias(metric))
+    if not bounded:
+        return with_ranks(c, ["year"], metric, rank_col, descending=True)
     w = Window.partitionBy("year").orderBy(F.col(metric).desc_nulls_last())
     return c.select("year", "country", metric, F.rank().over(w).cast("long").alias(rank_col))

@@ -59,6 +59,31 @@ def geo_benchmark_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bm.geo_benchmark_joined(c.clean(), {"unit": "MIO_EUR", "cat": "TOTAL"}, ["unit"])
 
 
+def geo_benchmark_ranged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRT-1 with ranks by value ranges: no level and year has to fit one task."""
+    c = cubes(spark, sf_dir)
+    return bm.geo_benchmark(c.clean(), BENCH_SLICE, ["unit", "cat"], c.ref, round_media=2, bounded=False)
+
+
+def geo_benchmark_country_ranged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRT-1a with ranks by value ranges."""
+    c = cubes(spark, sf_dir)
+    return bm.geo_benchmark(c.clean(), BENCH_SLICE, ["unit", "cat"], c.ref, level_in_partition=False, round_media=2,
+                            bounded=False)
+
+
+def geo_benchmark_published_ranged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRT-1b with ranks by value ranges."""
+    c = cubes(spark, sf_dir)
+    return bm.geo_benchmark_published(c.clean(), {"unit": "EUR_HAB"}, ["cat"], c.ref, bounded=False)
+
+
+def geo_benchmark_joined_ranged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRT-1c with ranks by value ranges."""
+    c = cubes(spark, sf_dir)
+    return bm.geo_benchmark_joined(c.clean(), {"unit": "MIO_EUR", "cat": "TOTAL"}, ["unit"], bounded=False)
+
+
 TOTAL_EUR_HAB = {"unit": "EUR_HAB", "cat": "TOTAL"}
 TOTAL_MIO_EUR = {"unit": "MIO_EUR", "cat": "TOTAL"}
 TOTAL_NR = {"unit": "NR", "cat": "TOTAL"}
@@ -70,6 +95,16 @@ def trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tr.trend(c.clean(), TOTAL_EUR_HAB, round_abs=1, round_cagr=2)
 
 
+def trend_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MRT-3 / DQ-4: the series whose first or last year has two observations, with
+    their counts (``trend`` itself fails on them); the clean table with some years doubled."""
+    rows = cubes(spark, sf_dir).clean()
+    twice = rows.unionByName(rows.filter((F.col("nuts_level") == "NUTS1") & F.col("year").isin(1992, 1995))).unionByName(
+        rows.filter((F.col("nuts_level") == "country") & (F.col("year") == 1998)))
+    ends = tr.endpoints(twice, TOTAL_NR)
+    return ends.filter("first_rows > 1 or last_rows > 1").select("geo", "first_year", "last_year", "first_rows", "last_rows")
+
+
 def trend_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     """MRT-3a: trend per region and category."""
     c = cubes(spark, sf_dir)
@@ -158,6 +193,12 @@ def synthesis_published(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    ref_group=c.ref)
 
 
+def synthesis_ungated_ranged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7 with ranks by value ranges."""
+    c = cubes(spark, sf_dir)
+    return sy.country_ranking(c.clean(), TOTAL_MIO_EUR, "amount", bounded=False)
+
+
 def synthesis_ungated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S7: rank of every country, no reference-group gate."""
     c = cubes(spark, sf_dir)
@@ -548,6 +589,25 @@ def dq_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(r["check_name"], r["subject"], r["n_checked"], r["n_bad"]) for r in rows], GATE_COLUMNS)
 
 
+def failed_gate_keeps_vintage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-5 / SNK-2: a vintage is published, then a run on half the observations fails a
+    gate of its mart; the published trend mart as it is read afterwards."""
+    import dataclasses
+
+    from regiocube.plans.runner import run_dataset
+    from regiocube.plans.vintage import vintage_folder
+
+    c, run, spec = cubes(spark, sf_dir), _scratch_run(spark, "kept"), _annual_spec("star-annual")
+    run_dataset(spark, spec, c.obs(), c.geo(), _codelists(spark), run, 2026)
+    strict = dataclasses.replace(spec, marts=tuple(dataclasses.replace(m, min_rows=1 << 40) for m in spec.marts))
+    try:
+        run_dataset(spark, strict, c.obs().filter("year < 1996"), c.geo(), _codelists(spark), run, 2026)
+        raise AssertionError("the gate did not fail")
+    except dq.GateFailure:
+        pass
+    return spark.read.parquet(f"{vintage_folder(run, 'star-annual', 2026)}/mart_trend.parquet")
+
+
 def batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """QRY-6: a batch of three datasets, one of which lacks a codelist and
     one of which has each observation twice; the batch goes on. One row per
@@ -605,6 +665,29 @@ def latest_vintage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_latest(spark, run)
 
 
+def landed_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-6: two landed vintages, the newer one in folders by unit and year; its
+    partitions are one table, and the columns in folder names keep their declared types."""
+    from regiocube.plans.runner import land
+
+    c, run = cubes(spark, sf_dir), _scratch_run(spark, "partitions")
+    c.obs().filter(F.col("year") <= 1999).write.parquet(f"{run}/2025")
+    c.obs().write.partitionBy("unit", "year").parquet(f"{run}/2026")
+    return land(spark, _annual_spec("star-annual"), run)
+
+
+def landed_csv_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-6: observations landed as CSV with a declared delimiter and encoding."""
+    import dataclasses
+
+    from regiocube.plans.runner import land
+
+    c, run = cubes(spark, sf_dir), _scratch_run(spark, "options")
+    c.obs().write.option("header", "true").option("sep", ";").option("encoding", "ISO-8859-1").csv(run)
+    spec = dataclasses.replace(_annual_spec("star-annual"), read_options={"delimiter": ";", "encoding": "ISO-8859-1"})
+    return land(spark, spec, run)
+
+
 def typed_csv_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-9: observations landed as CSV text in another column order, read
     with the declared types bound by column name."""
@@ -756,6 +839,21 @@ def top_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cq.top_k(rows, ["year"], [F.col("value").desc(), F.col("geo").asc()], 10)
 
 
+def adhoc_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """QRY-1: a published vintage as views, asked in SQL: the focus country's ten
+    highest regions of one year (only that year's folder is read)."""
+    from regiocube.plans.runner import register_views, run_dataset
+
+    c, run = cubes(spark, sf_dir), _scratch_run(spark, "views")
+    run_dataset(spark, _annual_spec("star-annual"), c.obs(), c.geo(), _codelists(spark), run, 2026)
+    register_views(spark, run, "star-annual", 2026)
+    return spark.sql(f"""
+        SELECT geo, geo_label_en, value FROM star_annual_clean
+        WHERE geo LIKE '{c.focus}%' AND year = 1995 AND nuts_level = 'NUTS3' AND unit = 'EUR_HAB' AND cat = 'TOTAL'
+              AND value IS NOT NULL
+        ORDER BY value DESC, geo LIMIT 10""")
+
+
 def rows_by_level(spark: SparkSession, sf_dir: str) -> DataFrame:
     """QRY-3: clean rows per NUTS level."""
     return cq.count_by(cubes(spark, sf_dir).clean(), "nuts_level")
@@ -789,7 +887,17 @@ QUERIES: dict[str, Query] = {
     "geo_benchmark_country": geo_benchmark_country,
     "geo_benchmark_published": geo_benchmark_published,
     "geo_benchmark_joined": geo_benchmark_joined,
+    "geo_benchmark_ranged": geo_benchmark_ranged,
+    "geo_benchmark_country_ranged": geo_benchmark_country_ranged,
+    "geo_benchmark_published_ranged": geo_benchmark_published_ranged,
+    "geo_benchmark_joined_ranged": geo_benchmark_joined_ranged,
+    "synthesis_ungated_ranged": synthesis_ungated_ranged,
+    "failed_gate_keeps_vintage": failed_gate_keeps_vintage,
+    "landed_partitions": landed_partitions,
+    "landed_csv_options": landed_csv_options,
+    "adhoc_sql": adhoc_sql,
     "trend": trend,
+    "trend_duplicates": trend_duplicates,
     "trend_by_category": trend_by_category,
     "trend_by_month": trend_by_month,
     "trend_guarded": trend_guarded,

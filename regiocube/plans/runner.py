@@ -24,7 +24,7 @@ from regiocube.operators.enrich import (
 )
 from regiocube.functions.codes import slice_predicate
 from regiocube.plans.spec import DatasetSpec
-from regiocube.sources.files import data_files, first_line
+from regiocube.sources.files import data_files, first_line, leaf_files, partition_columns
 from regiocube.sources.readers import latest_path, list_vintages, read_obs
 from regiocube.sources.sdmx import filter_slice, read_sdmx_tsv
 from regiocube.sources.sinks import write_clean, write_table
@@ -59,19 +59,23 @@ def build_clean(spec: DatasetSpec, raw: DataFrame, geo: DataFrame,
 def land(spark: SparkSession, spec: DatasetSpec, raw: DataFrame | str) -> DataFrame:
     """The raw observations of a dataset: a long DataFrame as it is; a path by
     what it holds. A wide SDMX TSV (or folder of them) is melted; landed
-    parquet or ``.csv`` is read with the declared types, bound by name (SRC-9);
-    of a folder of vintages only the newest counts (SRC-6)."""
+    parquet or ``.csv`` is read with the declared types, bound by name (SRC-9),
+    and text with the dataset's ``read_options``. Of a folder of vintages only the newest
+    counts (SRC-6); ``key=value`` folders are partitions of one table."""
     if isinstance(raw, DataFrame):
         return raw
     if list_vintages(spark, raw) and not data_files(spark, raw):
         raw = latest_path(spark, raw)
-    files = data_files(spark, raw)
+    partitioned = partition_columns(spark, raw)
+    files = leaf_files(spark, raw) if partitioned else data_files(spark, raw)
     kinds = {f.rsplit(".", 1)[-1] for f in files}
     if kinds == {"parquet"}:
         return read_obs(spark, raw, spec.raw_schema)
-    if files and kinds == {"csv"} and "\t" not in (first_line(spark, files[0]) or ""):
-        return read_obs(spark, raw, spec.raw_schema, fmt="csv")
-    return read_sdmx_tsv(spark, raw, spec.source_filter or None)
+    if files and kinds == {"csv"} and (partitioned or "\t" not in (first_line(spark, files[0]) or "")):
+        return read_obs(spark, raw, spec.raw_schema, "csv", spec.read_options)
+    if partitioned:
+        raise ValueError(f"{raw}: partition folders hold parquet or csv files, not {sorted(kinds)}")
+    return read_sdmx_tsv(spark, raw, spec.source_filter or None, spec.read_options)
 
 
 def run_dataset(

@@ -53,6 +53,8 @@ class DatasetSpec:
     min_rows: int = 100
     unlabelled: tuple[str, ...] = ()
     flag_described: bool = True
+    #: How landed text is read: ``delimiter`` and ``encoding`` (tab or comma, UTF-8 by default).
+    read_options: Mapping[str, str] = field(default_factory=dict)
     marts: tuple[MartSpec, ...] = ()
 
     @property

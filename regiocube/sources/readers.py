@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from regiocube.sources.files import partition_columns
+
 CODELIST_SCHEMA = "code string, label_en string"
 GEO_SCHEMA = "code string, label_en string, nuts_level string, parent_code string"
 
@@ -41,19 +43,34 @@ def read_geo(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", "true").option("escape", '"').schema(GEO_SCHEMA).csv(path)
 
 
-def read_obs(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet"
-             ) -> DataFrame:
+def read_obs(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet",
+             options: Mapping[str, str] | None = None) -> DataFrame:
     """SRC-9: explicitly typed observation read, bound by column *name*
     (flows order their dims differently; a filtered ``sex='T'`` column must
-    stay a string instead of being sniffed as boolean)."""
+    stay a string instead of being sniffed as boolean). ``key=value`` folders
+    are partitions of the table; their values are read as text and cast
+    like any other, so a code ``01`` stays one. ``options`` are those of ``text_options``."""
     st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+    reader = spark.read
     if fmt == "csv":
-        raw = spark.read.option("header", "true").option("inferSchema", "false").csv(path)
-    else:
-        raw = spark.read.parquet(path)
+        reader = reader.option("header", "true").option("inferSchema", "false").options(**text_options(options))
+    raw = reader.format(fmt).load(path)
+    keys = set(partition_columns(spark, path))
+    if keys:
+        as_text = T.StructType([T.StructField(f.name, T.StringType()) if f.name in keys else f for f in raw.schema.fields])
+        raw = reader.schema(as_text).format(fmt).load(path)
     return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in st.fields])
 
 
+def text_options(options: Mapping[str, str] | None) -> dict[str, str]:
+    """Reader options of a dataset's declared ``delimiter`` and ``encoding``; others are an error."""
+    names = {"delimiter": "sep", "encoding": "encoding"}
+    unknown = set(options or {}) - set(names)
+    if unknown:
+        raise ValueError(f"unknown read options {sorted(unknown)}: delimiter and encoding are known")
+    return {names[k]: v for k, v in (options or {}).items()}
+
+
 def read_codelists(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """Every ``<dim>.csv`` or ``<dim>.parquet`` of a folder, by dim; ``flags`` is read as ``flag``."""
     out = {}
@@ -67,19 +84,21 @@ def read_codelists(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 
 def list_vintages(spark: SparkSession, root: str) -> list[str]:
-    """Sub-folder names of ``root`` (vintages), via the Hadoop file system."""
+    """Sub-folder names of ``root`` that are vintages, via the Hadoop file system;
+    ``key=value`` folders are partitions of one table, hidden names are no data."""
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(root)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(p):
         return []
-    return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
+    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+    return sorted(n for n in names if "=" not in n and not n.startswith(("_", ".")))
 
 
 def latest_path(spark: SparkSession, root: str) -> str:
     """SRC-6 (``mode: latest``): the newest landed vintage folder under
     ``root`` (folder names sort chronologically)."""
-    vintages = [v for v in list_vintages(spark, root) if not v.startswith(("_", "."))]
+    vintages = list_vintages(spark, root)
     if not vintages:
         raise FileNotFoundError(f"no vintage under {root}")
     return f"{root.rstrip('/')}/{vintages[-1]}"

@@ -9,7 +9,7 @@ The header row names the comma-joined key dims, a backslash, the time
 dimension, then one column per period (with a trailing space). Cells hold
 the value and optional flag letters; ``:`` marks a missing value.
 
-The header line of each file is read on its own; files with the same header
+The header lines are read by one job; files with the same header
 are read together, every data row as strings; the melt is ``DataFrame.unpivot`` (an Expand: narrow, no shuffle),
 so ingest scales with the number of input splits. Uncompressed TSV is
 splittable; gzip files are one task each.
@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from regiocube.constants import MISSING_CELL
 from regiocube.functions.codes import slice_predicate
 from regiocube.functions.numeric import nan_to_null
-from regiocube.sources.files import data_files, first_line
+from regiocube.sources.files import data_files, files_by_header
+from regiocube.sources.readers import text_options
 
 _QUARTER = re.compile(r"^\d{4}-Q[1-4]$")
 _MONTH = re.compile(r"^\d{4}-(0[1-9]|1[0-2])$")
@@ -97,26 +98,24 @@ def melt_wide(wide: DataFrame) -> DataFrame:
     return long.select(*cols)
 
 
-def read_sdmx_tsv(spark: SparkSession, path: str, source_filter: Mapping[str, object] | None = None
-                  ) -> DataFrame:
+def read_sdmx_tsv(spark: SparkSession, path: str, source_filter: Mapping[str, object] | None = None,
+                  options: Mapping[str, str] | None = None) -> DataFrame:
     """Read one wide SDMX TSV, or a folder of them, as long observations.
 
     Files of a folder may cover different periods: each distinct header is
     read with its own columns and the observations are united by name (a
-    column that a file lacks is NULL). ``source_filter`` keeps only the given
-    dim values (SRC-2), applied right after the melt so nothing else is
-    carried."""
-    by_header: dict[str, list[str]] = {}
-    for file in data_files(spark, path):
-        header = first_line(spark, file)
-        if header:
-            by_header.setdefault(header, []).append(file)
+    column that a file lacks is NULL). The headers are read by one job.
+    ``source_filter`` keeps only the given dim values (SRC-2), applied right after
+    the melt so nothing else is carried. ``options`` are a declared delimiter (tab
+    by default) and an encoding that extends ASCII."""
+    files = data_files(spark, path)
+    by_header = files_by_header(spark, files) if files else {}
     if not by_header:
         raise FileNotFoundError(f"no SDMX TSV with a header under {path}")
     obs = None
     for header in sorted(by_header):
         wide = (spark.read.option("sep", "\t").option("header", "true").option("inferSchema", "false")
-                .option("mode", "PERMISSIVE").csv(by_header[header]))
+                .option("mode", "PERMISSIVE").options(**text_options(options)).csv(by_header[header]))
         part = melt_wide(wide)
         obs = part if obs is None else obs.unionByName(part, allowMissingColumns=True)
     if source_filter:
