@@ -404,3 +404,39 @@ def test_edit_query_names_the_classes(spark, given):
     got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in queries.op9_edit_fingerprints(spark, SF_SMALL).collect()}
     near = editprint.near_duplicates(spark.read.parquet(f"{SF_SMALL}/documents.parquet")).collect()
     assert got == {r["doc_id"]: (r["class_id"], r["n_links"]) for r in near} and len(got) == len(given)
+def _thue_morse(n):
+    return "".join("ab"[bin(i).count("1") & 1] for i in range(n))
+
+
+def test_words_of_equal_hash_stay_apart(spark):
+    """Two words whose polynomials modulo 2**64 agree for every odd base."""
+    one = _thue_morse(1024)
+    other = one.translate(str.maketrans("ab", "ba"))
+    assert one != other and (substring.word_hashes(one.encode()) == substring.word_hashes(other.encode())).all()
+    head = " ".join(f"w{i}" for i in range(12))
+    rows = [(1, f"{head} {one}"), (2, f"{head} {other}"), (3, f"{head} {other} end"), (4, f"{other} {head}")]
+    df = documents(spark, [(i, t, "en", "a") for i, t in rows], clashing=False)
+    got = {r["doc_id"]: (r["n_removed"], r["kept"]) for r in substring.dedup_substrings(df).select("row.doc_id", "n_removed", "kept").collect()}
+    assert got == {1: (0, rows[0][1]), 2: (0, rows[1][1]), 3: (13, "end"), 4: (0, rows[3][1])}
+
+
+@pytest.mark.parametrize("batch_bytes", [1 << 22, 3000])
+def test_forced_collisions_change_nothing(spark, monkeypatch, batch_bytes):
+    """Windows of a few keys only: every pair of windows is a candidate, in one batch and over many."""
+    rng = random.Random(6)
+    shared = [" ".join(rng.choices([f"p{k}" for k in range(50)], k=20)) for _ in range(6)]
+    rows = [(i, " ".join([*rng.choices([f"u{k}" for k in range(300)], k=20), rng.choice(shared), str(i), rng.choice(shared)])) for i in range(120)]
+    rows += [(7, rows[7][1]), (200, rows[3][1])]
+    monkeypatch.setattr(substring, "BATCH_BYTES", batch_bytes)
+    seen = spark.sparkContext.accumulator(0)
+
+    def few(words, window):
+        seen.add(1)
+        return substring.window_hashes(words, window) % 5 * (1 << 61)
+
+    df = documents(spark, [(i, t, "en", "a") for i, t in rows], clashing=False)
+    found = substring.dedup_substrings(df, hashed=few).select("row.doc_id", "n_words", "kept").collect()
+    want = sorted((i, n, " ".join(kept)) for (i, _), (n, kept, _) in zip(rows, removed_words(rows)))
+    assert sorted(map(tuple, found)) == want and seen.value
+
+
