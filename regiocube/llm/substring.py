@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from regiocube.llm.common import WORD_PATTERN, parts, ship, stored
+from regiocube.llm.common import WORD_PATTERN, parts, ship
 
 WINDOW = 13
 #: Bytes of text in a batch, and windows in a bucket: the memory of one task.
@@ -396,8 +396,8 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, keep: Sequence[str]
     buckets = parts(size // 6, BUCKET_WINDOWS)
     batches = dealt.groupBy("batch")
     sent = batches.applyInArrow(_send_keys(window, buckets, hashed), _SENT)
-    # Read twice: by the digests' senders, and at the end.
-    told = stored(sent.groupBy("bucket").applyInArrow(_in_several, _SENT), "repeated-keys")
+    # Used twice, by the digests' senders and at the end; one plan, so texts and keys are shuffled once.
+    told = sent.groupBy("bucket").applyInArrow(_in_several, _SENT)
     digests = batches.cogroup(told.groupBy("batch")).applyInArrow(_send_digests(window, buckets, hashed), _SENT)
     places = digests.groupBy("bucket").applyInArrow(_in_smaller, _SENT)
     back = told.withColumn("kind", F.lit(_KEYS)).union(places.withColumn("kind", F.lit(_PLACES)))
