@@ -404,6 +404,64 @@ def test_edit_query_names_the_classes(spark, given):
     got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in queries.op9_edit_fingerprints(spark, SF_SMALL).collect()}
     near = editprint.near_duplicates(spark.read.parquet(f"{SF_SMALL}/documents.parquet")).collect()
     assert got == {r["doc_id"]: (r["class_id"], r["n_links"]) for r in near} and len(got) == len(given)
+
+
+def _plain_fingerprint(text):
+    """One step after the other, as the walk is described."""
+    walk = editprint._Walk.get()
+    sampled = set(editprint.sample_steps(4 * len(text) + 8).tolist())
+    head, out, j = 0, "", 0
+    while head < len(text):
+        c = ord(text[head])
+        c = c + 1 if c < 128 else 129 + c % 127
+        if j in sampled:
+            out += "0123456789abcdef"[walk.digits[j % 4096, c]]
+        head += int(walk.moves[j % 4096, c])
+        j += 1
+    return out
+
+
+def test_fingerprints_equal_the_plain_walk(given):
+    texts = ["", "a", "é\U0001f600x", "ab" * 700, *[t for _, t, _, _ in given if t][:40]]
+    prints = editprint.fingerprints(texts)
+    assert prints == [_plain_fingerprint(t) for t in texts]
+    a, b = prints[5], prints[6]
+    steps = editprint.sample_steps(1 << 20)
+    gaps = [max(1, int(x) // editprint.DENSITY) for x in steps[:max(len(a), len(b))]]
+    same = sum(g for g, x, y in zip(gaps, a, b) if x == y)
+    assert editprint.likeness(a, b) == pytest.approx(same / sum(gaps))
+
+
+@pytest.mark.parametrize("n, many", [(100, 60), (300, 60), (1000, 60), (4000, 60), (16000, 30)])
+@pytest.mark.parametrize("where", [(0, 1), (0, 1 / 8), (7 / 8, 1), (0.4, 0.6)])
+def test_bands_find_edits_wherever_they_are(given, n, many, where):
+    rng = random.Random(n)
+    prose = "\n".join(t for _, t, _, _ in given if t)
+    prose = prose * (1 + 40 * n // len(prose))
+    left, right = [], []
+    for _ in range(many):
+        at, size = rng.randrange(len(prose) - 2 * n), int(n * rng.uniform(0.7, 1.4))
+        t = list(prose[at:at + size])
+        left.append("".join(t))
+        for _ in range(max(1, int(0.018 * size))):
+            i = rng.randrange(int(where[0] * len(t)), max(1, int(where[1] * len(t))))
+            t[i:i + 1] = rng.choice(["", "x", t[i] + "y"])
+        right.append("".join(t))
+    pairs = zip(editprint.band_keys(left), editprint.band_keys(right))
+    assert sum(bool(set(a) & set(b)) for a, b in pairs) >= 0.95 * many
+
+
+def test_a_common_head_is_no_family(spark):
+    """Texts that are alike at their beginning alone: no links, and not all pairs of them are tested."""
+    rng = random.Random(12)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 9))) for _ in range(4000)]
+    head = " ".join(rng.choices(words, k=100))
+    texts = [head + " " + " ".join(rng.choices(words, k=300)) for _ in range(3000)]
+    texts += [_changed(rng, t, 0.01) for t in texts[:50]]
+    got = {r["doc_id"]: r["class_id"] for r in editprint.near_duplicates(documents(spark, [(i, t, "en", "s") for i, t in enumerate(texts)], clashing=False)).collect()}
+    assert all(got[i] == i for i in range(3000)) and sum(got[3000 + i] == i for i in range(50)) >= 48
+
+
 def _thue_morse(n):
     return "".join("ab"[bin(i).count("1") & 1] for i in range(n))
 
