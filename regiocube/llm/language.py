@@ -232,6 +232,9 @@ def _label(model: Model, texts: list[str], switch: float) -> tuple[list[str], li
     for a, b in zip(change.tolist(), ends.tolist()):
         spans[words.text[a]].append({"start": int(words.start[a]), "stop": int(words.stop[b]), "lang": model.languages[path[a]]})
     for i in np.flatnonzero(total).tolist():
+        if not any(map(str.isalpha, texts[i])):  # marks alone
+            spans[i] = []
+            continue
         names[i], shares[i] = model.languages[top[i]], float(letters[i, top[i]] / total[i])
     return names, shares, spans
 
@@ -242,7 +245,7 @@ def identify(docs: DataFrame, model: Model, switch: float = SWITCH, keep: Sequen
     ``lang_pred`` is the language with most letters along the best path, ``score``
     its share of the letters, ``spans`` array<struct<start, stop, lang>> in code points.
 
-    - null or empty text, or no letter: ``und``, score 0, no spans;
+    - null or empty text, or no letter (marks alone are none): ``und``, score 0, no spans;
     - a model without languages: ``und`` throughout; ties go to the language first by code point;
     - a script that no training text uses: all languages are candidates;
     - repeated rows and null ids: each row on its own; very long texts: whole;

@@ -259,12 +259,13 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_i
     - vectors that take no part, as candidates or queries: see ``usable``;
     - fewer candidates than k: all of them;
     - equal scores: smaller id first; equal vectors have equal scores;
-    - rows that repeat an id: candidates each, hence possibly found twice;
+    - rows that repeat an id: candidates each, hence possibly found twice; as a query an id
+      is answered once, for the least of its vectors;
     - empty table: empty result; other columns are not looked at.
     """
     spark = vectors.sparkSession
     rows = stored(usable(vectors, id_col, vector_col), "vectors")
-    asked = usable(queries, id_col, vector_col)
+    asked = usable(queries, id_col, vector_col).groupBy("vec_id").agg(F.min("v").alias("v"))
     index = fit(rows, k, sample_rows, target)
     if index is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")

@@ -88,6 +88,8 @@ def test_language_odd_cases(odd, none):
     assert language.identify(none, model).count() == 0
     empty = language.fit(none.select("text", "lang"))
     assert {r["lang_pred"] for r in language.identify(odd, empty).collect()} == {"und"}
+    names, shares, spans = language._label(model, ["\u0301\u0302", "e\u0301\u0301", "\u0301 \u0302 12"], language.SWITCH)
+    assert [n == "und" for n in names] == [not s for s in spans] == [s == 0 for s in shares] == [True, False, True]
 
 
 def _dedup(df):

@@ -44,6 +44,17 @@ def test_neighbours_recall_on_given_vectors(spark):
         assert all(s == pytest.approx(by_id[i], abs=1e-12) for i, s in got[q])
 
 
+def test_a_repeated_query_id_is_answered_once(spark):
+    rng = np.random.default_rng(6)
+    x = [(i, rng.normal(size=8).tolist()) for i in range(60)] + [(20, rng.normal(size=8).tolist()) for _ in range(2)]
+    df = spark.createDataFrame(x, "vec_id long, embedding array<double>")
+    got = neighbours.nearest(df, df.where("vec_id % 20 = 0"), 5).collect()
+    assert sorted((r["query_id"], r["rank"]) for r in got) == [(q, k) for q in (0, 20, 40) for k in range(1, 6)]
+    least = min(v for i, v in x if i == 20)
+    want = _brute(x, [(20, least)], 5)[20]
+    assert [(r["vec_id"], pytest.approx(r["score"])) for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == 20] == want
+
+
 def test_neighbours_with_small_lists_and_blocks(spark, monkeypatch):
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(12, 24))
