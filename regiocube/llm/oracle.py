@@ -138,7 +138,7 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0)
 FROM d LEFT JOIN kept USING (doc_id)
 """,
     "op7_source_mixing": rf"""
-WITH d AS (SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size FROM documents),
+WITH d AS (SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size, md5(coalesce(text, '')) AS digest FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, 3 * source_size AS most, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM s),
 -- the water level: the sources that are full at the level which leaves the rest in proportion
@@ -155,10 +155,23 @@ c AS (SELECT max(level) FILTER (full_at > level) AS common FROM l),
 t AS (SELECT source, source_size,
              least(CAST(most AS DOUBLE), coalesce(common * weight, CAST(most AS DOUBLE))) AS target FROM w, c),
 q AS (SELECT d.*, source_size, target, floor(coalesce(target / nullif(source_size, 0), 0)) AS certain,
-             (CAST('0x' || substr(md5('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) + 0.5::DOUBLE)
-             / 4503599627370496.0::DOUBLE AS u
+             greatest(1, CAST(floor(sqrt(CAST(size AS DOUBLE))) AS BIGINT)) AS weight,
+             (CAST('0x' || substr(md5('7:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || digest), 1, 13) AS BIGINT)
+              + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-o AS (SELECT *, target - certain * source_size AS rest, (u / (1 - u)) / sqrt(CAST(greatest(size, 1) AS DOUBLE)) AS odds FROM q),
+r AS (SELECT *, target - certain * source_size AS rest FROM q),
+-- inclusion probabilities in proportion to the weight; documents that would pass 1 are certain
+g AS (SELECT source, weight, any_value(rest) AS rest, CAST(sum(size) AS BIGINT) AS words FROM r GROUP BY source, weight),
+h AS (SELECT a.source, a.weight, a.rest, CAST(coalesce(sum(b.words) FILTER (b.weight > a.weight), 0) AS DOUBLE) AS heavier,
+             CAST(sum(b.words * b.weight) FILTER (b.weight <= a.weight) AS DOUBLE) AS onward
+      FROM g a JOIN g b ON a.source IS NOT DISTINCT FROM b.source GROUP BY a.source, a.weight, a.rest),
+m AS (SELECT source, max(weight) AS top, arg_max(heavier, weight) AS sure, arg_max(onward, weight) AS weighed
+      FROM h WHERE (rest - heavier) * weight < onward GROUP BY source),
+p AS (SELECT r.*, CASE WHEN rest <= 0 THEN 0.0::DOUBLE WHEN weight > coalesce(top, 0) THEN 1.0::DOUBLE
+                       ELSE least(1.0::DOUBLE, (rest - sure) * weight / weighed) END AS chance
+      FROM r LEFT JOIN m ON r.source IS NOT DISTINCT FROM m.source),
+o AS (SELECT *, CASE WHEN chance >= 1 THEN u - 1 WHEN chance > 0 THEN (u * (1 - chance)) / ((1 - u) * chance)
+                     ELSE u / (1 - u) END AS odds FROM p),
 a AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY odds, doc_id NULLS LAST, size
              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead FROM o)
 SELECT doc_id, size, source_size, target,

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import pytest
 import public_tokenizers
 import tokenizers
+from pyspark.sql import functions as F
 
 from regiocube.llm import editprint, language, mixing, packing, queries, simhash, substring, tokens
 from tests.conftest import SF_SMALL
@@ -208,6 +209,47 @@ def test_mixing_targets_reach_the_water_level(spark):
     assert got == pytest.approx(target)
 
 
+def test_mixing_frequencies_match_the_inclusion_probabilities(spark):
+    # Sources of equal make-up draw on their own: 600 samples in one run.
+    sizes = [1, 1, 4, 4, 9, 16, 16, 25, 36, 100, 100, 400, 900, 2500]
+    docs = spark.range(900 * len(sizes)).select(
+        F.col("id").alias("doc_id"), F.format_string("s%04d", F.floor(F.col("id") / len(sizes))).alias("source"),
+        F.repeat(F.lit("w "), F.element_at(F.array(*map(F.lit, sizes)), (F.col("id") % len(sizes) + 1).cast("int"))).alias("text"))
+    rows = mixing.allocate(docs).select("source", "size", "copies", "chance", "target", "source_size").collect()
+    of_half = [r for r in rows if abs(r["target"] / r["source_size"] % 1 - 0.5) < 0.01]
+    assert len({r["source"] for r in of_half}) == 600
+    rest = sum(sizes) / 2
+    drawn, chance = Counter(), {}
+    for r in of_half:
+        drawn[r["size"]] += r["copies"] - int(r["target"] / r["source_size"])
+        chance[r["size"]] = r["chance"]
+    assert sum(chance[n] * n for n in sizes) == pytest.approx(rest, rel=0.01)
+    for n in set(sizes):
+        assert chance[n] == pytest.approx(min(1.0, n ** 0.5 * chance[1]), rel=1e-6)
+        assert abs(drawn[n] / 600 / sizes.count(n) - chance[n]) < 0.08, n
+
+
+def test_mixing_certain_documents_and_hot_ids(spark):
+    # One long document passes 1 and is certain; the rest is drawn among the others.
+    docs = [(i, "a", "w " * 10) for i in range(60)] + [(60, "a", "w " * 500), (61, "b", "w " * 100)]
+    rows = mixing.allocate(spark.createDataFrame(docs, "doc_id long, source string, text string"),
+                           weights=(3, 2)).select("source", "size", "copies", "chance", "target").collect()
+    taken = sum(r["copies"] * r["size"] for r in rows if r["source"] == "a")
+    assert abs(taken - next(r["target"] for r in rows if r["source"] == "a")) <= 250
+    long = next(r for r in rows if r["size"] == 500)
+    assert all(r["chance"] <= long["chance"] <= 1 for r in rows if r["source"] == "a")
+    certain = mixing.allocate(spark.createDataFrame(docs[:61] + [(61, "b", "w " * 2000)], "doc_id long, source string, text string"),
+                              weights=(1, 3)).where("source = 'a'").select("size", "copies", "chance").collect()
+    assert next((r["copies"], r["chance"]) for r in certain if r["size"] == 500) == (1, 1.0)
+    # Null and repeated ids of different texts draw numbers of their own.
+    same = spark.range(400).select(F.when(F.col("id") % 2 == 0, F.lit(5)).cast("long").alias("doc_id"), F.lit("s").alias("source"),
+                                   F.concat(F.lit("w w w w w w w w "), F.col("id").cast("string")).alias("text"))
+    other = spark.createDataFrame([(1000, "t", "w " * 2000)], same.schema)
+    found = mixing.allocate(same.union(other), weights=(1, 1)).where("source = 's'").select("doc_id", "copies").collect()
+    assert {tuple(r) for r in found} == {(None, 0), (None, 1), (5, 0), (5, 1)}
+    assert abs(sum(r["copies"] for r in found) * 9 - 2800) <= 60  # words of 9 a text
+
+
 def test_pareto_buckets_do_not_change_the_sample(spark, monkeypatch):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     one = sorted((r["doc_id"], r["copies"]) for r in mixing.allocate(docs).collect())
