@@ -18,16 +18,17 @@ links leave it. Equal fingerprints are one point: copies never meet in pairs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from regiocube.llm.common import fresh, map_arrow, stored
+from regiocube.llm.common import map_arrow, stored
 from regiocube.llm.components import components
 
 SHINGLE = 4
@@ -65,15 +66,17 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def with_fingerprint(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id",
-                     text_col: str = "text") -> DataFrame:
-    """(id_col, simhash long) for every row; the bits are those of the unsigned value."""
+                     text_col: str = "text", also: Sequence[str] = ()) -> DataFrame:
+    """(id_col, simhash long, the string columns ``also``) for every row; the bits are those of the unsigned value."""
+    names = [id_col, "simhash", *also]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             prints = np.fromiter((fingerprint(t.as_py(), shingle) for t in b.column(1)), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(prints.view(np.int64))], names=[id_col, "simhash"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(prints.view(np.int64)), *b.columns[2:]], names=names)
 
-    own = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias(text_col))
-    return map_arrow(own, run, f"`{id_col}` long, simhash long")
+    own = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias(text_col), *also)
+    return map_arrow(own, run, f"`{id_col}` long, simhash long" + "".join(f", {c} string" for c in also))
 
 
 def _unary(x: Column) -> Column:
@@ -135,28 +138,53 @@ def simhash_classes(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 
     - null or empty text, or white space alone: fingerprint 0, linked like any other;
     - repeated rows and copies: one row each, all in one component;
+    - equal ids with texts that are not alike: each is in the component of its own fingerprint;
     - null id: the row keeps its fingerprint; its component is the smallest
       non-null id reachable over its fingerprint (null if there is none);
     - empty table: empty result; other columns of ``docs`` are not looked at.
     """
     prints = stored(with_fingerprint(docs, shingle, id_col, text_col), "simhash")
-    points = stored(prints.groupBy("simhash").agg(F.min(id_col).alias("node")).where("node is not null"), "simhash-points")
-    classes = components(near_pairs(points, max_bits))
-    labels = (points.join(classes, "node", "left")
-              .select("simhash", F.coalesce("component", "node").alias("component_id")))
-    return prints.join(labels, "simhash", "left").select(id_col, "simhash", "component_id")
+    return _with_classes(prints, max_bits, id_col).select(id_col, "simhash", "component_id")
+
+
+def _with_classes(prints: DataFrame, max_bits: int, id_col: str = "doc_id") -> DataFrame:
+    """``prints`` with ``class`` (a fingerprint of the row's component, the same for all of it) and ``component_id``.
+
+    Fingerprints are the nodes, so rows that only have their id in common stay in components of their own.
+    """
+    points = stored(prints.groupBy("simhash").agg(F.min(id_col).alias("least")).where("least is not null"), "simhash-points")
+    linked = stored(components(near_pairs(points.select(F.col("simhash").alias("node"), "simhash"), max_bits)), "simhash-linked")
+    least = (linked.join(points, F.col("node") == F.col("simhash")).groupBy("component")
+             .agg(F.min("least").alias("component_id")).withColumnRenamed("component", "class"))
+    named = linked.join(least, F.col("component") == F.col("class")).select("node", "class", "component_id")
+    labels = (points.join(named, F.col("simhash") == F.col("node"), "left")
+              .select("simhash", F.coalesce("class", "simhash").alias("class"),
+                      F.coalesce("component_id", "least").alias("component_id")))
+    return prints.join(labels, "simhash", "left")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its near-duplicate class.
+    """One row of ``docs`` of each near-duplicate component: one that has its smallest doc_id.
+
+    All columns stay, whatever their names.
 
-    All columns stay, whatever their names. Of rows that repeat such a doc_id
-    the one with the least text stays (null last). Rows without a doc_id can
-    be told apart by nothing: all stay.
+    - rows that repeat a doc_id with texts that are not alike are in components of their own: each stays;
+    - of different texts of one component under its smallest doc_id the one with the least digest stays, of
+      equal ones the row whose other plain columns have the least hash (null and empty texts are equal);
+    - rows without a doc_id can be told apart by nothing: all stay;
+    - empty table: empty result.
     """
-    leaders = simhash_classes(docs, shingle, max_bits).where("doc_id = component_id").select("doc_id").distinct()
-    rank = fresh(docs, "rank")
-    first = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
-    kept = (docs.join(leaders, "doc_id", "left_semi")
-            .withColumn(rank, F.row_number().over(first)).where(F.col(rank) == 1).drop(rank))
-    return kept.select(docs.columns).union(docs.where("doc_id is null"))
+    own = docs.select("doc_id", "text", F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256).alias("digest"))
+    prints = stored(with_fingerprint(own.where("doc_id is not null"), shingle, also=["digest"]), "simhash")
+    # Copies under one id are combined before they move; a leader is one row per component.
+    each = prints.groupBy("doc_id", "digest", "simhash").agg(F.count("*").alias("many"))
+    leaders = stored(_with_classes(each, max_bits).where("doc_id = component_id").groupBy("doc_id", "class")
+                     .agg(F.min(F.struct("digest", "many")).alias("first")).select("doc_id", "first.*"), "simhash-leaders")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.col("doc_id").cast("long").alias("doc_id"),
+                       F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256).alias("digest"))
+    plain = [F.col(f"row.`{f.name}`") for f in docs.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    single = rows.join(leaders.where("many = 1"), ["doc_id", "digest"], "left_semi").select("row")
+    repeated = (rows.join(leaders.where("many > 1"), ["doc_id", "digest"], "left_semi").groupBy("doc_id", "digest")
+                .agg(F.min_by("row", F.xxhash64(*plain)).alias("row")).select("row"))
+    return single.union(repeated).select("row.*").union(docs.where("doc_id is null"))

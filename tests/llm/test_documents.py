@@ -169,6 +169,18 @@ def test_simhash_keep_one(odd):
     assert {r["rank"] for r in kept} == {"x"}
 
 
+def test_simhash_keeps_unlike_texts_of_one_id(spark):
+    text = [" ".join(f"{c}{i * 7 % 101}" for i in range(200)) for c in "abcd"]
+    rows = [(1, text[0]), (2, text[0] + " more"), (2, text[1]), (2, text[1]), (2, text[2]), (5, text[2]), (4, text[3]),
+            (2, None), (2, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted((r["doc_id"], r["text"] or "") for r in simhash.keep_one(docs).collect())
+    assert kept == sorted([(1, text[0]), (2, text[1]), (2, text[2]), (4, text[3]), (2, "")])
+    classes = {(r["doc_id"], r["simhash"], r["component_id"]) for r in simhash.simhash_classes(docs).collect()}
+    near = {(d, f if f < 1 << 63 else f - (1 << 64), c) for (d, _), (f, c) in zip(rows, simhash_components(rows))}
+    assert classes == near and {c for _, _, c in near} == {1, 2, 4}
+
+
 def test_mixing_comes_near_its_targets(spark, odd, none):
     rows = queries.op7_source_mixing(spark, SF_SMALL).collect()
     again = queries.op7_source_mixing(spark, SF_SMALL).collect()
