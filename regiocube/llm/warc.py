@@ -9,8 +9,8 @@ no payload.
 Reading: each file is parsed record by record (by Content-Length; payload
 digests are verified) into a run of captures sorted by URL key, timestamp
 and page. The runs are the external part of a merge sort: their captures are
-dealt to ranges of (URL key, timestamp, page), and each range merges its pieces
-of the runs with a loser tree. The ranges in order are the globally ordered
+dealt to ranges of (URL key, timestamp, page, place), and each range merges its pieces
+of the runs, which arrive in order, with a loser tree. The ranges in order are the globally ordered
 capture history. A URL with very many captures spans several ranges.
 """
 
@@ -28,8 +28,10 @@ from pyspark.sql import functions as F
 from regiocube.llm.common import map_arrow, parts, scratch_path, stored
 
 LEAST_BYTES = 100
-#: Records in one archive file at most, and captures in one range of the merge, about.
+#: Records in one archive file at most, and bytes of their payloads unless it holds one record.
 FILE_RECORDS = 1024
+FILE_BYTES = 64 << 20
+#: Captures in one range of the merge, about.
 RANGE_CAPTURES = 100_000
 #: Pages carry no time of capture: page n counts as fetched n seconds after this (2024-01-01 UTC).
 FIRST_CAPTURE = 1704067200
@@ -62,7 +64,8 @@ def records(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
                         payload.alias("payload"), F.sha2(payload, 256).alias("digest"), F.octet_length(payload).alias("n"))
     # Which pages revisit which is decided on narrow rows and stored, so its
     # size is known: the payloads meet it by a broadcast if it is small, and
-    # are shuffled by page if it is not. No key of that join is shared by many rows.
+    # are shuffled by page if it is not. A key of many rows (null page ids with one
+    # payload) has one row on the other side, so AQE can split it.
     narrow = rows.select("page_id", "digest", "n").where(F.col("n") >= least_bytes)
     firsts = (narrow.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("many"))
               .where("many > 1 and first is not null").select("digest", "first"))
@@ -90,8 +93,20 @@ def records(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES) -> None:
-    """Write the records of ``pages`` as WARC files under ``path``."""
-    (records(pages, least_bytes).write.option("lineSep", _CRLF).option("maxRecordsPerFile", FILE_RECORDS).text(path))
+    """Write the records of ``pages`` as WARC files under ``path``.
+
+    Pages are written by size class, the longer ones with fewer records to a file, so
+    a file stays below FILE_BYTES of payload or holds one record. Equal payloads are
+    of one class: what revisits what does not depend on it.
+    """
+    most = sorted({max(1, FILE_RECORDS >> k) for k in (0, 5, 30)}, reverse=True)
+    shelf = F.lit(len(most) - 1)
+    for k in range(len(most) - 2, -1, -1):
+        shelf = F.when(F.coalesce(F.octet_length(F.col("html").cast("string")), F.lit(0)) <= FILE_BYTES // most[k], k).otherwise(shelf)
+    used = sorted(r[0] for r in pages.select(shelf.alias("shelf")).distinct().collect()) or [0]  # three at most
+    for k in used:
+        (records(pages.where(shelf == k), least_bytes).write.mode("append").option("lineSep", _CRLF)
+         .option("maxRecordsPerFile", most[k]).text(path))
 
 
 def parse(data: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
@@ -207,22 +222,32 @@ class LoserTree:
             self._winner = i
 
 
+def _pieces(captures: Iterator[tuple]) -> list[list[tuple]]:
+    """The captures as sorted lists, without sorting: a run comes in order within a shuffle
+    block, its blocks in any order, so where a run steps back a new list begins."""
+    open_: dict[str, list[tuple]] = {}
+    out: list[list[tuple]] = []
+    for capture in captures:
+        piece = open_.get(capture[7])
+        if piece is None or _order(capture) < _order(piece[-1]):
+            piece = open_[capture[7]] = []
+            out.append(piece)
+        piece.append(capture)
+    return out
+
+
 def merged_index(captures: DataFrame, range_captures: int = RANGE_CAPTURES) -> DataFrame:
     """The captures of sorted runs in global order, with their range and position in it.
 
-    ``captures`` are ``runs``; ranges of (url_key, captured, page_id) are disjoint and
-    ordered by ``range``, ``position`` orders the captures of one.
+    ``captures`` are ``runs``; ranges of (url_key, captured, page_id, file, offset) are disjoint
+    and ordered by ``range``, ``position`` orders the captures of one. Captures that agree in URL, time
+    and page (null pages of one URL) differ in their place, so they too are dealt to several ranges.
     """
     captures = stored(captures, "runs")
     n = parts(captures.count(), range_captures)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_run: dict[str, list[tuple]] = {}
-        for b in batches:
-            for row in zip(*(c.to_pylist() for c in b.columns)):
-                by_run.setdefault(row[7], []).append(row)
-        # A piece of a run comes in order, but its shuffle blocks in any order.
-        pieces = [sorted(run, key=_order) for run in by_run.values()]
+        pieces = _pieces(row for b in batches for row in zip(*(c.to_pylist() for c in b.columns)))
         here = TaskContext.get().partitionId()
         held: list[tuple] = []
         done = 0
@@ -236,7 +261,7 @@ def merged_index(captures: DataFrame, range_captures: int = RANGE_CAPTURES) -> D
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), out)], schema=out)
 
     out = pa.schema([*_FIELDS, pa.field("range", pa.int64()), pa.field("position", pa.int64())])
-    dealt = captures.repartitionByRange(n, F.col("url_key"), F.col("captured"), F.col("page_id"))
+    dealt = captures.repartitionByRange(n, "url_key", "captured", "page_id", "file", "offset")
     return map_arrow(dealt, merge, _CAPTURE + ", range long, position long")
 
 

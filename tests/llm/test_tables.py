@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -193,6 +193,31 @@ def test_archives_round_trip(spark, monkeypatch, tmpdir_fresh):
     assert warc.archive_and_index(none).count() == 0
 
 
+def test_runs_arrive_in_order_and_are_not_sorted_again():
+    capture = lambda run, k: (f"u{k:03}", "2024", k, 1, "d", "response", None, run, k, 1)
+    a, b = [capture("a", k) for k in range(0, 100, 2)], [capture("b", k) for k in range(1, 100, 2)]
+    pieces = warc._pieces(iter(a[25:] + b[:10] + a[:25] + b[10:]))  # blocks of run a in the wrong order
+    assert sorted(map(len, pieces)) == [25, 25, 50] and all(p == sorted(p, key=warc._order) for p in pieces)
+    assert list(warc.LoserTree(pieces, warc._order)) == sorted(a + b, key=warc._order)
+
+
+def test_archives_are_bounded_by_bytes_and_hot_urls_split(spark, monkeypatch, tmpdir_fresh):
+    pages = [(None, "http://hot.example/", f"{k:04}" * 10) for k in range(300)] + [(k, "u", "long" * 500 + str(k)) for k in range(8)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)
+    monkeypatch.setattr(warc, "FILE_BYTES", 2000)
+    monkeypatch.setattr(warc, "FILE_RECORDS", 512)
+    path = f"{tmpdir_fresh}/warc"
+    rows = warc.merged_index(_runs(spark, df, path), range_captures=30).collect()
+    held, payload = Counter(r["file"] for r in rows), Counter()
+    for r in rows:
+        payload[r["file"]] += r["payload_bytes"]
+    assert len(rows) == 308 and all(held[f] == 1 or payload[f] <= 2000 for f in held) and max(held.values()) > 1
+    assert max(Counter(r["range"] for r in rows).values()) < 100  # 300 of one URL, time and page
+    keys = [(r["url_key"], r["captured"], r["page_id"] is not None, r["page_id"] or 0, r["file"], r["offset"])
+            for r in sorted(rows, key=lambda r: (r["range"], r["position"]))]
+    assert keys == sorted(keys)
+
+
 def _runs(spark, df, path):
     warc.write_archives(df, path)
     return warc.runs(spark, path)
