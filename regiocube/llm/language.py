@@ -9,7 +9,9 @@ A word is a maximal run of letters and marks, lower-cased. Its features are the
 word itself and one trigram per letter (with its neighbours or the word's
 edge), hashed into ``BUCKETS`` buckets. Everything per letter is NumPy over the
 code points of many texts at once; Viterbi steps run over many texts side by
-side, the longest first.
+side, the longest first. A long text goes in chunks of bounded size cut at white
+space: a first pass keeps the Viterbi state at each chunk's start, a second one
+from the last chunk back follows the best path. Memory does not grow with the text.
 
 The model (log shares of the buckets per language, and the scripts of each language)
 is fitted on at most about ``SAMPLE_ROWS`` different whole texts per language,
@@ -44,6 +46,12 @@ SCRIPT_SHARE = 0.01
 UNKNOWN = "und"
 #: Bytes of text handled at once; each takes about a hundred bytes of memory meanwhile.
 _SLICE = 1 << 20
+#: Languages up to which whole slices are scored at once; with more, slices are smaller.
+_SLICE_LANGUAGES = 32
+#: Code points of a chunk of a long text.
+_CHUNK = 1 << 18
+#: Entries of the table of letters by languages that is gathered at once.
+_GATHER = 1 << 22
 
 # First code point and name of the ranges told apart.
 SCRIPTS = (
@@ -134,10 +142,20 @@ class Model:
         """Log posterior of each language given a word, candidates alone; others far below."""
         if not len(words.first):
             return np.zeros((0, len(self.languages)), np.float32)
-        score = np.add.reduceat(self.logs[words.features], words.first, axis=0) + self.logs[words.whole]
-        score = np.where(self.scripts[words.script], score, -np.inf)
-        score -= score.max(axis=1, keepdims=True)
-        return np.maximum(score, np.where(self.scripts[words.script], -MOST_EVIDENCE, -4 * MOST_EVIDENCE)).astype(np.float32)
+        out = np.empty((len(words.first), len(self.languages)), np.float32)
+        ends = np.r_[words.first[1:], len(words.features)]
+        a = 0
+        while a < len(out):
+            begin = words.first[a]
+            b = max(a + 1, int(np.searchsorted(ends, begin + max(1, _GATHER // len(self.languages)), "right")))
+            score = np.add.reduceat(self.logs[words.features[begin:ends[b - 1]]], words.first[a:b] - begin, axis=0)
+            score += self.logs[words.whole[a:b]]
+            allowed = self.scripts[words.script[a:b]]
+            score = np.where(allowed, score, -np.inf)
+            score -= score.max(axis=1, keepdims=True)
+            out[a:b] = np.maximum(score, np.where(allowed, -MOST_EVIDENCE, -4 * MOST_EVIDENCE))
+            a = b
+        return out
 
 
 def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
@@ -217,7 +235,65 @@ def viterbi(scores: np.ndarray, sizes: np.ndarray, switch: float = SWITCH) -> np
     return path
 
 
+def _chunks(text: str, many: int = 1) -> list[tuple[int, int]]:
+    """Extents of at most _CHUNK code points (fewer with over _SLICE_LANGUAGES languages), cut after white space, else after a character
+    that is no part of a word, else (a run of that many letters) anywhere."""
+    out, a, most = [], 0, min(_CHUNK, max(1, _CHUNK * _SLICE_LANGUAGES // many))
+    while len(text) - a > most:
+        b = max(text.rfind(c, a, a + most) for c in " \n") + 1
+        if b <= a:
+            cp = np.frombuffer(text[a:a + most].encode("utf-32-le", "surrogatepass"), np.uint32)
+            breaks = np.flatnonzero(~_Chars.get().letter[cp])
+            b = a + (int(breaks[-1]) + 1 if len(breaks) else most)
+        out.append((a, b))
+        a = b
+    return [*out, (a, len(text))]
+
+
+def _follow(scores: np.ndarray, state: list[float], switch: float) -> Iterator[list[float]]:
+    """The Viterbi state after each word of one text; its best value before a word is kept at 0."""
+    for row in scores.tolist():
+        top = max(state)
+        state = [(s - top if s - top >= -switch else -switch) + x for s, x in zip(state, row)]
+        yield state
+
+
+def _label_long(model: Model, text: str, switch: float) -> tuple[str, float, list[dict]]:
+    """``_label`` of one long text, chunk by chunk."""
+    chunks = _chunks(text, len(model.languages))
+    state: list[float] = [0.0] * len(model.languages)
+    starts = []
+    for a, b in chunks:
+        starts.append(state)
+        for state in _follow(model.word_scores(words_of([text[a:b]])), state, switch):
+            pass
+    letters = np.zeros(len(model.languages), np.int64)
+    spans: list[dict] = []  # from the last one back
+    now = state.index(max(state))
+    for (a, b), state in zip(reversed(chunks), reversed(starts)):
+        words = words_of([text[a:b]])
+        before = [state, *_follow(model.word_scores(words), state, switch)]
+        sizes = (words.stop - words.start).tolist()
+        for t in range(len(sizes) - 1, -1, -1):
+            letters[now] += sizes[t]
+            begin, lang = a + int(words.start[t]), model.languages[now]
+            if spans and spans[-1]["lang"] == lang:
+                spans[-1]["start"] = begin
+            else:
+                spans.append({"start": begin, "stop": a + int(words.stop[t]), "lang": lang})
+            top = max(before[t])
+            if before[t][now] - top < -switch:
+                now = before[t].index(top)
+    total = int(letters.sum())
+    if not total or not any(map(str.isalpha, text)):
+        return UNKNOWN, 0.0, []
+    best = int(letters.argmax())
+    return model.languages[best], float(letters[best] / total), spans[::-1]
+
+
 def _label(model: Model, texts: list[str], switch: float) -> tuple[list[str], list[float], list[list[dict]]]:
+    if model.languages and len(texts) == 1 and len(texts[0]) > _CHUNK:
+        return tuple([x] for x in _label_long(model, texts[0], switch))
     words = words_of(texts)
     sizes = np.bincount(words.text, minlength=len(texts)) if len(words.text) else np.zeros(len(texts), np.int64)
     names, shares, spans = [UNKNOWN] * len(texts), [0.0] * len(texts), [[] for _ in texts]
@@ -248,15 +324,18 @@ def identify(docs: DataFrame, model: Model, switch: float = SWITCH, keep: Sequen
     - null or empty text, or no letter (marks alone are none): ``und``, score 0, no spans;
     - a model without languages: ``und`` throughout; ties go to the language first by code point;
     - a script that no training text uses: all languages are candidates;
-    - repeated rows and null ids: each row on its own; very long texts: whole;
+    - repeated rows and null ids: each row on its own; very long texts: whole, in chunks of _CHUNK
+      code points (only a run of more letters than that counts as several words);
     - empty table: empty result; clashing column names stay inside ``row``.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # languages * BUCKETS * 4 bytes
 
+    most = min(_SLICE, _SLICE * _SLICE_LANGUAGES // max(1, len(model.languages)))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             names, shares, spans = [], [], []
-            for _, texts in text_slices(b.column(1), _SLICE):
+            for _, texts in text_slices(b.column(1), most):
                 for into, some in zip((names, shares, spans), _label(shared.value, texts, switch)):
                     into += some
             kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("lang", pa.string())]))

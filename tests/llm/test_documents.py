@@ -6,6 +6,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 import public_tokenizers
 import tokenizers
@@ -181,6 +182,35 @@ def test_simhash_keeps_unlike_texts_of_one_id(spark):
     assert classes == near and {c for _, _, c in near} == {1, 2, 4}
 
 
+def test_language_of_long_texts_in_chunks(monkeypatch):
+    rng = random.Random(3)
+    names = ["de", "el", "en"]
+    alphabet = {"de": "abcdefghij", "en": "ghijklmnop", "el": "αβγδεζηΣ"}
+    word = lambda k: "".join(rng.choices(alphabet[k], k=rng.randint(1, 7)))
+    counts = np.full((3, language.BUCKETS), 0.1)
+    scripts = np.ones((len(language._NAMES), 3), bool)
+    for i, k in enumerate(names):
+        w = language.words_of([" ".join(word(k) for _ in range(3000))])
+        np.add.at(counts[i], w.features, 1)
+        np.add.at(counts[i], w.whole, 1)
+    model = language.Model(names, np.log(counts / counts.sum(1, keepdims=True)).T.astype(np.float32), scripts)
+    text = " \n".join(" ".join(word(k) for _ in range(rng.randint(1, 25))) for k in rng.choices(names, k=120))
+    (want,), (share,), (spans,) = language._label(model, [text], language.SWITCH)
+    assert len(spans) > 20
+    for chunk in (40, 333, 5000):
+        monkeypatch.setattr(language, "_CHUNK", chunk)
+        assert [text[a:b] for a, b in language._chunks(text)] and "".join(text[a:b] for a, b in language._chunks(text)) == text
+        assert language._label_long(model, text, language.SWITCH) == (want, share, spans)
+        assert language._label(model, [text], language.SWITCH) == ([want], [share], [spans])
+    monkeypatch.setattr(language, "_CHUNK", 40)
+    monkeypatch.setattr(language, "_GATHER", 30)
+    assert language._label_long(model, text, language.SWITCH) == (want, share, spans)
+    assert language._label_long(model, "1 " * 100, language.SWITCH) == ("und", 0.0, [])
+    assert language._label_long(model, "\u0301 " * 100, language.SWITCH) == ("und", 0.0, [])
+    assert language._label_long(model, "αβγ" * 100, language.SWITCH)[0] == "el"  # one run of letters
+    assert [b - a for a, b in language._chunks("ab-" * 30)] == [39, 39, 12]
+
+
 def test_mixing_comes_near_its_targets(spark, odd, none):
     rows = queries.op7_source_mixing(spark, SF_SMALL).collect()
     again = queries.op7_source_mixing(spark, SF_SMALL).collect()
