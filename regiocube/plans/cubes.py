@@ -40,7 +40,8 @@ class Cubes:
         written once, partitioned by ``kind``."""
         return self._get("facts", lambda: persisted(
             self.spark, "fact_cells", lambda: sc.fact_cells(self.spark, self.sf_dir),
-            self._inputs(*_FACT_TABLES), partition_by=["kind"]))
+            self._inputs(*_FACT_TABLES), partition_by=["kind"],
+            rows=lambda: sc.read_table(self.spark, self.sf_dir, "lineitem").count()))
 
     def cells(self) -> DataFrame:
         """Finest monthly cells of the orders (partition ``kind=order``)."""

@@ -18,7 +18,8 @@ import hashlib
 import pathlib
 import threading
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +29,11 @@ from regiocube.session import scratch_root
 _CODE = ("constants.py", "functions", "operators/common.py", "operators/enrich.py", "sources", "plans/cubes.py",
          "plans/materialize.py")
 
+#: Input rows that one task of a build sorts and groups, and shuffled MB that one task is given.
+TASK_ROWS, TASK_MB = 256_000, 8
+_PARTITIONS = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+_ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
 _LOCKS: dict[str, threading.Lock] = {}
 _LOCKS_GUARD = threading.Lock()
 
@@ -75,6 +81,31 @@ def fingerprint(spark: SparkSession, inputs: Sequence[str], extra: str = "") ->
     return h.hexdigest()[:16]
 
 
+def _megabytes(size: str) -> float:
+    """A byte setting of Spark in MB (plain numbers are bytes)."""
+    size = size.strip().lower().rstrip("b")
+    unit = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1 << 20}.get(size[-1:])
+    return float(size[:-1]) * unit if unit else float(size) / (1 << 20)
+
+
+@contextmanager
+def dealt(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Shuffles of a build over ``rows`` rows get so many partitions, merged up to so few MB, that what
+    one task holds does not grow with the input. Settings are only ever raised (MB: lowered), and put back."""
+    want = -(-rows // TASK_ROWS)
+    new = {k: str(want) for k in _PARTITIONS if int(spark.conf.get(k, None) or want) < want}
+    if _megabytes(spark.conf.get(_ADVISORY)) > TASK_MB:
+        new[_ADVISORY] = f"{TASK_MB}m"
+    before = {k: spark.conf.get(k, None) for k in new}
+    try:
+        for k, v in new.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def persisted_path(spark: SparkSession, name: str, build: Callable[[], DataFrame],
                    inputs: Sequence[str], write: Callable[[DataFrame, str], None]) -> str:
     """Write ``build()`` once with ``write(df, path)`` under the scratch
@@ -104,12 +135,16 @@ def persisted_path(spark: SparkSession, name: str, build: Callable[[], DataFrame
 
 
 def persisted(spark: SparkSession, name: str, build: Callable[[], DataFrame],
-              inputs: Sequence[str], partition_by: Sequence[str] = ()) -> DataFrame:
-    """Return ``build()`` written to (and read back from) the scratch folder as parquet."""
+              inputs: Sequence[str], partition_by: Sequence[str] = (),
+              rows: Callable[[], int] | None = None) -> DataFrame:
+    """Return ``build()`` written to (and read back from) the scratch folder as parquet.
+
+    ``rows`` counts the input rows of a build whose work grows with them (see ``dealt``)."""
     def write(df: DataFrame, path: str) -> None:
         writer = df.write
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(path)
+        with dealt(spark, rows()) if rows else nullcontext():
+            writer.parquet(path)
 
     return spark.read.parquet(persisted_path(spark, name, build, inputs, write))

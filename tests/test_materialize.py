@@ -79,3 +79,44 @@ def test_a_null_part_is_not_its_parent(spark):
     cells = spark.createDataFrame([("01", "A", 2000, 5), ("01", None, 2000, 2)], "cc string, seg string, year int, n long")
     got = {r.geo: r.n for r in sc._rollup(cells, [["cc"], ["cc", "seg"]], [], ["n"], (), None).collect()}
     assert got == {"01": 7, "01A": 5, "01_": 2}
+
+
+def test_the_fact_build_deals_its_rows_over_more_partitions(spark, monkeypatch):
+    from regiocube.plans.cubes import Cubes
+    from regiocube.sources import starcube as sc
+    from tests.conftest import SF_SMALL
+
+    lines = sc.read_table(spark, SF_SMALL, "lineitem").count()
+    monkeypatch.setattr(materialize, "TASK_ROWS", 300)
+    before, during = [spark.conf.get(k, None) for k in (*materialize._PARTITIONS, materialize._ADVISORY)], []
+
+    def cells(*a):
+        during.append(None)
+        return real(*a)
+
+    def written(s, rows):
+        with dealt(s, rows):
+            during.append((int(s.conf.get("spark.sql.shuffle.partitions")), s.conf.get(materialize._ADVISORY)))
+            yield
+
+    real, dealt = sc.fact_cells, materialize.dealt
+    monkeypatch.setattr(sc, "fact_cells", cells)
+    monkeypatch.setattr(materialize, "dealt", materialize.contextmanager(written))
+    spark.conf.set("regiocube.run_token", "dealt" + os.urandom(4).hex())
+    try:
+        got = Cubes(spark, SF_SMALL, ("01",), "01").facts()
+    finally:
+        spark.conf.unset("regiocube.run_token")
+    assert during == [None, (-(-lines // 300), "8m")]
+    assert [spark.conf.get(k, None) for k in (*materialize._PARTITIONS, materialize._ADVISORY)] == before
+    want = real(spark, SF_SMALL).select(got.columns)
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+
+
+def test_settings_of_a_build_are_put_back_when_it_fails(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with pytest.raises(ZeroDivisionError), materialize.dealt(spark, 10**9):
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) == -(-10**9 // materialize.TASK_ROWS)
+        raise ZeroDivisionError
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert [materialize._megabytes(x) for x in ("8388608b", "8388608", "8m", "8MB", "8192k", "1g")] == [8, 8, 8, 8, 8, 1024]
