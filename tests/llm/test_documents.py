@@ -549,6 +549,34 @@ def test_a_common_head_is_no_family(spark):
     assert all(got[i] == i for i in range(3000)) and sum(got[3000 + i] == i for i in range(50)) >= 48
 
 
+@pytest.mark.parametrize("block", [1000, 7])
+def test_pairs_that_share_crowded_bands_alone_are_found(spark, monkeypatch, block):
+    """Near pairs all of whose common bands lie in the head that hundreds of texts begin with."""
+    monkeypatch.setattr(editprint, "_BLOCK", block)
+    rng = random.Random(13)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    head = "".join(rng.choices(letters, k=60))
+    texts = [head + "".join(rng.choices(letters, k=rng.randint(45, 60))) for _ in range(300)]
+    keys = editprint.band_keys(texts)
+    held = Counter(k for of in keys for k in set(of))
+    pairs, rows = {}, dict(enumerate(texts))
+    for i, t in enumerate(texts):
+        for _ in range(60):
+            near = list(t)
+            for at in (rng.randrange(62, 75), rng.randrange(len(t) - 12, len(t))):
+                near[at] = rng.choice(letters)
+            near = "".join(near)
+            common = set(keys[i]) & set(editprint.band_keys([near])[0])
+            if near != t and common and all(held[k] > 2 * editprint.HOT_CLASSES for k in common):
+                pairs[1000 + i] = i
+                rows[1000 + i] = near
+                break
+    assert len(pairs) >= 30
+    got = {r["doc_id"]: r["class_id"] for r in editprint.near_duplicates(documents(spark, [(i, t, "en", "s") for i, t in rows.items()], clashing=False)).collect()}
+    assert all(got[a] == got[b] == b for a, b in pairs.items())
+    assert all(got[i] == i for i in range(len(texts)))
+
+
 def _thue_morse(n):
     return "".join("ab"[bin(i).count("1") & 1] for i in range(n))
 
