@@ -266,8 +266,8 @@ BANDS = 16
 LEAST_BANDS = 1 / 16
 #: Classes apart in one band above which its pairs are found by length and sketch (see ``_crowded``).
 HOT_CLASSES = 48
-#: Rows of a crowded band and length that are paired at once with as many others.
-_BLOCK = 1000
+#: Rows of a crowded band that are paired at once with as many others, and rows that a task gets about.
+_BLOCK, _PLACE_ROWS = 32_000, 8000
 #: Texts alike: their edit distance is at most this share of the longer one's length. Each
 #: edit puts the walks out of step for a while, so likeness falls fast with more edits
 #: (medians on the given prose: 0.96 at 0.5 %, 0.72 at 2 %, 0.42 at 5 %).
@@ -577,35 +577,40 @@ def _classed(rows: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _crowded(rows: DataFrame, most_edits: float) -> DataFrame:
-    """(src, dst): the pairs of each band of ``rows`` (band, point, n, class, sketch) that are apart and alike in grams.
+    """(src, dst): the pairs of each band of ``rows`` (band, held, point, n, class, sketch) that are apart and alike in grams.
 
     Lengths fall into steps of the share that like texts may differ by, so the longer text of a pair
-    lies in the step of the shorter one or in the next. The rows of a band and step are
-    dealt over blocks of about _BLOCK, and each two blocks meet in one place. Places are put together
-    by their rows; what does not pass is never a row."""
+    lies in the step of the shorter one or in the next: each row lies in the window of its step and of the
+    one before. The rows of a band that ``held`` more than _BLOCK are dealt over blocks, and each two blocks
+    meet in one place. Places are put together by their rows; what does not pass is never a row."""
     step = F.floor(F.log("n") / F.lit(-math.log1p(-most_edits) * (1 + 1e-6)))
-    short = rows.withColumn("step", step).withColumn("longer", F.lit(False))
-    both = short.union(rows.withColumn("step", F.explode(F.array(step, step - 1))).withColumn("longer", F.lit(True)))
-    blocks = both.groupBy("band", "step").agg(F.ceil(F.count("*") / F.lit(_BLOCK)).cast("int").alias("blocks"), F.count("*").alias("c"))
-    n = blocks.agg(F.sum(F.col("blocks") * F.col("c"))).first()[0]
-    both = both.join(blocks.where("blocks > 1").drop("c"), ["band", "step"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    both = (both.withColumn("own", F.pmod(F.xxhash64("point"), F.col("blocks")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .withColumn("i", F.when(F.col("longer"), F.col("other")).otherwise(F.col("own")))
-            .withColumn("j", F.when(F.col("longer"), F.col("own")).otherwise(F.col("other"))))
-    place = F.pmod(F.xxhash64("band", "step", "i", "j"), F.lit(parts(n or 0, 16 * _BLOCK)))
+    blocks = F.ceil(F.col("held") / F.lit(_BLOCK)).cast("int")
+    block = F.pmod(F.xxhash64("point"), F.col("blocks")).cast("int")
+    all_ = F.sequence(F.lit(0), F.col("blocks") - 1)
+    # Its block meets the others as the shorter texts (in the own step), and the others it as the longer ones.
+    as_short = F.filter(all_, lambda o: F.col("own") | (o == F.col("block")))
+    cells = F.concat(
+        F.transform(as_short, lambda o: F.struct(F.col("block").alias("i"), o.alias("j"), F.col("own").alias("shorter"), (o == F.col("block")).alias("longer"))),
+        F.transform(F.filter(all_, lambda o: o != F.col("block")),
+                    lambda o: F.struct(o.alias("i"), F.col("block").alias("j"), F.lit(False).alias("shorter"), F.lit(True).alias("longer"))))
+    n = rows.agg(F.sum(2 * (2 * blocks - 1))).first()[0]
+    place = F.pmod(F.xxhash64("band", "step", "i", "j"), F.lit(parts(n or 0, _PLACE_ROWS)))
+    dealt = (rows.withColumn("blocks", blocks).withColumn("block", block)
+             .select("*", step.alias("of"), F.explode(F.array(F.lit(0), F.lit(1))).alias("back"))
+             .withColumn("step", F.col("of") - F.col("back")).withColumn("own", F.col("back") == 0)
+             .select("band", "step", "point", "n", "class", "sketch", F.inline(cells)))
 
     def pair_up(table: pa.Table) -> pa.Table:
         return _alike_pairs(table, most_edits)
 
-    return (both.select(place.alias("place"), "band", "step", "i", "j", "longer", "point", "n", "class", "sketch")
-            .groupBy("place").applyInArrow(pair_up, "src long, dst long"))
+    return dealt.withColumn("place", place).groupBy("place").applyInArrow(pair_up, "src long, dst long")
 
 
 def _alike_pairs(rows: pa.Table, most_edits: float) -> pa.Table:
     """(src, dst): of each band, step and two blocks, the pairs of a shorter and a longer row that pass, as ``apart`` and ``_alike_grams`` have it."""
-    rows = rows.sort_by([(c, "ascending") for c in ("band", "step", "i", "j", "longer")])
-    band, step, i, j, point, n, kind, longer = (rows[c].to_numpy() for c in ("band", "step", "i", "j", "point", "n", "class", "longer"))
+    rows = rows.sort_by([(c, "ascending") for c in ("band", "step", "i", "j")])
+    band, step, i, j, point, n, kind, shorter, longer = (
+        rows[c].to_numpy() for c in ("band", "step", "i", "j", "point", "n", "class", "shorter", "longer"))
     places = rows["sketch"].combine_chunks().flatten().to_numpy().reshape(-1, _PLACES // 8).view(np.uint8)
     new = np.zeros(len(band), bool)
     for x in (band, step, i, j):
@@ -614,14 +619,14 @@ def _alike_pairs(rows: pa.Table, most_edits: float) -> pa.Table:
     out: list[np.ndarray] = []
     first = 0
     for end in ends.tolist():
-        middle = first + int(np.searchsorted(longer[first:end], True))
-        few = max(1, (1 << 18) // max(1, end - middle))
-        for at in range(first, middle, few):
-            a, b = np.arange(at, min(middle, at + few))[:, None], np.arange(middle, end)[None, :]
+        left, right = first + np.flatnonzero(shorter[first:end]), first + np.flatnonzero(longer[first:end])
+        few = max(1, (1 << 18) // max(1, len(right)))
+        for at in range(0, len(left), few):
+            a, b = left[at:at + few, None], right[None, :]
             fit = ((n[a] < n[b]) | (n[a] == n[b]) & (point[a] < point[b])) & (kind[a] != kind[b])
             fit &= n[b] - n[a] <= most_edits * n[b] + 1e-9
             x, y = np.nonzero(fit)
-            x, y = x + at, y + middle
+            x, y = left[at + x], right[y]
             p, q = places[x], places[y]
             filled = ((p & q) != 255).sum(axis=1)
             alike = filled - (p != q).sum(axis=1) >= filled * LEAST_GRAMS
@@ -704,8 +709,8 @@ def _labels(docs: DataFrame, most_edits: float) -> DataFrame:
             break
     # Bands in which classes are still apart give all their pairs; those of many classes (a common
     # head or tail of otherwise different texts) without the pairs that lengths or sketches rule out.
-    classes = state.groupBy("band").agg(F.count_distinct("class").alias("classes")).where("classes > 1")
-    state = stored(state.join(classes.select("band", (F.col("classes") > HOT_CLASSES).alias("crowded")), "band"), "open-bands")
+    classes = state.groupBy("band").agg(F.count_distinct("class").alias("classes"), F.count("*").alias("held")).where("classes > 1")
+    state = stored(state.join(classes.select("band", "held", (F.col("classes") > HOT_CLASSES).alias("crowded")), "band"), "open-bands")
     few = state.where("not crowded")
     few = few.alias("a").join(few.alias("b"), (F.col("a.band") == F.col("b.band")) & (F.col("a.point") < F.col("b.point"))
                               & apart("a", "b")).select(F.col("a.point").alias("src"), F.col("b.point").alias("dst"))

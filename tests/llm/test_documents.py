@@ -549,7 +549,7 @@ def test_a_common_head_is_no_family(spark):
     assert all(got[i] == i for i in range(3000)) and sum(got[3000 + i] == i for i in range(50)) >= 48
 
 
-@pytest.mark.parametrize("block", [1000, 7])
+@pytest.mark.parametrize("block", [32_000, 90])
 def test_pairs_that_share_crowded_bands_alone_are_found(spark, monkeypatch, block):
     """Near pairs all of whose common bands lie in the head that hundreds of texts begin with."""
     monkeypatch.setattr(editprint, "_BLOCK", block)
