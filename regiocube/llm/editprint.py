@@ -264,16 +264,15 @@ BAND_STEPS = 32
 BANDS = 16
 #: Share of the fewer bands that two texts have to agree on before their edit distance is computed.
 LEAST_BANDS = 1 / 16
-#: Classes apart in one band above which its pairs are found by length and sketch (see ``_crowded``).
+#: Texts of one band above which it counts as crowded (a common head or tail of otherwise different texts).
 HOT_CLASSES = 48
-#: Rows of a crowded band that are paired at once with as many others, and rows that a task gets about.
+#: Rows of a band, and characters of a neighbourhood, that meet in one cell at once, and what of both a task gets about.
 _BLOCK, _PLACE_ROWS = 32_000, 8000
+_BLOCK_CHARS, _PLACE_CHARS = 1 << 19, 1 << 20
 #: Texts alike: their edit distance is at most this share of the longer one's length. Each
 #: edit puts the walks out of step for a while, so likeness falls fast with more edits
 #: (medians on the given prose: 0.96 at 0.5 %, 0.72 at 2 %, 0.42 at 5 %).
 MOST_EDITS = 0.02
-#: Rounds against representatives at most; then what is still apart is compared directly.
-MOST_ROUNDS = 8
 
 
 def _edits(n: int, most_edits: float) -> int:
@@ -373,23 +372,6 @@ def gram_sketch(text: str) -> list[int]:
     return np.where(places == 0xFFFFFFFF, 255, low).astype(np.uint8).view(np.int64).tolist()
 
 
-def _unlike_bytes(x: Column) -> Column:
-    """Bytes of a long that are not zero."""
-    x = x.bitwiseOR(F.shiftrightunsigned(x, 4))
-    x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
-    x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-    return F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101)))
-
-
-def _alike_grams(a: str, b: str) -> Column:
-    """Do two sketches agree on LEAST_GRAMS of the places that either fills?"""
-    words = range(_PLACES // 8)
-    each = [(F.col(a)[i], F.col(b)[i]) for i in words]
-    unlike = sum((_unlike_bytes(x.bitwiseXOR(y)) for x, y in each), F.lit(0))
-    filled = sum((_unlike_bytes(F.bitwise_not(x.bitwiseAND(y))) for x, y in each), F.lit(0))
-    return filled - unlike >= filled * F.lit(LEAST_GRAMS)
-
-
 def edit_distance(a: str, b: str) -> int:
     """Levenshtein distance, a column of the table per step in the bits of one integer."""
     if len(a) < len(b):
@@ -553,8 +535,9 @@ def near_duplicates(docs: DataFrame, most_edits: float = MOST_EDITS) -> DataFram
     times the longer length. ``class_id`` is the smallest doc_id reachable. Candidates
     that links already join are not compared, so ``n_links`` counts the links
     that hold the row's text in its class, not all texts that are like it. Pairs whose gram
-    sketches disagree (see ``gram_sketch``) are not compared either; in bands of over
-    HOT_CLASSES classes that is tested as the pairs are made (see ``_crowded``). The README has the recall.
+    sketches disagree (see ``gram_sketch``) are not compared either. Pairs are made in arrays, cell by cell: first those
+    of each band by lengths and sketches, then those of each neighbourhood that these hold together,
+    where texts are aligned; only pairs that join two sets become rows. The README has the recall.
 
     - null text: empty; an empty text is linked to equal ones only;
     - null doc_ids take no part and get class null; repeated rows: one row each;
@@ -576,16 +559,24 @@ def _classed(rows: DataFrame, labels: DataFrame) -> DataFrame:
             .withColumn("n_links", F.when(known, F.coalesce("n_links", F.lit(0))).otherwise(F.lit(0)).cast("long")))
 
 
-def _crowded(rows: DataFrame, most_edits: float) -> DataFrame:
-    """(src, dst): the pairs of each band of ``rows`` (band, held, point, n, class, sketch) that are apart and alike in grams.
+#: Pairs looked at at once, and cells of their distance tables; above _LONG characters a pair is aligned on its own.
+_PAIRS, _CELLS, _LONG = 1 << 18, 1 << 15, 2500
 
-    Lengths fall into steps of the share that like texts may differ by, so the longer text of a pair
-    lies in the step of the shorter one or in the next: each row lies in the window of its step and of the
-    one before. The rows of a band that ``held`` more than _BLOCK are dealt over blocks, and each two blocks
-    meet in one place. Places are put together by their rows; what does not pass is never a row."""
+
+def _cells(rows: DataFrame, block: int, most_edits: float) -> DataFrame:
+    """(key, step, i, j, point, n, shorter, longer): where each row of ``rows`` (key, point, n, weight, held) meets the others of its key.
+
+    A key that ``held`` at most ``block`` (the sum of its weights) is one cell. In others lengths fall into
+    steps of the share that like texts may differ by, so the longer text of a pair lies in the step of the
+    shorter one or in the next: each row lies in the window of its step and of the one before. Windows of more
+    than ``block`` are dealt over blocks, and each two blocks meet in one cell: each pair meets once."""
+    whole = rows.where(F.col("held") <= block).select(
+        "key", F.lit(-1).cast("long").alias("step"), F.lit(0).alias("i"), F.lit(0).alias("j"), "point", "n", F.lit(True).alias("shorter"), F.lit(True).alias("longer"))
     step = F.floor(F.log("n") / F.lit(-math.log1p(-most_edits) * (1 + 1e-6)))
-    blocks = F.ceil(F.col("held") / F.lit(_BLOCK)).cast("int")
-    block = F.pmod(F.xxhash64("point"), F.col("blocks")).cast("int")
+    wide = (rows.where(F.col("held") > block)
+            .select("key", "point", "n", "weight", step.alias("of"), F.explode(F.array(F.lit(0), F.lit(1))).alias("back"))
+            .withColumn("step", F.col("of") - F.col("back")).withColumn("own", F.col("back") == 0))
+    each = wide.groupBy("key", "step").agg(F.ceil(F.sum("weight") / F.lit(block)).cast("int").alias("blocks"))
     all_ = F.sequence(F.lit(0), F.col("blocks") - 1)
     # Its block meets the others as the shorter texts (in the own step), and the others it as the longer ones.
     as_short = F.filter(all_, lambda o: F.col("own") | (o == F.col("block")))
@@ -593,47 +584,221 @@ def _crowded(rows: DataFrame, most_edits: float) -> DataFrame:
         F.transform(as_short, lambda o: F.struct(F.col("block").alias("i"), o.alias("j"), F.col("own").alias("shorter"), (o == F.col("block")).alias("longer"))),
         F.transform(F.filter(all_, lambda o: o != F.col("block")),
                     lambda o: F.struct(o.alias("i"), F.col("block").alias("j"), F.lit(False).alias("shorter"), F.lit(True).alias("longer"))))
-    n = rows.agg(F.sum(2 * (2 * blocks - 1))).first()[0]
-    place = F.pmod(F.xxhash64("band", "step", "i", "j"), F.lit(parts(n or 0, _PLACE_ROWS)))
-    dealt = (rows.withColumn("blocks", blocks).withColumn("block", block)
-             .select("*", step.alias("of"), F.explode(F.array(F.lit(0), F.lit(1))).alias("back"))
-             .withColumn("step", F.col("of") - F.col("back")).withColumn("own", F.col("back") == 0)
-             .select("band", "step", "point", "n", "class", "sketch", F.inline(cells)))
-
-    def pair_up(table: pa.Table) -> pa.Table:
-        return _alike_pairs(table, most_edits)
-
-    return dealt.withColumn("place", place).groupBy("place").applyInArrow(pair_up, "src long, dst long")
-
-
-def _alike_pairs(rows: pa.Table, most_edits: float) -> pa.Table:
-    """(src, dst): of each band, step and two blocks, the pairs of a shorter and a longer row that pass, as ``apart`` and ``_alike_grams`` have it."""
-    rows = rows.sort_by([(c, "ascending") for c in ("band", "step", "i", "j")])
-    band, step, i, j, point, n, kind, shorter, longer = (
-        rows[c].to_numpy() for c in ("band", "step", "i", "j", "point", "n", "class", "shorter", "longer"))
-    places = rows["sketch"].combine_chunks().flatten().to_numpy().reshape(-1, _PLACES // 8).view(np.uint8)
-    new = np.zeros(len(band), bool)
-    for x in (band, step, i, j):
-        new[1:] |= x[1:] != x[:-1]
-    ends = np.r_[np.flatnonzero(new), len(band)]
-    out: list[np.ndarray] = []
-    first = 0
-    for end in ends.tolist():
-        left, right = first + np.flatnonzero(shorter[first:end]), first + np.flatnonzero(longer[first:end])
-        few = max(1, (1 << 18) // max(1, len(right)))
-        for at in range(0, len(left), few):
-            a, b = left[at:at + few, None], right[None, :]
-            fit = ((n[a] < n[b]) | (n[a] == n[b]) & (point[a] < point[b])) & (kind[a] != kind[b])
-            fit &= n[b] - n[a] <= most_edits * n[b] + 1e-9
-            x, y = np.nonzero(fit)
-            x, y = left[at + x], right[y]
-            p, q = places[x], places[y]
+    dealt = (wide.join(each, ["key", "step"]).withColumn("block", F.pmod(F.xxhash64("point"), F.col("blocks")).cast("int"))
+             .select("key", "step", "point", "n", F.inline(cells)))
+    return whole.union(dealt.select(whole.columns))
+
+
+def _placed(cells: DataFrame, held: DataFrame, block: int, each: int) -> DataFrame:
+    """``cells`` with the place that each cell is worked on in, of about ``each`` of what the keys of ``held`` (held) hold."""
+    blocks = F.ceil(F.col("held") / F.lit(block))
+    n = held.agg(F.sum(F.when(F.col("held") <= block, F.col("held")).otherwise(2 * F.col("held") * (2 * blocks - 1)))).first()[0]
+    return cells.withColumn("place", F.pmod(F.xxhash64("key", "step", "i", "j"), F.lit(parts(n or 0, each))))
+
+
+class _Place:
+    """The rows of some cells in order of length, and the sets that their points are joined to so far."""
+
+    def __init__(self, rows: pa.Table, most_edits: float):
+        self.rows = rows = rows.sort_by([(c, "ascending") for c in ("key", "step", "i", "j", "n", "point")])
+        self.most_edits = most_edits
+        self.n, self.shorter, self.longer = (rows[c].to_numpy() for c in ("n", "shorter", "longer"))
+        self.points, self.item = np.unique(rows["point"].to_numpy(), return_inverse=True)
+        self.label = np.arange(len(self.points))
+        self.places = rows["sketch"].combine_chunks().flatten().to_numpy().reshape(-1, _PLACES // 8).view(np.uint8)
+        new = np.zeros(rows.num_rows, np.int64)
+        for c in ("key", "step", "i", "j"):
+            x = rows[c].to_numpy()
+            new[1:] |= x[1:] != x[:-1]
+        self.cell = np.cumsum(new)
+
+    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(shorter rows, longer rows): of each cell the pairs that lengths and sketches let pass, without those already joined."""
+        n, cell = self.n, self.cell << 40
+        most = np.floor(n / (1 - self.most_edits) + 1e-6).astype(np.int64)
+        many = np.searchsorted(cell + n, cell + most, "right") - np.arange(len(n)) - 1
+        many[~self.shorter] = 0
+        sums = np.cumsum(many)
+        first = 0
+        while first < len(n):
+            end = max(first + 1, int(np.searchsorted(sums, sums[first] - many[first] + _PAIRS, "right")))
+            some = many[first:end]
+            x = np.repeat(np.arange(first, end), some)
+            y = np.arange(len(x)) - np.repeat(np.cumsum(some) - some, some) + x + 1
+            keep = self.longer[y] & (n[y] - n[x] <= self.most_edits * n[y] + 1e-9) & self.apart(x, y)
+            x, y = x[keep], y[keep]
+            p, q = self.places[x], self.places[y]
             filled = ((p & q) != 255).sum(axis=1)
             alike = filled - (p != q).sum(axis=1) >= filled * LEAST_GRAMS
-            out.append(np.stack([point[x[alike]], point[y[alike]]]))
-        first = end
-    src, dst = np.unique(np.concatenate(out, axis=1), axis=1) if out else np.zeros((2, 0), np.int64)
-    return pa.table({"src": pa.array(src, pa.int64()), "dst": pa.array(dst, pa.int64())})
+            yield x[alike], y[alike]
+            first = end
+
+    def apart(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return self.label[self.item[x]] != self.label[self.item[y]]
+
+    def join(self, x: np.ndarray, y: np.ndarray) -> pa.Table:
+        """Joins the pairs' sets; those pairs that joined two of them."""
+        a, b = self.item[x], self.item[y]
+        roots, at = np.unique(self.label[np.r_[a, b]], return_inverse=True)
+        parent, joins = list(range(len(roots))), []
+        for t, (p, q) in enumerate(zip(at[:len(a)].tolist(), at[len(a):].tolist())):
+            while parent[p] != p:
+                parent[p] = p = parent[parent[p]]
+            while parent[q] != q:
+                parent[q] = q = parent[parent[q]]
+            if p != q:
+                parent[max(p, q)] = min(p, q)
+                joins.append(t)
+        for r, up in enumerate(parent):  # a set's first root comes before its others
+            parent[r] = parent[up]
+        now = np.arange(len(self.label))
+        now[roots] = roots[parent]
+        self.label = now[self.label]
+        return pa.table({"src": pa.array(self.points[a[joins]], pa.int64()), "dst": pa.array(self.points[b[joins]], pa.int64())})
+
+
+_EDGES = pa.schema([("src", pa.int64()), ("dst", pa.int64())])
+
+
+def _near_pairs(rows: pa.Table, most_edits: float) -> pa.Table:
+    """(src, dst): pairs that hold together what lengths and sketches let pass (not all such pairs)."""
+    place = _Place(rows, most_edits)
+    return pa.concat_tables([_EDGES.empty_table(), *(place.join(x, y) for x, y in place.pairs())])
+
+
+def _links(rows: pa.Table, most_edits: float) -> pa.Table:
+    """(src, dst): pairs within ``most_edits`` that hold their classes together; pairs of texts already in one class are not compared."""
+    place = _Place(rows, most_edits)
+    bands, tape = _Bands(place.rows["keys"]), None
+    out = [_EDGES.empty_table()]
+    for x, y in place.pairs():
+        common = bands.common(x, y)
+        x, y = x[common], y[common]
+        if len(x) and tape is None:
+            tape = _Tape(place.rows["text"])
+        # Few at first: the more is joined, the less is left to compare.
+        first, few = 0, 256
+        while first < len(x):
+            a, b = x[first:first + few], y[first:first + few]
+            first, few = first + few, min(2 * few, 1 << 14)
+            apart = place.apart(a, b)
+            a, b = a[apart], b[apart]
+            close = tape.within(a, b, (most_edits * place.n[b] + 1e-9).astype(np.int64))
+            out.append(place.join(a[close], b[close]))
+    return pa.concat_tables(out)
+
+
+class _Bands:
+    """The bands of each row that other rows have too."""
+
+    def __init__(self, keys: pa.ChunkedArray):
+        keys = keys.combine_chunks()
+        self.size = pc.list_value_length(keys).to_numpy()
+        _, key, many = np.unique(keys.flatten().to_numpy(), return_inverse=True, return_counts=True)
+        row = np.repeat(np.arange(len(self.size)), self.size)
+        shared = many[key] > 1
+        self.key_count = len(many)
+        self.codes = np.unique(row[shared] * self.key_count + key[shared])
+        self.ends = np.searchsorted(self.codes, np.arange(len(self.size) + 1) * self.key_count)
+
+    def common(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Do the pairs agree on LEAST_BANDS of the fewer bands?"""
+        out = np.zeros(len(x), bool)
+        least = np.maximum(1, np.ceil(np.minimum(self.size[x], self.size[y]) * LEAST_BANDS))
+        for at in range(0, len(x), _CELLS):
+            a, b = x[at:at + _CELLS], y[at:at + _CELLS]
+            some = self.ends[a + 1] - self.ends[a]
+            pair = np.repeat(np.arange(len(a)), some)
+            code = self.codes[np.arange(len(pair)) - np.repeat(np.cumsum(some) - some, some) + self.ends[a][pair]]
+            code += (b - a)[pair] * self.key_count
+            found = self.codes[np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)] == code if len(code) else code == 0
+            out[at:at + _CELLS] = np.bincount(pair[found], minlength=len(a)) >= least[at:at + _CELLS]
+        return out
+
+
+class _Tape:
+    """Texts one after the other, each character in a code of few bytes, and the 8 bytes from each place as an integer."""
+
+    def __init__(self, texts: pa.ChunkedArray):
+        self.texts = texts.to_pylist()
+        chars = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) for t in self.texts]
+        known = np.zeros(0x110000, bool)
+        for c in chars:
+            known[c] = True
+        code = np.cumsum(known)  # 0 is the end of a text
+        kind = np.dtype(next(k for k in (np.uint8, np.uint16, np.uint32) if code[-1] <= np.iinfo(k).max))
+        self.n = np.array([len(c) for c in chars])
+        self.start = np.cumsum(np.r_[0, self.n + 1])[:-1]
+        tape = np.zeros(int(self.n.sum()) + len(chars) + 8, kind)
+        for c, at in zip(chars, self.start.tolist()):
+            tape[at:at + len(c)] = code[c]
+        self.words = np.ndarray(len(tape) - 8, "<u8", tape.tobytes(), strides=(kind.itemsize,)).copy()
+        self.shift = 2 + kind.itemsize.bit_length()
+
+    def within(self, x: np.ndarray, y: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """Is the edit distance of each pair (shorter, longer) at most ``most``? Exact."""
+        out = np.zeros(len(x), bool)
+        order = np.argsort(most, kind="stable")
+        long = self.n[y[order]] > _LONG
+        for t in order[long].tolist():
+            out[t] = within(self.texts[x[t]], self.texts[y[t]], int(most[t]))
+        order = order[~long]
+        first = 0
+        while first < len(order):
+            least = int(most[order[first]])
+            end = min(int(np.searchsorted(most[order], least + least // 4 + 2, "right")), first + max(1, _CELLS // (least + 1)))
+            some = order[first:end]
+            out[some] = self._reach(x[some], y[some], most[some])
+            first = end
+        return out
+
+    def _reach(self, x: np.ndarray, y: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """``_reaches`` for many pairs side by side: how far along ``x`` each diagonal is after d edits."""
+        sx, sy, n, m = self.start[x], self.start[y], self.n[x], self.n[y]
+        out, pair = np.zeros(len(x), bool), np.arange(len(x))
+        target, all_ = m - n, int(most.max(initial=0))
+        below, none = 0, -(1 << 40)
+        reach = self._run(sx, sy, n, m, np.zeros((len(x), 1), np.int64), np.zeros(1, np.int64))
+        d = 0
+        while True:
+            at = target - below
+            inside = (at >= 0) & (at < reach.shape[1])
+            done = inside & (most >= d) & (reach[np.arange(len(at)), np.where(inside, at, 0)] >= n)
+            out[pair[done]] = True
+            going = ~done & (most > d)
+            if not going.any():
+                return out
+            if going.mean() < 0.8:
+                pair, sx, sy, n, m, target, most, reach = (v[going] for v in (pair, sx, sy, n, m, target, most, reach))
+            d += 1
+            all_ = int(most.max())
+            lo = max(-d, int(target.min()) - (all_ - d))
+            hi = min(d, int(target.max()) + all_ - d)
+            # One more edit: along the diagonal, from the one above (a character of x), from the one below (of y).
+            wide = np.full((len(pair), hi - lo + 3), none)
+            a, b = max(below, lo - 1), min(below + reach.shape[1] - 1, hi + 1)
+            wide[:, a - lo + 1:b - lo + 2] = reach[:, a - below:b - below + 1]
+            new = np.maximum(np.maximum(wide[:, 1:-1], wide[:, 2:]) + 1, wide[:, :-2])
+            reach, below = self._run(sx, sy, n, m, new, np.arange(lo, hi + 1)), lo
+
+    def _run(self, sx: np.ndarray, sy: np.ndarray, n: np.ndarray, m: np.ndarray, i: np.ndarray, diagonal: np.ndarray) -> np.ndarray:
+        """Where along ``x`` the characters of each diagonal stop being equal, from places ``i`` on."""
+        end = np.minimum(n[:, None], m[:, None] - diagonal)
+        i = np.minimum(i, end).ravel()
+        end = end.ravel()
+        here = i + np.repeat(sx, len(diagonal))
+        there = here + ((sy - sx)[:, None] + diagonal).ravel()
+        some: slice | np.ndarray = slice(None)
+        while True:
+            v = self.words.take(here, mode="clip") ^ self.words.take(there, mode="clip")
+            # The lowest bit that differs lies in the first character that does.
+            same = np.bitwise_count((v & (~v + np.uint64(1))) - np.uint64(1)) >> self.shift
+            i[some] = np.minimum(i[some] + same, end[some])
+            going = np.flatnonzero((v == 0) & (i[some] < end[some]))
+            if not len(going):
+                return i.reshape(len(sx), len(diagonal))
+            some = going if isinstance(some, slice) else some[going]
+            here, there = here[going] + (64 >> self.shift), there[going] + (64 >> self.shift)
 
 
 def _labels(docs: DataFrame, most_edits: float) -> DataFrame:
@@ -648,75 +813,28 @@ def _labels(docs: DataFrame, most_edits: float) -> DataFrame:
                  pa.array(band_keys(texts, most_edits), pa.list_(pa.int64())),
                  pa.array([gram_sketch(t) for t in texts], pa.list_(pa.int64()))], names=["doc_id", "point", "n", "keys", "sketch"])
 
+    def near(table: pa.Table) -> pa.Table:
+        return _near_pairs(table, most_edits)
+
+    def link(table: pa.Table) -> pa.Table:
+        return _links(table, most_edits)
+
     points = stored(map_arrow(own, keys, "doc_id long, point long, n long, keys array<long>, sketch array<long>").groupBy("point").agg(
         F.min("doc_id").alias("node"), F.count("*").alias("copies"), F.any_value("n").alias("n"),
         F.any_value("keys").alias("keys"), F.any_value("sketch").alias("sketch")), "edit-points")
-    bands = points.select("point", "n", F.explode(F.array_distinct("keys")).alias("band"))
+    bands = points.select("point", "n", F.explode(F.array_distinct("keys")).alias("key"))
     # Counted, then joined: a band that very many texts share is split by AQE, not held by one task.
-    several = bands.groupBy("band").agg(F.count("*").alias("many")).where("many > 1").select("band")
-    shared = stored(bands.join(several, "band"), "bands")
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in batches:
-            close = [within(p, q, int(most_edits * max(len(p), len(q)) + 1e-9))
-                     for p, q in zip(x.column(2).to_pylist(), x.column(3).to_pylist())]
-            yield pa.RecordBatch.from_arrays([x.column(0), x.column(1)], names=["src", "dst"]).filter(pa.array(close, pa.bool_()))
-
-    tested: list[DataFrame] = []
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        pairs = pairs.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
-        for before in tested:
-            pairs = pairs.join(before, ["src", "dst"], "left_anti")
-        tested.append(stored(pairs, "edit-pairs"))
-        # The embeddings' distance by their bands comes before the texts: only pairs that agree on
-        # enough of them, and on the sketches of their grams, fetch those.
-        known = lambda end, side, grams: points.select(
-            F.col("point").alias(end), F.col("keys").alias(side), F.col("sketch").alias(grams))
-        both = tested[-1].join(known("src", "left", "left_grams"), "src").join(known("dst", "right", "right_grams"), "dst")
-        least = F.ceil(F.least(F.size("left"), F.size("right")) * F.lit(LEAST_BANDS))
-        close = stored(both.where(_alike_grams("left_grams", "right_grams"))
-                       .where(F.size(F.array_intersect("left", "right")) >= least).select("src", "dst"), "edit-close")
-        ends = close.select(F.col("src").alias("point")).union(close.select("dst")).distinct()
-        wanted = stored(ends.join(points.select("point", F.col("node").alias("doc_id")), "point"), "edit-wanted")
-        texts = stored(own.join(wanted, ["point", "doc_id"]).dropDuplicates(["point"]).select("point", "text"), "edit-texts")
-        with_texts = (close.join(texts.withColumnsRenamed({"point": "dst", "text": "right"}), "dst")
-                      .join(texts.withColumnsRenamed({"point": "src", "text": "left"}), "src"))
-        found = stored(map_arrow(with_texts.select("src", "dst", "left", "right"), verify, "src long, dst long"), "edit-links")
-        for done in (texts, wanted, close):
-            dropped(done)
-        return found
-
-    def apart(a: str, b: str) -> Column:
-        length = F.abs(F.col(f"{a}.n") - F.col(f"{b}.n")) <= F.lit(most_edits) * F.greatest(f"{a}.n", f"{b}.n") + 1e-9
-        return (F.col(f"{a}.class") != F.col(f"{b}.class")) & length
-
-    # A family of near copies is joined through a drawn member of each band, round by round;
-    # what no round has joined is compared pair by pair, in bands of few classes.
-    links, found, state = None, 0, shared.withColumn("class", F.col("point"))
-    for k in range(MOST_ROUNDS):
-        drawn = state.groupBy("band").agg(F.min(F.struct(F.xxhash64("point", F.lit(k)).alias("by"), "point", "n", "class")).alias("r"))
-        drawn = drawn.select("band", "r.*")
-        new = linked(state.alias("a").join(drawn.alias("b"), F.col("a.band") == F.col("b.band")).where(apart("a", "b"))
-                     .select(F.col("b.point").alias("src"), F.col("a.point").alias("dst")))
-        count = new.count()
-        if count:
-            links = new if links is None else links.union(new)
-            found += count
-            joined = stored(components(links), "edit-classes")
-            state = shared.join(joined, F.col("point") == F.col("node"), "left").select(
-                "point", "n", "band", F.coalesce("component", "point").alias("class"))
-        if 8 * count < found or not count:
-            break
-    # Bands in which classes are still apart give all their pairs; those of many classes (a common
-    # head or tail of otherwise different texts) without the pairs that lengths or sketches rule out.
-    classes = state.groupBy("band").agg(F.count_distinct("class").alias("classes"), F.count("*").alias("held")).where("classes > 1")
-    state = stored(state.join(classes.select("band", "held", (F.col("classes") > HOT_CLASSES).alias("crowded")), "band"), "open-bands")
-    few = state.where("not crowded")
-    few = few.alias("a").join(few.alias("b"), (F.col("a.band") == F.col("b.band")) & (F.col("a.point") < F.col("b.point"))
-                              & apart("a", "b")).select(F.col("a.point").alias("src"), F.col("b.point").alias("dst"))
-    crowded = stored(state.where("crowded").join(points.select("point", "sketch"), "point").drop("crowded"), "crowded")
-    rest = linked(few.union(_crowded(crowded, most_edits)))
-    links = rest if links is None else links.union(rest)
+    held = stored(bands.groupBy("key").agg(F.count("*").alias("held")).where("held > 1"), "edit-bands")
+    shared = _cells(bands.join(held, "key").withColumn("weight", F.lit(1)), _BLOCK, most_edits).join(points.select("point", "sketch"), "point")
+    # What a band's pairs that may be alike hold together is a neighbourhood; no pair is a row but those that do so.
+    edges = stored(_placed(shared, held, _BLOCK, _PLACE_ROWS).groupBy("place").applyInArrow(near, "src long, dst long"), "edit-near")
+    hoods = stored(components(edges).select(F.col("node").alias("point"), F.col("component").alias("key")).join(points.select("point", "node", "n"), "point"), "edit-hoods")
+    # Each neighbourhood's texts meet once, and its pairs are aligned there.
+    chars = stored(hoods.groupBy("key").agg(F.sum("n").alias("held")), "edit-chars")
+    met = _placed(_cells(hoods.withColumn("weight", F.col("n")).join(chars, "key"), _BLOCK_CHARS, most_edits), chars, _BLOCK_CHARS, _PLACE_CHARS)
+    texts = (own.join(hoods.select("point", F.col("node").alias("doc_id")), ["point", "doc_id"]).dropDuplicates(["point"]).select("point", "text")
+             .join(points.select("point", "keys", "sketch"), "point"))
+    links = stored(met.join(texts, "point").groupBy("place").applyInArrow(link, "src long, dst long"), "edit-links")
     degree = links.select(F.col("src").alias("point")).union(links.select("dst")).groupBy("point").agg(F.count("*").alias("n_links"))
     member = points.select("point", "node", "copies").join(
         components(links).select(F.col("node").alias("point"), "component"), "point", "left").where("copies > 1 or component is not null")
@@ -724,6 +842,6 @@ def _labels(docs: DataFrame, most_edits: float) -> DataFrame:
     least = member.groupBy("component").agg(F.min("node").alias("class_id"))
     labels = stored(member.join(least, "component").join(degree, "point", "left")
                     .select("point", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links")), "edit-labels")
-    for done in (points, shared, state, crowded, *tested):
+    for done in (points, held, edges, hoods, chars, links):
         dropped(done)
     return labels

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers
 import tokenizers
@@ -577,6 +578,50 @@ def test_pairs_that_share_crowded_bands_alone_are_found(spark, monkeypatch, bloc
     assert all(got[i] == i for i in range(len(texts)))
 
 
+def test_many_pairs_at_once_are_within_the_edit_distance():
+    rng = random.Random(14)
+    texts = []
+    for letters in ("abcde", "abcdé\U0001f600 "):
+        for _ in range(200):
+            a = "".join(rng.choices(letters, k=rng.randint(1, 500)))
+            texts += sorted([a, _changed(rng, a, rng.random() * 0.06)], key=len)
+    texts.append("".join(chr(300 + i) for i in range(300)))  # codes of two bytes
+    for some in (texts[:-1], texts):
+        tape = editprint._Tape(pa.chunked_array([pa.array(some)]))
+        x, y = np.arange(0, 800, 2), np.arange(1, 800, 2)
+        most = (0.03 * tape.n[y] + 1e-9).astype(np.int64)
+        want = [editprint.edit_distance(some[a], some[b]) <= k for a, b, k in zip(x, y, most)]
+        assert tape.within(x, y, most).tolist() == want and 100 < sum(want) < 350
+
+
+def test_a_dense_group_makes_few_rows(given):
+    """Near copies of which most pairs are over the edits: no row but those that hold groups together, and no link is lost."""
+    rng = random.Random(15)
+    base = next(t for _, t, _, _ in given if 900 < len(t) < 1300)
+    texts = sorted({_changed(rng, base, rng.choice([0.005, 0.012, 0.02, 0.03])) for _ in range(80)}, key=len)
+    n, size = [len(t) for t in texts], len(texts)
+    rows = pa.table({
+        "key": [7] * size, "step": [-1] * size, "i": [0] * size, "j": [0] * size, "point": list(range(size)), "n": n,
+        "shorter": [True] * size, "longer": [True] * size, "text": texts,
+        "keys": pa.array(editprint.band_keys(texts), pa.list_(pa.int64())),
+        "sketch": pa.array([editprint.gram_sketch(t) for t in texts], pa.list_(pa.int64()))})
+    assert size / 2 < editprint._near_pairs(rows.drop(["keys", "text"]), 0.02).num_rows < size
+
+    def classes(pairs):
+        least = list(range(size))
+        for _ in range(size):
+            for a, b in pairs:
+                least[a] = least[b] = min(least[a], least[b])
+        return least
+
+    keys = [set(k) for k in rows["keys"].to_pylist()]
+    near = [(a, b) for b in range(size) for a in range(b) if keys[a] & keys[b] and editprint.within(texts[a], texts[b], int(0.02 * n[b] + 1e-9))]
+    links = editprint._links(rows, 0.02)
+    got = list(zip(links["src"].to_pylist(), links["dst"].to_pylist()))
+    assert classes(got) == classes(near) and len(got) < size < len(near) < size * (size - 1) / 3
+    assert {tuple(sorted(p)) for p in got} <= set(near)
+
+
 def _thue_morse(n):
     return "".join("ab"[bin(i).count("1") & 1] for i in range(n))
 
