@@ -122,7 +122,8 @@ def near_pairs(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     two = rest.bitwiseAND(-rest)
     rest2 = rest.bitwiseXOR(two)
     first = one.bitwiseOR(two).bitwiseOR(rest2.bitwiseAND(-rest2))
-    return (a.join(b, (F.col("a.groups") == F.col("b.groups")) & (F.col("a.cell") == F.col("b.cell"))
+    # Spark sizes the cells by the points' files, over 35 times too low, and would broadcast them: both sides are dealt out.
+    return (a.join(b.hint("merge"), (F.col("a.groups") == F.col("b.groups")) & (F.col("a.cell") == F.col("b.cell"))
                    & (F.col("a.simhash") < F.col("b.simhash"))
                    & (F.bit_count(apart) <= max_bits)
                    & (F.bit_count(F.col("a.simhash").bitwiseXOR(F.col("b.simhash"))) <= max_bits)
