@@ -135,7 +135,8 @@ def pack(docs: DataFrame, vocabulary: str, max_tokens: int = MAX_TOKENS, end_id:
     # Tasks before this one, per length: a window holds a row per task.
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     base = held.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    ranked = cut.join(base, ["length", "task"]).withColumn("rank", F.col("base") + F.col("task_rank"))
+    # A row per piece is many times its size in the files of ``cut``, so it is not broadcast.
+    ranked = cut.join(base.hint("merge"), ["length", "task"]).withColumn("rank", F.col("base") + F.col("task_rank"))
     found = slots(shortest_pack_first(histogram, max_tokens))
     places = spark.createDataFrame(pa.table(
         {c: pa.array([x[k] for x in found], pa.int64()) for k, c in enumerate(("length", "first", "stop", "sequence", "offset"))}))

@@ -164,10 +164,12 @@ def test_simhash_pairs_are_whole_and_single(spark):
     assert len(got) == len(set(got)) and set(got) == {tuple(sorted(x)) for x in want} and len(got) > 100
 
 
-def test_rows_that_look_small_in_files_are_not_broadcast(spark, tmp_path):
+def test_rows_that_look_small_in_files_are_not_broadcast(spark, odd, tmp_path):
     spark.createDataFrame([(i, i) for i in range(500)], "node long, simhash long").write.parquet(f"{tmp_path}/points")
     plan = simhash.near_pairs(spark.read.parquet(f"{tmp_path}/points"))._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+    plan = packing.pack(odd, VOCABULARY)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and plan.count("BroadcastExchange") == 1  # the ranges of the patterns
 
 
 def test_simhash_keep_one(odd):
