@@ -268,7 +268,7 @@ LEAST_BANDS = 1 / 16
 HOT_CLASSES = 48
 #: Rows of a band, and characters of a neighbourhood, that meet in one cell at once, and what of both a task gets about.
 _BLOCK, _PLACE_ROWS = 32_000, 8000
-_BLOCK_CHARS, _PLACE_CHARS = 1 << 19, 1 << 20
+_BLOCK_CHARS, _PLACE_CHARS = 1 << 21, 1 << 20
 #: Texts alike: their edit distance is at most this share of the longer one's length. Each
 #: edit puts the walks out of step for a while, so likeness falls fast with more edits
 #: (medians on the given prose: 0.96 at 0.5 %, 0.72 at 2 %, 0.42 at 5 %).
@@ -560,7 +560,9 @@ def _classed(rows: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 #: Pairs looked at at once, and cells of their distance tables; above _LONG characters a pair is aligned on its own.
-_PAIRS, _CELLS, _LONG = 1 << 18, 1 << 15, 2500
+_PAIRS, _CELLS, _LONG = 1 << 18, 1 << 15, 1 << 16
+#: Words of a tape compared at once where few diagonals go on.
+_AHEAD = 16
 
 
 def _cells(rows: DataFrame, block: int, most_edits: float) -> DataFrame:
@@ -676,6 +678,7 @@ def _links(rows: pa.Table, most_edits: float) -> pa.Table:
         x, y = x[common], y[common]
         if len(x) and tape is None:
             tape = _Tape(place.rows["text"])
+            tape.families = _Families(tape, place)
         # Few at first: the more is joined, the less is left to compare.
         first, few = 0, 256
         while first < len(x):
@@ -729,16 +732,19 @@ class _Tape:
         kind = np.dtype(next(k for k in (np.uint8, np.uint16, np.uint32) if code[-1] <= np.iinfo(k).max))
         self.n = np.array([len(c) for c in chars])
         self.start = np.cumsum(np.r_[0, self.n + 1])[:-1]
-        tape = np.zeros(int(self.n.sum()) + len(chars) + 8, kind)
+        self.codes = tape = np.zeros(int(self.n.sum()) + len(chars) + 8, kind)
         for c, at in zip(chars, self.start.tolist()):
             tape[at:at + len(c)] = code[c]
         self.words = np.ndarray(len(tape) - 8, "<u8", tape.tobytes(), strides=(kind.itemsize,)).copy()
         self.shift = 2 + kind.itemsize.bit_length()
+        self.families: _Families | None = None
 
     def within(self, x: np.ndarray, y: np.ndarray, most: np.ndarray) -> np.ndarray:
         """Is the edit distance of each pair (shorter, longer) at most ``most``? Exact."""
         out = np.zeros(len(x), bool)
         order = np.argsort(most, kind="stable")
+        if self.families is not None:
+            order = order[self.families.least(x[order], y[order]) <= most[order]]
         long = self.n[y[order]] > _LONG
         for t in order[long].tolist():
             out[t] = within(self.texts[x[t]], self.texts[y[t]], int(most[t]))
@@ -753,7 +759,10 @@ class _Tape:
         return out
 
     def _reach(self, x: np.ndarray, y: np.ndarray, most: np.ndarray) -> np.ndarray:
-        """``_reaches`` for many pairs side by side: how far along ``x`` each diagonal is after d edits."""
+        """``_reaches`` for many pairs side by side: how far along ``x`` each diagonal is after d edits.
+
+        A pair is given up when the blocks that lie beyond all its diagonals need more edits than are left (see ``_Families``)."""
+        rest_x, rest_y = (np.zeros((len(x), 1), np.int32),) * 2 if self.families is None else (self.families.rest(x, y), self.families.rest(y, x))
         sx, sy, n, m = self.start[x], self.start[y], self.n[x], self.n[y]
         out, pair = np.zeros(len(x), bool), np.arange(len(x))
         target, all_ = m - n, int(most.max(initial=0))
@@ -765,11 +774,14 @@ class _Tape:
             inside = (at >= 0) & (at < reach.shape[1])
             done = inside & (most >= d) & (reach[np.arange(len(at)), np.where(inside, at, 0)] >= n)
             out[pair[done]] = True
-            going = ~done & (most > d)
+            diagonal = below + np.arange(reach.shape[1])
+            needed = np.maximum(_beyond(rest_x, reach.max(axis=1)), _beyond(rest_y, (reach + diagonal).max(axis=1)))
+            going = ~done & (most > d) & (needed <= most - d)
             if not going.any():
                 return out
             if going.mean() < 0.8:
-                pair, sx, sy, n, m, target, most, reach = (v[going] for v in (pair, sx, sy, n, m, target, most, reach))
+                pair, sx, sy, n, m, target, most, reach, rest_x, rest_y = (
+                    v[going] for v in (pair, sx, sy, n, m, target, most, reach, rest_x, rest_y))
             d += 1
             all_ = int(most.max())
             lo = max(-d, int(target.min()) - (all_ - d))
@@ -789,6 +801,7 @@ class _Tape:
         here = i + np.repeat(sx, len(diagonal))
         there = here + ((sy - sx)[:, None] + diagonal).ravel()
         some: slice | np.ndarray = slice(None)
+        step = 64 >> self.shift
         while True:
             v = self.words.take(here, mode="clip") ^ self.words.take(there, mode="clip")
             # The lowest bit that differs lies in the first character that does.
@@ -798,7 +811,175 @@ class _Tape:
             if not len(going):
                 return i.reshape(len(sx), len(diagonal))
             some = going if isinstance(some, slice) else some[going]
-            here, there = here[going] + (64 >> self.shift), there[going] + (64 >> self.shift)
+            here, there = here[going] + step, there[going] + step
+            while len(some) <= _CELLS // _AHEAD:  # few go on, and those mostly far: more is compared at once
+                ahead = step * np.arange(_AHEAD)
+                equal = self.words.take(here[:, None] + ahead, mode="clip") == self.words.take(there[:, None] + ahead, mode="clip")
+                far = equal.all(axis=1)
+                words = np.where(far, _AHEAD, equal.argmin(axis=1))
+                i[some] = np.minimum(i[some] + step * words, end[some])
+                here, there = here + step * words, there + step * words
+                if not (far & (i[some] < end[some])).any():
+                    break
+
+
+#: Characters of a block, a bit each; texts of a cell that are a family at least, and families of a cell at most
+#: (they only save alignments); bits of the blocks' characters held at once, and texts times blocks.
+_BIT, _FAMILY, _FAMILIES, _MASKS, _LANES = 64, 3, 8, 1 << 21, 1 << 14
+
+
+def _beyond(rest: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """What ``_Families.rest`` has from each place on."""
+    return rest[np.arange(len(rest)), np.clip(-(-place // _BIT), 0, rest.shape[1] - 1)]
+
+
+class _Families:
+    """Edits that pairs of texts need at least, from blocks of a text that others have as they are.
+
+    A pivot of each family is cut into blocks. In an alignment each block that a text has as it is, no two
+    overlapping, is aligned to some part of the other text, and the edits of these parts add up. A part's
+    edits are at least those of the block and the best part of the other text near the block's place, which depend
+    on that text and the block alone: so a text is aligned to the blocks once, not to every other text."""
+
+    def __init__(self, tape: _Tape, place: _Place):
+        self.tape, self.n = tape, tape.n
+        self.family = np.full(len(tape.n), -1)
+        self.grid_at, self.cost_at = np.zeros(len(tape.n), np.int64), np.zeros(len(tape.n), np.int64)
+        self.grids, self.costs, self.held = [], [], [0, 0]
+        lanes: list[tuple[np.ndarray, ...]] = []  # (places in costs, blocks' places on the tape, first characters, ends) of the texts
+        self.hashes = self._hashes()
+        cuts = np.flatnonzero(np.r_[True, place.cell[1:] != place.cell[:-1], True])
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            most = int(place.most_edits * int(tape.n[a:b].max()) + 1e-9)
+            rows = np.arange(a, b)
+            for _ in range(_FAMILIES):
+                if len(rows) < _FAMILY or not most:
+                    break
+                rows = self._gather(rows, self._pivot(place.places[rows]), most, lanes)
+        del self.hashes
+        self.grid = np.concatenate([np.zeros(1, np.int32), *self.grids])
+        self.cost = np.concatenate([np.zeros(1, np.uint8), *self.costs])
+        if lanes:
+            self._align(*map(np.concatenate, zip(*lanes)))
+
+    def _hashes(self) -> np.ndarray:
+        """A hash of the _BIT characters from each place of the tape on."""
+        h, size = self.tape.words.copy(), 64 >> self.tape.shift
+        while size < _BIT:
+            h[:-size] = (h[:-size] ^ h[:-size] >> np.uint64(29)) * np.uint64(0x9E3779B97F4A7C15) + h[size:]
+            size *= 2
+        return h
+
+    @staticmethod
+    def _pivot(places: np.ndarray) -> int:
+        """The text whose sketch has most of the commonest values."""
+        many = np.bincount((places + 256 * np.arange(_PLACES)).ravel(), minlength=256 * _PLACES).reshape(_PLACES, 256)
+        return int((places == many[:, :255].argmax(axis=1)).sum(axis=1).argmax())
+
+    def _gather(self, rows: np.ndarray, pivot: int, most: int, lanes: list) -> np.ndarray:
+        """Makes a family of those of ``rows`` that have an eighth of the pivot's blocks; the others."""
+        tape, k = self.tape, int(self.n[rows[pivot]]) // _BIT
+        if k < 2:
+            return np.delete(rows, pivot)
+        blocks = tape.start[rows[pivot]] + _BIT * np.arange(k)
+        order = np.argsort(self.hashes[blocks], kind="stable")
+        hashes = self.hashes[blocks[order]]
+        # Rows of a cell that earlier families took lie between: their places are dropped.
+        base = tape.start[rows[0]]
+        mine = self.hashes[base:tape.start[rows[-1]] + tape.n[rows[-1]]]
+        at = np.minimum(np.searchsorted(hashes, mine), k - 1)
+        found = np.flatnonzero(hashes[at] == mine)
+        block, found = order[at[found]], found + base
+        for c in range(0, _BIT, 64 >> tape.shift):
+            same = tape.words[found + c] == tape.words[blocks[block] + c]
+            found, block = found[same], block[same]
+        row = np.searchsorted(tape.start[rows], found, "right") - 1
+        at = found - tape.start[rows[row]]
+        moved = np.abs(at - _BIT * block)
+        near = (moved <= most) & (at + _BIT <= tape.n[rows[row]])
+        row, block, at, moved = row[near], block[near], at[near], moved[near]
+        order = np.lexsort((moved, row * k + block))
+        order = order[np.r_[True, np.diff((row * k + block)[order]) > 0][:len(order)]]
+        places = np.full((len(rows), k), -_BIT)
+        places[row[order], block[order]] = at[order]
+        before = np.maximum.accumulate(np.c_[np.full(len(rows), -_BIT), places[:, :-1]], axis=1)
+        has = (places >= 0) & (places >= before + _BIT)
+        member = has.sum(axis=1) >= max(1, k // 8)
+        member[pivot] = True
+        if member.sum() > 1:
+            ours, has, places = rows[member], has[member], places[member]
+            self.family[ours] = rows[pivot]
+            size = tape.n[ours] // _BIT + 2
+            grid = np.full(int(size.sum()), k, np.int32)
+            first = np.cumsum(size) - size
+            text, block = np.nonzero(has)
+            grid[first[text] + places[text, block] // _BIT] = block
+            self.grid_at[ours] = self.held[0] + 1 + first
+            self.cost_at[ours] = self.held[1] + 1 + (k + 1) * np.arange(len(ours))
+            text, block = np.nonzero(~has)
+            start, n = tape.start[ours[text]], tape.n[ours[text]]
+            lanes.append((self.cost_at[ours[text]] + block, blocks[block], start + np.minimum(n, np.maximum(0, _BIT * block - 2 * most)),
+                          start + np.minimum(n, _BIT * (block + 1) + 2 * most)))
+            self.grids.append(grid)
+            self.costs.append(np.zeros(len(ours) * (k + 1), np.uint8))
+            self.held = [self.held[0] + len(grid), self.held[1] + len(self.costs[-1])]
+        return rows[~member]
+
+    def _align(self, to: np.ndarray, block: np.ndarray, first: np.ndarray, end: np.ndarray) -> None:
+        """The least edits between each block and a part of the characters from ``first`` to ``end``: columns of the table in the bits of one integer."""
+        kinds = int(self.tape.codes.max()) + 1
+        blocks, which = np.unique(block, return_inverse=True)
+        each = max(1, _MASKS // kinds)
+        for low in range(0, len(blocks), each):
+            some = blocks[low:low + each]
+            masks = np.zeros(len(some) * kinds, np.uint64)
+            for i in range(_BIT):
+                masks[np.arange(len(some)) * kinds + self.tape.codes[some + i]] |= np.uint64(1 << i)
+            mine = np.flatnonzero((which >= low) & (which < low + each))
+            mine = mine[np.argsort(first[mine] - end[mine], kind="stable")]  # the longest first
+            for at in range(0, len(mine), _LANES):
+                lane = mine[at:at + _LANES]
+                self.cost[to[lane]] = self._columns(masks, (which[lane] - low) * kinds, first[lane], end[lane] - first[lane])
+
+    def _columns(self, masks: np.ndarray, own: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+        one, top = np.uint64(1), np.uint64(_BIT - 1)
+        plus, minus = np.full(len(own), ~np.uint64(0)), np.zeros(len(own), np.uint64)
+        now, least = np.full(len(own), _BIT, np.int64), np.full(len(own), _BIT, np.int64)
+        going = np.searchsorted(-size, -np.arange(int(size[0]) if len(size) else 0), "left")
+        for j, g in enumerate(going.tolist()):
+            up, down = plus[:g], minus[:g]
+            same = masks[own[:g] + self.tape.codes[first[:g] + j]]
+            across = (((same & up) + up) ^ up) | same
+            same |= down
+            more, less = down | ~(across | up), up & across
+            now[:g] += (more >> top).view(np.int64) - (less >> top).view(np.int64)
+            more <<= one
+            less <<= one
+            plus[:g], minus[:g] = less | ~(same | more), more & same
+            np.minimum(least[:g], now[:g], out=least[:g])
+        return least
+
+    def _costs(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """For each pair, by the places of ``x`` in steps of _BIT: the edits of ``x``'s block there and the best part of ``y``."""
+        size = self.n[x] // _BIT + 2
+        at = np.minimum(np.arange(int(size.max(initial=1))), size[:, None] - 1)  # the last has no block
+        same = (self.family[x] == self.family[y]) & (self.family[x] >= 0)
+        block = self.grid[np.where(same[:, None], self.grid_at[x][:, None] + at, 0)]
+        return self.cost[np.where(same[:, None], self.cost_at[y][:, None] + block, 0)]
+
+    def least(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Edits that each pair needs at least."""
+        out = np.zeros(len(x), np.int64)
+        some = np.flatnonzero((self.family[x] == self.family[y]) & (self.family[x] >= 0))
+        while len(some):
+            now, some = np.split(some, [max(1, min(_LANES, _PAIRS * _BIT // int(self.n[y[some[:_LANES]]].max())))])
+            a, b = x[now], y[now]
+            out[now] = np.maximum(self._costs(a, b).sum(axis=1, dtype=np.int64), self._costs(b, a).sum(axis=1, dtype=np.int64))
+        return out
+
+    def rest(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Edits that each pair needs at least from the places of ``x`` on, in steps of _BIT."""
+        return np.cumsum(self._costs(x, y)[:, ::-1], axis=1, dtype=np.int32)[:, ::-1]
 
 
 def _labels(docs: DataFrame, most_edits: float) -> DataFrame:

@@ -630,6 +630,44 @@ def test_a_dense_group_makes_few_rows(given):
     assert {tuple(sorted(p)) for p in got} <= set(near)
 
 
+def test_blocks_of_a_family_never_ask_for_more_than_the_edits(given):
+    """Lower bounds from a pivot's blocks hold on every pair, odd ones too, and spare most alignments of pairs that are not alike."""
+    rng = random.Random(16)
+    base = next(t for _, t, _, _ in given if 900 < len(t) < 1300)
+    words = base.split(" ")
+
+    def copy(many):
+        out = words[:]
+        for _ in range(many):
+            i = rng.randrange(len(out))
+            out[i:i + 1] = rng.choice([[], [out[i], rng.choice(words)], [rng.choice(words)]])
+        return " ".join(out)
+
+    periodic = "abcdefg " * 150
+    odd = [periodic, periodic[:900], periodic[3:], base[:500] + base[:500], base[300:], base[::-1], base[400:] + base[:400],
+           base[:64] * 12, base[:30] + "\u4e2d" + base[30:], _changed(rng, periodic, 0.02), _changed(rng, periodic, 0.04)]
+    family = [copy(rng.choice([1, 2, 4, 8, 16])) for _ in range(60)]
+    for extra in ([], odd, [*odd, "".join(chr(300 + i) for i in range(300))]):
+        texts = sorted({*family, base, *extra}, key=len)
+        size = len(texts)
+        rows = pa.table({
+            "key": [0] * size, "step": [-1] * size, "i": [0] * size, "j": [0] * size, "point": list(range(size)), "n": [len(t) for t in texts],
+            "shorter": [True] * size, "longer": [True] * size, "text": texts,
+            "sketch": pa.array([editprint.gram_sketch(t) for t in texts], pa.list_(pa.int64()))})
+        place = editprint._Place(rows, 0.02)
+        tape = editprint._Tape(place.rows["text"])
+        x, y = np.triu_indices(size, 1)
+        exact = np.array([editprint.edit_distance(texts[a], texts[b]) for a, b in zip(x, y)])
+        most = (0.02 * tape.n[y] + 1e-9).astype(np.int64)
+        tape.families = editprint._Families(tape, place)
+        least = tape.families.least(x, y)
+        alike = exact <= most
+        assert (least[alike] <= exact[alike]).all() and (least[~alike] > most[~alike]).mean() > (0.5 if not extra else 0.25)
+        assert (tape.families.rest(x, y)[:, 0][alike] <= exact[alike]).all()
+        near = tape.n[y] - tape.n[x] <= most
+        assert tape.within(x[near], y[near], most[near]).tolist() == alike[near].tolist() and 20 < alike.sum() < len(x) / 2
+
+
 def _thue_morse(n):
     return "".join("ab"[bin(i).count("1") & 1] for i in range(n))
 
