@@ -982,6 +982,22 @@ class _Families:
         return np.cumsum(self._costs(x, y)[:, ::-1], axis=1, dtype=np.int32)[:, ::-1]
 
 
+#: Bits of the sieve that keeps texts of no neighbourhood from being moved.
+_SIEVE = 1 << 24
+
+
+def _sieved(own: DataFrame, hoods: DataFrame) -> DataFrame:
+    """The rows of ``own`` whose point may be one of ``hoods``: all that are and few others.
+
+    The points' bits are broadcast: 2 MB at most, whatever their number."""
+    bit = F.col("point") % _SIEVE
+    sieve = hoods.groupBy(F.bitmap_bucket_number(bit).alias("shelf")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
+    at = F.bitmap_bit_position(bit).cast("int")
+    byte = F.conv(F.hex(F.substring("bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return (own.withColumn("shelf", F.bitmap_bucket_number(bit)).join(F.broadcast(sieve), "shelf")
+            .where(byte.bitwiseAND(F.element_at(F.array(*[F.lit(1 << k) for k in range(8)]), at % 8 + 1)) != 0).select(own.columns))
+
+
 def _labels(docs: DataFrame, most_edits: float) -> DataFrame:
     """(point, class_id, n_links) of each text that has copies or links."""
     own = _own(docs).where("doc_id is not null").select("doc_id", _points(F.col("text")).alias("point"), "text")
@@ -1013,7 +1029,7 @@ def _labels(docs: DataFrame, most_edits: float) -> DataFrame:
     # Each neighbourhood's texts meet once, and its pairs are aligned there.
     chars = stored(hoods.groupBy("key").agg(F.sum("n").alias("held")), "edit-chars")
     met = _placed(_cells(hoods.withColumn("weight", F.col("n")).join(chars, "key"), _BLOCK_CHARS, most_edits), chars, _BLOCK_CHARS, _PLACE_CHARS)
-    texts = (own.join(hoods.select("point", F.col("node").alias("doc_id")), ["point", "doc_id"]).dropDuplicates(["point"]).select("point", "text")
+    texts = (_sieved(own, hoods).join(hoods.select("point", F.col("node").alias("doc_id")), ["point", "doc_id"]).dropDuplicates(["point"]).select("point", "text")
              .join(points.select("point", "keys", "sketch"), "point"))
     links = stored(met.join(texts, "point").groupBy("place").applyInArrow(link, "src long, dst long"), "edit-links")
     degree = links.select(F.col("src").alias("point")).union(links.select("dst")).groupBy("point").agg(F.count("*").alias("n_links"))
