@@ -982,20 +982,20 @@ class _Families:
         return np.cumsum(self._costs(x, y)[:, ::-1], axis=1, dtype=np.int32)[:, ::-1]
 
 
-#: Bits of the sieve that keeps texts of no neighbourhood from being moved.
+#: Bits of the sieve that keeps rows without a partner from being moved.
 _SIEVE = 1 << 24
 
 
-def _sieved(own: DataFrame, hoods: DataFrame) -> DataFrame:
-    """The rows of ``own`` whose point may be one of ``hoods``: all that are and few others.
+def _sieved(rows: DataFrame, partners: DataFrame, name: str) -> DataFrame:
+    """The rows of ``rows`` whose number ``name`` may be one of ``partners``: all that are and few others.
 
-    The points' bits are broadcast: 2 MB at most, whatever their number."""
-    bit = F.col("point") % _SIEVE
-    sieve = hoods.groupBy(F.bitmap_bucket_number(bit).alias("shelf")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
+    The numbers' bits are broadcast: 2 MB at most, whatever their number."""
+    bit = F.pmod(F.col(name), F.lit(_SIEVE))
+    sieve = partners.groupBy(F.bitmap_bucket_number(bit).alias("shelf")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
     at = F.bitmap_bit_position(bit).cast("int")
     byte = F.conv(F.hex(F.substring("bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return (own.withColumn("shelf", F.bitmap_bucket_number(bit)).join(F.broadcast(sieve), "shelf")
-            .where(byte.bitwiseAND(F.element_at(F.array(*[F.lit(1 << k) for k in range(8)]), at % 8 + 1)) != 0).select(own.columns))
+    return (rows.withColumn("shelf", F.bitmap_bucket_number(bit)).join(F.broadcast(sieve), "shelf")
+            .where(byte.bitwiseAND(F.element_at(F.array(*[F.lit(1 << k) for k in range(8)]), at % 8 + 1)) != 0).select(rows.columns))
 
 
 def _labels(docs: DataFrame, most_edits: float) -> DataFrame:
@@ -1022,15 +1022,15 @@ def _labels(docs: DataFrame, most_edits: float) -> DataFrame:
     bands = points.select("point", "n", F.explode(F.array_distinct("keys")).alias("key"))
     # Counted, then joined: a band that very many texts share is split by AQE, not held by one task.
     held = stored(bands.groupBy("key").agg(F.count("*").alias("held")).where("held > 1"), "edit-bands")
-    shared = _cells(bands.join(held, "key").withColumn("weight", F.lit(1)), _BLOCK, most_edits).join(points.select("point", "sketch"), "point")
+    shared = _cells(_sieved(bands, held, "key").join(held, "key").withColumn("weight", F.lit(1)), _BLOCK, most_edits).join(points.select("point", "sketch"), "point")
     # What a band's pairs that may be alike hold together is a neighbourhood; no pair is a row but those that do so.
     edges = stored(_placed(shared, held, _BLOCK, _PLACE_ROWS).groupBy("place").applyInArrow(near, "src long, dst long"), "edit-near")
     hoods = stored(components(edges).select(F.col("node").alias("point"), F.col("component").alias("key")).join(points.select("point", "node", "n"), "point"), "edit-hoods")
     # Each neighbourhood's texts meet once, and its pairs are aligned there.
     chars = stored(hoods.groupBy("key").agg(F.sum("n").alias("held")), "edit-chars")
     met = _placed(_cells(hoods.withColumn("weight", F.col("n")).join(chars, "key"), _BLOCK_CHARS, most_edits), chars, _BLOCK_CHARS, _PLACE_CHARS)
-    texts = (_sieved(own, hoods).join(hoods.select("point", F.col("node").alias("doc_id")), ["point", "doc_id"]).dropDuplicates(["point"]).select("point", "text")
-             .join(points.select("point", "keys", "sketch"), "point"))
+    texts = (_sieved(own, hoods, "point").join(hoods.select("point", F.col("node").alias("doc_id")), ["point", "doc_id"]).dropDuplicates(["point"]).select("point", "text")
+             .join(_sieved(points.select("point", "keys", "sketch"), hoods, "point"), "point"))
     links = stored(met.join(texts, "point").groupBy("place").applyInArrow(link, "src long, dst long"), "edit-links")
     degree = links.select(F.col("src").alias("point")).union(links.select("dst")).groupBy("point").agg(F.count("*").alias("n_links"))
     member = points.select("point", "node", "copies").join(

@@ -632,14 +632,14 @@ def test_a_dense_group_makes_few_rows(given):
 
 def test_texts_of_no_neighbourhood_are_not_moved(spark):
     rng = random.Random(17)
-    points = [0, 7, 8, (1 << 24) - 1, (1 << 60) - 1, *(rng.getrandbits(60) for _ in range(3000))]
+    points = [0, 7, 8, -1, -8, (1 << 24) - 1, (1 << 60) - 1, -1 << 63, *(rng.getrandbits(60) for _ in range(3000))]
     own = spark.createDataFrame([(i, p, f"text {i}") for i, p in enumerate(points)], "doc_id long, point long, text string")
     hoods = spark.createDataFrame([(p,) for p in points[:1000]], "point long")
-    sieved = editprint._sieved(own, hoods)
+    sieved = editprint._sieved(own, hoods, "point")
     got = {r["doc_id"] for r in sieved.collect()}
     assert got >= set(range(1000)) and len(got) < 1005 and sieved.columns == own.columns
     assert "SortMergeJoin" not in sieved._jdf.queryExecution().executedPlan().toString()
-    assert editprint._sieved(own, hoods.limit(0)).count() == 0
+    assert editprint._sieved(own, hoods.limit(0), "point").count() == 0
 
 
 def test_blocks_of_a_family_never_ask_for_more_than_the_edits(given):
