@@ -1029,9 +1029,11 @@ def _labels(docs: DataFrame, most_edits: float) -> DataFrame:
     # Each neighbourhood's texts meet once, and its pairs are aligned there.
     chars = stored(hoods.groupBy("key").agg(F.sum("n").alias("held")), "edit-chars")
     met = _placed(_cells(hoods.withColumn("weight", F.col("n")).join(chars, "key"), _BLOCK_CHARS, most_edits), chars, _BLOCK_CHARS, _PLACE_CHARS)
-    texts = (_sieved(own, hoods, "point").join(hoods.select("point", F.col("node").alias("doc_id")), ["point", "doc_id"]).dropDuplicates(["point"]).select("point", "text")
-             .join(_sieved(points.select("point", "keys", "sketch"), hoods, "point"), "point"))
-    links = stored(met.join(texts, "point").groupBy("place").applyInArrow(link, "src long, dst long"), "edit-links")
+    # By point and doc_id all along, so that texts are not dealt out again, nor copies of one text to one task.
+    both, nodes = ["point", "doc_id"], hoods.select("point", F.col("node").alias("doc_id"))
+    texts = (_sieved(own, hoods, "point").join(nodes, both).dropDuplicates(both)
+             .join(_sieved(points.select("point", F.col("node").alias("doc_id"), "keys", "sketch"), hoods, "point"), both))
+    links = stored(met.join(nodes, "point").join(texts, both).drop("doc_id").groupBy("place").applyInArrow(link, "src long, dst long"), "edit-links")
     degree = links.select(F.col("src").alias("point")).union(links.select("dst")).groupBy("point").agg(F.count("*").alias("n_links"))
     member = points.select("point", "node", "copies").join(
         components(links).select(F.col("node").alias("point"), "component"), "point", "left").where("copies > 1 or component is not null")
